@@ -1,0 +1,9 @@
+"""Streaming.
+
+The loads this package rebuilds are batch jobs: "incremental" means a stored
+high watermark (see :mod:`starloom.plans.facts`), not a stream, and there is
+no windowed or stateful stream processing to rebuild. The one streaming
+entry point is :func:`starloom.streaming.landing.land_stream`, the same keyed
+landing driven by Structured Streaming (``foreachBatch``, trigger
+``availableNow``) for sources that only ever append change records.
+"""
