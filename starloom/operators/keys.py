@@ -56,22 +56,23 @@ def _numeric_proxy(c: Column, dtype: T.DataType) -> Column | None:
 
 def assign_surrogate_keys(df: DataFrame, order_col: str, out_col: str = conf.SK_COL,
                           start: int = 0, segment_col: str | None = None,
-                          tiebreak: Sequence[str] = ()) -> DataFrame:
+                          tiebreak: Sequence[str] = (), rows: int | None = None) -> DataFrame:
     """Add ``out_col`` = start + 1, start + 2, ... in order of
     (``segment_col``, ``order_col`` NULLS FIRST, ``tiebreak``).
 
     ``segment_col`` (small integers) numbers whole segments one after the
     other, e.g. inserts before updates. ``order_col`` should be unique within a
     segment (or made so with ``tiebreak``) for the numbering to be repeatable.
+    ``rows``, when the caller knows it, is the row count or an upper bound of
+    it (saves a counting job).
     """
-    from starloom.conf import SK_SINGLE_TASK_MAX_ROWS, tunable
     spark = df.sparkSession
-    n = df.count()
+    n = df.count() if rows is None else rows
     order = ([F.col(segment_col).asc_nulls_first()] if segment_col else []) + _order(order_col, tiebreak)
-    if n <= tunable(spark, SK_SINGLE_TASK_MAX_ROWS):
+    if n <= conf.tunable(spark, conf.SK_SINGLE_TASK_MAX_ROWS):
         w = Window.orderBy(*order)
         return df.withColumn(out_col, (F.lit(start) + F.row_number().over(w)).cast("long"))
-    n_ranges = max(2, math.ceil(n / tunable(spark, conf.SK_ROWS_PER_RANGE)))
+    n_ranges = max(2, math.ceil(n / conf.tunable(spark, conf.SK_ROWS_PER_RANGE)))
     proxy = _numeric_proxy(F.col(order_col), df.schema[order_col].dataType)
     if proxy is not None:
         return _keys_by_quantile_ranges(df, order_col, out_col, start, segment_col, tiebreak,

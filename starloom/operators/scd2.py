@@ -83,9 +83,8 @@ def _scd2_columns(load_date) -> dict[str, Column]:
 
 def scd2_initial(staging: DataFrame, key: str, load_date, check_unique: bool = True) -> DataFrame:
     """First load: every staging row opened, keys 1..n in natural-key order."""
-    if check_unique:
-        check_unique_key(staging, key)
-    keyed = assign_surrogate_keys(staging, key, start=0)
+    rows = check_unique_key(staging, key) if check_unique else None
+    keyed = assign_surrogate_keys(staging, key, start=0, rows=rows)
     return keyed.withColumns(_scd2_columns(load_date)).select(*staging.columns, *conf.SCD2_COLUMNS)
 
 
@@ -156,7 +155,8 @@ def scd2_merge(history: DataFrame, current: DataFrame, key: str, tracked: Sequen
     opened = (cls.filter(action.isin(conf.INSERT, conf.UPDATE))
                  .select(*[F.col(f"c.{c}").alias(c) for c in base_cols], action,
                          F.when(action == F.lit(conf.INSERT), 0).otherwise(1).alias("_seg")))
-    opened = (assign_surrogate_keys(opened, key, start=max_sk, segment_col="_seg")
+    # New versions come from current rows: their count is bounded by ``rows``.
+    opened = (assign_surrogate_keys(opened, key, start=max_sk, segment_col="_seg", rows=rows)
               .withColumns(_scd2_columns(load_date))
               .select(*out_cols, "action"))
     result = (closed_h.withColumn("action", F.lit(None).cast("string"))

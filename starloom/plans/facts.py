@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from starloom import conf
 from starloom.functions.scalar import revenue, surrogate_hash
-from starloom.operators.cdc import after_watermark, high_watermark, live_rows, max_value
+from starloom.operators.cdc import (after_watermark, high_watermark, live_rows, max_value,
+                                    newest_per_key)
 from starloom.operators.columns import drop_metadata
 from starloom.operators.lookup import dim_lookup
 from starloom.operators.upsert import apply_changes, merge_upsert
@@ -106,8 +107,7 @@ def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFram
 
 def reduce_fact_keys(fact: DataFrame) -> DataFrame:
     """One row per ``sales_key``: the greatest revenue (other columns break
-    ties)."""
-    from starloom.operators.cdc import newest_per_key
+    ties). An aggregate, so it combines map-side before the shuffle."""
     return newest_per_key(fact, ["sales_key"], ["revenue"])
 
 
@@ -123,9 +123,10 @@ def sales_fact_incremental(detail: DataFrame, header: DataFrame, dims: Mapping[s
                            version: str = "current") -> DataFrame:
     """Incremental sales fact: rebuild the orders dated on/after the target's
     max order date and upsert them by ``sales_key``. No target (or an empty
-    one) means a full build."""
+    one) means a full build; either way the result holds one row per
+    ``sales_key`` (the model's unique key)."""
     since = max_value(target, "orderdate") if target is not None else None
     fresh = sales_fact(detail, header, dims, version=version, since=since, strict=strict)
     if target is None or since is None:
-        return fresh
+        return reduce_fact_keys(fresh)
     return merge_upsert(target, fresh, "sales_key", order_cols=["revenue"])

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from starloom.sources.tables import scan
+# The shared test tables are read-only: infer each file's schema once.
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def _flag(key: Column) -> Column:
@@ -26,7 +28,13 @@ class FixtureSource:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return scan(self.spark, f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        schema = _SCHEMAS.get(path)
+        if schema is None:
+            df = self.spark.read.parquet(path)
+            _SCHEMAS[path] = df.schema
+            return df
+        return self.spark.read.schema(schema).parquet(path)
 
     def __call__(self, name: str) -> DataFrame:
         builder = getattr(self, f"_{name}", None)
