@@ -1,11 +1,15 @@
 """Fact tables: watermark landing of order header/detail and the sales fact.
 
-Sales fact plan: detail INNER JOIN header on the order id (both large: a
-shuffle join, AQE splits a hot order), then five left lookups natural key ->
-surrogate key. Lookups run smallest dimension first, so broadcast lookups
-precede any that shuffle the fact. An incremental build filters the header
-on the raw timestamp before the join, so the predicate reaches the parquet
-scan.
+Sales fact plan. Four of the five dimension keys live on the order header,
+so those lookups run on the headers (a few rows per order) before the header
+meets the detail lines; only the product lookup runs on the lines. A large
+dimension (customer, address) therefore shuffles headers, never the fact.
+Within each side, lookups run smallest dimension first, so broadcast lookups
+precede any that shuffle. Then detail INNER JOIN header on the order id (a
+shuffle join of two large inputs; AQE splits a hot order). An incremental
+build filters the header on the raw timestamp before anything else, so the
+predicate reaches the parquet scan and the filtered header side can be
+broadcast to the detail scan.
 """
 
 from __future__ import annotations
@@ -27,15 +31,18 @@ from starloom.operators.upsert import apply_changes, merge_upsert
 DETAIL_KEY = ("salesorderid", "salesorderdetailid")
 HEADER_KEY = ("salesorderid",)
 
-# (dimension, fact-side natural key, dimension natural key, fact column),
+# (dimension, natural key on the header, dimension natural key, fact column),
 # smallest dimension first.
-FACT_LOOKUPS = (
+HEADER_LOOKUPS = (
     ("dim_orderstatus", "order_status", "order_status", "order_status_key"),
     ("dim_creditcard", "creditcardid", "creditcardid", "creditcard_key"),
-    ("dim_product", "productid", "productid", "product_key"),
     ("dim_address", "shiptoaddressid", "addressid", "ship_address_key"),
     ("dim_customer", "customerid", "customerid", "customer_key"),
 )
+# The same for the detail lines.
+DETAIL_LOOKUPS = (
+    ("dim_product", "productid", "productid", "product_key"),
+)
 FACT_COLUMNS = ("sales_key", "product_key", "customer_key", "ship_address_key",
                 "order_status_key", "creditcard_key", "salesorderid", "salesorderdetailid",
                 "unitprice", "orderqty", "orderdate", "revenue")
@@ -96,12 +103,24 @@ def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFram
     row), ``as_of`` (valid on the order date) or ``all`` (every version;
     one fact row per version). ``since`` keeps orders dated on/after it
     (after it when ``strict``)."""
+    h = _header(header, since, strict)
+    for dim_name, left_key, dim_key, out_col in HEADER_LOOKUPS:
+        h = dim_lookup(h, dims[dim_name], left_key, dim_key, out_col, version=version,
+                       at="orderdate", broadcast=broadcast)
+    h = h.select("salesorderid", "orderdate", *[lk[3] for lk in HEADER_LOOKUPS])
     d = detail.select("salesorderid", "salesorderdetailid", "productid", "orderqty", "unitprice",
                       revenue("unitprice", "orderqty").alias("revenue"))
-    fact = d.join(_header(header, since, strict), "salesorderid", "inner")
-    for dim_name, left_key, dim_key, out_col in FACT_LOOKUPS:
-        fact = dim_lookup(fact, dims[dim_name], left_key, dim_key, out_col, version=version,
-                          at="orderdate", broadcast=broadcast)
+    if version == "as_of":
+        # The as-of date of a line is its order's date: lines meet headers first.
+        fact = d.join(h, "salesorderid", "inner")
+        for dim_name, left_key, dim_key, out_col in DETAIL_LOOKUPS:
+            fact = dim_lookup(fact, dims[dim_name], left_key, dim_key, out_col, version=version,
+                              at="orderdate", broadcast=broadcast)
+    else:
+        for dim_name, left_key, dim_key, out_col in DETAIL_LOOKUPS:
+            d = dim_lookup(d, dims[dim_name], left_key, dim_key, out_col, version=version,
+                           broadcast=broadcast)
+        fact = d.join(h, "salesorderid", "inner")
     return fact.select(surrogate_hash(list(DETAIL_KEY)).alias("sales_key"), *FACT_COLUMNS[1:])
 
 

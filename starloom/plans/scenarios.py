@@ -14,6 +14,7 @@ from starloom.operators.keys import assign_surrogate_keys
 from starloom.operators.scd2 import scd2_initial, scd2_merge
 from starloom.plans.dimensions import DIMENSION_BY_NAME
 from starloom.plans.facts import landing_initial, reduce_fact_keys, sales_fact
+from starloom.session import run_concurrently
 from starloom.plans.staging import (stg_dim_address, stg_dim_credit_card, stg_dim_customer,
                                     stg_dim_order_status, stg_dim_product)
 from starloom.sources.tables import SourceReader
@@ -76,13 +77,13 @@ def customer_merged(read: SourceReader, with_action: bool = False, as_of_dates:
 def first_load_dims(read: SourceReader, load_date: str = FIRST_LOAD_DATE) -> dict[str, DataFrame]:
     """Address, card, status and product from a first load; customer after
     the two-batch merge."""
-    return {
-        "dim_address": scd2_initial(stg_dim_address(read), "addressid", load_date),
-        "dim_creditcard": scd2_initial(stg_dim_credit_card(read), "creditcardid", load_date),
-        "dim_orderstatus": scd2_initial(stg_dim_order_status(read), "order_status", load_date),
-        "dim_product": scd2_initial(stg_dim_product(read), "productid", load_date),
-        "dim_customer": customer_merged(read),
-    }
+    return run_concurrently({
+        "dim_address": lambda: scd2_initial(stg_dim_address(read), "addressid", load_date),
+        "dim_creditcard": lambda: scd2_initial(stg_dim_credit_card(read), "creditcardid", load_date),
+        "dim_orderstatus": lambda: scd2_initial(stg_dim_order_status(read), "order_status", load_date),
+        "dim_product": lambda: scd2_initial(stg_dim_product(read), "productid", load_date),
+        "dim_customer": lambda: customer_merged(read),
+    })
 
 
 def landed_detail(read: SourceReader) -> DataFrame:

@@ -4,9 +4,14 @@ materialization for frames that several jobs read."""
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Settings the jobs are written for. AQE re-plans joins from real sizes and
 # splits skewed partitions (hot keys, NULL lookup keys); dynamic partition
 # overwrite keeps partitioned publishes to the partitions written.
@@ -58,3 +63,14 @@ def materialize(df: DataFrame) -> DataFrame:
     rows even if executors are lost (never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def run_concurrently(tasks: dict[str, Callable[[], T]], max_workers: int | None = None) -> dict[str, T]:
+    """Run independent driver-side steps (each may start Spark jobs) from a
+    thread pool, so their jobs share the cluster instead of queueing one after
+    another. Exceptions propagate; results keep the input order."""
+    if len(tasks) <= 1:
+        return {name: fn() for name, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=max_workers or len(tasks)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: fut.result() for name, fut in futures.items()}
