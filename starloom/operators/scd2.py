@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from starloom import conf
 from starloom.functions.scalar import date_literal, row_fingerprint, row_fingerprint_safe
 from starloom.operators.keys import assign_surrogate_keys, max_surrogate_key
-from starloom.session import materialize
+from starloom.session import materialize, run_concurrently
 
 FINGERPRINTS: dict[str, Callable[[Sequence[str]], Column]] = {
     "safe": row_fingerprint_safe,
@@ -130,8 +130,12 @@ def scd2_merge(history: DataFrame, current: DataFrame, key: str, tracked: Sequen
     base_cols = list(current.columns)
     out_cols = base_cols + list(conf.SCD2_COLUMNS)
     history = _conform_history(history, out_cols)
-    rows = check_unique_key(current, key) if check_unique else None
-    max_sk = max_surrogate_key(history)
+    # Two independent small jobs: key check over staging, max key over history.
+    scalars = run_concurrently({
+        "rows": lambda: check_unique_key(current, key) if check_unique else None,
+        "max_sk": lambda: max_surrogate_key(history),
+    })
+    rows, max_sk = scalars["rows"], scalars["max_sk"]
     load = date_literal(load_date)
 
     open_h = open_rows(history)

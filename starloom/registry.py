@@ -14,6 +14,7 @@ from starloom.functions import scalar
 from starloom.operators import cdc, columns, keys, lookup, scd2, upsert
 from starloom.plans import dimensions, facts, scenarios, staging
 from starloom.sources.fixtures import FixtureSource
+from starloom.session import materialize
 from starloom.sources.tables import scan
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,7 +91,7 @@ def watermark_increment(src: FixtureSource) -> DataFrame:
 @query
 def fact_incremental_filter(src: FixtureSource) -> DataFrame:
     """Fact rows dated after max(orderdate) of an older fact (faithful ``>``)."""
-    fact = scenarios.current_fact(src)
+    fact = materialize(scenarios.current_fact(src))
     target = fact.filter(F.col("orderdate") <= F.lit(scenarios.UPSERT_TARGET_END).cast("date"))
     return facts.fact_increment_filter(fact, target, strict=True)
 
@@ -221,7 +222,9 @@ def dim_lookup_as_of(src: FixtureSource) -> DataFrame:
 
 @query
 def merge_upsert(src: FixtureSource) -> DataFrame:
-    fact = scenarios.current_fact(src)
+    # The fact stands in for a stored table: materialize it once, then derive
+    # both the target and the corrected source from it.
+    fact = materialize(scenarios.current_fact(src))
     return upsert.merge_upsert(scenarios.upsert_target(fact), scenarios.upsert_source(fact),
                                "sales_key", order_cols=["revenue"])
 
@@ -432,7 +435,8 @@ def sales_fact(src: FixtureSource) -> DataFrame:
 def sales_fact_incremental(src: FixtureSource) -> DataFrame:
     dims = scenarios.first_load_dims(src)
     detail, header = scenarios.landed_detail(src), scenarios.landed_header(src)
-    target = scenarios.upsert_target(facts.sales_fact(detail, header, dims))
+    # The target is the stored fact of an earlier run: materialized once.
+    target = materialize(scenarios.upsert_target(facts.sales_fact(detail, header, dims)))
     return facts.sales_fact_incremental(detail, header, dims, target)
 
 

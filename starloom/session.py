@@ -46,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory the cluster names in
     ``spark.checkpoint.dir``. Only when it is unset (local tests) is a
     private temporary directory chosen."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session manages its own directory
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
