@@ -51,6 +51,42 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct()
 
 
+VERSIONS = ("current", "as_of", "all")
+_RK, _EFF, _EXP = "_dim_key", "_dim_eff", "_dim_exp"
+
+
+def dim_side(dim: DataFrame, dim_key: str, out_col: str, version: str = "current",
+             sk_col: str = conf.SK_COL) -> DataFrame:
+    """The part of a dimension a lookup needs: natural key, surrogate key
+    (named ``out_col``) and, for ``as_of``, the validity interval."""
+    if version not in VERSIONS:
+        raise ValueError(f"unknown version {version!r}")
+    if version == "current":
+        dim = dim.filter(F.col(conf.CURRENT_COL) == F.lit(True))
+    cols = [F.col(dim_key).alias(_RK), F.col(sk_col).alias(out_col)]
+    if version == "as_of":
+        cols += [F.col(conf.EFFECTIVE_COL).alias(_EFF), F.col(conf.EXPIRATION_COL).alias(_EXP)]
+    return dim.select(*cols)
+
+
+def checked_side(side: DataFrame, broadcast: bool | str = "auto") -> DataFrame:
+    """Mark a lookup side for broadcast when asked and its row count is under
+    ``starloom.join.broadcastMaxRows`` (one counting job); otherwise leave the
+    choice to the planner and AQE."""
+    return _side(side, broadcast)
+
+
+def join_side(df: DataFrame, side: DataFrame, left_key: str, at: str | None = None) -> DataFrame:
+    """Left join of a prepared dimension side (see :func:`dim_side`)."""
+    cond = df[left_key] == side[_RK]
+    if _EFF in side.columns:
+        if at is None:
+            raise ValueError("as_of lookup needs the date column 'at'")
+        at_date = df[at].cast("date")
+        cond = cond & (at_date >= side[_EFF]) & (at_date < side[_EXP])
+    return df.join(side, cond, "left").drop(_RK, _EFF, _EXP)
+
+
 def dim_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str, out_col: str,
                version: str = "current", at: str | None = None,
                sk_col: str = conf.SK_COL, broadcast: bool | str = "auto") -> DataFrame:
@@ -62,19 +98,5 @@ def dim_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str, out_c
         ``[effective_date, expiration_date)`` so empty intervals never match;
       * ``"all"``: every version (one output row per version: fan-out).
     """
-    if version == "current":
-        side = dim.filter(F.col(conf.CURRENT_COL) == F.lit(True))
-        return lookup(df, side, (left_key, dim_key), {out_col: sk_col}, broadcast=broadcast)
-    if version == "all":
-        return lookup(df, dim, (left_key, dim_key), {out_col: sk_col}, broadcast=broadcast)
-    if version != "as_of":
-        raise ValueError(f"unknown version {version!r}")
-    if at is None:
-        raise ValueError("as_of lookup needs the date column 'at'")
-    rk, eff, exp = "_asof_key", "_asof_eff", "_asof_exp"
-    side = dim.select(F.col(dim_key).alias(rk), F.col(sk_col).alias(out_col),
-                      F.col(conf.EFFECTIVE_COL).alias(eff), F.col(conf.EXPIRATION_COL).alias(exp))
-    side = _side(side, broadcast)
-    at_date = df[at].cast("date")
-    cond = (df[left_key] == side[rk]) & (at_date >= side[eff]) & (at_date < side[exp])
-    return df.join(side, cond, "left").drop(rk, eff, exp)
+    side = checked_side(dim_side(dim, dim_key, out_col, version, sk_col), broadcast)
+    return join_side(df, side, left_key, at)

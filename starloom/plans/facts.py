@@ -25,7 +25,8 @@ from starloom.functions.scalar import revenue, surrogate_hash
 from starloom.operators.cdc import (after_watermark, high_watermark, live_rows, max_value,
                                     newest_per_key)
 from starloom.operators.columns import drop_metadata
-from starloom.operators.lookup import dim_lookup
+from starloom.operators.lookup import checked_side, dim_side, join_side
+from starloom.session import run_concurrently
 from starloom.operators.upsert import apply_changes, merge_upsert
 
 DETAIL_KEY = ("salesorderid", "salesorderdetailid")
@@ -96,30 +97,35 @@ def _header(header: DataFrame, since: _dt.date | None, strict: bool) -> DataFram
 
 def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFrame],
                version: str = "current", since: _dt.date | None = None,
-               strict: bool = False, broadcast: bool | str = "auto") -> DataFrame:
+               strict: bool = False, broadcast: bool | str = True) -> DataFrame:
     """Star-schema sales fact from landed detail and header rows.
 
     ``version`` picks the dimension row per natural key: ``current`` (open
     row), ``as_of`` (valid on the order date) or ``all`` (every version;
     one fact row per version). ``since`` keeps orders dated on/after it
-    (after it when ``strict``)."""
+    (after it when ``strict``). ``broadcast=True`` (default) broadcasts each
+    dimension side whose row count is under the configured bound and
+    shuffle-joins the others; ``"auto"`` leaves it to the planner."""
+    # Prepare the five lookup sides; with broadcast=True their size checks
+    # (one count each) run concurrently.
+    sides = run_concurrently({
+        out_col: (lambda n=dim_name, k=dim_key, o=out_col:
+                  checked_side(dim_side(dims[n], k, o, version), broadcast))
+        for dim_name, _, dim_key, out_col in HEADER_LOOKUPS + DETAIL_LOOKUPS})
     h = _header(header, since, strict)
-    for dim_name, left_key, dim_key, out_col in HEADER_LOOKUPS:
-        h = dim_lookup(h, dims[dim_name], left_key, dim_key, out_col, version=version,
-                       at="orderdate", broadcast=broadcast)
+    for _, left_key, _, out_col in HEADER_LOOKUPS:
+        h = join_side(h, sides[out_col], left_key, at="orderdate")
     h = h.select("salesorderid", "orderdate", *[lk[3] for lk in HEADER_LOOKUPS])
     d = detail.select("salesorderid", "salesorderdetailid", "productid", "orderqty", "unitprice",
                       revenue("unitprice", "orderqty").alias("revenue"))
     if version == "as_of":
         # The as-of date of a line is its order's date: lines meet headers first.
         fact = d.join(h, "salesorderid", "inner")
-        for dim_name, left_key, dim_key, out_col in DETAIL_LOOKUPS:
-            fact = dim_lookup(fact, dims[dim_name], left_key, dim_key, out_col, version=version,
-                              at="orderdate", broadcast=broadcast)
+        for _, left_key, _, out_col in DETAIL_LOOKUPS:
+            fact = join_side(fact, sides[out_col], left_key, at="orderdate")
     else:
-        for dim_name, left_key, dim_key, out_col in DETAIL_LOOKUPS:
-            d = dim_lookup(d, dims[dim_name], left_key, dim_key, out_col, version=version,
-                           broadcast=broadcast)
+        for _, left_key, _, out_col in DETAIL_LOOKUPS:
+            d = join_side(d, sides[out_col], left_key)
         fact = d.join(h, "salesorderid", "inner")
     return fact.select(surrogate_hash(list(DETAIL_KEY)).alias("sales_key"), *FACT_COLUMNS[1:])
 
