@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 COMMITS = "_commits"
@@ -34,15 +34,24 @@ def snapshot_path(root: str, run_id: str) -> str:
 
 
 def publish_snapshot(df: DataFrame, root: str, run_id: str | None = None,
-                     partition_by: Sequence[str] = (), fmt: str = "parquet") -> str:
+                     partition_by: Sequence[str] = (), fmt: str = "parquet",
+                     metrics: dict | None = None) -> str:
     """Write ``df`` as a new snapshot of the table at ``root`` and commit it.
-    Returns the snapshot path."""
+    Returns the snapshot path. With ``metrics`` (a dict), the written row
+    count is observed during the write itself (no extra job) and stored
+    under ``metrics["rows"]``."""
     run_id = run_id or new_run_id()
     path = snapshot_path(root, run_id)
+    observation = None
+    if metrics is not None:
+        observation = Observation(f"publish-{run_id}-{uuid.uuid4().hex[:6]}")
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     writer = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
+    if observation is not None:
+        metrics.update(observation.get)
     spark = df.sparkSession
     (spark.createDataFrame([(run_id,)], "run_id string").coalesce(1)
           .write.mode("append").json(f"{root.rstrip('/')}/{COMMITS}"))
