@@ -119,3 +119,48 @@ def create_or_replace(df: DataFrame, table: str, provider: str | None = None,
         if provider:
             mode = mode.format(provider)
         mode.saveAsTable(table)
+
+
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str | Sequence[str],
+                      part_col: str, order_cols: Sequence[str] | None = None) -> list:
+    """Keyed upsert into a partitioned parquet table that rewrites only the
+    partitions it touches (dynamic partition overwrite).
+
+    The rewritten partitions are those the new rows belong to plus those
+    holding an older version of one of their keys (found by a semi join over
+    the target's key and partition columns only). Their new content is
+    ``old rows whose key is not in source`` + ``source``; the scan of the old
+    rows is pruned to those partitions. Old files are replaced when the job
+    commits, after every task has read them, so reading and rewriting the same
+    partitions is safe. A partition the upsert would leave empty cannot be
+    replaced this way and raises instead of keeping stale rows.
+
+    Returns the partition values written (all of them on a first load)."""
+    from starloom.operators.cdc import newest_per_key
+    from starloom.sources.tables import path_has_data
+
+    keys = [key] if isinstance(key, str) else list(key)
+    src = newest_per_key(source, keys, order_cols) if order_cols else source
+    writer_opts = {"partitionOverwriteMode": "dynamic"}
+    if not path_has_data(spark, path):
+        src.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
+        return [r[0] for r in spark.read.parquet(path).select(part_col).distinct().collect()]
+    target = spark.read.parquet(path)
+    src = src.select(*target.columns)
+    src_keys = src.select(*keys)
+    homes = target.select(*keys, part_col).join(src_keys, keys, "left_semi").select(part_col)
+    # One row per partition: bounded by the table's partition count.
+    affected = [r[0] for r in src.select(part_col).union(homes).distinct().collect()]
+    if not affected:
+        return []
+    in_scope = F.col(part_col).isin([v for v in affected if v is not None])
+    if any(v is None for v in affected):
+        in_scope = in_scope | F.col(part_col).isNull()
+    rewritten = target.filter(in_scope).join(src_keys, keys, "left_anti").unionByName(src)
+    written = {r[0] for r in rewritten.select(part_col).distinct().collect()}
+    emptied = [v for v in affected if v not in written]
+    if emptied:
+        raise ValueError(f"upsert would empty partitions {emptied} of {path}; "
+                         "rebuild the table instead")
+    rewritten.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
+    return affected

@@ -65,6 +65,28 @@ def test_append_and_truncate_load(spark, tmp_path):
     assert [r.x for r in spark.read.parquet(path).collect()] == [3]
 
 
+def test_upsert_partitions_rewrites_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "f")
+    base = spark.createDataFrame([(1, "a", "p1"), (2, "b", "p1"), (3, "c", "p2"), (4, "d", "p3")],
+                                 "k int, v string, p string")
+    assert sorted(publish.upsert_partitions(spark, path, base, "k", "p")) == ["p1", "p2", "p3"]
+    p3_files = {r[0] for r in spark.read.parquet(path).filter("p = 'p3'")
+                .select(F.input_file_name()).collect()}
+    # key 1 changes, key 3 moves from p2 to p1, key 5 is new in p2
+    src = spark.createDataFrame([(1, "a2", "p1"), (3, "c2", "p1"), (5, "e", "p2")],
+                                "k int, v string, p string")
+    assert sorted(publish.upsert_partitions(spark, path, src, "k", "p")) == ["p1", "p2"]
+    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "a2", "p1"), (2, "b", "p1"), (3, "c2", "p1"), (4, "d", "p3"), (5, "e", "p2")]
+    assert {r[0] for r in spark.read.parquet(path).filter("p = 'p3'")
+            .select(F.input_file_name()).collect()} == p3_files
+    # moving the only row of p3 away would leave p3 empty: refused, table unchanged
+    with pytest.raises(ValueError, match="empty partitions"):
+        publish.upsert_partitions(spark, path, spark.createDataFrame([(4, "d", "p1")],
+                                  "k int, v string, p string"), "k", "p")
+    assert spark.read.parquet(path).count() == 5
+
+
 def test_create_or_replace_falls_back_for_file_tables(spark):
     publish.create_or_replace(spark.createDataFrame([(1,)], "x int"), "stg_probe", "parquet",
                               {"format-version": "2"})
@@ -127,18 +149,26 @@ def test_two_day_run_then_revenue(spark, tmp_path):
     root = str(tmp_path / "wh")
     day1 = FixtureSource(spark, SF_SMALL)
     r1 = daily_run.run_daily(spark, day1, root, "2024-01-01", run_id="20240101")
-    fact1 = publish.read_current(spark, f"{root}/sales_fact")
+    fact1 = spark.read.parquet(f"{root}/sales_fact")
     assert fact1.count() == 5227          # distinct sales keys at sf0.001
+    old_month = fact1.agg(F.min("order_month")).first()[0]
+    files_before = {r[0] for r in fact1.filter(F.col("order_month") == old_month)
+                    .select(F.input_file_name()).distinct().collect()}
     # row counts observed while writing
-    assert r1.rows["sales_fact"] == 5227 and r1.rows["stg_dim_customer"] == 130
+    assert r1.rows["stg_dim_customer"] == r1.rows["dim_customer"] == 130
     r2 = daily_run.run_daily(spark, ShiftedSource(spark, SF_SMALL), root, "2024-01-02",
                              run_id="20240102")
     assert set(r2.published) == set(r1.published)
     dim = publish.read_current(spark, f"{root}/dim_customer")
     assert dim.filter("current_flag").groupBy("customerid").count().filter("count > 1").count() == 0
     assert dim.filter("not current_flag and expiration_date = date'2024-01-02'").count() > 0
-    fact2 = publish.read_current(spark, f"{root}/sales_fact")
+    fact2 = spark.read.parquet(f"{root}/sales_fact")
     assert fact2.count() == fact2.select("sales_key").distinct().count() == 5227
+    # only the recent months were rewritten; an old month keeps its files
+    assert r2.rewritten_partitions and old_month not in r2.rewritten_partitions
+    files_after = {r[0] for r in fact2.filter(F.col("order_month") == old_month)
+                   .select(F.input_file_name()).distinct().collect()}
+    assert files_after == files_before
     dims = {n: publish.read_current(spark, f"{root}/{n}") for n in ("dim_product", "dim_address")}
     rev = daily_run.revenue_by_dimension(fact2, dims["dim_product"], dims["dim_address"])
     total = fact2.agg(F.sum("revenue")).first()[0]
