@@ -64,6 +64,8 @@ BROADCAST_MAX_ROWS = ("starloom.join.broadcastMaxRows", 5_000_000)
 # Inputs above this many rows are materialized (reliable checkpoint) before
 # being read by more than one job.
 MATERIALIZE_MIN_ROWS = ("starloom.materialize.minRows", 5_000_000)
+# Landed order tables are partitioned by blocks of this many order ids.
+ORDER_BLOCK_SIZE = ("starloom.landing.orderBlockSize", 1_000_000)
 
 
 def tunable(spark: SparkSession, setting: tuple[str, int | float]) -> int | float:

@@ -74,6 +74,19 @@ def landing_incremental(source: DataFrame, target: DataFrame, keys: Sequence[str
     return apply_changes(target, increment, list(keys), [ts_col], flag)
 
 
+def landed_versions(changes: DataFrame, keys: Sequence[str],
+                    ts_col: str = "modifieddate") -> DataFrame:
+    """Newest version of every key in a change set, delete flag kept: the
+    record a versioned landed table stores (deletes replace, never remove)."""
+    return newest_per_key(changes, list(keys), [ts_col])
+
+
+def live_view(landed: DataFrame, flag: str = conf.DELETED_FLAG,
+              extra: Sequence[str] = ()) -> DataFrame:
+    """Live rows of a versioned landed table, metadata dropped."""
+    return drop_metadata(live_rows(landed, flag)).drop(*extra)
+
+
 def next_watermark(increment: DataFrame, previous, ts_col: str = "modifieddate"):
     """Watermark to store after a load: max over ALL increment rows (deleted
     ones too), never moving backwards, unchanged for an empty increment."""

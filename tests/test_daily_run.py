@@ -148,7 +148,17 @@ class ShiftedSource(FixtureSource):
 def test_two_day_run_then_revenue(spark, tmp_path):
     root = str(tmp_path / "wh")
     day1 = FixtureSource(spark, SF_SMALL)
-    r1 = daily_run.run_daily(spark, day1, root, "2024-01-01", run_id="20240101")
+    spark.conf.set("starloom.landing.orderBlockSize", "1000")
+    try:
+        r1 = daily_run.run_daily(spark, day1, root, "2024-01-01", run_id="20240101")
+    finally:
+        spark.conf.unset("starloom.landing.orderBlockSize")
+    landed = spark.read.parquet(f"{root}/landing_salesorderdetail")
+    blocks = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet") \
+        .select(F.floor(F.col("l_orderkey") / 1000)).distinct().count()
+    assert landed.select("order_block").distinct().count() == blocks > 1
+    assert landed.filter("_deleted = false").count() == 5227  # live lines, one per key
+    assert landed.filter("_deleted is distinct from false").count() > 0  # deletes kept as versions
     fact1 = spark.read.parquet(f"{root}/sales_fact")
     assert fact1.count() == 5227          # distinct sales keys at sf0.001
     old_month = fact1.agg(F.min("order_month")).first()[0]
