@@ -56,14 +56,15 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     """One row per key: the row with the greatest ``order_cols``; remaining
     columns break ties so the pick is deterministic.
 
-    Written as an aggregate (``max_by``) rather than a ranking window so it
-    combines map-side: a key holding a large share of the rows is reduced in
-    every task before the shuffle instead of being sorted in one task."""
+    Written as an aggregate (``max`` of a row struct) rather than a ranking
+    window so it combines map-side: a key holding a large share of the rows is
+    reduced in every task before the shuffle instead of being sorted in one
+    task."""
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
-    order = F.struct(*[F.col(c) for c in list(order_cols) + rest])
-    payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    picked = (df.groupBy(*keys)
-                .agg(F.max_by(payload, order).alias("_row")))
+    # One struct, ordering columns first: its max is the wanted row, and the
+    # aggregation buffer (and the shuffle) carries each column once.
+    row = F.struct(*[F.col(c) for c in list(order_cols) + rest])
+    picked = df.groupBy(*keys).agg(F.max(row).alias("_row"))
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
