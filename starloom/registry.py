@@ -225,8 +225,9 @@ def merge_upsert(src: FixtureSource) -> DataFrame:
     # The fact stands in for a stored table: materialize it once, then derive
     # both the target and the corrected source from it.
     fact = materialize(scenarios.current_fact(src))
+    # Both sides are already one row per key (reduced by revenue).
     return upsert.merge_upsert(scenarios.upsert_target(fact), scenarios.upsert_source(fact),
-                               "sales_key", order_cols=["revenue"])
+                               "sales_key")
 
 
 # -- 2.4 aggregation -------------------------------------------------------------
