@@ -151,3 +151,56 @@ def test_rerunning_the_same_batch_changes_nothing(spark):
     once = spark.createDataFrame(once.collect(), once.schema)
     twice = scd2.scd2_merge(once, cur, "k", TRACKED, "2024-02-01")
     assert merged_rows(once) == merged_rows(twice)
+
+
+def test_scale_paths_give_the_same_merge(spark, small_keys):
+    """Parallel range numbering and a checkpointed classification (the paths
+    taken on large inputs) produce exactly the default merge."""
+    from starloom.plans import scenarios
+    from starloom.sources.fixtures import FixtureSource
+    from conftest import SF_SMALL
+    src = FixtureSource(spark, SF_SMALL)
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=str)
+
+    spark.conf.set("starloom.materialize.minRows", "0")
+    try:
+        scaled = rows(scenarios.customer_merged(src))
+    finally:
+        spark.conf.unset("starloom.materialize.minRows")
+    spark.conf.unset("starloom.keys.singleTaskMaxRows")
+    assert scaled == rows(scenarios.customer_merged(src))
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+_keys = st.lists(st.integers(0, 12), unique=True, max_size=8)
+_vals = st.sampled_from(["x", "y", None])
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(hist_keys=_keys, cur_keys=_keys, hv=st.lists(_vals, min_size=8, max_size=8),
+       cv=st.lists(_vals, min_size=8, max_size=8), closed=st.lists(st.booleans(), min_size=8, max_size=8))
+def test_merge_properties_random(spark, hist_keys, cur_keys, hv, cv, closed):
+    rows = [(k, hv[i], None, i + 1, D1, OPEN if not closed[i] else dt.date(2024, 1, 10), not closed[i])
+            for i, k in enumerate(hist_keys)]
+    hist = history(spark, rows)
+    cur = spark.createDataFrame([(k, cv[i], None) for i, k in enumerate(cur_keys)], SCHEMA)
+    out = scd2.scd2_merge(hist, cur, "k", TRACKED, "2024-02-01", with_action=True).collect()
+    open_rows = [r for r in out if r.current_flag]
+    # one open row per key, exactly the current rows
+    assert sorted((r.k, r.a) for r in open_rows) == sorted((k, cv[i]) for i, k in enumerate(cur_keys))
+    # keys unique, never NULL, new ones dense after the history's max
+    sks = [r.sk_id for r in out]
+    assert None not in sks and len(set(sks)) == len(sks)
+    new = sorted(r.sk_id for r in out if r.action in ("INSERT", "UPDATE") and r.current_flag)
+    start = max([i + 1 for i in range(len(hist_keys))], default=0)
+    assert new == list(range(start + 1, start + 1 + len(new)))
+    # row-count law
+    n = {a: sum(1 for r in out if r.action == a) for a in ("NOCHANGE", "INSERT", "DELETE", "UPDATE")}
+    assert len(out) == sum(closed[:len(hist_keys)]) + n["NOCHANGE"] + n["INSERT"] + n["DELETE"] + n["UPDATE"]
+    # merging the same batch again changes nothing
+    again = scd2.scd2_merge(spark.createDataFrame([tuple(r)[:-1] for r in out], hist.schema), cur, "k",
+                            TRACKED, "2024-02-01").collect()
+    assert sorted(map(tuple, again), key=str) == sorted((tuple(r)[:-1] for r in out), key=str)
