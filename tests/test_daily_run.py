@@ -87,6 +87,14 @@ def test_upsert_partitions_rewrites_only_touched_partitions(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_merge_into_table_falls_back_to_a_rewrite(spark):
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.mode("overwrite") \
+        .saveAsTable("fact_probe")
+    src = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
+    assert publish.merge_into_table(spark, "fact_probe", src, "k") == "rewrite"
+    assert sorted(map(tuple, spark.table("fact_probe").collect())) == [(1, "a"), (2, "B"), (3, "c")]
+
+
 def test_create_or_replace_falls_back_for_file_tables(spark):
     publish.create_or_replace(spark.createDataFrame([(1,)], "x int"), "stg_probe", "parquet",
                               {"format-version": "2"})
