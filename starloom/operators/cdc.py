@@ -67,9 +67,3 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     picked = df.groupBy(*keys).agg(F.max(row).alias("_row"))
     return picked.select(*keys, "_row.*").select(*df.columns)
 
-
-def split_by_flag(df: DataFrame, flag: str = conf.DELETED_FLAG) -> tuple[DataFrame, DataFrame]:
-    """(live, not live) where not live is flag true or NULL."""
-    live = live_rows(df, flag)
-    gone = df.filter(~F.coalesce(F.col(flag) == F.lit(False), F.lit(False)))
-    return live, gone

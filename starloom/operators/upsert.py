@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starloom import conf
 from starloom.operators.cdc import live_rows, newest_per_key
@@ -43,12 +42,3 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str | Sequence[str
     arriving = live_rows(newest, flag).select(*target.columns)
     return untouched.unionByName(arriving)
 
-
-def change_counts(target: DataFrame, source: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """How many source keys update an existing target key and how many are
-    new (one aggregation over a left join of the source keys)."""
-    keys = _keys(key)
-    tk = target.select(*keys).distinct().withColumn("_hit", F.lit(True))
-    joined = source.select(*keys).distinct().join(tk, keys, "left")
-    return joined.agg(F.count(F.when(F.col("_hit"), 1)).alias("updated"),
-                      F.count(F.when(F.col("_hit").isNull(), 1)).alias("inserted"))
