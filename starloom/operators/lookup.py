@@ -21,17 +21,19 @@ from pyspark.sql import functions as F
 from starloom import conf
 
 
-def _side(dim: DataFrame, broadcast: bool | str) -> DataFrame:
+def _side(dim: DataFrame, broadcast: bool | str, known_rows: int | None = None) -> DataFrame:
     if broadcast is True:
         limit = conf.tunable(dim.sparkSession, conf.BROADCAST_MAX_ROWS)
-        if dim.count() <= limit:
+        rows = dim.count() if known_rows is None else known_rows
+        if rows <= limit:
             return F.broadcast(dim)
     return dim
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | tuple[str, str],
            cols: Mapping[str, str] | Sequence[str], how: str = "left",
-           broadcast: bool | str = "auto", null_safe: bool = False) -> DataFrame:
+           broadcast: bool | str = "auto", null_safe: bool = False,
+           known_rows: int | None = None) -> DataFrame:
     """Add ``cols`` of ``dim`` (``{output: dim_column}`` or names) to ``df``
     where ``df[left] == dim[right]``. The dimension is projected to the key
     and the requested columns before the join (column pruning reaches the
@@ -40,7 +42,7 @@ def lookup(df: DataFrame, dim: DataFrame, on: str | tuple[str, str],
     mapping = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     rk = f"_lookup_{right}"
     side = dim.select(F.col(right).alias(rk), *[F.col(src).alias(out) for out, src in mapping.items()])
-    side = _side(side, broadcast)
+    side = _side(side, broadcast, known_rows)
     cond = df[left].eqNullSafe(side[rk]) if null_safe else df[left] == side[rk]
     return df.join(side, cond, how).drop(rk)
 
@@ -69,11 +71,13 @@ def dim_side(dim: DataFrame, dim_key: str, out_col: str, version: str = "current
     return dim.select(*cols)
 
 
-def checked_side(side: DataFrame, broadcast: bool | str = "auto") -> DataFrame:
+def checked_side(side: DataFrame, broadcast: bool | str = "auto",
+                 known_rows: int | None = None) -> DataFrame:
     """Mark a lookup side for broadcast when asked and its row count is under
-    ``starloom.join.broadcastMaxRows`` (one counting job); otherwise leave the
-    choice to the planner and AQE."""
-    return _side(side, broadcast)
+    ``starloom.join.broadcastMaxRows``; otherwise leave the choice to the
+    planner and AQE. ``known_rows`` (an upper bound the caller already has,
+    e.g. the dimension's row count) saves the counting job."""
+    return _side(side, broadcast, known_rows)
 
 
 def join_side(df: DataFrame, side: DataFrame, left_key: str, at: str | None = None) -> DataFrame:

@@ -81,9 +81,13 @@ def _scd2_columns(load_date) -> dict[str, Column]:
     }
 
 
-def scd2_initial(staging: DataFrame, key: str, load_date, check_unique: bool = True) -> DataFrame:
-    """First load: every staging row opened, keys 1..n in natural-key order."""
+def scd2_initial(staging: DataFrame, key: str, load_date, check_unique: bool = True,
+                 stats: dict | None = None) -> DataFrame:
+    """First load: every staging row opened, keys 1..n in natural-key order.
+    ``stats`` (a dict) receives the row count found by the key check."""
     rows = check_unique_key(staging, key) if check_unique else None
+    if stats is not None and rows is not None:
+        stats["rows"] = rows
     keyed = assign_surrogate_keys(staging, key, start=0, rows=rows)
     return keyed.withColumns(_scd2_columns(load_date)).select(*staging.columns, *conf.SCD2_COLUMNS)
 

@@ -110,7 +110,8 @@ def _header(header: DataFrame, since: _dt.date | None, strict: bool) -> DataFram
 
 def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFrame],
                version: str = "current", since: _dt.date | None = None,
-               strict: bool = False, broadcast: bool | str = True) -> DataFrame:
+               strict: bool = False, broadcast: bool | str = True,
+               dim_rows: Mapping[str, int] | None = None) -> DataFrame:
     """Star-schema sales fact from landed detail and header rows.
 
     ``version`` picks the dimension row per natural key: ``current`` (open
@@ -118,12 +119,15 @@ def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFram
     one fact row per version). ``since`` keeps orders dated on/after it
     (after it when ``strict``). ``broadcast=True`` (default) broadcasts each
     dimension side whose row count is under the configured bound and
-    shuffle-joins the others; ``"auto"`` leaves it to the planner."""
+    shuffle-joins the others; ``"auto"`` leaves it to the planner.
+    ``dim_rows`` gives known row counts of dimensions (upper bounds of their
+    lookup sides), so those need no counting job."""
     # Prepare the five lookup sides; with broadcast=True their size checks
     # (one count each) run concurrently.
     sides = run_concurrently({
         out_col: (lambda n=dim_name, k=dim_key, o=out_col:
-                  checked_side(dim_side(dims[n], k, o, version), broadcast))
+                  checked_side(dim_side(dims[n], k, o, version), broadcast,
+                               (dim_rows or {}).get(n)))
         for dim_name, _, dim_key, out_col in HEADER_LOOKUPS + DETAIL_LOOKUPS})
     h = _header(header, since, strict)
     for _, left_key, _, out_col in HEADER_LOOKUPS:
@@ -158,13 +162,15 @@ def fact_increment_filter(fact: DataFrame, target: DataFrame, strict: bool = Tru
 
 def sales_fact_incremental(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFrame],
                            target: DataFrame | None, strict: bool = False,
-                           version: str = "current") -> DataFrame:
+                           version: str = "current",
+                           dim_rows: Mapping[str, int] | None = None) -> DataFrame:
     """Incremental sales fact: rebuild the orders dated on/after the target's
     max order date and upsert them by ``sales_key``. No target (or an empty
     one) means a full build; either way the result holds one row per
     ``sales_key`` (the model's unique key)."""
     since = max_value(target, "orderdate") if target is not None else None
-    fresh = sales_fact(detail, header, dims, version=version, since=since, strict=strict)
+    fresh = sales_fact(detail, header, dims, version=version, since=since, strict=strict,
+                       dim_rows=dim_rows)
     if target is None or since is None:
         return reduce_fact_keys(fresh)
     return merge_upsert(target, fresh, "sales_key", order_cols=["revenue"])

@@ -74,16 +74,27 @@ def customer_merged(read: SourceReader, with_action: bool = False, as_of_dates:
                       fingerprint=fingerprint, with_action=with_action)
 
 
-def first_load_dims(read: SourceReader, load_date: str = FIRST_LOAD_DATE) -> dict[str, DataFrame]:
+def first_load_dims(read: SourceReader, load_date: str = FIRST_LOAD_DATE,
+                    rows: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Address, card, status and product from a first load; customer after
-    the two-batch merge."""
-    return run_concurrently({
-        "dim_address": lambda: scd2_initial(stg_dim_address(read), "addressid", load_date),
-        "dim_creditcard": lambda: scd2_initial(stg_dim_credit_card(read), "creditcardid", load_date),
-        "dim_orderstatus": lambda: scd2_initial(stg_dim_order_status(read), "order_status", load_date),
-        "dim_product": lambda: scd2_initial(stg_dim_product(read), "productid", load_date),
+    the two-batch merge. ``rows`` (a dict) receives the row counts the first
+    loads found while checking their keys."""
+    stats: dict[str, dict] = {n: {} for n in ("dim_address", "dim_creditcard",
+                                              "dim_orderstatus", "dim_product")}
+    dims = run_concurrently({
+        "dim_address": lambda: scd2_initial(stg_dim_address(read), "addressid", load_date,
+                                            stats=stats["dim_address"]),
+        "dim_creditcard": lambda: scd2_initial(stg_dim_credit_card(read), "creditcardid",
+                                               load_date, stats=stats["dim_creditcard"]),
+        "dim_orderstatus": lambda: scd2_initial(stg_dim_order_status(read), "order_status",
+                                                load_date, stats=stats["dim_orderstatus"]),
+        "dim_product": lambda: scd2_initial(stg_dim_product(read), "productid", load_date,
+                                            stats=stats["dim_product"]),
         "dim_customer": lambda: customer_merged(read),
     })
+    if rows is not None:
+        rows.update({n: s["rows"] for n, s in stats.items() if "rows" in s})
+    return dims
 
 
 def landed_detail(read: SourceReader) -> DataFrame:
@@ -95,9 +106,13 @@ def landed_header(read: SourceReader) -> DataFrame:
 
 
 def current_fact(read: SourceReader, version: str = "current",
-                 dims: dict[str, DataFrame] | None = None) -> DataFrame:
-    return sales_fact(landed_detail(read), landed_header(read), dims or first_load_dims(read),
-                      version=version)
+                 dims: dict[str, DataFrame] | None = None,
+                 dim_rows: dict[str, int] | None = None) -> DataFrame:
+    if dims is None:
+        dim_rows = {}
+        dims = first_load_dims(read, rows=dim_rows)
+    return sales_fact(landed_detail(read), landed_header(read), dims, version=version,
+                      dim_rows=dim_rows)
 
 
 def upsert_target(fact: DataFrame) -> DataFrame:

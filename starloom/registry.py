@@ -434,17 +434,20 @@ def sales_fact(src: FixtureSource) -> DataFrame:
 
 @query
 def sales_fact_incremental(src: FixtureSource) -> DataFrame:
-    dims = scenarios.first_load_dims(src)
+    rows: dict[str, int] = {}
+    dims = scenarios.first_load_dims(src, rows=rows)
     detail, header = scenarios.landed_detail(src), scenarios.landed_header(src)
     # The target is the stored fact of an earlier run: materialized once.
-    target = materialize(scenarios.upsert_target(facts.sales_fact(detail, header, dims)))
-    return facts.sales_fact_incremental(detail, header, dims, target)
+    target = materialize(scenarios.upsert_target(
+        facts.sales_fact(detail, header, dims, dim_rows=rows)))
+    return facts.sales_fact_incremental(detail, header, dims, target, dim_rows=rows)
 
 
 @query
 def revenue_by_dimension(src: FixtureSource) -> DataFrame:
     """Consumer check on the built star (not an operator of its own)."""
     from starloom.plans.daily_run import revenue_by_dimension as rbd
-    dims = scenarios.first_load_dims(src)
-    fact = scenarios.current_fact(src, dims=dims)
-    return rbd(fact, dims["dim_product"], dims["dim_address"])
+    rows: dict[str, int] = {}
+    dims = scenarios.first_load_dims(src, rows=rows)
+    fact = scenarios.current_fact(src, dims=dims, dim_rows=rows)
+    return rbd(fact, dims["dim_product"], dims["dim_address"], dim_rows=rows)
