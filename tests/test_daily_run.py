@@ -196,3 +196,21 @@ def test_two_day_run_then_revenue(spark, tmp_path):
                         run_id="20240103")
     dim3 = publish.read_current(spark, f"{root}/dim_customer")
     assert sorted(map(tuple, dim3.collect()), key=str) == sorted(map(tuple, dim.collect()), key=str)
+
+
+@pytest.mark.slow
+def test_command_line_run_over_dataset_sources(spark, tmp_path, capsys):
+    """The operational tables stored as parquet datasets under one root, the
+    daily load run through the command line."""
+    import json
+    from starloom import cli
+    from starloom.sources.fixtures import SOURCE_NAMES
+    src_root, target = tmp_path / "oltp", tmp_path / "wh"
+    fixtures = FixtureSource(spark, SF_SMALL)
+    for name in SOURCE_NAMES:
+        fixtures(name).write.parquet(str(src_root / name))
+    assert cli.main(["--source-root", str(src_root), "--target", str(target),
+                     "--load-date", "2024-01-01", "--run-id", "r1"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["run_id"] == "r1" and out["rows"]["dim_customer"] == 130
+    assert spark.read.parquet(str(target / "sales_fact")).count() == 5227
