@@ -1,6 +1,6 @@
 """Command line: run the daily warehouse load as a Spark job.
 
-    spark-submit --py-files starloom.zip -m starloom.cli \\
+    spark-submit --py-files starloom.zip starloom/cli.py \\
         --source-database oltp --target s3://warehouse/sales --load-date 2024-02-01
 
 or, with the source tables stored as datasets under one root:
