@@ -30,8 +30,9 @@ from starloom.sources.tables import table_reader
 def _session() -> SparkSession:
     builder = SparkSession.builder.appName("starloom-daily")
     spark = builder.getOrCreate()
+    # Only SQL settings can change at run time; core ones come from submission.
     for key, value in RECOMMENDED_CONF.items():
-        if spark.conf.get(key, None) is None and not key.startswith("spark.ui."):
+        if key.startswith("spark.sql.") and spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark

@@ -23,6 +23,8 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove reliable checkpoints once their DataFrames are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
