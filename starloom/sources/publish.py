@@ -122,7 +122,8 @@ def create_or_replace(df: DataFrame, table: str, provider: str | None = None,
 
 
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str | Sequence[str],
-                      part_col: str, order_cols: Sequence[str] | None = None) -> list:
+                      part_col: str, order_cols: Sequence[str] | None = None,
+                      remove_keys: DataFrame | None = None) -> list:
     """Keyed upsert into a partitioned parquet table that rewrites only the
     partitions it touches (dynamic partition overwrite).
 
@@ -132,8 +133,12 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     ``old rows whose key is not in source`` + ``source``; the scan of the old
     rows is pruned to those partitions. Old files are replaced when the job
     commits, after every task has read them, so reading and rewriting the same
-    partitions is safe. A partition the upsert would leave empty cannot be
-    replaced this way and raises instead of keeping stale rows.
+    partitions is safe. A partition the upsert leaves without rows (its keys
+    moved or were removed) is overwritten with an empty dataset afterwards.
+
+    ``remove_keys`` (key columns only) removes the target rows of those keys
+    even where ``source`` brings no replacement (deletions); ``source`` may
+    then hold several rows per key (e.g. replacing all lines of an order).
 
     Returns the partition values written (all of them on a first load)."""
     from starloom.operators.cdc import newest_per_key
@@ -148,6 +153,8 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     target = spark.read.parquet(path)
     src = src.select(*target.columns)
     src_keys = src.select(*keys)
+    if remove_keys is not None:
+        src_keys = src_keys.unionByName(remove_keys.select(*keys)).distinct()
     homes = target.select(*keys, part_col).join(src_keys, keys, "left_semi").select(part_col)
     # One row per partition: bounded by the table's partition count.
     affected = [r[0] for r in src.select(part_col).union(homes).distinct().collect()]
@@ -159,10 +166,22 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     rewritten = target.filter(in_scope).join(src_keys, keys, "left_anti").unionByName(src)
     written = {r[0] for r in rewritten.select(part_col).distinct().collect()}
     emptied = [v for v in affected if v not in written]
+    # A dynamic overwrite only replaces partitions that receive rows. Each
+    # partition left without rows is found by one of its own files (so the
+    # directory name is Spark's) and overwritten with no rows afterwards.
+    emptied_dirs = []
     if emptied:
-        raise ValueError(f"upsert would empty partitions {emptied} of {path}; "
-                         "rebuild the table instead")
-    rewritten.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
+        in_emptied = F.col(part_col).isin([v for v in emptied if v is not None])
+        if any(v is None for v in emptied):
+            in_emptied = in_emptied | F.col(part_col).isNull()
+        files = target.filter(in_emptied).select(part_col, F.input_file_name().alias("f"))
+        emptied_dirs = [r["f"].rsplit("/", 1)[0] for r in
+                        files.groupBy(part_col).agg(F.min("f").alias("f")).collect()]
+    if written:
+        rewritten.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
+    file_schema = target.drop(part_col).schema
+    for directory in emptied_dirs:
+        spark.createDataFrame([], file_schema).write.mode("overwrite").parquet(directory)
     return affected
 
 

@@ -80,11 +80,12 @@ def test_upsert_partitions_rewrites_only_touched_partitions(spark, tmp_path):
     assert got == [(1, "a2", "p1"), (2, "b", "p1"), (3, "c2", "p1"), (4, "d", "p3"), (5, "e", "p2")]
     assert {r[0] for r in spark.read.parquet(path).filter("p = 'p3'")
             .select(F.input_file_name()).collect()} == p3_files
-    # moving the only row of p3 away would leave p3 empty: refused, table unchanged
-    with pytest.raises(ValueError, match="empty partitions"):
-        publish.upsert_partitions(spark, path, spark.createDataFrame([(4, "d", "p1")],
-                                  "k int, v string, p string"), "k", "p")
-    assert spark.read.parquet(path).count() == 5
+    # moving the only row of p3 away leaves p3 empty; removing key 5 empties p2
+    publish.upsert_partitions(spark, path, spark.createDataFrame([(4, "d", "p1")],
+                              "k int, v string, p string"), "k", "p",
+                              remove_keys=spark.createDataFrame([(5,)], "k int"))
+    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "a2", "p1"), (2, "b", "p1"), (3, "c2", "p1"), (4, "d", "p1")]
 
 
 def test_merge_into_table_falls_back_to_a_rewrite(spark):
@@ -151,6 +152,22 @@ class ShiftedSource(FixtureSource):
         return df.withColumn("_deleted", F.when(F.col("customerid") % 11 == 0, F.lit(True))
                              .otherwise(F.col("_deleted")))
 
+    # Late changes to old orders, after the first day's watermark: lines of
+    # orders % 7 = 1 are deleted, lines of orders % 11 = 2 get quantity 99.
+    def _sales_salesorderdetail(self):
+        df = super()._sales_salesorderdetail()
+        late = F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")
+        live = F.col("_deleted") == F.lit(False)
+        df = df.withColumns({"_del": (F.col("salesorderid") % 7 == 1) & live,
+                             "_chg": (F.col("salesorderid") % 11 == 2) & live
+                             & (F.col("salesorderid") % 7 != 1)})
+        return (df.withColumns({
+                    "orderqty": F.when(F.col("_chg"), F.lit(99)).otherwise(F.col("orderqty")),
+                    "_deleted": F.when(F.col("_del"), F.lit(True)).otherwise(F.col("_deleted")),
+                    "modifieddate": F.when(F.col("_del") | F.col("_chg"), late)
+                                     .otherwise(F.col("modifieddate"))})
+                  .drop("_del", "_chg"))
+
 
 @pytest.mark.slow
 def test_two_day_run_then_revenue(spark, tmp_path):
@@ -169,9 +186,11 @@ def test_two_day_run_then_revenue(spark, tmp_path):
     assert landed.filter("_deleted is distinct from false").count() > 0  # deletes kept as versions
     fact1 = spark.read.parquet(f"{root}/sales_fact")
     assert fact1.count() == 5227          # distinct sales keys at sf0.001
-    old_month = fact1.agg(F.min("order_month")).first()[0]
-    files_before = {r[0] for r in fact1.filter(F.col("order_month") == old_month)
-                    .select(F.input_file_name()).distinct().collect()}
+    # what day 1 left behind (the path is rewritten in place by day 2)
+    kept = fact1.filter("salesorderid % 7 != 1").count()
+    files1: dict = {}
+    for r in fact1.select("order_month", F.input_file_name().alias("f")).distinct().collect():
+        files1.setdefault(r.order_month, set()).add(r.f)
     # row counts observed while writing
     assert r1.rows["stg_dim_customer"] == r1.rows["dim_customer"] == 130
     r2 = daily_run.run_daily(spark, ShiftedSource(spark, SF_SMALL), root, "2024-01-02",
@@ -181,12 +200,21 @@ def test_two_day_run_then_revenue(spark, tmp_path):
     assert dim.filter("current_flag").groupBy("customerid").count().filter("count > 1").count() == 0
     assert dim.filter("not current_flag and expiration_date = date'2024-01-02'").count() > 0
     fact2 = spark.read.parquet(f"{root}/sales_fact")
-    assert fact2.count() == fact2.select("sales_key").distinct().count() == 5227
-    # only the recent months were rewritten; an old month keeps its files
-    assert r2.rewritten_partitions and old_month not in r2.rewritten_partitions
-    files_after = {r[0] for r in fact2.filter(F.col("order_month") == old_month)
-                   .select(F.input_file_name()).distinct().collect()}
-    assert files_after == files_before
+    assert fact2.count() == fact2.select("sales_key").distinct().count()
+    # late deletes left the fact, late corrections reached it, nothing else changed
+    assert fact2.filter("salesorderid % 7 = 1").count() == 0
+    changed = fact2.filter("salesorderid % 11 = 2")
+    assert changed.count() > 0 and changed.filter("orderqty != 99").count() == 0
+    assert changed.filter("revenue != cast(unitprice * 99 as decimal(18,2))").count() == 0
+    assert fact2.count() == kept
+    # months were rewritten only where orders changed
+    assert r2.rewritten_partitions
+    files2: dict = {}
+    for r in fact2.select("order_month", F.input_file_name().alias("f")).distinct().collect():
+        files2.setdefault(r.order_month, set()).add(r.f)
+    rewritten = set(r2.rewritten_partitions)
+    assert all(files2[m] == files1[m] for m in files1 if m not in rewritten)
+    assert all(files2.get(m) != files1[m] for m in rewritten if m in files1)
     dims = {n: publish.read_current(spark, f"{root}/{n}") for n in ("dim_product", "dim_address")}
     rev = daily_run.revenue_by_dimension(fact2, dims["dim_product"], dims["dim_address"])
     total = fact2.agg(F.sum("revenue")).first()[0]
