@@ -102,7 +102,8 @@ def _header(header: DataFrame, since: _dt.date | None, strict: bool) -> DataFram
     if since is not None:
         start = since + _dt.timedelta(days=1) if strict else since
         # cast(orderdate as date) >= d  <=>  orderdate >= timestamp(d): pushes down.
-        header = header.filter(F.col("orderdate") >= F.lit(_dt.datetime.combine(start, _dt.time())))
+        stamp = _dt.datetime.combine(start, _dt.time()).isoformat(sep=" ")
+        header = header.filter(F.col("orderdate") >= F.lit(stamp).cast("timestamp_ntz"))
     return header.select("salesorderid", "customerid", "creditcardid", "shiptoaddressid",
                          F.col("status").alias("order_status"),
                          F.col("orderdate").cast("date").alias("orderdate"))

@@ -123,7 +123,8 @@ def create_or_replace(df: DataFrame, table: str, provider: str | None = None,
 
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str | Sequence[str],
                       part_col: str, order_cols: Sequence[str] | None = None,
-                      remove_keys: DataFrame | None = None) -> list:
+                      remove_keys: DataFrame | None = None,
+                      metrics: dict | None = None) -> list:
     """Keyed upsert into a partitioned parquet table that rewrites only the
     partitions it touches (dynamic partition overwrite).
 
@@ -139,6 +140,8 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     ``remove_keys`` (key columns only) removes the target rows of those keys
     even where ``source`` brings no replacement (deletions); ``source`` may
     then hold several rows per key (e.g. replacing all lines of an order).
+    ``metrics`` maps names to aggregate columns observed over the rows
+    written (no extra job); the dict receives their values.
 
     Returns the partition values written (all of them on a first load)."""
     from starloom.operators.cdc import newest_per_key
@@ -147,8 +150,18 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     keys = [key] if isinstance(key, str) else list(key)
     src = newest_per_key(source, keys, order_cols) if order_cols else source
     writer_opts = {"partitionOverwriteMode": "dynamic"}
+
+    def observed(df: DataFrame) -> tuple[DataFrame, Observation | None]:
+        if not metrics:
+            return df, None
+        obs = Observation(f"upsert-{uuid.uuid4().hex[:8]}")
+        return df.observe(obs, *[c.alias(n) for n, c in metrics.items()]), obs
+
     if not path_has_data(spark, path):
-        src.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
+        out, obs = observed(src)
+        out.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
+        if obs is not None:
+            metrics.update(obs.get)
         return [r[0] for r in spark.read.parquet(path).select(part_col).distinct().collect()]
     target = spark.read.parquet(path)
     src = src.select(*target.columns)
@@ -178,7 +191,10 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
         emptied_dirs = [r["f"].rsplit("/", 1)[0] for r in
                         files.groupBy(part_col).agg(F.min("f").alias("f")).collect()]
     if written:
-        rewritten.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
+        out, obs = observed(rewritten)
+        out.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
+        if obs is not None:
+            metrics.update(obs.get)
     file_schema = target.drop(part_col).schema
     for directory in emptied_dirs:
         spark.createDataFrame([], file_schema).write.mode("overwrite").parquet(directory)
