@@ -84,7 +84,8 @@ def _scd2_columns(load_date) -> dict[str, Column]:
 def scd2_initial(staging: DataFrame, key: str, load_date, check_unique: bool = True,
                  stats: dict | None = None) -> DataFrame:
     """First load: every staging row opened, keys 1..n in natural-key order.
-    ``stats`` (a dict) receives the row count found by the key check."""
+    ``stats`` (a dict) receives ``rows``, the row count found by the key
+    check (all rows are open)."""
     rows = check_unique_key(staging, key) if check_unique else None
     if stats is not None and rows is not None:
         stats["rows"] = rows
@@ -126,11 +127,12 @@ def _conform_history(history: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def scd2_merge(history: DataFrame, current: DataFrame, key: str, tracked: Sequence[str],
                load_date, fingerprint: str = "safe", check_unique: bool = True,
-               with_action: bool = False) -> DataFrame:
+               with_action: bool = False, stats: dict | None = None) -> DataFrame:
     """Merge the current staging rows into the SCD2 history (see module doc).
 
     ``with_action`` adds the action that produced each row (NULL for history
-    that was already closed)."""
+    that was already closed). ``stats`` (a dict) receives ``rows``, the
+    number of open rows after the merge (one per current staging row)."""
     base_cols = list(current.columns)
     out_cols = base_cols + list(conf.SCD2_COLUMNS)
     history = _conform_history(history, out_cols)
@@ -140,6 +142,8 @@ def scd2_merge(history: DataFrame, current: DataFrame, key: str, tracked: Sequen
         "max_sk": lambda: max_surrogate_key(history),
     })
     rows, max_sk = scalars["rows"], scalars["max_sk"]
+    if stats is not None and rows is not None:
+        stats["rows"] = rows
     load = date_literal(load_date)
 
     open_h = open_rows(history)

@@ -121,14 +121,15 @@ def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFram
     (after it when ``strict``). ``broadcast=True`` (default) broadcasts each
     dimension side whose row count is under the configured bound and
     shuffle-joins the others; ``"auto"`` leaves it to the planner.
-    ``dim_rows`` gives known row counts of dimensions (upper bounds of their
-    lookup sides), so those need no counting job."""
+    ``dim_rows`` gives known upper bounds of the dimensions' open rows: with
+    ``version="current"`` those decide the broadcast without a counting job
+    (other versions read closed rows too and are counted)."""
     # Prepare the five lookup sides; with broadcast=True their size checks
     # (one count each) run concurrently.
     sides = run_concurrently({
         out_col: (lambda n=dim_name, k=dim_key, o=out_col:
                   checked_side(dim_side(dims[n], k, o, version), broadcast,
-                               (dim_rows or {}).get(n)))
+                               (dim_rows or {}).get(n) if version == "current" else None))
         for dim_name, _, dim_key, out_col in HEADER_LOOKUPS + DETAIL_LOOKUPS})
     h = _header(header, since, strict)
     for _, left_key, _, out_col in HEADER_LOOKUPS:

@@ -63,7 +63,7 @@ def customer_history(read: SourceReader, effective: str = FIRST_LOAD_DATE,
 
 
 def customer_merged(read: SourceReader, with_action: bool = False, as_of_dates: bool = False,
-                    fingerprint: str = "safe") -> DataFrame:
+                    fingerprint: str = "safe", stats: dict | None = None) -> DataFrame:
     if as_of_dates:
         history = customer_history(read, ASOF_FIRST_LOAD, ASOF_CLOSED_EXPIRATION)
         load = ASOF_MERGE_LOAD
@@ -71,16 +71,16 @@ def customer_merged(read: SourceReader, with_action: bool = False, as_of_dates:
         history = customer_history(read)
         load = MERGE_LOAD_DATE
     return scd2_merge(history, customer_batch2(read), CUSTOMER.key, CUSTOMER.tracked, load,
-                      fingerprint=fingerprint, with_action=with_action)
+                      fingerprint=fingerprint, with_action=with_action, stats=stats)
 
 
 def first_load_dims(read: SourceReader, load_date: str = FIRST_LOAD_DATE,
                     rows: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Address, card, status and product from a first load; customer after
-    the two-batch merge. ``rows`` (a dict) receives the row counts the first
+    the two-batch merge. ``rows`` (a dict) receives the open-row counts the
     loads found while checking their keys."""
     stats: dict[str, dict] = {n: {} for n in ("dim_address", "dim_creditcard",
-                                              "dim_orderstatus", "dim_product")}
+                                              "dim_orderstatus", "dim_product", "dim_customer")}
     dims = run_concurrently({
         "dim_address": lambda: scd2_initial(stg_dim_address(read), "addressid", load_date,
                                             stats=stats["dim_address"]),
@@ -90,7 +90,7 @@ def first_load_dims(read: SourceReader, load_date: str = FIRST_LOAD_DATE,
                                                 load_date, stats=stats["dim_orderstatus"]),
         "dim_product": lambda: scd2_initial(stg_dim_product(read), "productid", load_date,
                                             stats=stats["dim_product"]),
-        "dim_customer": lambda: customer_merged(read),
+        "dim_customer": lambda: customer_merged(read, stats=stats["dim_customer"]),
     })
     if rows is not None:
         rows.update({n: s["rows"] for n, s in stats.items() if "rows" in s})
