@@ -7,8 +7,9 @@ estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
 re-plans from real shuffle sizes, splitting skewed partitions of the driving
 side (a hot key, or the NULL keys of an optional reference, which all hash to
 one partition). ``broadcast=True`` asks for a broadcast explicitly, but only
-after counting the side against ``starloom.join.broadcastMaxRows``; a larger
-side falls back to a shuffle join.
+after checking the side's rows against ``starloom.join.broadcastMaxRows``
+(a row count the caller already knows, or one counting job); a larger side
+falls back to a shuffle join.
 """
 
 from __future__ import annotations

@@ -12,15 +12,18 @@ works on any file system Spark writes to.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 COMMITS = "_commits"
 SNAPSHOTS = "snapshots"
+COMMIT_SCHEMA = "run_id string, schema string"
 
 
 def new_run_id() -> str:
@@ -53,25 +56,38 @@ def publish_snapshot(df: DataFrame, root: str, run_id: str | None = None,
     if observation is not None:
         metrics.update(observation.get)
     spark = df.sparkSession
-    (spark.createDataFrame([(run_id,)], "run_id string").coalesce(1)
+    # The commit records the schema written, so readers get the same types
+    # back (partition columns included) without inferring them.
+    (spark.createDataFrame([(run_id, df.schema.json())], COMMIT_SCHEMA).coalesce(1)
           .write.mode("append").json(f"{root.rstrip('/')}/{COMMITS}"))
     return path
 
 
-def current_run(spark: SparkSession, root: str) -> str | None:
+def _last_commit(spark: SparkSession, root: str):
     try:
-        commits = spark.read.schema("run_id string").json(f"{root.rstrip('/')}/{COMMITS}")
+        commits = spark.read.schema(COMMIT_SCHEMA).json(f"{root.rstrip('/')}/{COMMITS}")
     except AnalysisException:
         return None
-    return commits.agg(F.max("run_id").alias("r")).first()["r"]
+    # Commit records are one tiny row per run.
+    return commits.agg(F.max_by("schema", "run_id").alias("schema"),
+                       F.max("run_id").alias("run_id")).first()
+
+
+def current_run(spark: SparkSession, root: str) -> str | None:
+    last = _last_commit(spark, root)
+    return None if last is None else last["run_id"]
 
 
 def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame | None:
-    """The last committed snapshot of the table at ``root``, or None."""
-    run_id = current_run(spark, root)
-    if run_id is None:
+    """The last committed snapshot of the table at ``root``, read with the
+    schema it was written with, or None."""
+    last = _last_commit(spark, root)
+    if last is None or last["run_id"] is None:
         return None
-    return spark.read.format(fmt).load(snapshot_path(root, run_id))
+    reader = spark.read.format(fmt)
+    if last["schema"]:
+        reader = reader.schema(StructType.fromJson(json.loads(last["schema"])))
+    return reader.load(snapshot_path(root, last["run_id"]))
 
 
 def has_data(spark: SparkSession, root: str) -> bool:
