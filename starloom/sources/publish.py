@@ -193,27 +193,31 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     if any(v is None for v in affected):
         in_scope = in_scope | F.col(part_col).isNull()
     rewritten = target.filter(in_scope).join(src_keys, keys, "left_anti").unionByName(src)
-    written = {r[0] for r in rewritten.select(part_col).distinct().collect()}
+    # The partitions that receive rows are observed during the write (a set
+    # bounded by the partition count), not computed by another pass.
+    seen = Observation(f"upsert-parts-{uuid.uuid4().hex[:8]}")
+    extra = [c.alias(n) for n, c in (metrics or {}).items()]
+    out = rewritten.observe(seen, F.collect_set(part_col).alias("_parts"),
+                            F.max(F.col(part_col).isNull().cast("int")).alias("_null"), *extra)
+    out.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
+    got = seen.get
+    if metrics:
+        metrics.update({n: got[n] for n in metrics})
+    written = set(got["_parts"] or []) | ({None} if got["_null"] else set())
     emptied = [v for v in affected if v not in written]
-    # A dynamic overwrite only replaces partitions that receive rows. Each
-    # partition left without rows is found by one of its own files (so the
-    # directory name is Spark's) and overwritten with no rows afterwards.
-    emptied_dirs = []
     if emptied:
+        # A dynamic overwrite leaves partitions that received no rows as they
+        # were. Each is found by one of its (old, still present) files, so the
+        # directory name is Spark's, and overwritten with no rows.
         in_emptied = F.col(part_col).isin([v for v in emptied if v is not None])
         if any(v is None for v in emptied):
             in_emptied = in_emptied | F.col(part_col).isNull()
-        files = target.filter(in_emptied).select(part_col, F.input_file_name().alias("f"))
-        emptied_dirs = [r["f"].rsplit("/", 1)[0] for r in
-                        files.groupBy(part_col).agg(F.min("f").alias("f")).collect()]
-    if written:
-        out, obs = observed(rewritten)
-        out.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
-        if obs is not None:
-            metrics.update(obs.get)
-    file_schema = target.drop(part_col).schema
-    for directory in emptied_dirs:
-        spark.createDataFrame([], file_schema).write.mode("overwrite").parquet(directory)
+        files = spark.read.parquet(path).filter(in_emptied) \
+                     .select(part_col, F.input_file_name().alias("f"))
+        file_schema = target.drop(part_col).schema
+        for r in files.groupBy(part_col).agg(F.min("f").alias("f")).collect():
+            directory = r["f"].rsplit("/", 1)[0]
+            spark.createDataFrame([], file_schema).write.mode("overwrite").parquet(directory)
     return affected
 
 
