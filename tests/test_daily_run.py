@@ -250,3 +250,30 @@ def test_command_line_run_over_dataset_sources(spark, tmp_path, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["run_id"] == "r1" and out["rows"]["dim_customer"] == 130
     assert spark.read.parquet(str(target / "sales_fact")).count() == 5227
+
+
+def test_catalog_sources_and_a_mirror_sink(spark, tmp_path):
+    """Source tables in a catalog database (table scans by name) and every
+    snapshot-published table mirrored to a second sink."""
+    from starloom.sources.fixtures import SOURCE_NAMES
+    from starloom.sources.tables import table_reader
+    from starloom.plans import staging
+    spark.sql("CREATE DATABASE IF NOT EXISTS oltp_probe")
+    fixtures = FixtureSource(spark, SF_SMALL)
+    for name in SOURCE_NAMES:
+        fixtures(name).write.mode("overwrite").saveAsTable(f"oltp_probe.{name}")
+    read = table_reader(spark, database="oltp_probe")
+    a = staging.stg_dim_address(read)
+    b = staging.stg_dim_address(fixtures)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    mirrored = {}
+
+    def mirror(name, df):
+        path = str(tmp_path / "mirror" / name)
+        publish.truncate_load(df, path)
+        mirrored[name] = path
+
+    result = daily_run.run_daily(spark, read, str(tmp_path / "wh"), "2024-01-01", run_id="m1",
+                                 mirror=mirror)
+    assert set(mirrored) == {n for n in result.published if not n.startswith(("landing_", "sales_fact"))}
+    assert spark.read.parquet(mirrored["dim_customer"]).count() == result.rows["dim_customer"]
