@@ -167,18 +167,22 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     src = newest_per_key(source, keys, order_cols) if order_cols else source
     writer_opts = {"partitionOverwriteMode": "dynamic"}
 
-    def observed(df: DataFrame) -> tuple[DataFrame, Observation | None]:
-        if not metrics:
-            return df, None
-        obs = Observation(f"upsert-{uuid.uuid4().hex[:8]}")
-        return df.observe(obs, *[c.alias(n) for n, c in metrics.items()]), obs
+    def write(df: DataFrame) -> set:
+        """Write with a dynamic overwrite; return the partition values that
+        received rows, observed during the write (a set bounded by the
+        partition count), and fill ``metrics``."""
+        seen = Observation(f"upsert-{uuid.uuid4().hex[:8]}")
+        extra = [c.alias(n) for n, c in (metrics or {}).items()]
+        out = df.observe(seen, F.collect_set(part_col).alias("_parts"),
+                         F.max(F.col(part_col).isNull().cast("int")).alias("_null"), *extra)
+        out.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
+        got = seen.get
+        if metrics:
+            metrics.update({n: got[n] for n in metrics})
+        return set(got["_parts"] or []) | ({None} if got["_null"] else set())
 
     if not path_has_data(spark, path):
-        out, obs = observed(src)
-        out.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
-        if obs is not None:
-            metrics.update(obs.get)
-        return [r[0] for r in spark.read.parquet(path).select(part_col).distinct().collect()]
+        return sorted(write(src), key=str)
     target = spark.read.parquet(path)
     src = src.select(*target.columns)
     src_keys = src.select(*keys)
@@ -193,17 +197,7 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     if any(v is None for v in affected):
         in_scope = in_scope | F.col(part_col).isNull()
     rewritten = target.filter(in_scope).join(src_keys, keys, "left_anti").unionByName(src)
-    # The partitions that receive rows are observed during the write (a set
-    # bounded by the partition count), not computed by another pass.
-    seen = Observation(f"upsert-parts-{uuid.uuid4().hex[:8]}")
-    extra = [c.alias(n) for n, c in (metrics or {}).items()]
-    out = rewritten.observe(seen, F.collect_set(part_col).alias("_parts"),
-                            F.max(F.col(part_col).isNull().cast("int")).alias("_null"), *extra)
-    out.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
-    got = seen.get
-    if metrics:
-        metrics.update({n: got[n] for n in metrics})
-    written = set(got["_parts"] or []) | ({None} if got["_null"] else set())
+    written = write(rewritten)
     emptied = [v for v in affected if v not in written]
     if emptied:
         # A dynamic overwrite leaves partitions that received no rows as they
