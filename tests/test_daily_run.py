@@ -186,6 +186,8 @@ def test_two_day_run_then_revenue(spark, tmp_path):
     assert landed.select("order_block").distinct().count() == blocks > 1
     assert landed.filter("_deleted = false").count() == 5227  # live lines, one per key
     assert landed.filter("_deleted is distinct from false").count() > 0  # deletes kept as versions
+    # the watermark is the max timestamp of the rows written
+    assert r1.watermarks["salesorderdetail"] == landed.agg(F.max("modifieddate")).first()[0]
     fact1 = spark.read.parquet(f"{root}/sales_fact")
     assert fact1.count() == 5227          # distinct sales keys at sf0.001
     # what day 1 left behind (the path is rewritten in place by day 2)
@@ -198,6 +200,7 @@ def test_two_day_run_then_revenue(spark, tmp_path):
     r2 = daily_run.run_daily(spark, ShiftedSource(spark, SF_SMALL), root, "2024-01-02",
                              run_id="20240102")
     assert set(r2.published) == set(r1.published)
+    assert r2.watermarks["salesorderdetail"] == dt.datetime(2002, 1, 1)     # the late changes
     dim = publish.read_current(spark, f"{root}/dim_customer")
     assert dim.schema["current_flag"].dataType.simpleString() == "boolean"
     # dimension snapshots are partitioned by the flag: open-row reads prune
