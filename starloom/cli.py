@@ -48,12 +48,15 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--load-date", default=dt.date.today().isoformat(),
                         help="load date (yyyy-MM-dd); fixed dates make runs replayable")
     parser.add_argument("--run-id", default=None)
+    parser.add_argument("--fact-version", choices=("current", "as_of"), default="current",
+                        help="dimension version a fact row points to")
     args = parser.parse_args(argv)
 
     spark = _session()
     read = table_reader(spark, database=args.source_database, fmt=args.source_format,
                         root=args.source_root)
-    result = run_daily(spark, read, args.target, args.load_date, run_id=args.run_id)
+    result = run_daily(spark, read, args.target, args.load_date, run_id=args.run_id,
+                       fact_version=args.fact_version)
     print(json.dumps({"run_id": result.run_id, "rows": result.rows,
                       "watermarks": {k: str(v) for k, v in result.watermarks.items()},
                       "fact_partitions_written": [str(p) for p in result.rewritten_partitions]}))

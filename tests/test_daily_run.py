@@ -249,10 +249,14 @@ def test_command_line_run_over_dataset_sources(spark, tmp_path, capsys):
     for name in SOURCE_NAMES:
         fixtures(name).write.parquet(str(src_root / name))
     assert cli.main(["--source-root", str(src_root), "--target", str(target),
-                     "--load-date", "2024-01-01", "--run-id", "r1"]) == 0
+                     "--load-date", "1995-01-01", "--run-id", "r1", "--fact-version", "as_of"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["run_id"] == "r1" and out["rows"]["dim_customer"] == 130
-    assert spark.read.parquet(str(target / "sales_fact")).count() == 5227
+    fact = spark.read.parquet(str(target / "sales_fact"))
+    assert fact.count() == 5227
+    # as of the order date: every order is on/after the 1995-01-01 load, so
+    # every line with a live customer finds the (only) version
+    assert fact.filter("customer_key is not null").count() > 0
 
 
 def test_catalog_sources_and_a_mirror_sink(spark, tmp_path):
