@@ -4,42 +4,50 @@ For a source that appends change records (files of rows with the delete flag
 and a modification timestamp), the stream's checkpoint replaces the stored
 watermark: each micro-batch holds exactly the records not yet applied, ties
 included, and a restarted query resumes where the last committed batch
-ended. Each batch is applied by key (newest change wins, deletes remove the
-key) and published as a new snapshot of the landed table.
+ended. Change files may arrive out of order: a batch is compared with the
+landed versions of its keys, and the newest version wins.
+
+The landed table has the same layout as the daily run's: the newest version
+of every key with its delete flag, partitioned by a stable expression of the
+key (e.g. an id block), so a micro-batch rewrites only the partitions it
+touches and no partition is ever emptied by a delete. Applying a batch twice
+(a replay after a failure) gives the same table. Readers take
+:func:`starloom.plans.facts.live_view`.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starloom import conf
-from starloom.operators.columns import drop_metadata
-from starloom.operators.cdc import live_rows, newest_per_key
-from starloom.operators.upsert import apply_changes
-from starloom.sources.publish import publish_snapshot, read_current
+from starloom.operators.cdc import newest_per_key
+from starloom.sources.publish import upsert_partitions
+from starloom.sources.tables import path_has_data
 
 
-def land_stream(spark: SparkSession, change_path: str, schema: StructType, target_root: str,
+def land_stream(spark: SparkSession, change_path: str, schema: StructType, target_path: str,
                 keys: Sequence[str], checkpoint_location: str, ts_col: str = "modifieddate",
-                fmt: str = "parquet", flag: str = conf.DELETED_FLAG):
+                fmt: str = "parquet", part_col: str = "key_block",
+                part_expr: Column | None = None):
     """Apply all change files under ``change_path`` not yet applied, then
-    stop (trigger ``availableNow``). Returns the finished query."""
+    stop (trigger ``availableNow``). ``part_expr`` computes the partition of
+    a key (default: one partition). Returns the finished query."""
+    keys = list(keys)
+    partition = part_expr if part_expr is not None else F.lit(0)
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        target = read_current(spark, target_root)
-        if target is None:
-            out = drop_metadata(live_rows(newest_per_key(batch, list(keys), [ts_col]), flag))
-        else:
-            out = apply_changes(target, batch, list(keys), [ts_col], flag)
-        # Run ids sort by batch id; a replayed batch publishes the same rows
-        # again under a new suffix (applying a change set twice is a no-op).
-        publish_snapshot(out, target_root, run_id=f"b{batch_id:012d}-{uuid.uuid4().hex[:8]}")
+        changes = batch
+        if path_has_data(spark, target_path):
+            # Files can arrive out of order: the landed version of a key wins
+            # when it is newer than every change in this batch.
+            landed = (spark.read.parquet(target_path).drop(part_col)
+                      .join(batch.select(*keys), keys, "left_semi"))
+            changes = batch.unionByName(landed)
+        versions = newest_per_key(changes, keys, [ts_col]).withColumn(part_col, partition)
+        upsert_partitions(spark, target_path, versions, keys, part_col)
 
     stream = spark.readStream.schema(schema).format(fmt).load(change_path)
     query = (stream.writeStream.foreachBatch(apply_batch)

@@ -3,7 +3,9 @@ feed: each run applies only the files not yet applied."""
 
 import datetime as dt
 
-from starloom.sources.publish import read_current
+from pyspark.sql import functions as F
+
+from starloom.plans.facts import live_view
 from starloom.streaming.landing import land_stream
 
 SCHEMA = "k int, v string, modifieddate timestamp_ntz, _deleted boolean"
@@ -13,20 +15,33 @@ def ts(s: str) -> dt.datetime:
     return dt.datetime.fromisoformat(s)
 
 
+def live(spark, path):
+    return sorted((r.k, r.v) for r in live_view(spark.read.parquet(path), extra=["key_block"]).collect())
+
+
 def test_stream_landing_applies_each_file_once(spark, tmp_path):
     feed, target, ckpt = str(tmp_path / "feed"), str(tmp_path / "landed"), str(tmp_path / "ckpt")
     schema = spark.createDataFrame([], SCHEMA).schema
+    block = F.col("k") % 2
     spark.createDataFrame([(1, "a", ts("2001-01-01"), False), (2, "b", ts("2001-01-01"), False),
                            (3, "c", ts("2001-01-01"), True)], SCHEMA).write.mode("append").parquet(feed)
-    land_stream(spark, feed, schema, target, ["k"], ckpt)
-    assert sorted((r.k, r.v) for r in read_current(spark, target).collect()) == [(1, "a"), (2, "b")]
+    land_stream(spark, feed, schema, target, ["k"], ckpt, part_expr=block)
+    assert live(spark, target) == [(1, "a"), (2, "b")]
 
     spark.createDataFrame([(1, "a2", ts("2001-01-02"), False), (2, "b", ts("2001-01-02"), True),
                            (4, "d", ts("2001-01-01"), False)], SCHEMA).write.mode("append").parquet(feed)
-    land_stream(spark, feed, schema, target, ["k"], ckpt)
-    got = sorted((r.k, r.v) for r in read_current(spark, target).collect())
+    land_stream(spark, feed, schema, target, ["k"], ckpt, part_expr=block)
+    got = live(spark, target)
     assert got == [(1, "a2"), (4, "d")]
+    # deletes are kept as versions: key 2 and 3 are stored, flagged
+    assert spark.read.parquet(target).filter("_deleted").count() == 2
 
     # nothing new: the target stays as it is
-    land_stream(spark, feed, schema, target, ["k"], ckpt)
-    assert sorted((r.k, r.v) for r in read_current(spark, target).collect()) == got
+    land_stream(spark, feed, schema, target, ["k"], ckpt, part_expr=block)
+    assert live(spark, target) == got
+
+    # a late file with an older change of key 1: the newer landed version stays
+    spark.createDataFrame([(1, "stale", ts("2001-01-01 12:00:00"), False)], SCHEMA) \
+        .write.mode("append").parquet(feed)
+    land_stream(spark, feed, schema, target, ["k"], ckpt, part_expr=block)
+    assert live(spark, target) == got
