@@ -66,6 +66,10 @@ BROADCAST_MAX_ROWS = ("starloom.join.broadcastMaxRows", 5_000_000)
 MATERIALIZE_MIN_ROWS = ("starloom.materialize.minRows", 5_000_000)
 # Landed order tables are partitioned by blocks of this many order ids.
 ORDER_BLOCK_SIZE = ("starloom.landing.orderBlockSize", 1_000_000)
+# Re-read this many seconds before the landing watermark (rows replicated
+# late with older timestamps). Safe: changes are applied by key, and the
+# source holds each row's latest version.
+LANDING_LOOKBACK_SECONDS = ("starloom.landing.lookbackSeconds", 0)
 
 
 def tunable(spark: SparkSession, setting: tuple[str, int | float]) -> int | float:

@@ -230,9 +230,16 @@ def test_two_day_run_then_revenue(spark, tmp_path):
     rev = daily_run.revenue_by_dimension(fact2, dims["dim_product"], dims["dim_address"])
     total = fact2.agg(F.sum("revenue")).first()[0]
     assert rev.agg(F.sum("revenue")).first()[0] == total
-    # a third run with the same input changes nothing in the dimensions
-    daily_run.run_daily(spark, ShiftedSource(spark, SF_SMALL), root, "2024-01-02",
-                        run_id="20240103")
+    # a third run with the same input (and a lookback window re-reading the
+    # last day of changes) changes nothing
+    n2 = fact2.count()
+    spark.conf.set("starloom.landing.lookbackSeconds", str(24 * 3600))
+    try:
+        daily_run.run_daily(spark, ShiftedSource(spark, SF_SMALL), root, "2024-01-02",
+                            run_id="20240103")
+    finally:
+        spark.conf.unset("starloom.landing.lookbackSeconds")
+    assert spark.read.parquet(f"{root}/sales_fact").count() == n2
     dim3 = publish.read_current(spark, f"{root}/dim_customer")
     assert sorted(map(tuple, dim3.collect()), key=str) == sorted(map(tuple, dim.collect()), key=str)
 
