@@ -298,6 +298,11 @@ _RAW: dict[str, str] = {
                   order by modifieddate desc nulls last, productid desc nulls last, orderqty desc nulls last,
                            unitprice desc nulls last, _deleted desc nulls last) as _rn from inc) n
           where _rn = 1 and _deleted = false) u""",
+    "landing_versions": """select salesorderid, salesorderdetailid, productid, orderqty, unitprice, modifieddate, _deleted
+        from (select *, row_number() over (partition by salesorderid, salesorderdetailid
+                order by modifieddate desc nulls last, productid desc nulls last, orderqty desc nulls last,
+                         unitprice desc nulls last, _deleted desc nulls last) as _rn
+              from sales_salesorderdetail) v where _rn = 1""",
     "sales_fact": "select * from sales_fact",
     "sales_fact_incremental": f"""select {', '.join(FACT_COLS)} from upsert_target t
           where not exists (select 1 from fresh s where s.sales_key = t.sales_key)

@@ -427,6 +427,13 @@ def landing_incremental(src: FixtureSource) -> DataFrame:
     return facts.landing_incremental(detail, target, facts.DETAIL_KEY)
 
 
+@query
+def landing_versions(src: FixtureSource) -> DataFrame:
+    """Versioned landing (daily run): the newest version of every detail key,
+    deleted ones included with their flag."""
+    return facts.landed_versions(src("sales_salesorderdetail"), facts.DETAIL_KEY)
+
+
 @query
 def sales_fact(src: FixtureSource) -> DataFrame:
     return scenarios.current_fact(src)
