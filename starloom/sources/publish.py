@@ -243,3 +243,61 @@ def merge_into_table(spark: SparkSession, table: str, source: DataFrame,
         return "rewrite"
     finally:
         spark.catalog.dropTempView(view)
+
+
+# -- SCD2 dimensions: open snapshot + append-only closed history ---------------
+
+CLOSED_RUN_COL = "run"
+
+
+def committed_runs(spark: SparkSession, root: str) -> list[str]:
+    """Run ids committed for the table at ``root`` (one small row per run)."""
+    try:
+        commits = spark.read.schema(COMMIT_SCHEMA).json(f"{root.rstrip('/')}/{COMMITS}")
+    except AnalysisException:
+        return []
+    return [r["run_id"] for r in commits.select("run_id").distinct().collect()]
+
+
+def publish_dimension(merged: DataFrame, root: str, run_id: str, current_col: str,
+                      metrics: dict | None = None) -> None:
+    """Publish an SCD2 dimension as two parts: a snapshot of its open rows
+    (``{root}/open``) and an append-only store of closed rows
+    (``{root}/closed/run=<run id>``).
+
+    Closed rows never change again, so a run writes only the rows it closed
+    (``merged`` carries the SCD2 ``action``: closures are the DELETE/UPDATE
+    rows no longer current); history closed in earlier runs is neither read
+    nor rewritten. The closed rows are written first and the open snapshot's
+    commit makes the run visible; readers take closed rows of committed runs
+    only, so a failed run leaves nothing behind. ``metrics`` receives the
+    open row count."""
+    action = F.col("action")
+    flag = F.col(current_col)
+    if "action" in merged.columns:
+        closures = merged.filter(action.isin("DELETE", "UPDATE") & (flag == F.lit(False)))
+        (closures.drop("action").withColumn(CLOSED_RUN_COL, F.lit(run_id))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(CLOSED_RUN_COL).parquet(f"{root.rstrip('/')}/closed"))
+        open_rows = merged.filter(action.isNotNull() & (flag == F.lit(True))).drop("action")
+    else:
+        open_rows = merged.filter(flag == F.lit(True))
+    publish_snapshot(open_rows, f"{root.rstrip('/')}/open", run_id, metrics=metrics)
+
+
+def read_dimension(spark: SparkSession, root: str, open_only: bool = False) -> DataFrame | None:
+    """An SCD2 dimension published by :func:`publish_dimension`: the last
+    committed open snapshot plus the closed rows of committed runs (the run
+    filter prunes the closed store's partitions). None before the first run."""
+    opened = read_current(spark, f"{root.rstrip('/')}/open")
+    if opened is None or open_only:
+        return opened
+    runs = committed_runs(spark, f"{root.rstrip('/')}/open")
+    schema = StructType(opened.schema.fields + [StructType.fromDDL(
+        f"{CLOSED_RUN_COL} string").fields[0]])
+    try:
+        closed = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/closed")
+    except AnalysisException:
+        return opened
+    closed = closed.filter(F.col(CLOSED_RUN_COL).isin(runs)).drop(CLOSED_RUN_COL)
+    return opened.unionByName(closed)

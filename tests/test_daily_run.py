@@ -201,13 +201,14 @@ def test_two_day_run_then_revenue(spark, tmp_path):
                              run_id="20240102")
     assert set(r2.published) == set(r1.published)
     assert r2.watermarks["salesorderdetail"] == dt.datetime(2002, 1, 1)     # the late changes
-    dim = publish.read_current(spark, f"{root}/dim_customer")
+    dim = publish.read_dimension(spark, f"{root}/dim_customer")
     assert dim.schema["current_flag"].dataType.simpleString() == "boolean"
-    # dimension snapshots are partitioned by the flag: open-row reads prune
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        dim.filter("current_flag").explain()
-    assert "PartitionFilters: [isnotnull(current_flag" in buf.getvalue()
+    # open rows in the snapshot, closures appended under day 2's run only
+    opened = publish.read_dimension(spark, f"{root}/dim_customer", open_only=True)
+    assert opened.filter("not current_flag").count() == 0
+    closed = spark.read.parquet(f"{root}/dim_customer/closed")
+    assert [str(r.run) for r in closed.select("run").distinct().collect()] == ["20240102"]
+    assert dim.count() == opened.count() + closed.count()
     assert dim.filter("current_flag").groupBy("customerid").count().filter("count > 1").count() == 0
     assert dim.filter("not current_flag and expiration_date = date'2024-01-02'").count() > 0
     fact2 = spark.read.parquet(f"{root}/sales_fact")
@@ -226,7 +227,7 @@ def test_two_day_run_then_revenue(spark, tmp_path):
     rewritten = set(r2.rewritten_partitions)
     assert all(files2[m] == files1[m] for m in files1 if m not in rewritten)
     assert all(files2.get(m) != files1[m] for m in rewritten if m in files1)
-    dims = {n: publish.read_current(spark, f"{root}/{n}") for n in ("dim_product", "dim_address")}
+    dims = {n: publish.read_dimension(spark, f"{root}/{n}") for n in ("dim_product", "dim_address")}
     rev = daily_run.revenue_by_dimension(fact2, dims["dim_product"], dims["dim_address"])
     total = fact2.agg(F.sum("revenue")).first()[0]
     assert rev.agg(F.sum("revenue")).first()[0] == total
@@ -240,7 +241,7 @@ def test_two_day_run_then_revenue(spark, tmp_path):
     finally:
         spark.conf.unset("starloom.landing.lookbackSeconds")
     assert spark.read.parquet(f"{root}/sales_fact").count() == n2
-    dim3 = publish.read_current(spark, f"{root}/dim_customer")
+    dim3 = publish.read_dimension(spark, f"{root}/dim_customer")
     assert sorted(map(tuple, dim3.collect()), key=str) == sorted(map(tuple, dim.collect()), key=str)
 
 
@@ -291,3 +292,21 @@ def test_catalog_sources_and_a_mirror_sink(spark, tmp_path):
                                  mirror=mirror)
     assert set(mirrored) == {n for n in result.published if not n.startswith(("landing_", "sales_fact"))}
     assert spark.read.parquet(mirrored["dim_customer"]).count() == result.rows["dim_customer"]
+
+
+def test_dimension_layout_ignores_uncommitted_closures(spark, tmp_path):
+    from starloom.operators import scd2
+    root = str(tmp_path / "dim")
+    cur = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    publish.publish_dimension(scd2.scd2_initial(cur, "k", "2024-01-01"), root, "r1", "current_flag")
+    hist = publish.read_dimension(spark, root)
+    cur2 = spark.createDataFrame([(1, "A")], "k int, v string")
+    merged = scd2.scd2_merge(hist, cur2, "k", ["v"], "2024-02-01", with_action=True)
+    publish.publish_dimension(merged, root, "r2", "current_flag")
+    got = sorted((r.k, r.v, r.sk_id, r.current_flag) for r in publish.read_dimension(spark, root).collect())
+    assert got == [(1, "A", 3, True), (1, "a", 1, False), (2, "b", 2, False)]
+    # closures written by a run that never committed are not part of the table
+    stray = publish.read_dimension(spark, root).filter("not current_flag") \
+        .withColumn("run", F.lit("r9"))
+    stray.write.mode("append").partitionBy("run").parquet(f"{root}/closed")
+    assert publish.read_dimension(spark, root).count() == 3
