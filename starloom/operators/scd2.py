@@ -127,19 +127,23 @@ def _conform_history(history: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def scd2_merge(history: DataFrame, current: DataFrame, key: str, tracked: Sequence[str],
                load_date, fingerprint: str = "safe", check_unique: bool = True,
-               with_action: bool = False, stats: dict | None = None) -> DataFrame:
+               with_action: bool = False, stats: dict | None = None,
+               max_sk: int | None = None) -> DataFrame:
     """Merge the current staging rows into the SCD2 history (see module doc).
 
     ``with_action`` adds the action that produced each row (NULL for history
     that was already closed). ``stats`` (a dict) receives ``rows``, the
-    number of open rows after the merge (one per current staging row)."""
+    number of open rows after the merge (one per current staging row).
+    ``max_sk``, when the caller keeps it, is the history's max surrogate key
+    (saves scanning the whole history for it)."""
     base_cols = list(current.columns)
     out_cols = base_cols + list(conf.SCD2_COLUMNS)
     history = _conform_history(history, out_cols)
     # Two independent small jobs: key check over staging, max key over history.
+    known_max = max_sk
     scalars = run_concurrently({
         "rows": lambda: check_unique_key(current, key) if check_unique else None,
-        "max_sk": lambda: max_surrogate_key(history),
+        "max_sk": lambda: known_max if known_max is not None else max_surrogate_key(history),
     })
     rows, max_sk = scalars["rows"], scalars["max_sk"]
     if stats is not None and rows is not None:

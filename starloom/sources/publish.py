@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,7 +23,7 @@ from pyspark.sql.types import StructType
 
 COMMITS = "_commits"
 SNAPSHOTS = "snapshots"
-COMMIT_SCHEMA = "run_id string, schema string"
+COMMIT_SCHEMA = "run_id string, schema string, meta string"
 
 
 def new_run_id() -> str:
@@ -38,17 +38,22 @@ def snapshot_path(root: str, run_id: str) -> str:
 
 def publish_snapshot(df: DataFrame, root: str, run_id: str | None = None,
                      partition_by: Sequence[str] = (), fmt: str = "parquet",
-                     metrics: dict | None = None) -> str:
+                     metrics: dict | None = None, observe: dict | None = None,
+                     meta: Callable[[dict], dict] | dict | None = None) -> str:
     """Write ``df`` as a new snapshot of the table at ``root`` and commit it.
-    Returns the snapshot path. With ``metrics`` (a dict), the written row
-    count is observed during the write itself (no extra job) and stored
-    under ``metrics["rows"]``."""
+    Returns the snapshot path.
+
+    With ``metrics`` (a dict), the written row count (``rows``) and the
+    aggregates of ``observe`` (name -> column) are observed during the write
+    itself (no extra job) and stored in it. ``meta`` (a dict, or a function
+    of the metrics returning one) is kept in the commit record."""
     run_id = run_id or new_run_id()
     path = snapshot_path(root, run_id)
     observation = None
     if metrics is not None:
         observation = Observation(f"publish-{run_id}-{uuid.uuid4().hex[:6]}")
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+        extra = [c.alias(n) for n, c in (observe or {}).items()]
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *extra)
     writer = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -58,7 +63,10 @@ def publish_snapshot(df: DataFrame, root: str, run_id: str | None = None,
     spark = df.sparkSession
     # The commit records the schema written, so readers get the same types
     # back (partition columns included) without inferring them.
-    (spark.createDataFrame([(run_id, df.schema.json())], COMMIT_SCHEMA).coalesce(1)
+    if callable(meta):
+        meta = meta(metrics or {})
+    record = (run_id, df.schema.json(), json.dumps(meta) if meta else None)
+    (spark.createDataFrame([record], COMMIT_SCHEMA).coalesce(1)
           .write.mode("append").json(f"{root.rstrip('/')}/{COMMITS}"))
     return path
 
@@ -70,9 +78,16 @@ def _last_commit(spark: SparkSession, root: str):
         return None
     # Commit records are one tiny row per run.
     return commits.agg(F.max_by("schema", "run_id").alias("schema"),
+                       F.max_by("meta", "run_id").alias("meta"),
                        F.max("run_id").alias("run_id")).first()
 
 
+def last_meta(spark: SparkSession, root: str) -> dict:
+    """Metadata kept with the last commit of the table at ``root``."""
+    last = _last_commit(spark, root)
+    return json.loads(last["meta"]) if last is not None and last["meta"] else {}
+
+
 def current_run(spark: SparkSession, root: str) -> str | None:
     last = _last_commit(spark, root)
     return None if last is None else last["run_id"]
@@ -260,7 +275,7 @@ def committed_runs(spark: SparkSession, root: str) -> list[str]:
 
 
 def publish_dimension(merged: DataFrame, root: str, run_id: str, current_col: str,
-                      metrics: dict | None = None) -> None:
+                      metrics: dict | None = None, sk_col: str = "sk_id") -> None:
     """Publish an SCD2 dimension as two parts: a snapshot of its open rows
     (``{root}/open``) and an append-only store of closed rows
     (``{root}/closed/run=<run id>``).
@@ -271,7 +286,9 @@ def publish_dimension(merged: DataFrame, root: str, run_id: str, current_col: st
     nor rewritten. The closed rows are written first and the open snapshot's
     commit makes the run visible; readers take closed rows of committed runs
     only, so a failed run leaves nothing behind. ``metrics`` receives the
-    open row count."""
+    open row count. The commit keeps the dimension's max surrogate key (new
+    keys only go to open rows, so the max of the previous commit and of the
+    open rows written, observed during the write) for the next merge."""
     action = F.col("action")
     flag = F.col(current_col)
     if "action" in merged.columns:
@@ -282,7 +299,14 @@ def publish_dimension(merged: DataFrame, root: str, run_id: str, current_col: st
         open_rows = merged.filter(action.isNotNull() & (flag == F.lit(True))).drop("action")
     else:
         open_rows = merged.filter(flag == F.lit(True))
-    publish_snapshot(open_rows, f"{root.rstrip('/')}/open", run_id, metrics=metrics)
+    previous = last_meta(merged.sparkSession, f"{root.rstrip('/')}/open").get("max_sk")
+
+    def max_sk(observed: dict) -> dict:
+        seen = [v for v in (previous, observed.get("max_sk")) if v is not None]
+        return {"max_sk": max(seen)} if seen else {}
+    observed: dict = {} if metrics is None else metrics
+    publish_snapshot(open_rows, f"{root.rstrip('/')}/open", run_id, metrics=observed,
+                     observe={"max_sk": F.max(sk_col)}, meta=max_sk)
 
 
 def read_dimension(spark: SparkSession, root: str, open_only: bool = False) -> DataFrame | None:

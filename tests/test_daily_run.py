@@ -305,6 +305,8 @@ def test_dimension_layout_ignores_uncommitted_closures(spark, tmp_path):
     publish.publish_dimension(merged, root, "r2", "current_flag")
     got = sorted((r.k, r.v, r.sk_id, r.current_flag) for r in publish.read_dimension(spark, root).collect())
     assert got == [(1, "A", 3, True), (1, "a", 1, False), (2, "b", 2, False)]
+    # the max surrogate key travels with the commit
+    assert publish.last_meta(spark, f"{root}/open") == {"max_sk": 3}
     # closures written by a run that never committed are not part of the table
     stray = publish.read_dimension(spark, root).filter("not current_flag") \
         .withColumn("run", F.lit("r9"))
