@@ -155,7 +155,8 @@ def create_or_replace(df: DataFrame, table: str, provider: str | None = None,
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str | Sequence[str],
                       part_col: str, order_cols: Sequence[str] | None = None,
                       remove_keys: DataFrame | None = None,
-                      metrics: dict | None = None) -> list:
+                      metrics: dict | None = None,
+                      partition_follows_key: bool = False) -> list:
     """Keyed upsert into a partitioned parquet table that rewrites only the
     partitions it touches (dynamic partition overwrite).
 
@@ -173,6 +174,10 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     then hold several rows per key (e.g. replacing all lines of an order).
     ``metrics`` maps names to aggregate columns observed over the rows
     written (no extra job); the dict receives their values.
+    ``partition_follows_key`` states that the partition is a function of the
+    key (e.g. an id block): a key can then only live in the partition its
+    new version goes to, and the semi join looking for older versions
+    elsewhere (a scan of the target's key columns) is skipped.
 
     Returns the partition values written (all of them on a first load)."""
     from starloom.operators.cdc import newest_per_key
@@ -203,9 +208,12 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     src_keys = src.select(*keys)
     if remove_keys is not None:
         src_keys = src_keys.unionByName(remove_keys.select(*keys)).distinct()
-    homes = target.select(*keys, part_col).join(src_keys, keys, "left_semi").select(part_col)
+    parts = src.select(part_col)
+    if not partition_follows_key:
+        homes = target.select(*keys, part_col).join(src_keys, keys, "left_semi").select(part_col)
+        parts = parts.union(homes)
     # One row per partition: bounded by the table's partition count.
-    affected = [r[0] for r in src.select(part_col).union(homes).distinct().collect()]
+    affected = [r[0] for r in parts.distinct().collect()]
     if not affected:
         return []
     in_scope = F.col(part_col).isin([v for v in affected if v is not None])

@@ -34,7 +34,8 @@ def land_stream(spark: SparkSession, change_path: str, schema: StructType, targe
                 part_expr: Column | None = None):
     """Apply all change files under ``change_path`` not yet applied, then
     stop (trigger ``availableNow``). ``part_expr`` computes the partition of
-    a key (default: one partition). Returns the finished query."""
+    a key from the key columns only (default: one partition), so a key never
+    moves partition. Returns the finished query."""
     keys = list(keys)
     partition = part_expr if part_expr is not None else F.lit(0)
 
@@ -47,7 +48,8 @@ def land_stream(spark: SparkSession, change_path: str, schema: StructType, targe
                       .join(batch.select(*keys), keys, "left_semi"))
             changes = batch.unionByName(landed)
         versions = newest_per_key(changes, keys, [ts_col]).withColumn(part_col, partition)
-        upsert_partitions(spark, target_path, versions, keys, part_col)
+        upsert_partitions(spark, target_path, versions, keys, part_col,
+                          partition_follows_key=True)
 
     stream = spark.readStream.schema(schema).format(fmt).load(change_path)
     query = (stream.writeStream.foreachBatch(apply_batch)

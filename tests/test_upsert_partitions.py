@@ -24,3 +24,22 @@ def test_scoped_upsert_equals_a_full_merge(spark, tmp_path_factory, target, sour
     expected = sorted([r for r in target if r[0] not in gone] + list(source))
     got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect()) if target or source else []
     assert got == expected
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(target=_rows, source=_rows)
+def test_key_derived_partitions_skip_the_home_search(spark, tmp_path_factory, target, source):
+    """With the partition a function of the key, the shortcut gives the same
+    table as the general upsert."""
+    part = {k: "abc"[k % 3] for k in range(10)}
+    target = [(k, v, part[k]) for k, v, _ in target]
+    source = [(k, v, part[k]) for k, v, _ in source]
+    path = str(tmp_path_factory.mktemp("fk") / uuid.uuid4().hex)
+    upsert_partitions(spark, path, spark.createDataFrame(target, SCHEMA), "k", "p",
+                      partition_follows_key=True)
+    upsert_partitions(spark, path, spark.createDataFrame(source, SCHEMA), "k", "p",
+                      partition_follows_key=True)
+    gone = {k for k, _, _ in source}
+    expected = sorted([r for r in target if r[0] not in gone] + source)
+    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect()) if target or source else []
+    assert got == expected
