@@ -4,10 +4,12 @@ per key. All predicates are plain comparisons so they reach the parquet scan
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom import conf
 
@@ -30,7 +32,14 @@ def after_watermark(df: DataFrame, ts_col: str, watermark, strict: bool = True)
     keyed merge). A None watermark means no previous load: every row passes."""
     if watermark is None:
         return df
-    wm = watermark if isinstance(watermark, Column) else F.lit(watermark)
+    if isinstance(watermark, Column):
+        wm = watermark
+    elif isinstance(watermark, _dt.datetime) and isinstance(df.schema[ts_col].dataType,
+                                                          T.TimestampNTZType):
+        # A wall-clock literal: independent of the session and process time zones.
+        wm = F.lit(watermark.isoformat(sep=" ")).cast("timestamp_ntz")
+    else:
+        wm = F.lit(watermark)
     return df.filter(F.col(ts_col) > wm if strict else F.col(ts_col) >= wm)
 
 
