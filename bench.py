@@ -32,6 +32,15 @@ HEADLINE = (
 )
 
 
+def _driver_memory() -> str:
+    """8 GB, or 60% of physical memory on a smaller host."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "8g"
+    return f"{max(1, min(8 * 1024, int(total * 0.6) // (1 << 20)))}m"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -42,7 +51,8 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", app="starloom-bench",
                           shuffle_partitions=int(cpus) * 2,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "8g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM",
+                                                                        _driver_memory())})
 
     def run(name: str) -> float:
         t0 = time.perf_counter()
