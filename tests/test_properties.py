@@ -48,3 +48,35 @@ def test_validity_as_text(spark):
                                  "k int, sk_id long, effective_date date, expiration_date date, current_flag boolean")
     row = scd2.validity_as_text(hist).first()
     assert (row.effective_date, row.expiration_date) == ("2024-01-01", "9999-12-31")
+
+
+@SETTINGS
+@given(target=st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["a", "b"])), unique_by=lambda r: r[0],
+                       max_size=6),
+       changes=st.lists(st.tuples(st.integers(0, 7), st.integers(0, 3), st.sampled_from(["x", "y"]),
+                                  st.sampled_from([False, True, None])), max_size=12))
+def test_apply_changes_equals_python(spark, target, changes):
+    from starloom.operators import upsert
+    t = spark.createDataFrame([(k, v, 0) for k, v in target], "k int, v string, ts int")
+    c = spark.createDataFrame(changes, "k int, ts int, v string, _deleted boolean") \
+        .select("k", "v", "ts", "_deleted")
+    got = sorted(tuple(r) for r in upsert.apply_changes(t, c, "k", ["ts"]).collect())
+    # newest change per key by (ts, v, _deleted); NULL sorts lowest
+    newest = {}
+    for k, ts, v, d in changes:
+        rank = (ts, v, d is not None, bool(d))
+        if k not in newest or rank > newest[k][0]:
+            newest[k] = (rank, (k, v, ts, d))
+    expected = [(k, v, 0) for k, v in target if k not in newest]
+    expected += [(k, v, ts) for _, (k, v, ts, d) in newest.values() if d is False]
+    assert got == sorted(expected)
+
+
+def test_null_safe_lookup_matches_null_keys(spark):
+    from starloom.operators.lookup import lookup
+    df = spark.createDataFrame([(1, None), (2, 7)], "id int, k int")
+    dim = spark.createDataFrame([(None, "null-key"), (7, "seven")], "k int, name string")
+    plain = sorted((r.id, r.name) for r in lookup(df, dim, "k", ["name"]).collect())
+    safe = sorted((r.id, r.name) for r in lookup(df, dim, "k", ["name"], null_safe=True).collect())
+    assert plain == [(1, None), (2, "seven")]
+    assert safe == [(1, "null-key"), (2, "seven")]
