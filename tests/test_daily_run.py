@@ -96,6 +96,10 @@ def test_merge_into_table_falls_back_to_a_rewrite(spark):
     src = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
     assert publish.merge_into_table(spark, "fact_probe", src, "k") == "rewrite"
     assert sorted(map(tuple, spark.table("fact_probe").collect())) == [(1, "a"), (2, "B"), (3, "c")]
+    # a source with repeated keys is reduced to its greatest row first
+    dup = spark.createDataFrame([(3, "c1"), (3, "c2")], "k int, v string")
+    publish.merge_into_table(spark, "fact_probe", dup, "k", order_cols=["v"])
+    assert sorted(map(tuple, spark.table("fact_probe").collect())) == [(1, "a"), (2, "B"), (3, "c2")]
 
 
 def test_create_or_replace_falls_back_for_file_tables(spark):

@@ -32,3 +32,14 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "sales_key"
     assert df.count() > 0
+
+
+def test_entry_schema_is_the_documented_fact_schema(spark):
+    """FIXTURES.md section 4: the sales fact's columns and types."""
+    want = [("sales_key", "string"), ("product_key", "bigint"), ("customer_key", "bigint"),
+            ("ship_address_key", "bigint"), ("order_status_key", "bigint"),
+            ("creditcard_key", "bigint"), ("salesorderid", "bigint"),
+            ("salesorderdetailid", "bigint"), ("unitprice", "decimal(12,2)"), ("orderqty", "int"),
+            ("orderdate", "date"), ("revenue", "decimal(18,2)")]
+    got = [(f.name, f.dataType.simpleString()) for f in entry.entry(spark).schema.fields]
+    assert got == want
