@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .language_id import fold, identify
 from .minhash_dedup import near_duplicates
 
 
@@ -13,11 +15,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn(
+        "held_out", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)))
+    train = docs.filter(fold("doc_id", 4) != 2)
+    return identify(docs, train, ["doc_id", "held_out"])
+
+
 def op7_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, threshold=80)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_naive_bayes_language": op1_naive_bayes_language,
     "op7_hyperminhash_dedup": op7_hyperminhash_dedup,
 }
 
