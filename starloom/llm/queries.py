@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 
 from .language_id import fold, identify
 from .minhash_dedup import near_duplicates
+from .token_files import round_trip
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizer file `name` lies on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +33,14 @@ def op7_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, threshold=80)
 
 
+def op9_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_naive_bayes_language": op1_naive_bayes_language,
     "op7_hyperminhash_dedup": op7_hyperminhash_dedup,
+    "op9_huffman_token_files": op9_huffman_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {}
