@@ -149,10 +149,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, at: np.ndarray,
+               breaks: np.ndarray = WORD_BREAK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of concatenated texts (offsets `at`), and
-    the text that each word belongs to. Words do not cross texts."""
-    word = ~WORD_BREAK[data]
+    the text that each word belongs to. Words do not cross texts. `breaks`
+    marks the byte values between words."""
+    word = ~breaks[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
     inner = at[1:-1]

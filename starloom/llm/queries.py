@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .language_id import fold, identify
 from .minhash_dedup import near_duplicates
+from .quality import score_quality
 from .token_files import round_trip
 
 
@@ -29,6 +30,15 @@ def op1_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, train, ["doc_id", "held_out"])
 
 
+def op4_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"))
+    taught = (_table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0).filter("quality is not null")
+              .select("doc_id", "quality"))
+    scored = score_quality(docs, taught.filter("quality = 1"), taught, ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op7_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, threshold=80)
 
@@ -39,6 +49,7 @@ def op9_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_naive_bayes_language": op1_naive_bayes_language,
+    "op4_positive_unlabelled_quality": op4_positive_unlabelled_quality,
     "op7_hyperminhash_dedup": op7_hyperminhash_dedup,
     "op9_huffman_token_files": op9_huffman_token_files,
 }
