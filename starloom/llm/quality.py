@@ -6,11 +6,14 @@ over all texts; the score is a logistic function of one weight for each bin.
 
 The weights minimise the non-negative unbiased risk: trusted positives P and
 unlabelled text U give the risk of the positives, and that of the negatives as
-risk(U) - prior * risk(P), which counts only while it is not below zero. Both
+risk(U) - prior * risk(P), which counts only while it is not below zero. The
+loss of a score z is the bounded 1 / (1 + exp(z)); an unbounded one could make
+the negatives' risk arbitrarily low by the positives' part alone. Both
 means are taken over all rows in Spark, once for each L-BFGS step; only sums
 reach the driver. The class prior is estimated first: a classifier of P against
-U ranks the texts, and the prior is the least ratio of U's to P's share above
-any of its scores (where no negatives are left, that ratio is the prior).
+U, learned on one half of the rows, ranks those of the other half, and the
+prior is the least ratio of U's to P's share above any score, each with one
+standard error added (where no negatives are left, that ratio is the prior).
 
 Null and empty texts have all counts zero and get a score like others. Labels
 that are null teach nothing; several labels of a document count each. Without
@@ -31,9 +34,11 @@ from .common import in_arrow, shingle_hashes, sorted_sets, span_hashes, stored,
 
 BINS = 12
 STEPS = 30
-RIDGE = 1e-3
+RIDGE = 1e-4
 #: The prior is read where at least this share of P lies above the score.
 LEAST_TAIL = 0.1
+#: Width of the round corner that the non-negative risk has at zero.
+ROUNDING = 0.01
 
 # Byte classes: 0 other, then those below, in this order.
 _CLASSES = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b"\n", b".", b",",
@@ -113,7 +118,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _sums(weights: np.ndarray, edges: list[np.ndarray]):
+def _sums(weights: np.ndarray, edges: list[np.ndarray], bounded: bool):
     """For the rows of each task, by kind (0 unlabelled, 1 positive): count,
     loss as a positive and as a negative, and their gradients."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,15 +129,16 @@ def _sums(weights: np.ndarray, edges: list[np.ndarray]):
             positive = batch.column(0).to_numpy(zero_copy_only=False)
             z = weights[code].sum(1) + weights[-1]
             up = _sigmoid(z)
+            losses = (1 - up, up) if bounded else (np.logaddexp(0, -z), np.logaddexp(0, z))
+            slopes = (up * (up - 1), up * (1 - up)) if bounded else (up - 1, up)
             for kind in (0, 1):
                 of = positive == kind
                 if of.any():
                     flat = code[of].ravel()
                     total[kind, 0] += of.sum()
-                    total[kind, 1] += np.logaddexp(0, -z[of]).sum()
-                    total[kind, 2] += np.logaddexp(0, z[of]).sum()
-                    total[kind, 3:3 + size] += np.bincount(flat, np.repeat(up[of] - 1, len(NAMES)), size)
-                    total[kind, 3 + size:] += np.bincount(flat, np.repeat(up[of], len(NAMES)), size)
+                    total[kind, 1:3] += losses[0][of].sum(), losses[1][of].sum()
+                    total[kind, 3:3 + size] += np.bincount(flat, np.repeat(slopes[0][of], len(NAMES)), size)
+                    total[kind, 3 + size:] += np.bincount(flat, np.repeat(slopes[1][of], len(NAMES)), size)
         flat = total.ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["k", "v"])
     return run
@@ -169,11 +175,12 @@ def _minimise(f: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray
     return x
 
 
-def _train(rows: DataFrame, edges: list[np.ndarray], risk: Callable) -> np.ndarray:
+def _train(rows: DataFrame, edges: list[np.ndarray], risk: Callable, bounded: bool,
+           start: np.ndarray | None = None) -> np.ndarray:
     size = len(NAMES) * BINS
 
     def f(weights):
-        got = (in_arrow(rows, _sums(weights, edges), "k int, v double").groupBy("k")
+        got = (in_arrow(rows, _sums(weights, edges, bounded), "k int, v double").groupBy("k")
                .agg(F.sum("v").alias("v")).toArrow())  # one row for each sum
         flat = np.zeros(2 * (3 + 2 * size))
         flat[got["k"].to_numpy()] = got["v"].to_numpy()
@@ -184,7 +191,7 @@ def _train(rows: DataFrame, edges: list[np.ndarray], risk: Callable) -> np.ndarr
         slope = np.r_[slope, slope[:BINS].sum()]
         return value + RIDGE / 2 * weights[:-1] @ weights[:-1], slope + RIDGE * np.r_[weights[:-1], 0]
 
-    return _minimise(f, np.zeros(size + 1), STEPS)
+    return _minimise(f, np.zeros(size + 1) if start is None else start, STEPS)
 
 
 def _apart(u, p):
@@ -193,10 +200,12 @@ def _apart(u, p):
 
 
 def non_negative_risk(prior: float) -> Callable:
+    """prior * risk(P) + max(0, negatives' risk), the maximum rounded off so
+    that its slope is continuous."""
     def risk(u, p):
         negative, slope = u[1] - prior * p[1], u[3] - prior * p[3]
-        value, gradient = prior * p[0], prior * p[2]
-        return (value + negative, gradient + slope) if negative >= 0 else (value, gradient)
+        held = _sigmoid(np.array(negative / ROUNDING))
+        return prior * p[0] + ROUNDING * np.logaddexp(0, negative / ROUNDING), prior * p[2] + held * slope
     return risk
 
 
@@ -218,7 +227,9 @@ def class_prior(scored: DataFrame) -> float:
         table[r["positive"], r["cell"]] = r["count"]
     above = table[:, ::-1].cumsum(1) / table.sum(1, keepdims=True)
     enough = above[1] >= LEAST_TAIL
-    return float(np.clip((above[0][enough] / above[1][enough]).min(), 0.01, 0.99))
+    u, p = above[0][enough], above[1][enough]
+    error = sum((1 - x) / np.maximum(x * n, 1) for x, n in ((u, table[0].sum()), (p, table[1].sum())))
+    return float(np.clip((u / p * (1 + np.sqrt(error))).min(), 0.01, 0.99))
 
 
 def score_quality(docs: DataFrame, positives: DataFrame, taught: DataFrame, keep: list[str]) -> DataFrame:
@@ -232,15 +243,19 @@ def score_quality(docs: DataFrame, positives: DataFrame, taught: DataFrame, keep
              .unionByName(positives.select("doc_id").withColumn("positive", F.lit(1)))
              .groupBy("doc_id").agg(F.max("positive").alias("positive")))
     numbers = table.select("doc_id", *NAMES).join(marks, "doc_id", "left")
-    training = stored(numbers.select(F.coalesce("positive", F.lit(0)).alias("positive"), *NAMES)
+    training = stored(numbers.select(F.coalesce("positive", F.lit(0)).alias("positive"),
+                                     (F.xxhash64("doc_id") % 2 == 0).alias("half"), *NAMES)
                       .filter("positive >= 0"), "quality-training")
+    first, other = (training.filter("half" if h else "not half").drop("half") for h in (True, False))
     at = [k / BINS for k in range(1, BINS)]
     cuts = table.approxQuantile(list(NAMES), at, 0.005)
     edges = [np.unique(np.array(c, np.float32)) for c in cuts]
-    sizes = {r["positive"]: r["count"] for r in training.groupBy("positive").count().collect()}
-    if len(sizes) < 2:
+    if training.groupBy("half", "positive").count().count() < 4:  # too few rows for two halves of both kinds
         return table.select(*keep).withColumn("score", F.lit(0.5))
-    apart = _train(training, edges, _apart)
-    prior = class_prior(in_arrow(training, _scores(apart, edges, 1), "positive int, score double"))
-    weights = _train(training, edges, non_negative_risk(prior))
+    apart = _train(first, edges, _apart, False)
+    prior = class_prior(in_arrow(other, _scores(apart, edges, 1), "positive int, score double"))
+    # The first classifier's score is the log of the ratio of P's to U's density:
+    # prior * exp(score) = 1 / 2 is the border to start from.
+    start = np.r_[apart[:-1], apart[-1] + np.log(2 * prior)]
+    weights = _train(training.drop("half"), edges, non_negative_risk(prior), True, start)
     return in_arrow(table.select(*keep, *NAMES), _scores(weights, edges, len(keep)), f"{kept}, score double")
