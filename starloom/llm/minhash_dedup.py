@@ -15,11 +15,12 @@ standard deviations; the rest is confirmed on the full sets.
 
 A band that many classes share does not become all its pairs. Its members are
 compared with a few hubs; what is then in one component needs no further
-link. While a band still joins different components, more hubs follow, until
-the pairs across components are no more than a small multiple of its members;
-these are then compared. So no link that would join two components is left out
-by any limit. (Classes that share a band but are no near copies of each other
-cost a round for each HUBS_A_ROUND members.)
+link. Bands that still join different components go on: where the pairs across
+components are few (FEW_PAIRS, or a small multiple of the members) all of them
+are compared; in the others more hubs follow, and from the second round on the
+members must agree in one more band to stay together (two sets of similarity
+0.8 agree in no other with a probability below 1e-5, as above). So no link that
+would join two components is left out by any limit on a band's size.
 
 Nulls, empty texts: empty set, linked with nothing. Rows of equal doc_id count
 as copies of one document. A null doc_id is linked with nothing.
@@ -45,9 +46,9 @@ _SHIFT = np.uint64(64 - int(np.log2(REGISTERS)))
 #: standard deviations of a mean of 512 registers at 0.8, 0.0177 each.
 MARGIN = 0.1
 HUBS_A_ROUND = 4
-#: For bands with pairs across components: these go in one round when they are
-#: at most so many times the band's members.
-PAIRS_A_MEMBER = 8
+#: Pairs across components of a band that go in one round: up to this many, or
+#: so many times its members.
+FEW_PAIRS, PAIRS_A_MEMBER = 2048, 8
 
 # Ranking of donor buckets for each empty bucket.
 _RANK = mix64(np.arange(REGISTERS * REGISTERS, dtype=np.uint64) + np.uint64(1 << 40)).reshape(
@@ -129,15 +130,23 @@ def _sketch(shingle: int):
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (id, size, regs, band, bands) with the key of what the set has in
+    common so far and the bit set of bands that it consists of, a row for each
+    further band."""
+    numbers = np.arange(BANDS, dtype=np.uint64)
     for batch in batches:
-        ids, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for lo in range(0, len(ids), 4096):
-            part = batch.column(2).slice(lo, 4096)
-            regs = bytes_rows(part)
-            keys = band_keys(regs)
+        for lo in range(0, len(batch), 4096):
+            part = batch.slice(lo, 4096)
+            before = part.column(3).to_numpy().view(np.uint64)
+            seen = part.column(4).to_numpy().view(np.uint64)
+            keys = mix64(band_keys(bytes_rows(part.column(2))) + before[:, None]) if before.any() else band_keys(
+                bytes_rows(part.column(2)))
+            row, k = np.nonzero((seen[:, None] >> numbers & np.uint64(1)) == 0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(ids[lo:lo + 4096], BANDS)),
-                 pa.array(np.repeat(sizes[lo:lo + 4096], BANDS).astype(np.int32))], ["band", "id", "size"])
+                [pa.array(keys[row, k].view(np.int64)), part.column(0).take(pa.array(row)),
+                 part.column(1).take(pa.array(row)),
+                 pa.array((seen[row] | np.uint64(1) << numbers[k]).view(np.int64))],
+                ["band", "id", "size", "bands"])
 
 
 def bytes_rows(column: pa.Array) -> np.ndarray:
@@ -186,11 +195,12 @@ def _open_bands(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     one component. few: the pairs across components are at most PAIRS_A_MEMBER
     for each member."""
     state = (buckets.join(labels, "id", "left")
-             .select("band", "id", "size", F.coalesce("component_id", "id").alias("label")))
+             .select("band", "id", "size", "bands", F.coalesce("component_id", "id").alias("label")))
     split = (state.groupBy("band", "label").agg(F.count("*").alias("k"))
              .groupBy("band").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"))
              .filter("all * all > same")
-             .select("band", F.expr(f"(all * all - same) / 2 <= {PAIRS_A_MEMBER} * all").alias("few")))
+             .select("band", F.expr(
+                 f"(all * all - same) / 2 <= greatest({FEW_PAIRS}, {PAIRS_A_MEMBER} * all)").alias("few")))
     return state.join(split, "band")
 
 
@@ -235,15 +245,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
     copies = (linkable.join(classes, ["n_shingles", "set_sum", "set_xor"]).filter("doc_id <> first")
               .select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
 
-    bands = in_arrow(own, _bands, "band long, id long, size int")
-    shared = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    buckets = stored(bands.join(shared, "band"), "minhash-bands")
+    def shared(sets_and_bands: DataFrame) -> DataFrame:
+        bands = in_arrow(sets_and_bands, _bands, "band long, id long, size int, bands long")
+        several = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+        return stored(bands.join(several, "band"), "minhash-bands")
+
+    own_rows = own.select(F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("size"), "regs")
+    buckets = shared(own_rows.withColumn("band", F.lit(0).cast("long")).withColumn("bands", F.lit(0).cast("long")))
     texts = stored(docs.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"),
                    "minhash-texts")
-    links = stored(copies, "minhash-links")
-    tested = None
+    labels = stored(components(copies), "minhash-labels")
+    tested, round_no = None, 0
     while True:
-        labels = stored(components(links), "minhash-labels")
         members = stored(_open_bands(buckets, labels), "minhash-open")
         if members.isEmpty():
             break
@@ -260,13 +273,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
         found = (likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
                  .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
                  .select("a", "b", "ta", "tb"))
-        found = in_arrow(found, _confirm(shingle, threshold), "a long, b long")
-        links = links.unionByName(stored(found, "minhash-links"))
+        found = stored(in_arrow(found, _confirm(shingle, threshold), "a long, b long"), "minhash-links")
+        if not found.isEmpty():
+            stars = labels.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
+            labels = stored(components(stars.unionByName(found)), "minhash-labels")
         tested = likely if tested is None else tested.unionByName(likely)
         # A hub has met its whole band; a band with few pairs is done.
-        buckets = stored(members.filter("not few").join(
+        buckets = members.filter("not few").join(
             hubs.select("band", F.col("hub").alias("id")), ["band", "id"], "left_anti")
-            .select("band", "id", "size"), "minhash-bands")
+        if round_no:
+            buckets = shared(buckets.join(own_rows.select("id", "regs"), "id")
+                             .select("id", "size", "regs", "band", "bands"))
+        else:
+            buckets = stored(buckets.select("band", "id", "size", "bands"), "minhash-bands")
+        round_no += 1
     return (sets.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
             .join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
