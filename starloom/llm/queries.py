@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .html_consensus import extract
 from .language_id import fold, identify
 from .minhash_dedup import near_duplicates
 from .quality import score_quality
@@ -30,6 +31,10 @@ def op1_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, train, ["doc_id", "held_out"])
 
 
+def op3_consensus_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def op4_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"))
@@ -49,6 +54,7 @@ def op9_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_naive_bayes_language": op1_naive_bayes_language,
+    "op3_consensus_html_text": op3_consensus_html_text,
     "op4_positive_unlabelled_quality": op4_positive_unlabelled_quality,
     "op7_hyperminhash_dedup": op7_hyperminhash_dedup,
     "op9_huffman_token_files": op9_huffman_token_files,
