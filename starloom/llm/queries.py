@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .embedding_dedup import near_vectors
 from .html_consensus import extract
 from .language_id import fold, identify
 from .minhash_dedup import near_duplicates
@@ -52,12 +53,17 @@ def op9_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op10_subspace_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), 0.93)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_naive_bayes_language": op1_naive_bayes_language,
     "op3_consensus_html_text": op3_consensus_html_text,
     "op4_positive_unlabelled_quality": op4_positive_unlabelled_quality,
     "op7_hyperminhash_dedup": op7_hyperminhash_dedup,
     "op9_huffman_token_files": op9_huffman_token_files,
+    "op10_subspace_embedding_dedup": op10_subspace_embedding_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
