@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .embedding_dedup import near_vectors
+from .fingerprints import fingerprint_edits
 from .html_consensus import extract
 from .language_id import fold, identify
 from .minhash_dedup import near_duplicates
@@ -32,6 +33,10 @@ def op1_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, train, ["doc_id", "held_out"])
 
 
+def op2_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op3_consensus_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"), ["page_id", "url"])
 
@@ -59,6 +64,7 @@ def op10_subspace_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_naive_bayes_language": op1_naive_bayes_language,
+    "op2_one_permutation_minhash": op2_one_permutation_minhash,
     "op3_consensus_html_text": op3_consensus_html_text,
     "op4_positive_unlabelled_quality": op4_positive_unlabelled_quality,
     "op7_hyperminhash_dedup": op7_hyperminhash_dedup,
