@@ -57,13 +57,16 @@ def bins(text: Column) -> Column:
         return F.filter(h, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(h, i - 1))))
 
     def densify(m: Column) -> Column:
-        at = F.map_from_arrays(F.transform(m, _bin), F.transform(m, lambda x: F.pmod(x, F.lit(1 << BITS)).cast("int")))
-        def donor(b: Column) -> Column:
-            return F.array_min(F.transform(m, lambda x: F.struct(F.xxhash64(b, _bin(x)), F.pmod(
-                x, F.lit(1 << BITS)).cast("int").alias("v"))))["v"]
-        return _let(at, lambda have: F.transform(
-            F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long")),
-            lambda b: F.coalesce(have[b], donor(b))))
+        low = (1 << BITS) - 1
+        # A bin and its value in one number; the donor of a bin is the one of least
+        # rank hash, whose low bits make room for the value.
+        pair = F.transform(m, lambda x: F.shiftleft(_bin(x), BITS).bitwiseOR(x.bitwiseAND(F.lit(low).cast("long"))))
+        value = lambda x: x.bitwiseAND(F.lit(low).cast("long")).cast("int")
+        return _let(pair, lambda pairs: _let(F.transform(pairs, lambda x: F.shiftright(x, BITS)), lambda have:
+            F.transform(F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long")), lambda b: _let(
+                F.array_position(have, b).cast("int"), lambda at: F.when(at > 0, value(F.get(pairs, at - 1))).otherwise(
+                    value(F.array_min(F.transform(pairs, lambda x: F.xxhash64(b, F.shiftright(x, BITS)).bitwiseAND(
+                        F.lit(~low).cast("long")).bitwiseOR(x.bitwiseAND(F.lit(low).cast("long")))))))))))
 
     return _let(words, lambda w: _let(hashes(w), lambda h: _let(least(h), lambda m: F.when(
         F.size(m) > 0, densify(m)).otherwise(F.array().cast("array<int>")))))
