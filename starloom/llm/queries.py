@@ -12,6 +12,7 @@ from .fingerprints import fingerprint_edits
 from .html_consensus import extract
 from .language_id import fold, identify
 from .minhash_dedup import near_duplicates
+from .mixing import mix
 from .quality import score_quality
 from .token_files import round_trip
 
@@ -50,6 +51,10 @@ def op4_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFra
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"), max_repeats=4.0)
+
+
 def op7_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, threshold=80)
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_one_permutation_minhash": op2_one_permutation_minhash,
     "op3_consensus_html_text": op3_consensus_html_text,
     "op4_positive_unlabelled_quality": op4_positive_unlabelled_quality,
+    "op6_temperature_mixing": op6_temperature_mixing,
     "op7_hyperminhash_dedup": op7_hyperminhash_dedup,
     "op9_huffman_token_files": op9_huffman_token_files,
     "op10_subspace_embedding_dedup": op10_subspace_embedding_dedup,
