@@ -28,6 +28,14 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every id has links to one lesser id only, and that one to none."""
+    ends = links.select(F.col("a").alias("u"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return (ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+            .filter("up > 1 or up + down > 1 and up > 0 and down > 0").isEmpty())
+
+
 def components(links: DataFrame) -> DataFrame:
     """`links` has columns a, b (long). Returns (id, component_id) for every id
     that has a link to another: the smallest id that links lead to. Links from
@@ -38,13 +46,7 @@ def components(links: DataFrame) -> DataFrame:
                                           F.least("a", "b").cast("long").alias("b")).distinct()
     path = shared_path(spark, "links")
     links = _write(links, path)
-    before = None
-    while True:
-        # The sum of a hash of every link tells whether the last step changed any.
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before or now[0] == 0:
-            break
-        before = now
+    while not _stars(links):
         older, path = path, shared_path(spark, "links")
         links = _write(_small_star(_large_star(links)), path)
         remove_path(spark, older)

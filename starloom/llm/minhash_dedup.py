@@ -13,14 +13,15 @@ that a band proposes, those whose sizes rule out the threshold go first, then
 those whose collision-corrected register estimate lies below it by over five
 standard deviations; the rest is confirmed on the full sets.
 
-A band that many classes share does not become all its pairs. Its members are
-compared with a few hubs; what is then in one component needs no further
-link. Bands that still join different components go on: where the pairs across
-components are few (FEW_PAIRS, or a small multiple of the members) all of them
-are compared; in the others more hubs follow, and from the second round on the
-members must agree in one more band to stay together (two sets of similarity
-0.8 agree in no other with a probability below 1e-5, as above). So no link that
-would join two components is left out by any limit on a band's size.
+A band that many classes share does not become all its pairs. Where its pairs
+are few they are all proposed; otherwise its members are compared with a few
+hubs first, and what is then in one component needs no further link. Bands that
+still join different components are settled in tiles of at most 2 * TILE members:
+a task compares the registers of members of different components (each pair
+in the first band that it agrees in), confirms the likely ones on their full
+sets, most alike first, while they are not yet connected, and returns only links
+that connect. So the rows that move stay in proportion to the members of
+bands, and no link that would join two components is left out by any limit.
 
 Nulls, empty texts: empty set, linked with nothing. Rows of equal doc_id count
 as copies of one document. A null doc_id is linked with nothing.
@@ -45,10 +46,10 @@ _SHIFT = np.uint64(64 - int(np.log2(REGISTERS)))
 #: An estimate this far below the threshold rules a pair out: over five
 #: standard deviations of a mean of 512 registers at 0.8, 0.0177 each.
 MARGIN = 0.1
-HUBS_A_ROUND = 4
-#: Pairs across components of a band that go in one round: up to this many, or
-#: so many times its members.
-FEW_PAIRS, PAIRS_A_MEMBER = 2048, 8
+HUBS = 4
+#: A band with at most so many pairs for each member has all of them compared.
+PAIRS_A_MEMBER = 4
+TILE = 1024
 
 # Ranking of donor buckets for each empty bucket.
 _RANK = mix64(np.arange(REGISTERS * REGISTERS, dtype=np.uint64) + np.uint64(1 << 40)).reshape(
@@ -130,101 +131,142 @@ def _sketch(shingle: int):
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (id, size, regs, band, bands) with the key of what the set has in
-    common so far and the bit set of bands that it consists of, a row for each
-    further band."""
-    numbers = np.arange(BANDS, dtype=np.uint64)
+    """A row for each band of each set (id, size, regs)."""
     for batch in batches:
         for lo in range(0, len(batch), 4096):
             part = batch.slice(lo, 4096)
-            before = part.column(3).to_numpy().view(np.uint64)
-            seen = part.column(4).to_numpy().view(np.uint64)
-            keys = mix64(band_keys(bytes_rows(part.column(2))) + before[:, None]) if before.any() else band_keys(
-                bytes_rows(part.column(2)))
-            row, k = np.nonzero((seen[:, None] >> numbers & np.uint64(1)) == 0)
+            keys = band_keys(bytes_rows(part.column(2)))
+            row = pa.array(np.repeat(np.arange(len(part)), BANDS))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[row, k].view(np.int64)), part.column(0).take(pa.array(row)),
-                 part.column(1).take(pa.array(row)),
-                 pa.array((seen[row] | np.uint64(1) << numbers[k]).view(np.int64))],
-                ["band", "id", "size", "bands"])
+                [pa.array(keys.ravel().view(np.int64)), part.column(0).take(row), part.column(1).take(row),
+                 pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(part)))], ["band", "id", "size", "no"])
 
 
 def bytes_rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), REGISTERS)
 
 
-def _likely(threshold: float):
+def _estimate(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    chance = collision_rate(na, nb)
+    return ((ra == rb).mean(1) - chance) / (1 - chance)
+
+
+def _likely(threshold: int):
     """Keeps pairs (a, b, na, nb, ra, rb) whose estimate does not rule them out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            equal = (bytes_rows(batch.column(4)) == bytes_rows(batch.column(5))).mean(1)
-            chance = collision_rate(na, nb)
-            estimate = (equal - chance) / (1 - chance)
-            keep = np.flatnonzero(estimate >= threshold - MARGIN)
-            yield batch.select([0, 1]).take(pa.array(keep))
+            if len(batch):
+                estimate = _estimate(bytes_rows(batch.column(4)), bytes_rows(batch.column(5)),
+                                     batch.column(2).to_numpy(), batch.column(3).to_numpy())
+                yield batch.select([0, 1]).take(pa.array(np.flatnonzero(estimate >= threshold / 100 - MARGIN)))
     return run
 
 
+def _sets(texts: pa.Array, shingle: int) -> list[frozenset]:
+    out = []
+    for lo, hi, hashes, owner in shingle_sets(texts, shingle):
+        cut = np.searchsorted(owner, np.arange(hi - lo + 1))
+        out += [frozenset(hashes[a:b].tolist()) for a, b in zip(cut[:-1], cut[1:])]
+    return out
+
+
+def _linked(x: frozenset, y: frozenset, threshold: int) -> bool:
+    both = len(x & y)
+    return both > 0 and 100 * both >= threshold * (len(x) + len(y) - both)
+
+
 def _confirm(shingle: int, threshold: int):
     """Keeps pairs (a, b, text_a, text_b) by exact comparison of their sets."""
-    def words(column: pa.Array) -> list[set]:
-        out = []
-        for text in column.to_pylist():
-            w = (text or "").encode().translate(bytes(LOWER)).split()
-            out.append({tuple(w[i:i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set())
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, len(batch), 256):
-                part = batch.slice(lo, 256)
-                keep = []
-                for i, (x, y) in enumerate(zip(words(part.column(2)), words(part.column(3)))):
-                    both = len(x & y)
-                    if x and y and 100 * both >= threshold * (len(x) + len(y) - both):
-                        keep.append(i)
+            for lo in range(0, len(batch), 2000):
+                part = batch.slice(lo, 2000)
+                ids = np.r_[part.column(0).to_numpy(), part.column(1).to_numpy()]
+                _, first, which = np.unique(ids, return_index=True, return_inverse=True)
+                texts = pa.concat_arrays([part.column(2), part.column(3)]).take(pa.array(first))
+                sets = _sets(texts, shingle)
+                n = len(part)
+                keep = [i for i in range(n) if _linked(sets[which[i]], sets[which[n + i]], threshold)]
                 yield part.select([0, 1]).take(pa.array(keep, pa.int64()))
     return run
 
 
-def _open_bands(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (band, id, size, label, few) of the bands that hold more than
-    one component. few: the pairs across components are at most PAIRS_A_MEMBER
-    for each member."""
-    state = (buckets.join(labels, "id", "left")
-             .select("band", "id", "size", "bands", F.coalesce("component_id", "id").alias("label")))
-    split = (state.groupBy("band", "label").agg(F.count("*").alias("k"))
-             .groupBy("band").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"))
-             .filter("all * all > same")
-             .select("band", F.expr(
-                 f"(all * all - same) / 2 <= greatest({FEW_PAIRS}, {PAIRS_A_MEMBER} * all)").alias("few")))
-    return state.join(split, "band")
+def _settle(shingle: int, threshold: int):
+    """Within one tile of an open band: links that connect members of
+    different components."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id").combine_chunks()
+        ids, size, label = (table[c].to_numpy() for c in ("id", "size", "label"))
+        side, no = table["side"].to_numpy(), table["no"][0].as_py()
+        two = side.min() != side.max()
+        regs = bytes_rows(table["regs"].chunk(0))
+        keys = band_keys(regs)
+        found = []
+        rows = max(1, (1 << 24) // max(1, BANDS * len(ids)))
+        for lo in range(0, len(ids), rows):
+            r = np.arange(lo, min(len(ids), lo + rows))
+            pair = (label[r][:, None] != label) & (r[:, None] < np.arange(len(ids)))
+            pair &= 100 * np.minimum(size[r][:, None], size) >= threshold * np.maximum(size[r][:, None], size)
+            if two:
+                pair &= side[r][:, None] != side
+            i, j = np.nonzero(pair)
+            i = r[i]
+            if no and len(i):
+                fresh = np.concatenate([~(keys[i[k:k + 50000], :no] == keys[j[k:k + 50000], :no]).any(1)
+                                        for k in range(0, len(i), 50000)])
+                i, j = i[fresh], j[fresh]
+            for k in range(0, len(i), 10000):
+                a, b = i[k:k + 10000], j[k:k + 10000]
+                estimate = _estimate(regs[a], regs[b], size[a], size[b])
+                ok = estimate >= threshold / 100 - MARGIN
+                found.append((estimate[ok], a[ok], b[ok]))
+        out_a, out_b = [], []
+        if sum(len(f[0]) for f in found):
+            estimate, a, b = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(-estimate, kind="stable")
+            of = np.unique(np.r_[a, b])
+            sets = dict(zip(of.tolist(), _sets(table["text"].chunk(0).take(pa.array(of)), shingle)))
+            root: dict[int, int] = {}
+
+            def find(x):
+                while root.get(x, x) != x:
+                    x = root[x]
+                return x
+
+            for i, j in zip(a[order].tolist(), b[order].tolist()):
+                x, y = find(int(label[i])), find(int(label[j]))
+                if x != y and _linked(sets[i], sets[j], threshold):
+                    root[max(x, y)] = min(x, y)
+                    out_a.append(int(ids[i]))
+                    out_b.append(int(ids[j]))
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+    return run
 
 
-def _hubs(members: DataFrame) -> DataFrame:
-    """Up to HUBS_A_ROUND members of each band that has many open pairs."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(HUBS_A_ROUND))
-    return (members.filter("not few").groupBy("band", slot.alias("slot"))
-            .agg(F.min(F.struct("id", "size", "label")).alias("h"))
-            .select("band", F.col("h.id").alias("hub"), F.col("h.size").alias("hub_size"),
-                    F.col("h.label").alias("hub_label")))
-
-
-def _pairs(members: DataFrame, hubs: DataFrame, threshold: int) -> DataFrame:
-    """Pairs across components to compare: with the hubs, or all in bands that
-    have few of them."""
-    others = members.filter("few").select("band", F.col("id").alias("hub"), F.col("size").alias("hub_size"),
-                                          F.col("label").alias("hub_label"))
-    found = (members.filter("not few").join(hubs, "band")
-             .unionByName(members.filter("few").join(others, "band").filter("id > hub")))
-    return (found.filter("label <> hub_label")
-            .filter(f"100 * least(size, hub_size) >= {threshold} * greatest(size, hub_size)")
+def _first_pairs(buckets: DataFrame, threshold: int) -> DataFrame:
+    """All pairs of small bands, pairs with up to HUBS hubs of the others."""
+    counted = buckets.select("band", "id", "size", (F.col("n") - 1 <= 2 * PAIRS_A_MEMBER).alias("few"))
+    slot = F.pmod(F.xxhash64("id"), F.lit(HUBS))
+    hubs = (counted.filter("not few").groupBy("band", slot.alias("slot")).agg(F.min(F.struct("id", "size")).alias("h"))
+            .select("band", F.col("h.id").alias("hub"), F.col("h.size").alias("hub_size")))
+    few = counted.filter("few")
+    pairs = (counted.filter("not few").join(hubs, "band").filter("id <> hub")
+             .unionByName(few.join(few.select("band", F.col("id").alias("hub"), F.col("size").alias("hub_size")), "band")
+                          .filter("id > hub")))
+    return (pairs.filter(f"100 * least(size, hub_size) >= {threshold} * greatest(size, hub_size)")
             .select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct())
 
 
+def _open_bands(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (band, no, id, size, label, n) of the large bands that hold more
+    than one component."""
+    state = (buckets.filter(F.col("n") - 1 > 2 * PAIRS_A_MEMBER).join(labels, "id", "left")
+             .select("band", "no", "id", "size", "n", F.coalesce("component_id", "id").alias("label")))
+    split = (state.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+             .filter("low < high").select("band"))
+    return state.join(split, "band")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> DataFrame:
     """`docs` has doc_id, text. Returns (doc_id, n_shingles, component_id,
     kept) for each document: component_id is the least doc_id that links lead
@@ -242,52 +284,41 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
     own = stored(linkable.join(classes, ["n_shingles", "set_sum", "set_xor"])
                  .filter("doc_id = first").dropDuplicates(["doc_id", "set_sum", "set_xor"])
                  .select("doc_id", "n_shingles", "regs"), "minhash-classes")
-    copies = (linkable.join(classes, ["n_shingles", "set_sum", "set_xor"]).filter("doc_id <> first")
-              .select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
-
-    def shared(sets_and_bands: DataFrame) -> DataFrame:
-        bands = in_arrow(sets_and_bands, _bands, "band long, id long, size int, bands long")
-        several = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-        return stored(bands.join(several, "band"), "minhash-bands")
-
     own_rows = own.select(F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("size"), "regs")
-    buckets = shared(own_rows.withColumn("band", F.lit(0).cast("long")).withColumn("bands", F.lit(0).cast("long")))
+    bands = in_arrow(own_rows, _bands, "band long, id long, size int, no int")
+    shared = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = stored(bands.join(shared, "band"), "minhash-bands")
     texts = stored(docs.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"),
                    "minhash-texts")
-    labels = stored(components(copies), "minhash-labels")
-    tested, round_no = None, 0
-    while True:
-        members = stored(_open_bands(buckets, labels), "minhash-open")
-        if members.isEmpty():
-            break
-        hubs = _hubs(members)
-        pairs = _pairs(members, hubs, threshold)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        likely = (pairs.join(own.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"),
-                                        F.col("regs").alias("ra")), "a")
-                  .join(own.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"),
-                                   F.col("regs").alias("rb")), "b")
-                  .select("a", "b", "na", "nb", "ra", "rb"))
-        likely = stored(in_arrow(likely, _likely(threshold / 100), "a long, b long"), "minhash-likely")
-        found = (likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-                 .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-                 .select("a", "b", "ta", "tb"))
-        found = stored(in_arrow(found, _confirm(shingle, threshold), "a long, b long"), "minhash-links")
-        if not found.isEmpty():
-            stars = labels.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
-            labels = stored(components(stars.unionByName(found)), "minhash-labels")
-        tested = likely if tested is None else tested.unionByName(likely)
-        # A hub has met its whole band; a band with few pairs is done.
-        buckets = members.filter("not few").join(
-            hubs.select("band", F.col("hub").alias("id")), ["band", "id"], "left_anti")
-        if round_no:
-            buckets = shared(buckets.join(own_rows.select("id", "regs"), "id")
-                             .select("id", "size", "regs", "band", "bands"))
-        else:
-            buckets = stored(buckets.select("band", "id", "size", "bands"), "minhash-bands")
-        round_no += 1
+
+    sides = [own.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
+             for x in "ab"]
+    likely = (_first_pairs(buckets, threshold).join(sides[0], "a").join(sides[1], "b")
+              .select("a", "b", "na", "nb", "ra", "rb"))
+    likely = stored(in_arrow(likely, _likely(threshold), "a long, b long"), "minhash-likely")
+    found = (likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
+             .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+             .select("a", "b", "ta", "tb"))
+    labels = stored(components(in_arrow(found, _confirm(shingle, threshold), "a long, b long")), "minhash-labels")
+
+    open_ = stored(_open_bands(buckets, labels), "minhash-open")
+    tiles = F.ceil(F.col("n") / TILE).cast("int")
+    own_tile = F.pmod(F.xxhash64("id"), tiles).cast("int")
+    placed = (open_.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1))).withColumn("own", own_tile)
+              .select("band", "no", "id", "size", "label", F.least("own", "other").alias("i"),
+                      F.greatest("own", "other").alias("j"), F.col("own").alias("side"))
+              .join(own_rows.select("id", "regs"), "id")
+              .join(texts.select(F.col("doc_id").alias("id"), "text"), "id"))
+    more = stored(placed.groupBy("band", "i", "j").applyInArrow(_settle(shingle, threshold), "a long, b long"),
+                  "minhash-links")
+    if not more.isEmpty():
+        stars = labels.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
+        labels = stored(components(stars.unionByName(more)), "minhash-labels")
+    # A document's component is that of its class.
+    member = (linkable.join(classes, ["n_shingles", "set_sum", "set_xor"]).select("doc_id", "first")
+              .join(labels.withColumnRenamed("id", "first"), "first", "left")
+              .select("doc_id", F.coalesce("component_id", "first").alias("component_id")))
     return (sets.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
-            .join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+            .join(member.groupBy("doc_id").agg(F.min("component_id").alias("component_id")), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
