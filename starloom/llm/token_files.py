@@ -21,6 +21,7 @@ empty files.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -49,8 +50,16 @@ class PieceEncoder:
     """Ids of texts, with a cache of pieces between blanks."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # Bytes that an id stands for (byte-level vocabularies write a byte as a character).
+        size = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            size[i] = len(token)
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            size[i] = len(token.content.encode())
+        self.id_bytes = size
         self.clear()
 
     def clear(self) -> None:
@@ -59,14 +68,24 @@ class PieceEncoder:
         self.flat = np.array([END_ID], np.uint32)
         self.start, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
 
-    def _learn(self, into: dict[str, int], pieces: set[str], before: str) -> None:
-        pieces = list(pieces)
-        got = [e.ids for e in self.tokenizer.encode_batch([before + p for p in pieces], add_special_tokens=False)]
-        size = np.array([len(x) for x in got], np.int64)
+    def _add(self, into: dict[str, int], pieces: list[str], ids: np.ndarray, size: np.ndarray) -> None:
         into.update(zip(pieces, range(len(self.size), len(self.size) + len(pieces))))
-        start = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.r_[self.flat, np.array([i for x in got for i in x], np.uint32)]
-        self.start, self.size = np.r_[self.start, start], np.r_[self.size, size]
+        self.start = np.r_[self.start, len(self.flat) + np.cumsum(size) - size]
+        self.flat, self.size = np.r_[self.flat, ids], np.r_[self.size, size]
+
+    def _learn_heads(self, pieces: list[str]) -> None:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        self._add(self.heads, pieces, np.array([i for x in got for i in x], np.uint32),
+                  np.array([len(x) for x in got], np.int64))
+
+    def _learn_others(self, pieces: list[str]) -> None:
+        """Many pieces are one text to the library, a blank before each; as the
+        cuts are clean, each gets the ids that it has alone."""
+        joined = ["".join([" " + p for p in pieces[k:k + 1000]]) for k in range(0, len(pieces), 1000)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(
+            joined, add_special_tokens=False)])
+        until = np.searchsorted(np.cumsum(self.id_bytes[ids]), np.cumsum([len(p.encode()) + 1 for p in pieces]), "right")
+        self._add(self.others, pieces, ids, np.diff(np.r_[0, until]))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, END_ID after each, and their counts."""
@@ -76,10 +95,10 @@ class PieceEncoder:
         heads = [c[0] for c in cut]
         new = {h for h in heads if h not in self.heads}
         if new:
-            self._learn(self.heads, new, "")
-        new = set().union(*cut).difference(self.others)
+            self._learn_heads(list(new))
+        new = set().union(*(c[1:] for c in cut)).difference(self.others)
         if new:
-            self._learn(self.others, new, " ")
+            self._learn_others(list(new))
         others = self.others
         order: list[int] = []
         for c in cut:
