@@ -14,6 +14,7 @@ from .language_id import fold, identify
 from .minhash_dedup import near_duplicates
 from .mixing import mix
 from .quality import score_quality
+from .sentence_pieces import round_trip as piece_round_trip
 from .token_files import round_trip
 
 
@@ -51,6 +52,10 @@ def op4_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFra
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op5_viterbi_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"), max_repeats=4.0)
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_one_permutation_minhash": op2_one_permutation_minhash,
     "op3_consensus_html_text": op3_consensus_html_text,
     "op4_positive_unlabelled_quality": op4_positive_unlabelled_quality,
+    "op5_viterbi_sentence_pieces": op5_viterbi_sentence_pieces,
     "op6_temperature_mixing": op6_temperature_mixing,
     "op7_hyperminhash_dedup": op7_hyperminhash_dedup,
     "op9_huffman_token_files": op9_huffman_token_files,
