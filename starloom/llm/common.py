@@ -131,13 +131,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray,
+                symbol: np.ndarray = _SYMBOL) -> np.ndarray:
     """64-bit hashes of data[start:end] for many spans: a polynomial hash, by
-    differences of one running sum (arithmetic mod 2**64)."""
+    differences of one running sum (arithmetic mod 2**64). Other constants for
+    the byte values (`symbol`) give an independent hash."""
     up, down = _powers(len(data) + 1)
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_SYMBOL[data] * up[:-1], out=total[1:])
+    np.cumsum(symbol[data] * up[:-1], out=total[1:])
     return mix64((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 

@@ -15,6 +15,7 @@ from .minhash_dedup import near_duplicates
 from .mixing import mix
 from .quality import score_quality
 from .sentence_pieces import round_trip as piece_round_trip
+from .suffix_dedup import repeat_digests
 from .token_files import round_trip
 
 
@@ -64,6 +65,10 @@ def op7_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, threshold=80)
 
 
+def op8_induced_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(_table(spark, sf_dir, "documents"))
+
+
 def op9_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_viterbi_sentence_pieces": op5_viterbi_sentence_pieces,
     "op6_temperature_mixing": op6_temperature_mixing,
     "op7_hyperminhash_dedup": op7_hyperminhash_dedup,
+    "op8_induced_suffix_dedup": op8_induced_suffix_dedup,
     "op9_huffman_token_files": op9_huffman_token_files,
     "op10_subspace_embedding_dedup": op10_subspace_embedding_dedup,
 }
