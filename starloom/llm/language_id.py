@@ -146,3 +146,24 @@ def identify(docs: DataFrame, train: DataFrame, keep: list[str]) -> DataFrame:
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
     return in_arrow(rows, _score(model), f"{schema}, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of `docs`, all their columns, whose text is of a known language
+    with a score of `least` or more, learned from the rows' own text and lang.
+    Without any lang to learn from, rows whose text has a letter are kept."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs.select("text", "lang")))
+    if not model.value[0]:
+        return docs.filter(F.coalesce(F.regexp_count(F.col("text"), F.lit(r"\p{L}")) > 0, F.lit(False)))
+    return in_arrow(docs, _known(model, least), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+
+
+def _known(model, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([batch.column("text")], ["text"])
+            for scored in _score(model)(iter([texts])):
+                keep = np.array([name != UNKNOWN for name in scored.column(0).to_pylist()], bool)
+                keep &= scored.column(1).to_numpy() >= least
+                yield batch.take(pa.array(np.flatnonzero(keep)))
+    return run

@@ -322,3 +322,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
             .join(member.groupBy("doc_id").agg(F.min("component_id").alias("component_id")), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def keep_firsts(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> DataFrame:
+    """The rows of `docs`, all their columns, less near copies of a document of
+    smaller doc_id. Of rows that repeat a doc_id one is kept."""
+    dropped = near_duplicates(docs, shingle, threshold).filter("not kept").select(F.col("doc_id").alias("_dropped"))
+    kept = docs.join(dropped, docs["doc_id"].cast("long") == F.col("_dropped"), "left_anti")
+    if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    return named.unionByName(kept.filter("doc_id is null"))
