@@ -38,7 +38,7 @@ MAX_BITS = 18
 BLOCK_IDS = 1 << 20
 STRIDE = 256
 #: Pieces that a worker remembers before it starts anew.
-CACHE_PIECES = 1 << 19
+CACHE_PIECES = 1 << 20
 STEP = 1 << 19
 END_ID = 0
 
@@ -65,13 +65,19 @@ class PieceEncoder:
     def clear(self) -> None:
         self.heads: dict[str, int] = {}    # pieces at the start of a text
         self.others: dict[str, int] = {}   # pieces after a blank
-        self.flat = np.array([END_ID], np.uint32)
-        self.start, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.flat = np.full(1 << 16, END_ID, np.uint32)
+        self.until = np.ones(1 << 14, np.int64)  # ends of the pieces' ids in `flat`
+        self.known, self.filled = 1, 1           # piece 0 is the end id
 
     def _add(self, into: dict[str, int], pieces: list[str], ids: np.ndarray, size: np.ndarray) -> None:
-        into.update(zip(pieces, range(len(self.size), len(self.size) + len(pieces))))
-        self.start = np.r_[self.start, len(self.flat) + np.cumsum(size) - size]
-        self.flat, self.size = np.r_[self.flat, ids], np.r_[self.size, size]
+        into.update(zip(pieces, range(self.known, self.known + len(pieces))))
+        while self.filled + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, self.flat])
+        while self.known + len(pieces) > len(self.until):
+            self.until = np.concatenate([self.until, self.until])
+        self.flat[self.filled:self.filled + len(ids)] = ids
+        self.until[self.known:self.known + len(pieces)] = self.filled + np.cumsum(size)
+        self.known, self.filled = self.known + len(pieces), self.filled + len(ids)
 
     def _learn_heads(self, pieces: list[str]) -> None:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -89,7 +95,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, END_ID after each, and their counts."""
-        if len(self.size) > CACHE_PIECES:
+        if self.known > CACHE_PIECES:
             self.clear()
         cut = [(_CUT.split(t) if _UNCLEAR.search(t) else t.split(" ")) for t in texts]
         heads = [c[0] for c in cut]
@@ -106,9 +112,9 @@ class PieceEncoder:
             order.extend(map(others.__getitem__, c[1:]) if len(c) > 1 else ())
             order.append(0)
         at = np.array(order, np.int64)
-        size = self.size[at]
+        size = self.until[at] - np.where(at > 0, self.until[at - 1], 0)
         end = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[at] - end + size, size) + np.arange(end[-1])]
+        ids = self.flat[np.repeat(self.until[at] - end, size) + np.arange(end[-1])]
         last = np.cumsum([len(c) + 1 for c in cut]) - 1
         return ids, np.diff(np.r_[0, end[last]])
 
