@@ -22,8 +22,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from starloom import conf
 from starloom.plans.daily_run import run_daily
 from starloom.session import RECOMMENDED_CONF, ensure_checkpoint_dir
+from starloom.sources.publish import truncate_load
 from starloom.sources.tables import table_reader
 
 
@@ -50,13 +52,30 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--run-id", default=None)
     parser.add_argument("--fact-version", choices=("current", "as_of"), default="current",
                         help="dimension version a fact row points to")
+    parser.add_argument("--source-flag", default=conf.DELETED_FLAG,
+                        help="the source's soft-delete column")
+    parser.add_argument("--source-metadata", default="",
+                        help="comma-separated replication columns to drop")
+    parser.add_argument("--keep-snapshots", type=int, default=None,
+                        help="snapshots of each published table that stay")
+    parser.add_argument("--mirror-format", default=None,
+                        help="copy every table with this connector, e.g. jdbc")
+    parser.add_argument("--mirror-prefix", default="", help="put before table names in the copy")
+    parser.add_argument("--mirror-option", action="append", default=[], metavar="KEY=VALUE",
+                        help="connector option; repeatable")
     args = parser.parse_args(argv)
 
     spark = _session()
     read = table_reader(spark, database=args.source_database, fmt=args.source_format,
-                        root=args.source_root)
+                        root=args.source_root, flag=args.source_flag,
+                        metadata=[c for c in args.source_metadata.split(",") if c])
+    options = dict(o.split("=", 1) for o in args.mirror_option)
+
+    def mirror(name, df):
+        truncate_load(df, f"{args.mirror_prefix}{name}", args.mirror_format, options)
     result = run_daily(spark, read, args.target, args.load_date, run_id=args.run_id,
-                       fact_version=args.fact_version)
+                       fact_version=args.fact_version, keep_snapshots=args.keep_snapshots,
+                       mirror=mirror if args.mirror_format else None)
     print(json.dumps({"run_id": result.run_id, "rows": result.rows,
                       "watermarks": {k: str(v) for k, v in result.watermarks.items()},
                       "fact_partitions_written": [str(p) for p in result.rewritten_partitions]}))

@@ -43,5 +43,5 @@ def drop_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.drop(*list(cols))
 
 
-def drop_metadata(df: DataFrame, cols: Iterable[str] = conf.SYNC_METADATA_COLUMNS) -> DataFrame:
+def drop_metadata(df: DataFrame, cols: Iterable[str] = (conf.DELETED_FLAG,)) -> DataFrame:
     return drop_columns(df, cols)

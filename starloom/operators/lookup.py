@@ -7,8 +7,9 @@ estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
 re-plans from real shuffle sizes, splitting skewed partitions of the driving
 side (a hot key, or the NULL keys of an optional reference, which all hash to
 one partition). ``broadcast=True`` asks for a broadcast explicitly, but only
-after checking the side's rows against ``starloom.join.broadcastMaxRows``
-(a row count the caller already knows, or one counting job); a larger side
+after checking the side's size against ``starloom.join.broadcastMaxBytes``
+(its row count, known to the caller or from one counting job, times the
+estimated width of a row); a larger side
 falls back to a shuffle join.
 """
 
@@ -18,15 +19,22 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom import conf
 
 
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes of a row: fixed widths, 64 for text and nested values."""
+    wide = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+    return 16 + sum(64 if isinstance(f.dataType, wide) else 8 for f in df.schema)
+
+
 def _side(dim: DataFrame, broadcast: bool | str, known_rows: int | None = None) -> DataFrame:
     if broadcast is True:
-        limit = conf.tunable(dim.sparkSession, conf.BROADCAST_MAX_ROWS)
+        limit = conf.tunable(dim.sparkSession, conf.BROADCAST_MAX_BYTES)
         rows = dim.count() if known_rows is None else known_rows
-        if rows <= limit:
+        if rows * row_width(dim) <= limit:
             return F.broadcast(dim)
     return dim
 
@@ -75,7 +83,7 @@ def dim_side(dim: DataFrame, dim_key: str, out_col: str, version: str = "current
 def checked_side(side: DataFrame, broadcast: bool | str = "auto",
                  known_rows: int | None = None) -> DataFrame:
     """Mark a lookup side for broadcast when asked and its row count is under
-    ``starloom.join.broadcastMaxRows``; otherwise leave the choice to the
+    ``starloom.join.broadcastMaxBytes``; otherwise leave the choice to the
     planner and AQE. ``known_rows`` (an upper bound the caller already has,
     e.g. the dimension's row count) saves the counting job."""
     return _side(side, broadcast, known_rows)

@@ -26,8 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom import conf
-from starloom.functions.scalar import (date_literal, format_date, row_fingerprint,
-                                      row_fingerprint_safe)
+from starloom.functions.scalar import date_literal, row_fingerprint, row_fingerprint_safe
 from starloom.operators.keys import assign_surrogate_keys, max_surrogate_key
 from starloom.session import materialize, run_concurrently
 
@@ -66,14 +65,6 @@ def check_unique_key(df: DataFrame, key: str) -> int:
     return rows
 
 
-def validity_as_text(history: DataFrame) -> DataFrame:
-    """The history with its validity dates as ``yyyy-MM-dd`` text (the open
-    end is ``9999-12-31``), for consumers that expect string dates."""
-    return history.withColumns({
-        c: format_date(conf.EFFECTIVE_COL if c == conf.EFFECTIVE_COL else conf.EXPIRATION_COL)
-        for c in (conf.EFFECTIVE_COL, conf.EXPIRATION_COL)})
-
-
 def open_rows(history: DataFrame) -> DataFrame:
     return history.filter(F.col(conf.CURRENT_COL) == F.lit(True))
 
@@ -162,9 +153,8 @@ def scd2_merge(history: DataFrame, current: DataFrame, key: str, tracked: Sequen
     open_h = open_rows(history)
     # Closed history passes through; a NULL flag is kept as history too.
     closed_h = history.filter(~F.coalesce(F.col(conf.CURRENT_COL) == F.lit(True), F.lit(False)))
-    cls = scd2_classify(open_h, current, key, tracked, fingerprint)
-    if rows is not None and rows > conf.tunable(current.sparkSession, conf.MATERIALIZE_MIN_ROWS):
-        cls = materialize(cls)
+    # Read by the key numbering and by both outputs: the join runs once.
+    cls = materialize(scd2_classify(open_h, current, key, tracked, fingerprint))
 
     action = F.col("action")
     is_nochange = action == F.lit(conf.NOCHANGE)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from starloom import conf
 from starloom.operators.cdc import live_rows, newest_per_key
+from starloom.session import materialize
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -26,7 +27,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str],
     ``source``. With ``order_cols`` the source is first reduced to its
     greatest row per key (remaining columns break ties)."""
     keys = _keys(key)
-    src = newest_per_key(source, keys, order_cols) if order_cols else source
+    # Read twice (keys removed, rows added): computed once.
+    src = materialize(newest_per_key(source, keys, order_cols) if order_cols else source)
     untouched = target.join(src.select(*keys), keys, "left_anti")
     return untouched.unionByName(src.select(*target.columns))
 
@@ -37,7 +39,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str | Sequence[str
     a live newest row (flag false) replaces the target's rows for that key, a
     deleted one (flag true or NULL) removes them."""
     keys = _keys(key)
-    newest = newest_per_key(changes, keys, order_cols)
+    newest = materialize(newest_per_key(changes, keys, order_cols))
     untouched = target.join(newest.select(*keys), keys, "left_anti")
     arriving = live_rows(newest, flag).select(*target.columns)
     return untouched.unionByName(arriving)

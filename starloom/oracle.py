@@ -50,12 +50,12 @@ VIEWS: dict[str, str] = {
     "production_product": "select p_partkey as productid, p_name as name, concat('PN-', cast(p_partkey as varchar(20))) as productnumber, case when p_partkey % 8 = 3 then null else split_part(p_name, ' ', 1) end as color, case when p_partkey % 9 = 0 then null else p_size end as productsubcategoryid, case when p_partkey % 13 = 0 then true when p_partkey % 17 = 0 then null else false end as _deleted from part",
     "production_productsubcategory": "select distinct p_size as productsubcategoryid, concat('Sub_', cast(p_size as varchar(9))) as name, p_size % 7 as productcategoryid, p_size % 10 = 3 as _deleted from part",
     "production_productcategory": "select distinct p_size % 7 as productcategoryid, concat('Cat_', cast(p_size % 7 as varchar(9))) as name, p_size % 7 = 2 as _deleted from part where p_size % 7 < 6",
-    "sales_customer": "select c_custkey as customerid, case when c_custkey % 4 <> 0 then c_custkey + 100000 end as personid, case when c_custkey % 3 = 0 then c_custkey % 10 end as storeid, case when c_custkey % 13 = 0 then true when c_custkey % 17 = 0 then null else false end as _deleted from customer",
+    "sales_customer": "select c_custkey as customerid, case when c_custkey % 4 <> 0 then c_custkey + 100000 end as personid, case when c_custkey % 3 = 0 then c_custkey // 15 end as storeid, case when c_custkey % 13 = 0 then true when c_custkey % 17 = 0 then null else false end as _deleted from customer",
     "person_person": "select c_custkey + 100000 as businessentityid, case when c_custkey % 50 = 1 then null else c_name end as firstname, case when c_custkey % 2 = 0 then 'M' end as middlename, case when c_custkey % 50 = 1 then null else c_mktsegment end as lastname, c_custkey % 29 = 0 as _deleted from customer",
     "sales_store": "select s_suppkey as businessentityid, s_name as name, s_suppkey % 7 = 6 as _deleted from supplier",
-    "sales_salesorderheader": "select o_orderkey as salesorderid, o_custkey as customerid, case when o_orderkey % 5 <> 0 then o_custkey % 200 end as creditcardid, o_custkey as shiptoaddressid, case when o_orderkey % 40 = 39 then null else cast(o_orderkey % 8 as int) end as status, o_orderdate as orderdate, o_orderdate as modifieddate, case when o_orderkey % 13 = 0 then true when o_orderkey % 17 = 0 then null else false end as _deleted from orders",
+    "sales_salesorderheader": "select o_orderkey as salesorderid, o_custkey as customerid, case when o_orderkey % 5 <> 0 then o_custkey end as creditcardid, o_custkey as shiptoaddressid, case when o_orderkey % 40 = 39 then null else cast(o_orderkey % 8 as int) end as status, o_orderdate as orderdate, o_orderdate as modifieddate, case when o_orderkey % 13 = 0 then true when o_orderkey % 17 = 0 then null else false end as _deleted from orders",
     "sales_salesorderdetail": "select l_orderkey as salesorderid, l_partkey * 100000 + l_suppkey * 10 + l_linenumber as salesorderdetailid, l_partkey as productid, cast(l_quantity as int) as orderqty, cast(l_extendedprice as decimal(12,2)) as unitprice, l_shipdate as modifieddate, case when l_orderkey % 13 = 0 then true when l_orderkey % 17 = 0 then null else false end as _deleted from lineitem",
-    "sales_creditcard": "select p_partkey as creditcardid, p_type as cardtype, p_partkey % 23 = 0 as _deleted from part where p_partkey < 200",
+    "sales_creditcard": "select p_partkey as creditcardid, p_type as cardtype, p_partkey % 23 = 0 as _deleted from part",
     "date_src": "select d as date_day, cast(d - interval '1' day as date) as prior_date_day, cast(d + interval '1' day as date) as next_date_day, cast(d - interval '12' month as date) as prior_year_date_day, cast(d - interval '364' day as date) as prior_year_over_year_date_day, cast(extract(doy from d) as int) as day_of_year, cast(extract(day from d) as int) as day_of_month, cast((datediff('day', date '1995-01-01', d)) % 7 + 1 as int) as day_of_week, case (datediff('day', date '1995-01-01', d)) % 7 when 0 then 'Sunday' when 1 then 'Monday' when 2 then 'Tuesday' when 3 then 'Wednesday' when 4 then 'Thursday' when 5 then 'Friday' else 'Saturday' end as day_of_week_name, extract(day from d) = 31 as _deleted from (select distinct cast(o_orderdate as date) as d from orders) x",
     # -- staging -----------------------------------------------------------------
     "stg_dim_address": """select a.addressid, a.city as city_name, s.name as state_name, c.name as country_name
@@ -226,7 +226,7 @@ _RAW: dict[str, str] = {
     "scd2_changes_only": "select key as customerid, action from customer_classified where action <> 'NOCHANGE'",
     "project_alias": "select salesorderid, customerid, status as order_status, shiptoaddressid as ship_to from sales_salesorderheader",
     "conform_columns": f"""select {', '.join(CUST_COLS)}, cast(0 as bigint) as sk_id, date '{sc.MERGE_LOAD_DATE}' as effective_date,
-        date '{OPEN}' as expiration_date, true as current_flag from customer_batch2""",
+        date '{OPEN}' as expiration_date, true as current_flag from stg_dim_customer""",
     "rename_suffix": "select creditcardid as creditcardid_current, cardtype as cardtype_current from stg_dim_credit_card",
     "dim_date": f"""select {sk_hash(['date_day'])} as date_key, prior_year_over_year_date_day, next_date_day, day_of_year,
         date_day, day_of_month, prior_date_day, day_of_week, day_of_week_name, prior_year_date_day from stg_date""",
@@ -266,8 +266,8 @@ _RAW: dict[str, str] = {
           select 1 from customer_history h where h.current_flag = true and h.customerid = b.customerid)""",
     "union_by_name": "select * from customer_history",
     "fn_full_name": "select businessentityid, concat_ws(' ', firstname, middlename, lastname) as fullname from person_person where _deleted = false",
-    "fn_row_fingerprint": f"select customerid, {fp_plain(TRACKED)} as hash_md5 from customer_batch2",
-    "fn_row_fingerprint_safe": f"select customerid, {fp_safe(TRACKED)} as hash_md5 from customer_batch2",
+    "fn_row_fingerprint": f"select customerid, {fp_plain(TRACKED)} as hash_md5 from stg_dim_customer",
+    "fn_row_fingerprint_safe": f"select customerid, {fp_safe(TRACKED)} as hash_md5 from stg_dim_customer",
     "fn_surrogate_hash": f"select salesorderid, creditcardid, status, {sk_hash(['salesorderid', 'creditcardid', 'status'])} as row_key from sales_salesorderheader",
     "fn_date_format": "select salesorderid, strftime(orderdate, '%Y-%m-%d') as order_day from sales_salesorderheader",
     "fn_case_decode": f"select salesorderid, status, {_status_case('status')} as order_status_name from sales_salesorderheader",
@@ -303,6 +303,11 @@ _RAW: dict[str, str] = {
                 order by modifieddate desc nulls last, productid desc nulls last, orderqty desc nulls last,
                          unitprice desc nulls last, _deleted desc nulls last) as _rn
               from sales_salesorderdetail) v where _rn = 1""",
+    "publish_roundtrip": "select * from stg_dim_product",
+    "upsert_partitions_months": f"""select salesorderid, case when strftime(orderdate, '%Y%m') = '{sc.UPSERT_MONTH}'
+          then -customerid else customerid end as customerid, status, strftime(orderdate, '%Y%m') as month
+        from sales_salesorderheader""",
+    "dimension_two_runs": f"select {', '.join(CUST_COLS + SCD_COLS)} from customer_merged",
     "sales_fact": "select * from sales_fact",
     "sales_fact_incremental": f"""select {', '.join(FACT_COLS)} from upsert_target t
           where not exists (select 1 from fresh s where s.sales_key = t.sales_key)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from starloom import conf
 from starloom.functions.scalar import revenue, surrogate_hash
-from starloom.operators.cdc import (after_watermark, high_watermark, live_rows, max_value,
+from starloom.operators.cdc import (after_watermark, live_rows, max_value,
                                     newest_per_key)
 from starloom.operators.columns import drop_metadata
 from starloom.operators.lookup import checked_side, dim_side, join_side
@@ -87,15 +87,6 @@ def live_view(landed: DataFrame, flag: str = conf.DELETED_FLAG,
     return drop_metadata(live_rows(landed, flag)).drop(*extra)
 
 
-def next_watermark(increment: DataFrame, previous, ts_col: str = "modifieddate"):
-    """Watermark to store after a load: max over ALL increment rows (deleted
-    ones too), never moving backwards, unchanged for an empty increment."""
-    seen = high_watermark(increment, ts_col, flag=None)
-    if seen is None:
-        return previous
-    return seen if previous is None else max(seen, previous)
-
-
 # -- sales fact -----------------------------------------------------------------
 
 def _header(header: DataFrame, since: _dt.date | None, strict: bool) -> DataFrame:

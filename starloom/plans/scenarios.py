@@ -30,6 +30,7 @@ ASOF_MERGE_LOAD = "1998-06-01"
 # Fact split points.
 UPSERT_TARGET_END = "2001-06-30"
 UPSERT_SOURCE_START = "2001-06-01"
+UPSERT_MONTH = "200106"
 LANDING_CUTOFF = "2001-06-30 00:00:00"
 
 CUSTOMER = DIMENSION_BY_NAME["dim_customer"]

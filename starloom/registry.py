@@ -14,7 +14,8 @@ from starloom.functions import scalar
 from starloom.operators import cdc, columns, keys, lookup, scd2, upsert
 from starloom.plans import dimensions, facts, scenarios, staging
 from starloom.sources.fixtures import FixtureSource
-from starloom.session import materialize
+from starloom.session import ensure_checkpoint_dir, materialize
+from starloom.sources import publish
 from starloom.sources.tables import scan
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,11 +122,11 @@ def project_alias(src: FixtureSource) -> DataFrame:
 
 @query
 def conform_columns(src: FixtureSource) -> DataFrame:
-    """Batch-2 rows with extra and reordered columns, conformed to the
+    """Staged customers with extra and reordered columns, conformed to the
     history's column list."""
     history = scenarios.customer_history(src)
-    b2 = scenarios.customer_batch2(src)
-    wide = b2.select(F.lit("x").alias("extra"), *reversed(b2.columns),
+    rows = staging.stg_dim_customer(src)
+    wide = rows.select(F.lit("x").alias("extra"), *reversed(rows.columns),
                      F.lit(0).cast("long").alias(conf.SK_COL),
                      F.lit(scenarios.MERGE_LOAD_DATE).cast("date").alias(conf.EFFECTIVE_COL),
                      F.lit(conf.OPEN_END_DATE).cast("date").alias(conf.EXPIRATION_COL),
@@ -286,7 +287,7 @@ def fn_full_name(src: FixtureSource) -> DataFrame:
 
 
 def _tracked_rows(src: FixtureSource) -> DataFrame:
-    return scenarios.customer_batch2(src)
+    return staging.stg_dim_customer(src)
 
 
 @query
@@ -457,4 +458,48 @@ def revenue_by_dimension(src: FixtureSource) -> DataFrame:
     rows: dict[str, int] = {}
     dims = scenarios.first_load_dims(src, rows=rows)
     fact = scenarios.current_fact(src, dims=dims, dim_rows=rows)
-    return rbd(fact, dims["dim_product"], dims["dim_address"], dim_rows=rows)
+    return rbd(fact, dims["dim_product"], dims["dim_address"])
+
+
+# -- the write side: stored tables, read back --------------------------------------
+
+def _new_root(src: FixtureSource, name: str) -> str:
+    return f"{ensure_checkpoint_dir(src.spark).rstrip('/')}/{name}-{publish.new_run_id()}"
+
+
+@query
+def publish_roundtrip(src: FixtureSource) -> DataFrame:
+    """Two snapshots of a table, the later one with the lesser run id: readers
+    get the last commit."""
+    root = _new_root(src, "roundtrip")
+    staged = staging.stg_dim_product(src)
+    publish.publish_snapshot(staged.filter(F.col("productid") % 2 == 0), root, "run-b")
+    publish.publish_snapshot(staged, root, "run-a", metrics={})
+    return publish.read_current(src.spark, root)
+
+
+@query
+def upsert_partitions_months(src: FixtureSource) -> DataFrame:
+    """Order headers stored by month (as text), then a corrected month upserted."""
+    root = _new_root(src, "months")
+    rows = src("sales_salesorderheader").select(
+        "salesorderid", "customerid", "status", F.date_format("orderdate", "yyyyMM").alias("month"))
+    last = F.lit(scenarios.UPSERT_MONTH)
+    publish.upsert_partitions(src.spark, root, rows, "salesorderid", "month")
+    publish.upsert_partitions(src.spark, root, rows.filter(F.col("month") == last).withColumn(
+        "customerid", -F.col("customerid")), "salesorderid", "month")
+    return src.spark.read.schema(rows.schema).parquet(root)
+
+
+@query
+def dimension_two_runs(src: FixtureSource) -> DataFrame:
+    """A stored dimension after a first load and a merge, its whole history."""
+    root = _new_root(src, "dimension")
+    spec = CUSTOMER
+    history = scenarios.customer_history(src).withColumn(
+        "action", F.when(F.col(conf.CURRENT_COL), F.lit(conf.INSERT)).otherwise(F.lit(conf.DELETE)))
+    publish.publish_dimension(history, root, "r1", conf.CURRENT_COL)
+    merged = scd2.scd2_merge(publish.read_dimension(src.spark, root), scenarios.customer_batch2(src), spec.key,
+                             spec.tracked, scenarios.MERGE_LOAD_DATE, with_action=True)
+    publish.publish_dimension(merged, root, "auto", conf.CURRENT_COL)
+    return publish.read_dimension(src.spark, root)

@@ -108,7 +108,7 @@ class FixtureSource:
         return self.table("customer").select(
             k.alias("customerid"),
             F.when(k % 4 != 0, k + 100000).alias("personid"),
-            F.when(k % 3 == 0, k % 10).alias("storeid"),
+            F.when(k % 3 == 0, F.expr("c_custkey div 15")).alias("storeid"),
             _flag(k).alias("_deleted"))
 
     def _sales_store(self) -> DataFrame:
@@ -121,7 +121,7 @@ class FixtureSource:
         k = F.col("o_orderkey")
         return self.table("orders").select(
             k.alias("salesorderid"), F.col("o_custkey").alias("customerid"),
-            F.when(k % 5 != 0, F.col("o_custkey") % 200).alias("creditcardid"),
+            F.when(k % 5 != 0, F.col("o_custkey")).alias("creditcardid"),
             F.col("o_custkey").alias("shiptoaddressid"),
             F.when(k % 40 == 39, F.lit(None)).otherwise((k % 8).cast("int")).cast("int")
              .alias("status"),
@@ -142,7 +142,7 @@ class FixtureSource:
 
     def _sales_creditcard(self) -> DataFrame:
         k = F.col("p_partkey")
-        return self.table("part").filter(k < 200).select(
+        return self.table("part").select(
             k.alias("creditcardid"), F.col("p_type").alias("cardtype"),
             (k % 23 == 0).alias("_deleted"))
 

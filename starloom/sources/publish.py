@@ -4,8 +4,8 @@ A table the next run reads back (an SCD2 history, a landed fact) must not be
 overwritten in place: the plan that reads it is lazy, and deleting first loses
 it. Each publish therefore writes an immutable snapshot
 ``{root}/snapshots/{run_id}`` and then appends the run id to
-``{root}/_commits``; readers take the greatest committed id. A snapshot with no
-commit record (failed run) is never read. Every step is a Spark write, so it
+``{root}/_commits`` with the next sequence number; readers take the last number.
+A run id is used once for a table. A snapshot with no commit record (failed run) is never read. Every step is a Spark write, so it
 works on any file system Spark writes to.
 """
 
@@ -16,14 +16,18 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException, UnsupportedOperationException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starloom.sources.tables import is_missing
+
 COMMITS = "_commits"
 SNAPSHOTS = "snapshots"
-COMMIT_SCHEMA = "run_id string, schema string, meta string"
+# Formats whose tables are directories of files.
+FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv", "text")
+COMMIT_SCHEMA = "seq long, run_id string, schema string, meta string"
 
 
 def new_run_id() -> str:
@@ -65,21 +69,46 @@ def publish_snapshot(df: DataFrame, root: str, run_id: str | None = None,
     # back (partition columns included) without inferring them.
     if callable(meta):
         meta = meta(metrics or {})
-    record = (run_id, df.schema.json(), json.dumps(meta) if meta else None)
+    last = _last_commit(spark, root)
+    seq = 1 + (last["seq"] if last is not None and last["seq"] is not None else 0)
+    record = (seq, run_id, df.schema.json(), json.dumps(meta) if meta else None)
     (spark.createDataFrame([record], COMMIT_SCHEMA).coalesce(1)
           .write.mode("append").json(f"{root.rstrip('/')}/{COMMITS}"))
     return path
 
 
-def _last_commit(spark: SparkSession, root: str):
+def _commits(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        commits = spark.read.schema(COMMIT_SCHEMA).json(f"{root.rstrip('/')}/{COMMITS}")
-    except AnalysisException:
+        return spark.read.schema(COMMIT_SCHEMA).json(f"{root.rstrip('/')}/{COMMITS}")
+    except AnalysisException as error:
+        if is_missing(error):
+            return None
+        raise
+
+
+def _last_commit(spark: SparkSession, root: str):
+    commits = _commits(spark, root)
+    if commits is None:
         return None
     # Commit records are one tiny row per run.
-    return commits.agg(F.max_by("schema", "run_id").alias("schema"),
-                       F.max_by("meta", "run_id").alias("meta"),
-                       F.max("run_id").alias("run_id")).first()
+    return commits.agg(F.max_by("schema", "seq").alias("schema"), F.max_by("meta", "seq").alias("meta"),
+                       F.max_by("run_id", "seq").alias("run_id"), F.max("seq").alias("seq")).first()
+
+
+def expire_snapshots(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Delete all but the last ``keep`` committed snapshots of the table at
+    ``root``; returns the run ids deleted."""
+    if keep < 1:
+        raise ValueError("the current snapshot is always kept")
+    commits = _commits(spark, root)
+    runs = [] if commits is None else [r["run_id"] for r in commits.orderBy(F.desc("seq")).collect()]
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = []
+    for run_id in runs[keep:]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(snapshot_path(root, run_id))
+        if path.getFileSystem(hadoop).delete(path, True):
+            gone.append(run_id)
+    return gone
 
 
 def last_meta(spark: SparkSession, root: str) -> dict:
@@ -110,11 +139,18 @@ def has_data(spark: SparkSession, root: str) -> bool:
     return current_run(spark, root) is not None
 
 
+def _is_path(target: str) -> bool:
+    return "/" in target or ":" in target
+
+
 def append(df: DataFrame, target: str, fmt: str = "parquet",
            options: dict[str, str] | None = None) -> None:
-    """Append to a catalog table or a path (any Spark format / connector)."""
+    """Append to a catalog table, a path, or (formats outside FILE_FORMATS)
+    the connector's table of that name."""
     writer = df.write.mode("append").format(fmt).options(**(options or {}))
-    if "/" in target or ":" in target:
+    if fmt not in FILE_FORMATS:
+        writer.option("dbtable", target).save()
+    elif _is_path(target):
         writer.save(target)
     else:
         writer.saveAsTable(target)
@@ -123,35 +159,22 @@ def append(df: DataFrame, target: str, fmt: str = "parquet",
 def truncate_load(df: DataFrame, target: str, fmt: str = "parquet",
                   options: dict[str, str] | None = None) -> None:
     """Replace the contents of a target that no reader of ``df`` depends on
-    (a warehouse copy): overwrite, with ``truncate`` so JDBC-like sinks keep
-    the table definition."""
-    opts = {"truncate": "true", **(options or {})}
-    writer = df.write.mode("overwrite").format(fmt).options(**opts)
-    if "/" in target or ":" in target:
+    (a warehouse copy). Connectors get ``dbtable`` and ``truncate``, so they
+    keep the table's definition; an existing catalog table keeps its columns
+    and partitioning."""
+    writer = df.write.mode("overwrite").format(fmt).options(**(options or {}))
+    if fmt not in FILE_FORMATS:
+        writer.option("truncate", "true").option("dbtable", target).save()
+    elif _is_path(target):
         writer.save(target)
+    elif df.sparkSession.catalog.tableExists(target):
+        columns = df.sparkSession.table(target).columns
+        df.sparkSession.sql(f"TRUNCATE TABLE {target}")
+        df.select(*columns).write.insertInto(target)
     else:
         writer.saveAsTable(target)
 
 
-def create_or_replace(df: DataFrame, table: str, provider: str | None = None,
-                      properties: dict[str, str] | None = None) -> None:
-    """Create-or-replace a catalog table. Uses the v2 ``writeTo`` API where the
-    catalog supports atomic replace (table formats); the built-in session
-    catalog rejects it for file tables, which fall back to an overwrite."""
-    writer = df.writeTo(table)
-    if provider:
-        writer = writer.using(provider)
-    for key, value in (properties or {}).items():
-        writer = writer.tableProperty(key, value)
-    try:
-        writer.createOrReplace()
-    except AnalysisException:
-        mode = df.write.mode("overwrite")
-        if provider:
-            mode = mode.format(provider)
-        mode.saveAsTable(table)
-
-
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str | Sequence[str],
                       part_col: str, order_cols: Sequence[str] | None = None,
                       remove_keys: DataFrame | None = None,
@@ -193,7 +216,9 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
         partition count), and fill ``metrics``."""
         seen = Observation(f"upsert-{uuid.uuid4().hex[:8]}")
         extra = [c.alias(n) for n, c in (metrics or {}).items()]
-        out = df.observe(seen, F.collect_set(part_col).alias("_parts"),
+        # Rebalanced: a partition gets files by its size, not one from every
+        # task, and a hot partition is split.
+        out = df.hint("rebalance", part_col).observe(seen, F.collect_set(part_col).alias("_parts"),
                          F.max(F.col(part_col).isNull().cast("int")).alias("_null"), *extra)
         out.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
         got = seen.get
@@ -203,8 +228,8 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
 
     if not path_has_data(spark, path):
         return sorted(write(src), key=str)
-    target = spark.read.parquet(path)
-    src = src.select(*target.columns)
+    # The rows' own types: inferring them would read '01' as a number.
+    target = spark.read.schema(src.schema).parquet(path)
     src_keys = src.select(*keys)
     if remove_keys is not None:
         src_keys = src_keys.unionByName(remove_keys.select(*keys)).distinct()
@@ -229,7 +254,7 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
         in_emptied = F.col(part_col).isin([v for v in emptied if v is not None])
         if any(v is None for v in emptied):
             in_emptied = in_emptied | F.col(part_col).isNull()
-        files = spark.read.parquet(path).filter(in_emptied) \
+        files = spark.read.schema(src.schema).parquet(path).filter(in_emptied) \
                      .select(part_col, F.input_file_name().alias("f"))
         file_schema = target.drop(part_col).schema
         for r in files.groupBy(part_col).agg(F.min("f").alias("f")).collect():
@@ -238,36 +263,6 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: st
     return affected
 
 
-def merge_into_table(spark: SparkSession, table: str, source: DataFrame,
-                     key: str | Sequence[str], order_cols: Sequence[str] | None = None) -> str:
-    """Keyed upsert into a catalog table.
-
-    Uses SQL ``MERGE INTO`` when the table's format supports row-level
-    operations (table-format catalogs); the file tables of the built-in
-    catalog reject it, and are then rewritten from a reliable checkpoint of
-    the merged rows (lineage cut, so the table can be overwritten while it
-    is the merge's input). Returns ``"merge"`` or ``"rewrite"``."""
-    from starloom.operators.cdc import newest_per_key
-    from starloom.operators.upsert import merge_upsert
-    from starloom.session import materialize
-
-    keys = [key] if isinstance(key, str) else list(key)
-    src = newest_per_key(source, keys, order_cols) if order_cols else source
-    view = f"_merge_src_{uuid.uuid4().hex[:8]}"
-    src.createOrReplaceTempView(view)
-    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-    try:
-        spark.sql(f"MERGE INTO {table} t USING {view} s ON {on} "
-                  "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
-        return "merge"
-    except (AnalysisException, UnsupportedOperationException):
-        merged = materialize(merge_upsert(spark.table(table), src, keys))
-        merged.write.mode("overwrite").saveAsTable(table)
-        return "rewrite"
-    finally:
-        spark.catalog.dropTempView(view)
-
-
 # -- SCD2 dimensions: open snapshot + append-only closed history ---------------
 
 CLOSED_RUN_COL = "run"
@@ -275,11 +270,8 @@ CLOSED_RUN_COL = "run"
 
 def committed_runs(spark: SparkSession, root: str) -> list[str]:
     """Run ids committed for the table at ``root`` (one small row per run)."""
-    try:
-        commits = spark.read.schema(COMMIT_SCHEMA).json(f"{root.rstrip('/')}/{COMMITS}")
-    except AnalysisException:
-        return []
-    return [r["run_id"] for r in commits.select("run_id").distinct().collect()]
+    commits = _commits(spark, root)
+    return [] if commits is None else [r["run_id"] for r in commits.select("run_id").distinct().collect()]
 
 
 def publish_dimension(merged: DataFrame, root: str, run_id: str, current_col: str,
@@ -329,7 +321,9 @@ def read_dimension(spark: SparkSession, root: str, open_only: bool = False) -> D
         f"{CLOSED_RUN_COL} string").fields[0]])
     try:
         closed = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/closed")
-    except AnalysisException:
-        return opened
+    except AnalysisException as error:
+        if is_missing(error):
+            return opened
+        raise
     closed = closed.filter(F.col(CLOSED_RUN_COL).isin(runs)).drop(CLOSED_RUN_COL)
     return opened.unionByName(closed)

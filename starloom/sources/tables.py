@@ -5,11 +5,13 @@ Filters and projections applied to the returned DataFrame reach the scan
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom import conf
+
 SourceReader = Callable[[str], DataFrame]
 
 
@@ -25,28 +27,32 @@ def scan(spark: SparkSession, target: str, fmt: str = "parquet",
     return spark.read.options(**(options or {})).table(target)
 
 
-def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def table_reader(spark: SparkSession, database: str | None = None, fmt: str = "parquet",
-                 root: str | None = None) -> SourceReader:
+                 root: str | None = None, flag: str = conf.DELETED_FLAG,
+                 metadata: Sequence[str] = ()) -> SourceReader:
     """``reader(name)`` for a source schema kept in a catalog database or as
-    ``{root}/{name}`` datasets."""
+    ``{root}/{name}`` datasets. ``flag`` is what the source calls its
+    soft-delete flag, ``metadata`` names columns of its replication to drop."""
     def read(name: str) -> DataFrame:
         if root is not None:
-            return scan(spark, f"{root.rstrip('/')}/{name}", fmt)
-        return scan(spark, f"{database}.{name}" if database else name, fmt)
+            df = scan(spark, f"{root.rstrip('/')}/{name}", fmt)
+        else:
+            df = scan(spark, f"{database}.{name}" if database else name, fmt)
+        return df.drop(*metadata).withColumnRenamed(flag, conf.DELETED_FLAG)
     return read
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether an analysis error only says that a path or table is not there."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+
+
 def path_has_data(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    """True when ``path`` holds a readable dataset with at least one row."""
+    """True when ``path`` holds a readable dataset with at least one row.
+    Errors other than a missing path, or one without any file, are raised."""
     try:
         return not spark.read.format(fmt).load(path).isEmpty()
-    except AnalysisException:
-        return False
-
-
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
+    except AnalysisException as error:
+        if is_missing(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return False
+        raise

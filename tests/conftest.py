@@ -24,11 +24,8 @@ def spark():
 
 @pytest.fixture
 def small_keys(spark):
-    """Force the parallel (ranged) surrogate-key path for tiny inputs."""
-    key = "starloom.keys.singleTaskMaxRows"
+    """Many key ranges for tiny inputs."""
     per = "starloom.keys.rowsPerRange"
-    spark.conf.set(key, "1")
     spark.conf.set(per, "3")
     yield
-    spark.conf.unset(key)
     spark.conf.unset(per)

@@ -6,9 +6,8 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_check import compare, duck
-
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+from starloom.oracle import ORACLE_SQL as SQL
+from starloom.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +17,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -30,26 +30,17 @@ def test_newest_per_key_equals_python(spark, rows):
 def test_parallel_keys_equal_the_single_window(spark, ks, segs, start):
     rows = [(k, segs[i]) for i, k in enumerate(ks)]
     df = spark.createDataFrame(rows, "k int, seg int")
-    spark.conf.set("starloom.keys.singleTaskMaxRows", "1")
     spark.conf.set("starloom.keys.rowsPerRange", "4")
     try:
         ranged = [tuple(r) for r in keys.assign_surrogate_keys(
             df, "k", start=start, segment_col="seg").collect()]
     finally:
-        spark.conf.unset("starloom.keys.singleTaskMaxRows")
         spark.conf.unset("starloom.keys.rowsPerRange")
     order = sorted(rows, key=lambda r: (r[1], r[0] is not None, r[0] if r[0] is not None else 0))
     expected = [(k, s, start + i + 1) for i, (k, s) in enumerate(order)]
     assert sorted(ranged, key=str) == sorted(expected, key=str)
 
 
-def test_validity_as_text(spark):
-    hist = spark.createDataFrame([(1, 1, dt.date(2024, 1, 1), dt.date(9999, 12, 31), True)],
-                                 "k int, sk_id long, effective_date date, expiration_date date, current_flag boolean")
-    row = scd2.validity_as_text(hist).first()
-    assert (row.effective_date, row.expiration_date) == ("2024-01-01", "9999-12-31")
-
-
 @SETTINGS
 @given(target=st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["a", "b"])), unique_by=lambda r: r[0],
                        max_size=6),

@@ -153,24 +153,13 @@ def test_rerunning_the_same_batch_changes_nothing(spark):
     assert merged_rows(once) == merged_rows(twice)
 
 
-def test_scale_paths_give_the_same_merge(spark, small_keys):
-    """Parallel range numbering and a checkpointed classification (the paths
-    taken on large inputs) produce exactly the default merge."""
+def test_the_merge_joins_once(spark):
+    """The classified rows are stored: what is left of the plan reads them."""
     from starloom.plans import scenarios
     from starloom.sources.fixtures import FixtureSource
     from conftest import SF_SMALL
-    src = FixtureSource(spark, SF_SMALL)
-
-    def rows(df):
-        return sorted(map(tuple, df.collect()), key=str)
-
-    spark.conf.set("starloom.materialize.minRows", "0")
-    try:
-        scaled = rows(scenarios.customer_merged(src))
-    finally:
-        spark.conf.unset("starloom.materialize.minRows")
-    spark.conf.unset("starloom.keys.singleTaskMaxRows")
-    assert scaled == rows(scenarios.customer_merged(src))
+    plan = scenarios.customer_merged(FixtureSource(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan and "Window [row_number" in plan
 
 
 from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402

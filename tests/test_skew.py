@@ -85,13 +85,13 @@ def test_null_lookup_keys_are_split_in_a_shuffle_join(spark):
     old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
     for k, v in SKEW_CONF.items():
         spark.conf.set(k, v)
-    spark.conf.set("starloom.join.broadcastMaxRows", "10")   # too big to broadcast
+    spark.conf.set("starloom.join.broadcastMaxBytes", "320")   # too big to broadcast
     try:
         out = dim_lookup(driving, dim, "k", "k", "key", broadcast=True)
         plan = final_plan(out)
         assert "SortMergeJoin(skew=true)" in plan and "LeftOuter" in plan
         assert out.count() == n and out.filter("key is null").count() == n // 3
     finally:
-        spark.conf.unset("starloom.join.broadcastMaxRows")
+        spark.conf.unset("starloom.join.broadcastMaxBytes")
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
