@@ -90,4 +90,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_subspace_embedding_dedup": op10_subspace_embedding_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_REACH = """reach as (
+      select id, id as other from nodes
+      union select r.id, l.b from reach r join links l on l.a = r.other),
+    least as (select id, min(other) as component_id from reach group by id)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_hyperminhash_dedup": rf"""with recursive words as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+    sets as (
+      select doc_id, case when len(w) = 0 then [] else list_distinct(list_transform(
+        range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) end as s from words),
+    items as (select doc_id, len(s) as n, unnest(s) as x from sets),
+    links as (
+      select a.doc_id as a, b.doc_id as b from items a join items b on a.x = b.x and a.doc_id <> b.doc_id
+      group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    nodes as (select doc_id as id from documents),
+    {_REACH}
+    select doc_id, cast(len(s) as bigint) as n_shingles, component_id, doc_id = component_id as kept
+    from sets join least on doc_id = id""",
+    "op10_subspace_embedding_dedup": f"""with recursive usable as (
+      select vec_id, label, cast(embedding as double[]) as x from embeddings
+      where label is not null and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
+        and len(list_filter(embedding, lambda v: v <> 0)) > 0),
+    links as (
+      select a.vec_id as a, b.vec_id as b from usable a join usable b
+        on a.label = b.label and a.vec_id <> b.vec_id and list_cosine_similarity(a.x, b.x) >= 0.93),
+    nodes as (select vec_id as id from embeddings),
+    {_REACH}
+    select v.vec_id, (select count(*) from links l where l.a = v.vec_id) as n_links, component_id,
+      v.vec_id = component_id as kept
+    from embeddings v join least on v.vec_id = id""",
+}

@@ -160,3 +160,16 @@ def test_exponent_meets_the_target(spark):
     w = share ** a / (share ** a).sum()
     assert abs(-(w * np.log(w)).sum() - 0.9) < 1e-6
     assert mixing.find_exponent(sizes, None, 5.0, None) == 0.0
+
+
+@pytest.mark.parametrize("name", ["op7_hyperminhash_dedup", "op10_subspace_embedding_dedup"])
+def test_queries_match_their_sql(spark, name):
+    import duckdb
+
+    from starloom.llm.queries import ORACLE_SQL, QUERIES
+    con = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        con.sql(f"create view {table} as select * from '{SF_SMALL}/{table}.parquet'")
+    out = QUERIES[name](spark, SF_SMALL)
+    got = sorted(map(tuple, out.collect()))
+    assert got == sorted(con.sql(f"select {', '.join(out.columns)} from ({ORACLE_SQL[name]})").fetchall())
