@@ -58,7 +58,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for table in tables:
+        remove_path(table.sparkSession, table.stored_path)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

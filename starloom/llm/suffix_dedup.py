@@ -33,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, mix64, seeded, ship_package, span_hashes, stored, text_slices
+from .common import forget, in_arrow, seeded, ship_package, span_hashes, stored, text_slices
 from .suffix_sort import common_prefix, suffix_order
 
 LENGTH, GRAM = 100, 32
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 HOT = 2000
 #: Windows that one numpy step works on; places within it fit PLACE_BITS.
-STEP, PLACE_BITS = 1 << 22, 24
+STEP, PLACE_BITS = 1 << 20, 24
 #: Parts of one document are told apart above these bits of a position.
 PART_BITS = 40
 _OTHER = seeded(256, 23)
@@ -218,6 +218,7 @@ def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              if info.filter("part > 0").limit(1).count() else
              wanted.join(info.filter("not copy").select("place", "part"), "place").join(rows, "place"))
     texts = stored(texts.select("place", "sha", "part", "anchors", "text"), "suffix-texts")
+    forget(found)
     contexts = stored(in_arrow(texts.select("place", "part", "anchors", "text"), _contexts,
                                "anchor long, c1 long, c2 long, place long, start long, size long, bytes binary"),
                       "suffix-contexts")
@@ -255,7 +256,9 @@ def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     whole = info.filter(f"copy and n_bytes >= {LENGTH}").select(
         "place", "sha", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("stop"))).alias("spans"),
         F.lit(hashlib.sha256().hexdigest()).alias("kept_sha256"))
-    return info.select("place", "sha", "n_bytes"), stored(marks.unionByName(whole), "suffix-marks")
+    marks = stored(marks.unionByName(whole), "suffix-marks")
+    forget(texts, contexts, lead, sorted_)
+    return info.select("place", "sha", "n_bytes"), marks
 
 
 def _doc_id():
