@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (LOWER, in_arrow, mix64, seeded, shingle_hashes, sorted_sets, span_hashes, stored,
+from .common import (LOWER, forget, in_arrow, mix64, seeded, shingle_hashes, sorted_sets, span_hashes, stored,
                      text_slices, word_spans)
 from .components import components
 
@@ -314,6 +314,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
     if not more.isEmpty():
         stars = labels.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
         labels = stored(components(stars.unionByName(more)), "minhash-labels")
+    forget(own, buckets, texts, likely, open_, more)
     # A document's component is that of its class.
     member = (linkable.join(classes, ["n_shingles", "set_sum", "set_xor"]).select("doc_id", "first")
               .join(labels.withColumnRenamed("id", "first"), "first", "left")
