@@ -80,10 +80,9 @@ def anchor_runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, place, times): distinct anchors of each text, 2 for more than one run."""
+    """(anchor, place, sha, times): distinct anchors of each text, 2 for more than one run."""
     for batch in batches:
-        place = batch.column(0).to_numpy()
-        for lo, hi, data, at in text_slices(batch.column(1)):
+        for lo, hi, data, at in text_slices(batch.column(2)):
             doc, _, _, anchor = anchor_runs(data, at)
             if not len(doc):
                 continue
@@ -91,9 +90,10 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, anchor = doc[order], anchor[order]
             first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])
             times = np.minimum(np.diff(np.r_[first, len(doc)]), 2)
+            row = pa.array(lo + doc[first])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor[first].view(np.int64)), pa.array(place[lo + doc[first]]), pa.array(times, pa.int32())],
-                ["anchor", "place", "times"])
+                [pa.array(anchor[first].view(np.int64)), batch.column(0).take(row), batch.column(1).take(row),
+                 pa.array(times, pa.int32())], ["anchor", "place", "sha", "times"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,17 +206,16 @@ def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                           F.coalesce(F.array_position("shas", F.col("sha")) - 1, F.lit(0)).cast("int").alias("part")),
                   "suffix-documents")
 
-    anchors = in_arrow(rows.select("place", "text"), _anchors, "anchor long, place long, times int")
+    anchors = in_arrow(rows.select("place", "sha", "text"), _anchors, "anchor long, place long, sha string, times int")
     often = anchors.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor")
-    copies = info.filter("copy").select("place")
-    found = stored(anchors.join(often, "anchor").join(copies, "place", "left_anti"), "suffix-anchors")
+    copies = info.filter("copy").select("place", "sha")
+    found = stored(anchors.join(often, "anchor").join(copies, ["place", "sha"], "left_anti"), "suffix-anchors")
     # Without the copies many anchors occur only once.
     often = found.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor")
-    wanted = found.join(often, "anchor").groupBy("place").agg(F.collect_set("anchor").alias("anchors"))
-    texts = (wanted.join(info.filter("not copy").select("place", F.col("sha").alias("own"), "part"), "place")
-             .join(rows, "place").filter("sha = own").dropDuplicates(["place", "sha"])
-             if info.filter("part > 0").limit(1).count() else
-             wanted.join(info.filter("not copy").select("place", "part"), "place").join(rows, "place"))
+    wanted = found.join(often, "anchor").groupBy("place", "sha").agg(F.collect_set("anchor").alias("anchors"))
+    # Repeated rows are dropped before the shuffle and after it.
+    texts = (rows.filter(F.octet_length("text") >= LENGTH).dropDuplicates(["place", "sha"]).join(wanted, ["place", "sha"])
+             .join(info.select("place", "sha", "part"), ["place", "sha"]))
     texts = stored(texts.select("place", "sha", "part", "anchors", "text"), "suffix-texts")
     forget(found)
     contexts = stored(in_arrow(texts.select("place", "part", "anchors", "text"), _contexts,

@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from corpus_fixtures import SF_SMALL, no_docs, odd_docs  # noqa: F401
+from corpus_fixtures import SF_SMALL, no_docs, odd_docs, prose  # noqa: F401
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -59,6 +59,20 @@ def test_repeats_against_a_scan(spark, odd_docs, no_docs, hot, monkeypatch):
     assert 2 not in left and left[1] == dict(rows)[1] and left[4] is None
 
 
+def test_repeated_rows_and_copies_among_the_texts_of_one_id(spark):
+    """A repeated row loses nothing to itself; a doc_id with a copied and an own text keeps both apart."""
+    shared, own = prose(20, 30), prose(21, 40)
+    rows = [(1, f"{shared} {prose(22, 20)}")] * 2 + [(2, f"{prose(23, 20)} {shared}"), (3, own), (4, own),
+                                                     (4, f"{shared} {prose(24, 20)}"), (None, prose(25, 30) + shared),
+                                                     (None, prose(25, 30) + shared), (None, prose(26, 30) + shared)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256(r[1].encode()).hexdigest()))
+    truth = repeats_by_hand([((k, t), t) for k, t in order])
+    out = [tuple(r) for r in suffix_dedup.repeat_digests(docs).collect()]
+    assert sorted(out, key=str) == sorted(((k, *v) for (k, _), v in truth.items()), key=str)
+    assert suffix_dedup.remove_repeats(docs).filter("doc_id = 1").count() == 2
+
+
 def test_code_lengths_are_limited_and_decodable():
     counts = np.array([1 << k for k in range(30)] + [0, 5])
     for limit in (5, 8, 18):
