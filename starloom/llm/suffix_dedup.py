@@ -41,8 +41,6 @@ SHARD_BYTES = 1 << 20
 HOT = 2000
 #: Windows that one numpy step works on; places within it fit PLACE_BITS.
 STEP, PLACE_BITS = 1 << 20, 24
-#: Parts of one document are told apart above these bits of a position.
-PART_BITS = 40
 _OTHER = seeded(256, 23)
 _NULL_PLACE = -(1 << 63)
 
@@ -80,7 +78,7 @@ def anchor_runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, place, sha, times): distinct anchors of each text, 2 for more than one run."""
+    """(anchor, place, part, times): distinct anchors of each text, 2 for more than one run."""
     for batch in batches:
         for lo, hi, data, at in text_slices(batch.column(2)):
             doc, _, _, anchor = anchor_runs(data, at)
@@ -93,13 +91,12 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = pa.array(lo + doc[first])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor[first].view(np.int64)), batch.column(0).take(row), batch.column(1).take(row),
-                 pa.array(times, pa.int32())], ["anchor", "place", "sha", "times"])
+                 pa.array(times, pa.int32())], ["anchor", "place", "part", "times"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (place, part, anchors, text): the contexts of the given anchors."""
     for batch in batches:
-        place, part = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
         wanted = batch.column(2)
         for lo, hi, data, at in text_slices(batch.column(3)):
             doc, first, last, anchor = anchor_runs(data, at)
@@ -111,32 +108,33 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, first, last, anchor = doc[keep], first[keep], last[keep], anchor[keep]
             end = last + LENGTH
             raw = data.tobytes()
+            row = pa.array(lo + doc)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor.view(np.int64)), pa.array(span_hashes(data, first, end).view(np.int64)),
-                 pa.array(span_hashes(data, first, end, _OTHER).view(np.int64)), pa.array(place[lo + doc]),
-                 pa.array(first - at[doc] + (part[lo + doc] << PART_BITS)), pa.array((end - first).astype(np.int64)),
+                 pa.array(span_hashes(data, first, end, _OTHER).view(np.int64)), batch.column(0).take(row),
+                 batch.column(1).take(row), pa.array(first - at[doc]), pa.array((end - first).astype(np.int64)),
                  pa.array([raw[a:b] for a, b in zip(first.tolist(), end.tolist())], pa.binary())],
-                ["anchor", "c1", "c2", "place", "start", "size", "bytes"])
+                ["anchor", "c1", "c2", "place", "part", "start", "size", "bytes"])
 
 
 def _shard(table: pa.Table) -> pa.Table:
     """Repeated windows of a shard's contexts as ranges of bytes; for hot
     anchors also the first window of each content, with its hashes."""
-    table = table.combine_chunks()
+    # Windows of one text lie in one context each, so those of contexts in order are in order.
+    table = table.sort_by([(k, "ascending") for k in ("place", "part", "start")]).combine_chunks()
     hot = table["hot"][0].as_py()
     raw = table["bytes"].chunk(0).to_pylist()
     text = np.frombuffer(b"".join(raw), np.uint8)
     size = np.array([len(x) for x in raw], np.int64)
     at = np.cumsum(size) - size
-    place, start = table["place"].to_numpy(), table["start"].to_numpy()
+    start = table["start"].to_numpy()
     context = np.repeat(np.arange(len(raw)), size)
     within = np.arange(len(text)) - at[context]
     order = suffix_order(text)
     order = order[within[order] + LENGTH <= size[context[order]]]  # windows
     new = common_prefix(text, order, LENGTH) < LENGTH
     kind = np.cumsum(new) - 1
-    where, pos = place[context[order]], start[context[order]] + within[order]
-    by = np.lexsort((pos, where, kind))
+    by = np.lexsort((order, kind))
     again = np.r_[False, kind[by][1:] == kind[by][:-1]] if len(by) else np.zeros(0, bool)
     # Windows that repeat, as ranges within their contexts.
     repeat = np.sort(order[by[again]])
@@ -144,16 +142,16 @@ def _shard(table: pa.Table) -> pa.Table:
         repeat) else np.zeros(0, int)
     last = np.r_[first[1:], len(repeat)] - 1 if len(first) else first
     a, b = repeat[first], repeat[last]
-    out = {"place": place[context[a]], "start": start[context[a]] + within[a], "stop": start[context[b]] + within[b] + LENGTH,
-           "w1": np.zeros(len(a), np.int64), "w2": np.zeros(len(a), np.int64), "open": np.zeros(len(a), bool)}
-    if hot:
-        lead = order[by[~again]]
-        more = {"place": place[context[lead]], "start": start[context[lead]] + within[lead],
-                "stop": start[context[lead]] + within[lead] + LENGTH,
-                "w1": span_hashes(text, lead, lead + LENGTH).view(np.int64),
-                "w2": span_hashes(text, lead, lead + LENGTH, _OTHER).view(np.int64), "open": np.ones(len(lead), bool)}
-        out = {k: np.r_[out[k], more[k]] for k in out}
-    return pa.table({k: pa.array(v) for k, v in out.items()})
+    stop = b + LENGTH
+    lead = order[by[~again]] if hot else np.zeros(0, int)
+    a, stop = np.r_[a, lead], np.r_[stop, lead + LENGTH]
+    opened = np.arange(len(a)) >= len(a) - len(lead)
+    row = context[a]
+    w1, w2 = np.zeros(len(a), np.uint64), np.zeros(len(a), np.uint64)
+    w1[opened], w2[opened] = span_hashes(text, lead, lead + LENGTH), span_hashes(text, lead, lead + LENGTH, _OTHER)
+    return pa.table({"place": table["place"].take(pa.array(row)), "part": table["part"].take(pa.array(row)),
+                     "start": pa.array(start[row] + within[a]), "stop": pa.array(start[row] + stop - at[row]),
+                     "w1": pa.array(w1.view(np.int64)), "w2": pa.array(w2.view(np.int64)), "open": pa.array(opened)})
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -186,7 +184,7 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _placed(docs: DataFrame) -> DataFrame:
-    """(place, sha, text) of `docs`; place orders documents."""
+    """(place, sha, text) of `docs`; place orders documents, sha the texts of one place."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_PLACE)).alias("place"),
                        F.sha2(text, 256).alias("sha"), text.alias("text"))
@@ -197,60 +195,59 @@ def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows, and one of the rows that lose bytes: (place, sha, spans,
     kept_sha256), spans being the removed byte ranges."""
     rows = _placed(docs)
-    known = rows.groupBy("place", "sha").agg(F.max(F.octet_length("text")).cast("long").alias("n_bytes"))
+    # Places of several texts. Only their rows need more than the place to be told apart: part is the SHA-256 there
+    # and empty elsewhere, so that places of one text, nearly all, carry no hash.
+    shared = stored(rows.groupBy("place").agg(F.min("sha").alias("a"), F.max("sha").alias("b")).filter("a <> b")
+                    .select("place", F.lit(True).alias("shared")), "suffix-shared")
+    part = F.when(F.col("shared"), F.col("sha")).otherwise(F.lit("")).alias("part")
+    rows = rows.join(shared, "place", "left").select("place", "sha", part, "text")
+    known = rows.groupBy("place", "part", "sha").agg(F.max(F.octet_length("text")).cast("long").alias("n_bytes"))
     firsts = known.groupBy("sha").agg(F.min("place").alias("first"))
-    # Parts of one document: only rows that share a doc_id have a rank above 0.
-    several = known.groupBy("place").agg(F.count("*").alias("n"), F.sort_array(F.collect_set("sha")).alias("shas"))
-    info = stored(known.join(firsts, "sha").join(several.filter("n > 1").select("place", "shas"), "place", "left")
-                  .select("place", "sha", "n_bytes", (F.col("place") > F.col("first")).alias("copy"),
-                          F.coalesce(F.array_position("shas", F.col("sha")) - 1, F.lit(0)).cast("int").alias("part")),
-                  "suffix-documents")
-
-    anchors = in_arrow(rows.select("place", "sha", "text"), _anchors, "anchor long, place long, sha string, times int")
+    info = stored(known.join(firsts, "sha").select("place", "sha", "part", "n_bytes",
+                                                   (F.col("place") > F.col("first")).alias("copy")), "suffix-documents")
+
+    document = ["place", "part"]
+    anchors = in_arrow(rows.select(*document, "text"), _anchors, "anchor long, place long, part string, times int")
     often = anchors.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor")
-    copies = info.filter("copy").select("place", "sha")
-    found = stored(anchors.join(often, "anchor").join(copies, ["place", "sha"], "left_anti"), "suffix-anchors")
+    copies = info.filter("copy").select(*document)
+    found = stored(anchors.join(often, "anchor").join(copies, document, "left_anti"), "suffix-anchors")
     # Without the copies many anchors occur only once.
     often = found.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor")
-    wanted = found.join(often, "anchor").groupBy("place", "sha").agg(F.collect_set("anchor").alias("anchors"))
+    wanted = found.join(often, "anchor").groupBy(*document).agg(F.collect_set("anchor").alias("anchors"))
     # Repeated rows are dropped before the shuffle and after it.
-    texts = (rows.filter(F.octet_length("text") >= LENGTH).dropDuplicates(["place", "sha"]).join(wanted, ["place", "sha"])
-             .join(info.select("place", "sha", "part"), ["place", "sha"]))
+    texts = (rows.filter(F.octet_length("text") >= LENGTH).dropDuplicates(document).join(wanted, document))
     texts = stored(texts.select("place", "sha", "part", "anchors", "text"), "suffix-texts")
-    forget(found)
+    forget(found, shared)
     contexts = stored(in_arrow(texts.select("place", "part", "anchors", "text"), _contexts,
-                               "anchor long, c1 long, c2 long, place long, start long, size long, bytes binary"),
+                               "anchor long, c1 long, c2 long, place long, part string, start long, size long, bytes binary"),
                       "suffix-contexts")
 
-    content = ["anchor", "c1", "c2"]
-    lead = stored(contexts.groupBy(content).agg(F.min(F.struct("place", "start")).alias("lead"), F.max("size").alias("size")),
+    content, window = ["anchor", "c1", "c2"], [*document, "start"]
+    elsewhere = "place <> lead.place or part <> lead.part or start <> lead.start"
+    lead = stored(contexts.groupBy(content).agg(F.min(F.struct(*window)).alias("lead"), F.max("size").alias("size")),
                   "suffix-leads")
-    again = (contexts.select(*content, "place", "start", "size").join(lead.select(*content, "lead"), content)
-             .filter("place <> lead.place or start <> lead.start")
-             .select("place", "start", (F.col("start") + F.col("size")).alias("stop")))
+    again = (contexts.select(*content, *window, "size").join(lead.select(*content, "lead"), content)
+             .filter(elsewhere)
+             .select(*window, (F.col("start") + F.col("size")).alias("stop")))
     several = lead.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    open_ = lead.join(several, "anchor").select(*content, F.col("lead.place").alias("place"),
-                                                F.col("lead.start").alias("start"), "n", "size")
+    open_ = lead.join(several, "anchor").select(*content, "lead.*", "n", "size")
     total = open_.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     hot = F.col("n") > HOT
-    dealt = (open_.join(contexts.select(*content, "place", "start", "bytes"), [*content, "place", "start"])
+    dealt = (open_.join(contexts.select(*content, *window, "bytes"), [*content, *window])
              .withColumn("hot", hot)
              .withColumn("shard", F.when(hot, F.col("anchor")).otherwise(F.pmod(F.col("anchor"), F.lit(shards))))
              .withColumn("salt", F.when(hot, F.pmod(F.col("c1"), F.ceil(F.col("n") / HOT))).otherwise(-1))
-             .select("shard", "salt", "hot", "place", "start", "bytes"))
+             .select("shard", "salt", "hot", *window, "bytes"))
     ship_package(docs.sparkSession)
     sorted_ = stored(dealt.groupBy("shard", "salt").applyInArrow(
-        _shard, "place long, start long, stop long, w1 long, w2 long, open boolean"), "suffix-windows")
-    first = sorted_.filter("open").groupBy("w1", "w2").agg(F.min(F.struct("place", "start")).alias("lead"))
-    across = (sorted_.filter("open").join(first, ["w1", "w2"]).filter("place <> lead.place or start <> lead.start")
-              .select("place", "start", "stop"))
-    ranges = again.unionByName(across).unionByName(sorted_.filter("not open").select("place", "start", "stop"))
-    low = F.lit((1 << PART_BITS) - 1).cast("long")
-    part = F.shiftright("start", PART_BITS).cast("int")
-    by_text = ranges.groupBy("place", part.alias("part")).agg(F.collect_list(F.struct(
-        F.col("start").bitwiseAND(low).alias("start"), F.col("stop").bitwiseAND(low).alias("stop"))).alias("ranges"))
-    marks = in_arrow(texts.join(by_text, ["place", "part"]).select("place", "sha", "text", "ranges"), _marks,
+        _shard, "place long, part string, start long, stop long, w1 long, w2 long, open boolean"), "suffix-windows")
+    first = sorted_.filter("open").groupBy("w1", "w2").agg(F.min(F.struct(*window)).alias("lead"))
+    across = (sorted_.filter("open").join(first, ["w1", "w2"]).filter(elsewhere)
+              .select(*window, "stop"))
+    ranges = again.unionByName(across).unionByName(sorted_.filter("not open").select(*window, "stop"))
+    by_text = ranges.groupBy(*document).agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    marks = in_arrow(texts.join(by_text, document).select("place", "sha", "text", "ranges"), _marks,
                      "place long, sha string, spans array<struct<start:long,stop:long>>, kept_sha256 string")
     whole = info.filter(f"copy and n_bytes >= {LENGTH}").select(
         "place", "sha", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("stop"))).alias("spans"),

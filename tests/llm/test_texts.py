@@ -73,6 +73,28 @@ def test_repeated_rows_and_copies_among_the_texts_of_one_id(spark):
     assert suffix_dedup.remove_repeats(docs).filter("doc_id = 1").count() == 2
 
 
+def test_no_group_holds_the_texts_of_one_id(spark, monkeypatch):
+    """Null doc_ids are one place: nothing gathers its texts or anchors into one row."""
+    shared = prose(30, 30)
+    rows = [(None, f"{prose(31 + i, 20)} {shared} {prose(61 + i, 20)}") for i in range(24)] + [(1, shared)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plans, most, stored = [], [], suffix_dedup.stored
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        out = stored(df, name)
+        if "anchors" in out.columns:
+            most.append(out.agg(F.max(F.size("anchors"))).first()[0])
+        return out
+    monkeypatch.setattr(suffix_dedup, "stored", watched)
+    out = [tuple(r) for r in suffix_dedup.repeat_digests(docs).collect()]
+    order = sorted(rows, key=lambda r: (r[0] is not None, hashlib.sha256(r[1].encode()).hexdigest()))
+    truth = repeats_by_hand([((k, t), t) for k, t in order])
+    assert sorted(out, key=str) == sorted(((k, *v) for (k, _), v in truth.items()), key=str)
+    assert not any("collect_set(sha" in p for p in plans)
+    assert most == [max(most)] and most[0] <= len(shared) // 4
+
+
 def test_code_lengths_are_limited_and_decodable():
     counts = np.array([1 << k for k in range(30)] + [0, 5])
     for limit in (5, 8, 18):
