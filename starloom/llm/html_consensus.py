@@ -5,9 +5,11 @@ links and of boilerplate (menus, page headers, footers, sidebars, notices,
 adverts, forms, scripts, reader comments). A container is named by its
 generalised path: the tags from the root with their classes, digits
 generalised. Each page gives its host one vote, shared out over its paths by
-their scores; Spark adds the votes up. Pass 2 reads every page again and takes
-the text of the containers on that path, among those the page has, for which
-the host's votes count most.
+their scores; Spark adds up each path's votes and the pages that have it. Pass 2
+reads every page again and takes the text of the containers on that path, among
+those the page has, with the most votes for each page that has it. Pages of
+one host with the same set of paths are a template; each template is offered the
+votes for its own paths, all of them.
 
 Character references are decoded once, white space inside a block becomes one
 space, blocks are joined in page order by one space, tags inside a line join
@@ -20,6 +22,7 @@ Repeated rows count each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -30,8 +33,6 @@ from pyspark.sql import functions as F
 
 from .common import in_arrow, stored
 
-#: Paths with a smaller share of their host's votes are not offered to pages.
-LEAST_SHARE = 0.05
 #: A page's vote is dealt out in so many parts.
 PARTS = 1000
 
@@ -186,18 +187,31 @@ def text_of(pieces: list[str], found: list[tuple[str, float, int, int]], path: s
     return " ".join(" ".join("".join(pieces[a:b]) for a, b in spans).split())
 
 
+def _template(paths) -> bytes:
+    return hashlib.blake2b("\n".join(sorted(paths)).encode("utf-8", "replace"), digest_size=16).digest()
+
+
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        total: dict[tuple[str, str], int] = {}
+        total: dict[tuple[str, bytes, str], list[int]] = {}
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             shares = _shares(read_page(html or "")[1])
-            whole = sum(shares.values())
+            whole, template = sum(shares.values()), _template(shares)
             for path, score in shares.items():
-                key = (host, path)
-                total[key] = total.get(key, 0) + round(PARTS * score / whole)
+                sums = total.setdefault((host, template, path), [0, 0])
+                sums[0] += round(PARTS * score / whole)
+                sums[1] += 1
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()),
-             pa.array(list(total.values()), pa.int64())], ["host", "path", "votes"])
+            [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.binary()),
+             pa.array([k[2] for k in total], pa.string()), pa.array([v[0] for v in total.values()], pa.int64()),
+             pa.array([v[1] for v in total.values()], pa.int64())], ["host", "template", "path", "votes", "pages"])
+
+
+def _templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages (html last) with their templates."""
+    for batch in batches:
+        keys = [_template(_shares(read_page(html or "")[1])) for html in batch.column(batch.num_columns - 1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "_template"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,9 +221,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page, names, counts in zip(html, paths, votes):
             pieces, found = read_page(page or "")
             own = _shares(found)
-            offered = dict(zip(names or (), counts or ()))
-            # The host's votes for what the page has; a page that has none of it goes by its own scores.
-            here = {p: offered[p] for p in own if p in offered} or own
+            here = dict(zip(names or (), counts or ()))
             path = max(here, key=lambda p: (here[p], own[p], p)) if here else None
             used.append(path)
             texts.append(text_of(pieces, found, path) if path is not None else "")
@@ -224,14 +236,18 @@ def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     host = F.coalesce(F.regexp_extract(F.lower(F.col("url").cast("string")),
                                        r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(?:www\.)?([^/?#:]+)", 1), F.lit(""))
     pages = pages.select(*keep, host.alias("_host"), F.col("html").cast("string").alias("_html"))
-    votes = stored(in_arrow(pages.select("_host", "_html"), _votes, "host string, path string, votes long")
-                   .groupBy("host", "path").agg(F.sum("votes").alias("votes")), "html-votes")
-    whole = votes.groupBy("host").agg(F.sum("votes").alias("whole"))
-    # At most 1 / LEAST_SHARE paths are left for a host.
-    offered = stored(votes.join(whole, "host").filter(F.col("votes") >= LEAST_SHARE * F.col("whole"))
-                     .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("path", "votes"))).alias("p"))
-                     .select(F.col("host").alias("_host"), F.col("p.path").alias("_paths"),
-                             F.col("p.votes").alias("_votes")), "html-paths")
-    rows = pages.join(offered, "_host", "left").select(*keep, "_html", "_paths", "_votes")
+    votes = stored(in_arrow(pages.select("_host", "_html"), _votes,
+                            "host string, template binary, path string, votes long, pages long")
+                   .groupBy("host", "template", "path").agg(F.sum("votes").alias("votes"), F.sum("pages").alias("pages")),
+                   "html-votes")
+    mean = votes.groupBy("host", "path").agg((F.sum("votes") / F.sum("pages")).alias("mean"))
+    # A template has the paths of one page.
+    offered = stored(votes.select("host", "template", "path").join(mean, ["host", "path"]).groupBy("host", "template")
+                     .agg(F.collect_list(F.struct("path", "mean")).alias("p"))
+                     .select(F.col("host").alias("_host"), F.col("template").alias("_template"),
+                             F.col("p.path").alias("_paths"), F.col("p.mean").alias("_votes")), "html-paths")
+    told = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
+    rows = (in_arrow(pages, _templates, f"{told}, _template binary").join(offered, ["_host", "_template"], "left")
+            .select(*keep, "_html", "_paths", "_votes"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-3])
     return in_arrow(rows, _extract, f"{kept}, text string, n_chars long, path string")

@@ -171,6 +171,17 @@ def test_pages(spark):
     assert html_consensus.extract(pages.limit(0), ["page_id", "url"]).count() == 0
 
 
+def test_pages_of_many_templates_of_one_host(spark):
+    """Each template is read by its own path, however many the host has."""
+    page = '<html><body><article class="{}"><p>Body of {} that is long enough</p></article><div class="x"><p>Other</p></div></body></html>'
+    names = ["".join(chr(97 + int(d)) for d in str(100 + n)) for n in range(40)]
+    rows = [(n, f"http://a.example/{n}", page.format(name, name)) for n, name in enumerate(names)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r for r in html_consensus.extract(pages, ["page_id"]).collect()}
+    for n, name in enumerate(names):
+        assert out[n].text == f"Body of {name} that is long enough" and out[n].path.endswith(f"article.{name}")
+
+
 def test_vectors_against_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TILE", 16)
     rng = np.random.default_rng(5)
