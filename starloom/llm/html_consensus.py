@@ -39,7 +39,7 @@ PARTS = 1000
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
                   |<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>
                   |<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>""", re.S | re.X)
-_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NUMBER = re.compile(r"\d+")
 _WORD = re.compile(r"[a-z]+")
 
@@ -59,6 +59,10 @@ _BAD_WORD = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "
              "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "login", "signup",
              "copyright", "complementary", "contentinfo", "search", "alert", "toolbar"}
 _GOOD_WORD = {"article", "articlebody", "content", "post", "entry", "story", "main", "text", "blogpost"}
+#: Words that a boilerplate name may have besides ("page-footer", but not "has-sidebar").
+_PLACE_WORD = {"site", "page", "top", "bottom", "left", "right", "primary", "secondary", "widget", "area", "container",
+               "wrapper", "wrap", "inner", "list", "link", "links", "section", "box", "block", "bar", "button", "buttons",
+               "item", "items", "icon", "icons", "global", "main", "header", "post", "posts", "form", "thread"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}}
 _LIST_EDGE = {"ul", "ol", "dl", "table", "select"}
@@ -66,21 +70,39 @@ _LEAF = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "pre", "tr",
 
 
 class _Open:
-    __slots__ = ("tag", "bad", "link", "path", "first", "mass", "weight")
+    __slots__ = ("tag", "bad", "hard", "link", "path", "first", "mass", "weight", "named")
 
-    def __init__(self, tag, bad, link, path, first, mass, weight):
-        self.tag, self.bad, self.link, self.path = tag, bad, link, path
-        self.first, self.mass, self.weight = first, mass, weight
+    def __init__(self, tag, bad, hard, link, path, first, mass, weight, named):
+        self.tag, self.bad, self.hard, self.link, self.path = tag, bad, hard, link, path
+        self.first, self.mass, self.weight, self.named = first, mass, weight, named
 
 
-def read_page(html: str) -> tuple[list[str], list[tuple[str, float, int, int]]]:
+def _named(value: str, block: bool, in_article: int) -> tuple[bool, bool]:
+    """Whether the names of a class, id or role say boilerplate, and whether they say main text, which goes first."""
+    bad = good = False
+    for token in value.split():
+        words = set(_WORD.findall(token))
+        if words & _BAD_WORD:
+            bad = bad or words <= _BAD_WORD | _PLACE_WORD
+        elif words & _GOOD_WORD:
+            good = True
+        elif "header" in words and block and not in_article:
+            bad = bad or words <= _PLACE_WORD
+    return bad and not good, good
+
+
+def read_page(html: str, spared: frozenset[int] = frozenset()) -> tuple[list[str], list[tuple[str, float, int, int]]]:
     """The pieces of a page's text outside of boilerplate, and its containers:
-    (generalised path, score, first piece, piece after the last)."""
+    (generalised path, score, first piece, piece after the last). An element
+    that is boilerplate by its name alone is none if it holds the page's only
+    main or article, or most of its text: the page is read again with these
+    (by the place of their tags) `spared`."""
     pieces: list[str] = []
     found: list[tuple[str, float, int, int]] = []
-    mass = 0
-    stack = [_Open("", False, False, "", 0, 0, 0.5)]
-    in_article = 0
+    mass = lost = 0
+    stack = [_Open("", False, False, False, "", 0, 0, 0.5, None)]
+    in_article = articles = lost_articles = 0
+    named: list[tuple[int, int, int]] = []
 
     def close(to: int) -> None:
         nonlocal in_article
@@ -88,6 +110,9 @@ def read_page(html: str) -> tuple[list[str], list[tuple[str, float, int, int]]]:
             e = stack.pop()
             if e.tag in ("article", "main"):
                 in_article -= 1
+            if e.named:
+                at_tag, text, held = e.named
+                named.append((at_tag, lost - text, lost_articles - held))
             if e.path is not None and not e.bad and mass > e.mass:
                 found.append((e.path, (mass - e.mass) * e.weight, e.first, len(pieces)))
 
@@ -103,9 +128,12 @@ def read_page(html: str) -> tuple[list[str], list[tuple[str, float, int, int]]]:
             pieces.append(text)
             if not top.link:
                 mass += len(text) - text.count(" ")
+        elif stop > at and not top.hard and not top.link:
+            text = unescape(html[at:stop])
+            lost += len(text) - text.count(" ")
         if not m:
             break
-        at = m.end()
+        at_tag, at = m.start(), m.end()
         name = m[2] or m[5]
         if not name:
             continue
@@ -134,41 +162,49 @@ def read_page(html: str) -> tuple[list[str], list[tuple[str, float, int, int]]]:
                 if other in _LIST_EDGE or other not in _INLINE and other not in _LEAF:
                     break
             top = stack[-1]
-        bad, weight, label = top.bad or tag in _BOILERPLATE, 1.0, tag
+        hard, by_name, weight, label = top.hard or tag in _BOILERPLATE, False, 1.0, tag
         if tag == "header" and not in_article:
-            bad = True
+            hard = True
         if tag in ("article", "main"):
             weight, in_article = 1.5, in_article + 1
+            if not hard and top.bad:
+                lost_articles += 1
+            elif not hard:
+                articles += 1
         elif tag in ("html", "body"):
             weight = 0.5
-        if attributes and not attributes.isspace():
+        if attributes and not attributes.isspace() and tag not in ("html", "body"):
             for key, value in _ATTRIBUTE.findall(attributes):
-                key, value = key.lower(), value.strip("\"'").lower()
-                if key == "hidden" or key == "aria-hidden" and value == "true":
-                    bad = bad or key == "hidden"
-                    continue
-                if tag in ("html", "body"):
+                key = key.lower()
+                if key == "hidden":
+                    hard = True
+                if key not in ("class", "id", "role", "itemprop"):
                     continue
-                words = set(_WORD.findall(value))
-                if words & _BAD_WORD and tag not in ("article", "main"):
-                    bad = True
-                elif "header" in words and block and not in_article and not words & _GOOD_WORD:
-                    bad = True
-                elif block and words & _GOOD_WORD:
+                value = value.strip("\"'").lower()
+                says_bad, says_good = _named(value, block, in_article)
+                if block and says_bad and tag not in ("article", "main"):
+                    by_name = True
+                elif block and says_good:
                     weight = 1.5
                 if key == "class" and value:
                     label += "." + ".".join(sorted(set(_NUMBER.sub("#", value).split())))
+        by_name = by_name and not hard and at_tag not in spared
+        bad = top.bad or hard or by_name
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(html, at)
             at = end.start() if end else size
-            bad = True
+            bad = hard = True
         if attributes.endswith("/") and tag in ("svg", "path", "use"):
             continue
         container = block and tag not in _LEAF
         parent = next(e.path for e in reversed(stack) if e.path is not None)
-        stack.append(_Open(tag, bad, top.link or tag == "a", f"{parent}/{label}" if container else None,
-                           len(pieces), mass, weight))
+        stack.append(_Open(tag, bad, hard, top.link or tag == "a", f"{parent}/{label}" if container else None,
+                           len(pieces), mass, weight, (at_tag, lost, lost_articles) if by_name else None))
     close(0)
+    if not spared:
+        again = frozenset(tag for tag, text, held in named if held and not articles or 2 * text > mass + lost)
+        if again:
+            return read_page(html, again)
     return pieces, found
 
 

@@ -182,6 +182,21 @@ def test_pages_of_many_templates_of_one_host(spark):
         assert out[n].text == f"Body of {name} that is long enough" and out[n].path.endswith(f"article.{name}")
 
 
+def test_only_names_of_boilerplate_drop_text():
+    """Attribute names as a whole, whole class names, blocks only, and no container of the main text."""
+    body = "<p>The text of the page.</p><p>More of the text here.</p>"
+    kept = ['<body style="overflow:hidden">{}', '<div data-hidden="false" data-id="reply-3">{}</div>', '<div class="layout has-sidebar">{}</div>',
+            '<div class="entry-content no-comments">{}</div>', '<div class="entry-content comments">{}</div>',
+            '<div class="sidebar"><article>{}</article></div>', '<div class="page-banner">{}</div><div class="x">Less</div>']
+    for frame in kept:
+        pieces = html_consensus.read_page(frame.format(body))[0]
+        assert "".join(pieces).split()[:10] == "The text of the page. More of the text here.".split()[:10], frame
+    assert "".join(html_consensus.read_page('<p>A <span class="notice">b</span> c')[0]).split() == ["A", "b", "c"]
+    for gone in ('<div class="site-footer">Gone</div>', '<div id="reply-3">Gone</div>', '<div hidden>Gone</div>',
+                 '<ul class="menu-items"><li>Gone</ul>', '<section class="comments"><article>Gone</article></section>'):
+        assert "Gone" not in "".join(html_consensus.read_page(f"<article>{body}</article>{gone}")[0]), gone
+
+
 def test_vectors_against_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TILE", 16)
     rng = np.random.default_rng(5)
