@@ -13,7 +13,7 @@ on the input.
 3. Equal contexts: all but the first are removed as a whole.
 4. First contexts of an anchor that has several go to shards by anchor; an
    anchor with more than HOT contexts is dealt over shards of its own. A shard
-   sorts the suffixes of its contexts (suffix_sort: induced sorting in files),
+   sorts the suffixes of its contexts (suffix_sort: induced sorting, in memory),
    and runs of neighbours with a common prefix of LENGTH bytes are its equal
    windows: all but the first are repeats. For hot anchors each shard sends on only
    the first of each, and a grouped minimum finds the first over the shards.
