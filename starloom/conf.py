@@ -63,6 +63,14 @@ ORDER_BLOCK_SIZE = ("starloom.landing.orderBlockSize", 1_000_000)
 # late with older timestamps). Safe: changes are applied by key, and the
 # source holds each row's latest version.
 LANDING_LOOKBACK_SECONDS = ("starloom.landing.lookbackSeconds", 0)
+# Buckets that the keys of a dimension are dealt over when sides are compared by digests.
+DIGEST_BUCKETS = ("starloom.scd2.digestBuckets", 4096)
+# Buckets of the order id in which lines and headers are stored for a join without a
+# shuffle, and how many lines make an order hot (stored apart).
+ORDER_BUCKETS = ("starloom.landing.orderBuckets", 64)
+HOT_ORDER_ROWS = ("starloom.landing.hotOrderRows", 1_000_000)
+# Lines of one key that an as-of lookup sorts in one range.
+AS_OF_ROWS = ("starloom.asOf.rowsPerRange", 1_000_000)
 
 
 def tunable(spark: SparkSession, setting: tuple[str, int | float]) -> int | float:

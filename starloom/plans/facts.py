@@ -28,6 +28,7 @@ from starloom.operators.columns import drop_metadata
 from starloom.operators.lookup import checked_side, dim_side, join_side
 from starloom.session import run_concurrently
 from starloom.operators.upsert import apply_changes, merge_upsert
+from starloom.sources.bucketed import BucketedOrders, hot_headers
 
 DETAIL_KEY = ("salesorderid", "salesorderdetailid")
 HEADER_KEY = ("salesorderid",)
@@ -103,7 +104,7 @@ def _header(header: DataFrame, since: _dt.date | None, strict: bool) -> DataFram
 def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFrame],
                version: str = "current", since: _dt.date | None = None,
                strict: bool = False, broadcast: bool | str = True,
-               dim_rows: Mapping[str, int] | None = None) -> DataFrame:
+               dim_rows: Mapping[str, int] | None = None, colocated: bool = False) -> DataFrame:
     """Star-schema sales fact from landed detail and header rows.
 
     ``version`` picks the dimension row per natural key: ``current`` (open
@@ -114,7 +115,10 @@ def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFram
     shuffle-joins the others; ``"auto"`` leaves it to the planner.
     ``dim_rows`` gives known upper bounds of the dimensions' open rows: with
     ``version="current"`` those decide the broadcast without a counting job
-    (other versions read closed rows too and are counted)."""
+    (other versions read closed rows too and are counted). ``colocated`` says that
+    both inputs are stored in the same buckets of the order id: lines then meet
+    headers by a merge join, which needs no shuffle (see
+    :func:`sales_fact_bucketed`)."""
     # Prepare the five lookup sides; with broadcast=True their size checks
     # (one count each) run concurrently.
     sides = run_concurrently({
@@ -126,6 +130,8 @@ def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFram
     for _, left_key, _, out_col in HEADER_LOOKUPS:
         h = join_side(h, sides[out_col], left_key, at="orderdate")
     h = h.select("salesorderid", "orderdate", *[lk[3] for lk in HEADER_LOOKUPS])
+    if colocated:
+        h = h.hint("merge")
     d = detail.select("salesorderid", "salesorderdetailid", "productid", "orderqty", "unitprice",
                       revenue("unitprice", "orderqty").alias("revenue"))
     if version == "as_of":
@@ -140,6 +146,17 @@ def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFram
     return fact.select(surrogate_hash(list(DETAIL_KEY)).alias("sales_key"), *FACT_COLUMNS[1:])
 
 
+def sales_fact_bucketed(orders: BucketedOrders, dims: Mapping[str, DataFrame], version: str = "current",
+                        dim_rows: Mapping[str, int] | None = None) -> DataFrame:
+    """The sales fact from order tables stored in buckets of the order id: neither
+    lines nor headers are shuffled for their join (a dimension too large to
+    broadcast still shuffles headers). Hot orders meet their headers by broadcast."""
+    fact = sales_fact(orders.lines, orders.headers, dims, version, dim_rows=dim_rows, colocated=True)
+    if not orders.n_hot:
+        return fact
+    return fact.unionByName(sales_fact(orders.hot_lines, hot_headers(orders), dims, version, dim_rows=dim_rows))
+
+
 def reduce_fact_keys(fact: DataFrame) -> DataFrame:
     """One row per ``sales_key``: the greatest revenue (other columns break
     ties). An aggregate, so it combines map-side before the shuffle."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starloom.functions.scalar import decode_order_status, full_name
 from starloom.operators.cdc import live_rows, not_null
 from starloom.operators.columns import drop_metadata
+from starloom.operators.delta import Lineage, Parent
 from starloom.operators.lookup import distinct_keys, lookup
 from starloom.sources.tables import SourceReader
 
@@ -77,3 +78,17 @@ STAGING_BUILDERS = {
     "stg_dim_product": stg_dim_product,
     "stg_date": stg_date,
 }
+
+# Where the rows of the joined staged tables come from, for staging by changes.
+LINEAGE = {
+    "stg_dim_address": Lineage("person_address", "addressid", (
+        Parent("person_stateprovince", "stateprovinceid", "person_address", "stateprovinceid"),
+        Parent("person_countryregion", "countryregioncode", "person_stateprovince", "countryregioncode"))),
+    "stg_dim_customer": Lineage("sales_customer", "customerid", (
+        Parent("person_person", "businessentityid", "sales_customer", "personid"),
+        Parent("sales_store", "businessentityid", "sales_customer", "storeid"))),
+    "stg_dim_product": Lineage("production_product", "productid", (
+        Parent("production_productsubcategory", "productsubcategoryid", "production_product", "productsubcategoryid"),
+        Parent("production_productcategory", "productcategoryid", "production_productsubcategory",
+               "productcategoryid"))),
+}
