@@ -56,8 +56,6 @@ def main(argv: list[str] | None = None) -> int:
                         help="the source's soft-delete column")
     parser.add_argument("--source-metadata", default="",
                         help="comma-separated replication columns to drop")
-    parser.add_argument("--keep-snapshots", type=int, default=None,
-                        help="snapshots of each published table that stay")
     parser.add_argument("--mirror-format", default=None,
                         help="copy every table with this connector, e.g. jdbc")
     parser.add_argument("--mirror-prefix", default="", help="put before table names in the copy")
@@ -74,7 +72,7 @@ def main(argv: list[str] | None = None) -> int:
     def mirror(name, df):
         truncate_load(df, f"{args.mirror_prefix}{name}", args.mirror_format, options)
     result = run_daily(spark, read, args.target, args.load_date, run_id=args.run_id,
-                       fact_version=args.fact_version, keep_snapshots=args.keep_snapshots,
+                       fact_version=args.fact_version,
                        mirror=mirror if args.mirror_format else None)
     print(json.dumps({"run_id": result.run_id, "rows": result.rows,
                       "watermarks": {k: str(v) for k, v in result.watermarks.items()},

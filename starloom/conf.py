@@ -63,8 +63,10 @@ ORDER_BLOCK_SIZE = ("starloom.landing.orderBlockSize", 1_000_000)
 # late with older timestamps). Safe: changes are applied by key, and the
 # source holds each row's latest version.
 LANDING_LOOKBACK_SECONDS = ("starloom.landing.lookbackSeconds", 0)
-# Buckets that the keys of a dimension are dealt over when sides are compared by digests.
-DIGEST_BUCKETS = ("starloom.scd2.digestBuckets", 4096)
+# Buckets that the keys of a dimension are dealt over when sides are compared by digests;
+# open versions are stored by bucket, so a bucket should hold some ten thousand keys. A
+# stored dimension keeps the number it was created with.
+DIGEST_BUCKETS = ("starloom.scd2.digestBuckets", 64)
 # Buckets of the order id in which lines and headers are stored for a join without a
 # shuffle, and how many lines make an order hot (stored apart).
 ORDER_BUCKETS = ("starloom.landing.orderBuckets", 64)

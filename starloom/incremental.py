@@ -12,7 +12,7 @@ from starloom import conf
 from starloom.operators import cdc, delta, evolve, home, scd2, scd2_digest, scd2_log, support
 from starloom.operators.as_of import as_of_lookup
 from starloom.operators.lookup import lookup
-from starloom.plans import dimensions, facts, repair, scenarios, staging
+from starloom.plans import daily_run, dimensions, facts, repair, scenarios, staging
 from starloom.registry import CUSTOMER, query, _new_root, _order_lines
 from starloom.functions.scalar import date_literal, decode_order_status
 from starloom.session import materialize
@@ -63,6 +63,16 @@ def scd2_merge_delta(src: FixtureSource) -> DataFrame:
     return delta.scd2_merge_delta(history, change, ADDRESS.tracked, scenarios.MERGE_LOAD_DATE)
 
 
+@query
+def daily_run_fact(src: FixtureSource) -> DataFrame:
+    """The stored sales fact after two daily runs: a first load of the old state, then
+    the day's changes of every source."""
+    changes, root = ChangedSource(src), _new_root(src, "daily")
+    daily_run.run_daily(src.spark, changes.before, root, scenarios.FIRST_LOAD_DATE)
+    daily_run.run_daily(src.spark, changes.after, root, scenarios.MERGE_LOAD_DATE)
+    return daily_run.read_fact(src.spark, root)
+
+
 # -- distinct values kept by counts ---------------------------------------------------
 
 def _support(src: FixtureSource, column: str, not_null: bool) -> DataFrame:

@@ -2,13 +2,16 @@
 after the current maximum.
 
 Rows are cut into ordered key ranges of about ``starloom.keys.rowsPerRange``
-rows and numbered in parallel; a small input is one range:
+rows and numbered in parallel:
 
-1. quantiles of the key give range boundaries (one pass, bounded memory);
-2. each row gets its range index (``Bucketizer``: binary search, JVM side);
-3. rows are counted per (segment, range): a table of at most
+1. the keys alone are stored, so that what follows reads them and not the plan above;
+2. quantiles of the key give range boundaries (one pass, bounded memory);
+3. each row gets its range index (``Bucketizer``: binary search, JVM side);
+4. rows are counted per (segment, range): a table of at most
    segments x ranges rows, turned into running offsets on the driver;
-4. ``row_number()`` within each range plus that range's offset.
+5. ``row_number()`` within each range plus that range's offset.
+
+An input of one range has one offset, the start: it needs neither boundaries nor counts.
 
 Boundaries and offsets are literals in the final plan, so a recomputed task
 (lost executor) produces the same keys. Key types without a numeric order
@@ -67,6 +70,10 @@ def assign_surrogate_keys(df: DataFrame, order_col: str, out_col: str = conf.SK_
     spark = df.sparkSession
     n = df.count() if rows is None else rows
     n_ranges = max(1, math.ceil(n / conf.tunable(spark, conf.SK_ROWS_PER_RANGE)))
+    if n_ranges == 1:
+        first = [F.col(segment_col).asc()] if segment_col else []
+        whole = Window.partitionBy(F.lit(0)).orderBy(*first, *_order(order_col, tiebreak))
+        return df.select("*", (F.lit(start) + F.row_number().over(whole)).cast("long").alias(out_col))
     proxy = _numeric_proxy(F.col(order_col), df.schema[order_col].dataType)
     if proxy is not None:
         return _keys_by_quantile_ranges(df, order_col, out_col, start, segment_col, tiebreak,
@@ -88,21 +95,23 @@ def _keys_by_quantile_ranges(df, order_col, out_col, start, segment_col, tiebrea
     from pyspark.ml.feature import Bucketizer
 
     spark = df.sparkSession
-    probe = df.select(proxy.alias("_k")).filter(F.col("_k").isNotNull())
+    seg = (F.col(segment_col) if segment_col else F.lit(0)).cast("int")
+    keys = materialize(df.select(proxy.alias("_k"), seg.alias("_seg")))
     probs = [i / n_ranges for i in range(1, n_ranges)]
     # The error stays below a quarter of a range, however many there are.
-    cuts = probe.approxQuantile("_k", probs, 1 / (4 * n_ranges)) if probs else []
+    cuts = keys.filter(F.col("_k").isNotNull()).approxQuantile("_k", probs, 1 / (4 * n_ranges))
     splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
-    seg = (F.col(segment_col) if segment_col else F.lit(0)).cast("int")
-    ranged = df.withColumn("_k", proxy)
-    ranged = (Bucketizer(splits=splits, inputCol="_k", outputCol="_range", handleInvalid="keep").transform(ranged)
-              if len(splits) > 2 else ranged.withColumn("_range", F.lit(0)))
-    ranged = (ranged.withColumn("_range", F.when(F.col(order_col).isNull(), F.lit(-1))
-                                           .otherwise(F.col("_range").cast("int")))
-                    .withColumn("_seg", seg))
+
+    def with_range(rows: DataFrame) -> DataFrame:
+        if len(splits) == 2:
+            rows = rows.withColumn("_range", F.lit(0))
+        else:
+            rows = Bucketizer(splits=splits, inputCol="_k", outputCol="_range", handleInvalid="keep").transform(rows)
+        return rows.withColumn("_range", F.when(F.col("_k").isNull(), F.lit(-1)).otherwise(F.col("_range").cast("int")))
+    ranged = with_range(df.withColumns({"_k": proxy, "_seg": seg}))
     # segments x ranges rows at most: a bounded driver round trip.
     counts = [(r["_seg"], r["_range"], r["count"])
-              for r in ranged.groupBy("_seg", "_range").count().collect()]
+              for r in with_range(keys).groupBy("_seg", "_range").count().collect()]
     offsets = spark.createDataFrame(_running_offsets(counts),
                                     "_seg int, _range int, _offset long")
     w = Window.partitionBy("_seg", "_range").orderBy(*_order(order_col, tiebreak))

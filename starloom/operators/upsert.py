@@ -22,13 +22,17 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str],
-                 order_cols: Sequence[str] | None = None) -> DataFrame:
+                 order_cols: Sequence[str] | None = None, fixed: bool = False) -> DataFrame:
     """Rows of ``target`` whose key is absent from ``source``, plus
     ``source``. With ``order_cols`` the source is first reduced to its
-    greatest row per key (remaining columns break ties)."""
+    greatest row per key (remaining columns break ties). ``fixed`` says that the
+    source comes from stored rows by little work: it is then read twice rather than
+    written once more."""
     keys = _keys(key)
-    # Read twice (keys removed, rows added): computed once.
-    src = materialize(newest_per_key(source, keys, order_cols) if order_cols else source)
+    src = newest_per_key(source, keys, order_cols) if order_cols else source
+    if not fixed:
+        # Read twice (keys removed, rows added): computed once.
+        src = materialize(src)
     untouched = target.join(src.select(*keys), keys, "left_anti")
     return untouched.unionByName(src.select(*target.columns))
 

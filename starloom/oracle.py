@@ -304,6 +304,15 @@ _RAW: dict[str, str] = {
                          unitprice desc nulls last, _deleted desc nulls last) as _rn
               from sales_salesorderdetail) v where _rn = 1""",
     "publish_roundtrip": "select * from stg_dim_product",
+    "sink_append": "select * from stg_dim_product",
+    "sink_truncate_load": "select * from stg_dim_product",
+    "sink_create_or_replace": "select * from stg_dim_address",
+    "target_exists": f"""select 'full' as target, count(*) > 0 as has_rows from sales_salesorderdetail where _deleted = false
+        union all select 'empty', count(*) > 0 from sales_salesorderdetail where salesorderid < 0
+        union all select 'missing', false
+        union all select 'changes', count(*) > 0 from sales_salesorderdetail where modifieddate > timestamp '{sc.LANDING_CUTOFF}'
+        union all select 'no_changes', count(*) > 0 from sales_salesorderdetail
+          where modifieddate > timestamp '{sc.LANDING_CUTOFF}' and orderqty < 0""",
     "upsert_partitions_months": f"""select salesorderid, case when strftime(orderdate, '%Y%m') = '{sc.UPSERT_MONTH}'
           then -customerid else customerid end as customerid, status, strftime(orderdate, '%Y%m') as month
         from sales_salesorderheader""",

@@ -9,6 +9,8 @@ from starloom import incremental as inc
 from starloom.oracle import (CUST_COLS, ORACLE_SQL, SCD_COLS, TRACKED, VIEWS, _FACT_SELECT, _RAW, fp_safe,
                              with_views)
 from starloom.plans import scenarios as sc
+from starloom.plans.dimensions import DIMENSIONS
+from starloom.sources.fixture_changes import CHANGED_AT
 
 OPEN = "9999-12-31"
 
@@ -40,14 +42,19 @@ _CHANGES = {
         "name": "case when productsubcategoryid = 4 then name || '_new' else name end",
         "productcategoryid": "case when productsubcategoryid = 10 then (productcategoryid + 1) % 7 else productcategoryid end"},
     "production_productcategory": {"name": "case when productcategoryid = 1 then name || '_new' else name end"},
+    "sales_salesorderdetail": {
+        "orderqty": "case when salesorderid % 59 = 11 then 99 else orderqty end",
+        "modifieddate": f"case when salesorderid % 41 = 3 or salesorderid % 59 = 11 or salesorderid % 61 = 5 then timestamp '{CHANGED_AT}' else modifieddate end",
+        "_deleted": "case when salesorderid % 61 = 5 then true else _deleted end"},
     "sales_salesorderheader": {
+        "modifieddate": f"case when salesorderid % 41 = 3 or salesorderid % 3 = 1 or salesorderid % 47 = 7 or salesorderid % 53 = 9 then timestamp '{CHANGED_AT}' else modifieddate end",
         "creditcardid": "case when salesorderid % 47 = 7 then customerid + 1 else creditcardid end",
         "status": "case when salesorderid % 53 = 9 then 2 else status end",
         "_deleted": "case when salesorderid % 3 = 1 then true else _deleted end"},
 }
 _NEW = {"person_address": "addressid % 41 = 3", "sales_customer": "customerid % 41 = 3",
         "person_person": "businessentityid % 67 = 3", "production_product": "productid % 41 = 3",
-        "sales_salesorderheader": "salesorderid % 41 = 3"}
+        "sales_salesorderheader": "salesorderid % 41 = 3", "sales_salesorderdetail": "salesorderid % 41 = 3"}
 
 
 def _in_state(sql: str, suffix: str) -> str:
@@ -59,8 +66,8 @@ for _name, _columns in _CHANGES.items():
     VIEWS[f"{_name}_now"] = f"select * replace ({', '.join(f'{e} as {c}' for c, e in _columns.items())}) from {_name}"
     VIEWS[f"{_name}_then"] = f"select * from {_name} where not {_NEW.get(_name, 'false')}"
 for _name in ("stg_dim_address", "stg_dim_customer", "stg_dim_product", "stg_dim_credit_card", "stg_dim_order_status"):
-    VIEWS[f"{_name}_now"] = _in_state(VIEWS[_name], "now")
-VIEWS["stg_dim_address_then"] = _in_state(VIEWS["stg_dim_address"], "then")
+    for _state in ("then", "now"):
+        VIEWS[f"{_name}_{_state}"] = _in_state(VIEWS[_name], _state)
 
 
 def merge_sql(history: str, current: str, key: str, cols: list[str], tracked: list[str], load: str,
@@ -118,7 +125,31 @@ VIEWS["log_changes"] = f"""select * from (
     where event = 0 or live <> was or (live and fp <> fp_was)"""
 VIEWS["log_ended"] = "select *, lead(day) over (partition by customerid order by event, day) as until from log_changes"
 
+# Two daily runs: dimensions of a first load and after a merge, landed versions, facts.
+for _dim in DIMENSIONS:
+    _cols = [_dim.key, *_dim.tracked]
+    VIEWS[f"{_dim.name}_then"] = (
+        f"select {', '.join(_cols)}, cast(row_number() over (order by {_dim.key} nulls first) as bigint) as sk_id, "
+        f"date '{sc.FIRST_LOAD_DATE}' as effective_date, date '{OPEN}' as expiration_date, true as current_flag "
+        f"from {_dim.staging}_then")
+    VIEWS[f"{_dim.name}_now"] = _merged(f"{_dim.name}_then", f"{_dim.staging}_now", _dim.key, _cols, list(_dim.tracked),
+                                        sc.MERGE_LOAD_DATE)
+for _state in ("then", "now"):
+    VIEWS[f"landed_detail_{_state}"] = (
+        f"select * from ({_in_state(_RAW['landing_versions'], _state)}) v where _deleted = false")
+    VIEWS[f"landed_header_{_state}"] = _in_state(VIEWS["landed_header"], _state)
+    VIEWS[f"sales_fact_{_state}"] = re.sub(
+        r"\b(landed_detail|landed_header|" + "|".join(d.name for d in DIMENSIONS) + r")\b", rf"\1_{_state}", _FACT_SELECT)
+VIEWS["touched_orders"] = """select salesorderid from sales_salesorderheader_now
+      where modifieddate >= (select max(modifieddate) from sales_salesorderheader_then)
+    union select salesorderid from sales_salesorderdetail_now
+      where modifieddate >= (select max(modifieddate) from sales_salesorderdetail_then)
+    union select salesorderid from landed_header_now
+      where orderdate >= (select cast(max(orderdate) as timestamp) from sales_fact_then)"""
+
 _SQL = {
+    "daily_run_fact": """select * from sales_fact_then where salesorderid not in (select salesorderid from touched_orders)
+        union all select * from sales_fact_now where salesorderid in (select salesorderid from touched_orders)""",
     "stg_delta_address": "select * from stg_dim_address_now",
     "stg_delta_customer": "select * from stg_dim_customer_now",
     "stg_delta_product": "select * from stg_dim_product_now",

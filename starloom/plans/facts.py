@@ -45,9 +45,11 @@ HEADER_LOOKUPS = (
 DETAIL_LOOKUPS = (
     ("dim_product", "productid", "productid", "product_key"),
 )
-FACT_COLUMNS = ("sales_key", "product_key", "customer_key", "ship_address_key",
-                "order_status_key", "creditcard_key", "salesorderid", "salesorderdetailid",
-                "unitprice", "orderqty", "orderdate", "revenue")
+# The fact's columns.
+FACT_SCHEMA = ("sales_key string, product_key long, customer_key long, ship_address_key long, order_status_key long, "
+               "creditcard_key long, salesorderid long, salesorderdetailid long, unitprice decimal(12,2), orderqty int, "
+               "orderdate date, revenue decimal(18,2)")
+FACT_COLUMNS = tuple(c.split()[0] for c in FACT_SCHEMA.split(", "))
 
 
 # -- landing ------------------------------------------------------------------
@@ -104,7 +106,8 @@ def _header(header: DataFrame, since: _dt.date | None, strict: bool) -> DataFram
 def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFrame],
                version: str = "current", since: _dt.date | None = None,
                strict: bool = False, broadcast: bool | str = True,
-               dim_rows: Mapping[str, int] | None = None, colocated: bool = False) -> DataFrame:
+               dim_rows: Mapping[str, int] | None = None, colocated: bool = False,
+               lookups: Sequence[str] | None = None) -> DataFrame:
     """Star-schema sales fact from landed detail and header rows.
 
     ``version`` picks the dimension row per natural key: ``current`` (open
@@ -118,18 +121,22 @@ def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFram
     (other versions read closed rows too and are counted). ``colocated`` says that
     both inputs are stored in the same buckets of the order id: lines then meet
     headers by a merge join, which needs no shuffle (see
-    :func:`sales_fact_bucketed`)."""
+    :func:`sales_fact_bucketed`). ``lookups``, when given, names the dimension keys
+    that the caller uses; the others are left out of the result, their dimensions
+    are not needed."""
+    header_lookups, detail_lookups = (
+        [lk for lk in side if lookups is None or lk[3] in lookups] for side in (HEADER_LOOKUPS, DETAIL_LOOKUPS))
     # Prepare the five lookup sides; with broadcast=True their size checks
     # (one count each) run concurrently.
     sides = run_concurrently({
         out_col: (lambda n=dim_name, k=dim_key, o=out_col:
                   checked_side(dim_side(dims[n], k, o, version), broadcast,
                                (dim_rows or {}).get(n) if version == "current" else None))
-        for dim_name, _, dim_key, out_col in HEADER_LOOKUPS + DETAIL_LOOKUPS})
+        for dim_name, _, dim_key, out_col in header_lookups + detail_lookups})
     h = _header(header, since, strict)
-    for _, left_key, _, out_col in HEADER_LOOKUPS:
+    for _, left_key, _, out_col in header_lookups:
         h = join_side(h, sides[out_col], left_key, at="orderdate")
-    h = h.select("salesorderid", "orderdate", *[lk[3] for lk in HEADER_LOOKUPS])
+    h = h.select("salesorderid", "orderdate", *[lk[3] for lk in header_lookups])
     if colocated:
         h = h.hint("merge")
     d = detail.select("salesorderid", "salesorderdetailid", "productid", "orderqty", "unitprice",
@@ -137,13 +144,14 @@ def sales_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFram
     if version == "as_of":
         # The as-of date of a line is its order's date: lines meet headers first.
         fact = d.join(h, "salesorderid", "inner")
-        for _, left_key, _, out_col in DETAIL_LOOKUPS:
+        for _, left_key, _, out_col in detail_lookups:
             fact = join_side(fact, sides[out_col], left_key, at="orderdate")
     else:
-        for _, left_key, _, out_col in DETAIL_LOOKUPS:
+        for _, left_key, _, out_col in detail_lookups:
             d = join_side(d, sides[out_col], left_key)
         fact = d.join(h, "salesorderid", "inner")
-    return fact.select(surrogate_hash(list(DETAIL_KEY)).alias("sales_key"), *FACT_COLUMNS[1:])
+    return fact.select(surrogate_hash(list(DETAIL_KEY)).alias("sales_key"),
+                       *[c for c in FACT_COLUMNS[1:] if c in fact.columns])
 
 
 def sales_fact_bucketed(orders: BucketedOrders, dims: Mapping[str, DataFrame], version: str = "current",
@@ -158,9 +166,18 @@ def sales_fact_bucketed(orders: BucketedOrders, dims: Mapping[str, DataFrame], v
 
 
 def reduce_fact_keys(fact: DataFrame) -> DataFrame:
-    """One row per ``sales_key``: the greatest revenue (other columns break
-    ties). An aggregate, so it combines map-side before the shuffle."""
-    return newest_per_key(fact, ["sales_key"], ["revenue"])
+    """One row per sales key (of order id and detail id, two whole numbers, which are
+    what is grouped by): the greatest revenue, other columns break ties. An
+    aggregate, so it combines map-side before the shuffle."""
+    return newest_per_key(fact, list(DETAIL_KEY), ["revenue"])
+
+
+def order_watermark(detail: DataFrame, header: DataFrame, until: _dt.date | str) -> _dt.date | None:
+    """The last order date up to ``until`` that a fact of these tables has, without
+    building it: two columns of each table."""
+    dated = _header(header, None, False).select("salesorderid", "orderdate")
+    dated = dated.filter(F.col("orderdate") <= F.lit(str(until)).cast("date"))
+    return max_value(dated.join(detail.select("salesorderid"), "salesorderid", "left_semi"), "orderdate")
 
 
 def fact_increment_filter(fact: DataFrame, target: DataFrame, strict: bool = True) -> DataFrame:
@@ -183,4 +200,4 @@ def sales_fact_incremental(detail: DataFrame, header: DataFrame, dims: Mapping[s
                        dim_rows=dim_rows)
     if target is None or since is None:
         return reduce_fact_keys(fresh)
-    return merge_upsert(target, fresh, "sales_key", order_cols=["revenue"])
+    return merge_upsert(target, fresh, list(DETAIL_KEY), order_cols=["revenue"])

@@ -5,6 +5,8 @@ grows with them. Dates are fixed so runs are replayable."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,13 +78,13 @@ def customer_merged(read: SourceReader, with_action: bool = False, as_of_dates:
 
 
 def first_load_dims(read: SourceReader, load_date: str = FIRST_LOAD_DATE,
-                    rows: dict[str, int] | None = None) -> dict[str, DataFrame]:
+                    rows: dict[str, int] | None = None, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Address, card, status and product from a first load; customer after
-    the two-batch merge. ``rows`` (a dict) receives the open-row counts the
-    loads found while checking their keys."""
+    the two-batch merge; or only those of ``names``. ``rows`` (a dict) receives the
+    open-row counts the loads found while checking their keys."""
     stats: dict[str, dict] = {n: {} for n in ("dim_address", "dim_creditcard",
                                               "dim_orderstatus", "dim_product", "dim_customer")}
-    dims = run_concurrently({
+    builds = {
         "dim_address": lambda: scd2_initial(stg_dim_address(read), "addressid", load_date,
                                             stats=stats["dim_address"]),
         "dim_creditcard": lambda: scd2_initial(stg_dim_credit_card(read), "creditcardid",
@@ -92,7 +94,8 @@ def first_load_dims(read: SourceReader, load_date: str = FIRST_LOAD_DATE,
         "dim_product": lambda: scd2_initial(stg_dim_product(read), "productid", load_date,
                                             stats=stats["dim_product"]),
         "dim_customer": lambda: customer_merged(read, stats=stats["dim_customer"]),
-    })
+    }
+    dims = run_concurrently({name: build for name, build in builds.items() if names is None or name in names})
     if rows is not None:
         rows.update({n: s["rows"] for n, s in stats.items() if "rows" in s})
     return dims
@@ -108,12 +111,12 @@ def landed_header(read: SourceReader) -> DataFrame:
 
 def current_fact(read: SourceReader, version: str = "current",
                  dims: dict[str, DataFrame] | None = None,
-                 dim_rows: dict[str, int] | None = None) -> DataFrame:
+                 dim_rows: dict[str, int] | None = None, **options) -> DataFrame:
     if dims is None:
         dim_rows = {}
         dims = first_load_dims(read, rows=dim_rows)
     return sales_fact(landed_detail(read), landed_header(read), dims, version=version,
-                      dim_rows=dim_rows)
+                      dim_rows=dim_rows, **options)
 
 
 def upsert_target(fact: DataFrame) -> DataFrame:

@@ -14,9 +14,9 @@ from starloom.functions import scalar
 from starloom.operators import cdc, columns, keys, lookup, scd2, upsert
 from starloom.plans import dimensions, facts, scenarios, staging
 from starloom.sources.fixtures import FixtureSource
-from starloom.session import ensure_checkpoint_dir, materialize
+from starloom.session import ensure_checkpoint_dir, materialize, run_concurrently
 from starloom.sources import publish
-from starloom.sources.tables import scan
+from starloom.sources.tables import path_has_data, scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,8 +38,10 @@ CUSTOMER = scenarios.CUSTOMER
 
 @query
 def src_scan(src: FixtureSource) -> DataFrame:
-    """Source table through the generic scan (path + format)."""
-    return src("sales_salesorderheader")
+    """Source table through the generic scan, by its name in the catalog."""
+    name = f"oltp_header_{publish.new_run_id().replace('-', '_')}"
+    src("sales_salesorderheader").createOrReplaceTempView(name)
+    return scan(src.spark, name)
 
 
 @query
@@ -59,14 +61,11 @@ def drop_metadata(src: FixtureSource) -> DataFrame:
 
 @query
 def load_metrics(src: FixtureSource) -> DataFrame:
-    """Rows per staged table (one global aggregate each, unioned)."""
-    parts = [builder(src).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(name).alias("table_name"), "row_count")
-             for name, builder in staging.STAGING_BUILDERS.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows per staged table, observed while each is written."""
+    root = _new_root(src, "staged")
+    rows = run_concurrently({name: (lambda n=name, b=build: publish.overwrite(b(src), f"{root}/{n}")["rows"])
+                             for name, build in staging.STAGING_BUILDERS.items()})
+    return src.spark.createDataFrame(list(rows.items()), "table_name string, row_count long")
 
 
 # -- 2.2 projection, filter ------------------------------------------------------
@@ -92,9 +91,8 @@ def watermark_increment(src: FixtureSource) -> DataFrame:
 @query
 def fact_incremental_filter(src: FixtureSource) -> DataFrame:
     """Fact rows dated after max(orderdate) of an older fact (faithful ``>``)."""
-    fact = materialize(scenarios.current_fact(src))
-    target = fact.filter(F.col("orderdate") <= F.lit(scenarios.UPSERT_TARGET_END).cast("date"))
-    return facts.fact_increment_filter(fact, target, strict=True)
+    since = facts.order_watermark(scenarios.landed_detail(src), scenarios.landed_header(src), scenarios.UPSERT_TARGET_END)
+    return scenarios.current_fact(src, since=since, strict=True)
 
 
 @query
@@ -228,7 +226,7 @@ def merge_upsert(src: FixtureSource) -> DataFrame:
     fact = materialize(scenarios.current_fact(src))
     # Both sides are already one row per key (reduced by revenue).
     return upsert.merge_upsert(scenarios.upsert_target(fact), scenarios.upsert_source(fact),
-                               "sales_key")
+                               list(facts.DETAIL_KEY), fixed=True)
 
 
 # -- 2.4 aggregation -------------------------------------------------------------
@@ -456,9 +454,10 @@ def revenue_by_dimension(src: FixtureSource) -> DataFrame:
     """Consumer check on the built star (not an operator of its own)."""
     from starloom.plans.daily_run import revenue_by_dimension as rbd
     rows: dict[str, int] = {}
-    dims = scenarios.first_load_dims(src, rows=rows)
-    fact = scenarios.current_fact(src, dims=dims, dim_rows=rows)
-    return rbd(fact, dims["dim_product"], dims["dim_address"])
+    # Only what the result uses; after a first load every row is an open one.
+    dims = scenarios.first_load_dims(src, rows=rows, names=("dim_product", "dim_address"))
+    fact = scenarios.current_fact(src, dims=dims, dim_rows=rows, lookups=("product_key", "ship_address_key"))
+    return rbd(fact, dims["dim_product"], dims["dim_address"], rows)
 
 
 # -- the write side: stored tables, read back --------------------------------------
@@ -469,13 +468,60 @@ def _new_root(src: FixtureSource, name: str) -> str:
 
 @query
 def publish_roundtrip(src: FixtureSource) -> DataFrame:
-    """Two snapshots of a table, the later one with the lesser run id: readers
-    get the last commit."""
-    root = _new_root(src, "roundtrip")
+    """A staged table overwritten by its next state."""
+    path = _new_root(src, "roundtrip")
+    staged = staging.stg_dim_product(src)
+    publish.overwrite(staged.filter(F.col("productid") % 2 == 0), path)
+    publish.overwrite(staged, path)
+    return src.spark.read.schema(staged.schema).parquet(path)
+
+
+@query
+def sink_append(src: FixtureSource) -> DataFrame:
+    """A table appended to twice."""
+    path = _new_root(src, "append")
     staged = staging.stg_dim_product(src)
-    publish.publish_snapshot(staged.filter(F.col("productid") % 2 == 0), root, "run-b")
-    publish.publish_snapshot(staged, root, "run-a", metrics={})
-    return publish.read_current(src.spark, root)
+    for part in (0, 1):
+        publish.append(staged.filter(F.col("productid") % 2 == part), path)
+    return src.spark.read.schema(staged.schema).parquet(path)
+
+
+def _new_table(src: FixtureSource) -> tuple[str, dict[str, str]]:
+    run = publish.new_run_id().replace("-", "_")
+    return f"sink_{run}", {"path": _new_root(src, "table")}
+
+
+@query
+def sink_truncate_load(src: FixtureSource) -> DataFrame:
+    """A catalog table whose rows are replaced; its columns stay."""
+    table, options = _new_table(src)
+    staged = staging.stg_dim_product(src)
+    publish.truncate_load(staged.filter(F.col("productid") % 2 == 0), table, options=options)
+    publish.truncate_load(staged.select(*reversed(staged.columns)), table)
+    return scan(src.spark, table)
+
+
+@query
+def sink_create_or_replace(src: FixtureSource) -> DataFrame:
+    """A catalog table replaced by one of other columns."""
+    table, options = _new_table(src)
+    publish.create_or_replace(staging.stg_dim_product(src), table, options=options)
+    publish.create_or_replace(staging.stg_dim_address(src), table, options=options)
+    return scan(src.spark, table)
+
+
+@query
+def target_exists(src: FixtureSource) -> DataFrame:
+    """The load that an existing, an empty and a missing target lead to, and whether
+    a change set is empty."""
+    root = _new_root(src, "targets")
+    detail = src("sales_salesorderdetail")
+    publish.overwrite(cdc.live_rows(detail), f"{root}/full")
+    publish.overwrite(detail.filter(F.col("salesorderid") < 0), f"{root}/empty")
+    found = [(name, path_has_data(src.spark, f"{root}/{name}")) for name in ("full", "empty", "missing")]
+    late = cdc.after_watermark(detail, "modifieddate", F.lit(scenarios.LANDING_CUTOFF).cast("timestamp_ntz"))
+    found += [("changes", not cdc.is_empty(late)), ("no_changes", not cdc.is_empty(late.filter("orderqty < 0")))]
+    return src.spark.createDataFrame(found, "target string, has_rows boolean")
 
 
 @query
@@ -488,18 +534,14 @@ def upsert_partitions_months(src: FixtureSource) -> DataFrame:
     publish.upsert_partitions(src.spark, root, rows, "salesorderid", "month")
     publish.upsert_partitions(src.spark, root, rows.filter(F.col("month") == last).withColumn(
         "customerid", -F.col("customerid")), "salesorderid", "month")
-    return src.spark.read.schema(rows.schema).parquet(root)
+    return publish.read_upserted(src.spark, root, rows.schema)
 
 
 @query
 def dimension_two_runs(src: FixtureSource) -> DataFrame:
     """A stored dimension after a first load and a merge, its whole history."""
-    root = _new_root(src, "dimension")
-    spec = CUSTOMER
-    history = scenarios.customer_history(src).withColumn(
-        "action", F.when(F.col(conf.CURRENT_COL), F.lit(conf.INSERT)).otherwise(F.lit(conf.DELETE)))
-    publish.publish_dimension(history, root, "r1", conf.CURRENT_COL)
-    merged = scd2.scd2_merge(publish.read_dimension(src.spark, root), scenarios.customer_batch2(src), spec.key,
-                             spec.tracked, scenarios.MERGE_LOAD_DATE, with_action=True)
-    publish.publish_dimension(merged, root, "auto", conf.CURRENT_COL)
-    return publish.read_dimension(src.spark, root)
+    root, buckets = _new_root(src, "dimension"), 16
+    staged = scenarios.customer_batch2(src)
+    dimensions.store_dimension(scenarios.customer_history(src), root, CUSTOMER.key, buckets)
+    dimensions.merge_stored_dimension(src.spark, root, CUSTOMER, staged, scenarios.MERGE_LOAD_DATE, buckets)
+    return dimensions.read_dimension(src.spark, root, staged.schema)

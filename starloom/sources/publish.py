@@ -1,33 +1,33 @@
-"""Sinks and snapshot publishing.
-
-A table the next run reads back (an SCD2 history, a landed fact) must not be
-overwritten in place: the plan that reads it is lazy, and deleting first loses
-it. Each publish therefore writes an immutable snapshot
-``{root}/snapshots/{run_id}`` and then appends the run id to
-``{root}/_commits`` with the next sequence number; readers take the last number.
-A run id is used once for a table. A snapshot with no commit record (failed run) is never read. Every step is a Spark write, so it
-works on any file system Spark writes to.
+"""Sinks: Spark's own writers, with row counts and other aggregates observed while
+they write (no extra job).
+
+Tables that are rebuilt from their sources are overwritten. Tables that a run reads and
+changes are partitioned, and a run replaces whole partitions by a dynamic partition
+overwrite: old files go when the job commits, after every task has read them, so reading
+and rewriting the same partitions is safe. Such an overwrite leaves a partition that
+gets no rows as it was; where an upsert may empty partitions each one written carries
+one placeholder row, which :func:`read_upserted` leaves out.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
-import json
+import threading
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from starloom.sources.tables import is_missing
+from starloom.operators.cdc import newest_per_key
+from starloom.sources.tables import path_has_data
 
-COMMITS = "_commits"
-SNAPSHOTS = "snapshots"
 # Formats whose tables are directories of files.
 FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv", "text")
-COMMIT_SCHEMA = "seq long, run_id string, schema string, meta string"
+PLACEHOLDER = "_placeholder"
+_SETTING = threading.Lock()
 
 
 def new_run_id() -> str:
@@ -36,115 +36,37 @@ def new_run_id() -> str:
     return f"{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
-def snapshot_path(root: str, run_id: str) -> str:
-    return f"{root.rstrip('/')}/{SNAPSHOTS}/{run_id}"
-
-
-def publish_snapshot(df: DataFrame, root: str, run_id: str | None = None,
-                     partition_by: Sequence[str] = (), fmt: str = "parquet",
-                     metrics: dict | None = None, observe: dict | None = None,
-                     meta: Callable[[dict], dict] | dict | None = None) -> str:
-    """Write ``df`` as a new snapshot of the table at ``root`` and commit it.
-    Returns the snapshot path.
-
-    With ``metrics`` (a dict), the written row count (``rows``) and the
-    aggregates of ``observe`` (name -> column) are observed during the write
-    itself (no extra job) and stored in it. ``meta`` (a dict, or a function
-    of the metrics returning one) is kept in the commit record."""
-    run_id = run_id or new_run_id()
-    path = snapshot_path(root, run_id)
-    observation = None
-    if metrics is not None:
-        observation = Observation(f"publish-{run_id}-{uuid.uuid4().hex[:6]}")
-        extra = [c.alias(n) for n, c in (observe or {}).items()]
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *extra)
-    writer = df.write.mode("errorifexists").format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-    if observation is not None:
-        metrics.update(observation.get)
-    spark = df.sparkSession
-    # The commit records the schema written, so readers get the same types
-    # back (partition columns included) without inferring them.
-    if callable(meta):
-        meta = meta(metrics or {})
-    last = _last_commit(spark, root)
-    seq = 1 + (last["seq"] if last is not None and last["seq"] is not None else 0)
-    record = (seq, run_id, df.schema.json(), json.dumps(meta) if meta else None)
-    (spark.createDataFrame([record], COMMIT_SCHEMA).coalesce(1)
-          .write.mode("append").json(f"{root.rstrip('/')}/{COMMITS}"))
-    return path
-
-
-def _commits(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(COMMIT_SCHEMA).json(f"{root.rstrip('/')}/{COMMITS}")
-    except AnalysisException as error:
-        if is_missing(error):
-            return None
-        raise
-
-
-def _last_commit(spark: SparkSession, root: str):
-    commits = _commits(spark, root)
-    if commits is None:
-        return None
-    # Commit records are one tiny row per run.
-    return commits.agg(F.max_by("schema", "seq").alias("schema"), F.max_by("meta", "seq").alias("meta"),
-                       F.max_by("run_id", "seq").alias("run_id"), F.max("seq").alias("seq")).first()
-
-
-def expire_snapshots(spark: SparkSession, root: str, keep: int) -> list[str]:
-    """Delete all but the last ``keep`` committed snapshots of the table at
-    ``root``; returns the run ids deleted."""
-    if keep < 1:
-        raise ValueError("the current snapshot is always kept")
-    commits = _commits(spark, root)
-    runs = [] if commits is None else [r["run_id"] for r in commits.orderBy(F.desc("seq")).collect()]
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    gone = []
-    for run_id in runs[keep:]:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(snapshot_path(root, run_id))
-        if path.getFileSystem(hadoop).delete(path, True):
-            gone.append(run_id)
-    return gone
-
-
-def last_meta(spark: SparkSession, root: str) -> dict:
-    """Metadata kept with the last commit of the table at ``root``."""
-    last = _last_commit(spark, root)
-    return json.loads(last["meta"]) if last is not None and last["meta"] else {}
-
-
-def current_run(spark: SparkSession, root: str) -> str | None:
-    last = _last_commit(spark, root)
-    return None if last is None else last["run_id"]
-
-
-def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame | None:
-    """The last committed snapshot of the table at ``root``, read with the
-    schema it was written with, or None."""
-    last = _last_commit(spark, root)
-    if last is None or last["run_id"] is None:
-        return None
-    reader = spark.read.format(fmt)
-    if last["schema"]:
-        reader = reader.schema(StructType.fromJson(json.loads(last["schema"])))
-    return reader.load(snapshot_path(root, last["run_id"]))
-
-
-def has_data(spark: SparkSession, root: str) -> bool:
-    """Target-exists test that picks an initial or an incremental load."""
-    return current_run(spark, root) is not None
+def _observed(df: DataFrame, aggregates: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    seen = Observation(f"write-{uuid.uuid4().hex[:12]}")
+    return df.observe(seen, *[c.alias(n) for n, c in aggregates.items()]), seen
+
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
+def overwrite(df: DataFrame, path: str, **aggregates: Column) -> dict:
+    """Replace the dataset at ``path`` by ``df``, which must not read it. Returns the
+    row count (``rows``) and the aggregates, observed during the write."""
+    df, seen = _observed(df, {"rows": _rows(), **aggregates})
+    df.write.mode("overwrite").parquet(path)
+    return dict(seen.get)
+
+
+def overwrite_partitions(df: DataFrame, path: str, *part_cols: str, **aggregates: Column) -> dict:
+    """Replace the partitions that ``df`` has rows of; ``df`` may read them. Rows are
+    rebalanced first: a partition gets files by its size, not one from every task, and
+    a hot one is split. Returns as :func:`overwrite`."""
+    df, seen = _observed(df.hint("rebalance", *part_cols), {"rows": _rows(), **aggregates})
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols).parquet(path))
+    return dict(seen.get)
 
 
 def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def append(df: DataFrame, target: str, fmt: str = "parquet",
-           options: dict[str, str] | None = None) -> None:
+def append(df: DataFrame, target: str, fmt: str = "parquet", options: dict[str, str] | None = None) -> None:
     """Append to a catalog table, a path, or (formats outside FILE_FORMATS)
     the connector's table of that name."""
     writer = df.write.mode("append").format(fmt).options(**(options or {}))
@@ -156,12 +78,38 @@ def append(df: DataFrame, target: str, fmt: str = "parquet",
         writer.saveAsTable(target)
 
 
-def truncate_load(df: DataFrame, target: str, fmt: str = "parquet",
-                  options: dict[str, str] | None = None) -> None:
+def create_or_replace(df: DataFrame, target: str, fmt: str = "parquet", options: dict[str, str] | None = None) -> None:
+    """Create a catalog table, or replace its contents and its schema. A table of
+    another catalog than the session's (``catalog.database.table``) is replaced by
+    that catalog in one step; the session catalog replaces by overwriting."""
+    if target.count(".") == 2 and not target.startswith("spark_catalog."):
+        writer = df.writeTo(target).using(fmt)
+        for name, value in (options or {}).items():
+            writer = writer.tableProperty(name, value)
+        writer.createOrReplace()
+    else:
+        df.write.mode("overwrite").format(fmt).options(**(options or {})).saveAsTable(target)
+
+
+@contextlib.contextmanager
+def _whole_tables(spark: SparkSession) -> Iterator[None]:
+    """An overwriting insert replaces all partitions of its table (an insert takes
+    this from the session only; other writes here say what they want themselves)."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    with _SETTING:
+        old = spark.conf.get(name)
+        spark.conf.set(name, "static")
+        try:
+            yield
+        finally:
+            spark.conf.set(name, old)
+
+
+def truncate_load(df: DataFrame, target: str, fmt: str = "parquet", options: dict[str, str] | None = None) -> None:
     """Replace the contents of a target that no reader of ``df`` depends on
     (a warehouse copy). Connectors get ``dbtable`` and ``truncate``, so they
     keep the table's definition; an existing catalog table keeps its columns
-    and partitioning."""
+    and partitioning and is replaced by one insert."""
     writer = df.write.mode("overwrite").format(fmt).options(**(options or {}))
     if fmt not in FILE_FORMATS:
         writer.option("truncate", "true").option("dbtable", target).save()
@@ -169,161 +117,74 @@ def truncate_load(df: DataFrame, target: str, fmt: str = "parquet",
         writer.save(target)
     elif df.sparkSession.catalog.tableExists(target):
         columns = df.sparkSession.table(target).columns
-        df.sparkSession.sql(f"TRUNCATE TABLE {target}")
-        df.select(*columns).write.insertInto(target)
+        with _whole_tables(df.sparkSession):
+            df.select(*columns).write.insertInto(target, overwrite=True)
     else:
         writer.saveAsTable(target)
 
 
+def _stored_schema(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(PLACEHOLDER, BooleanType())])
+
+
+def read_upserted(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of a table kept by :func:`upsert_partitions`. The schema is the rows'
+    own: inferring it would read a partition '01' as a number."""
+    stored = spark.read.schema(_stored_schema(schema)).parquet(path)
+    return stored.filter(~F.col(PLACEHOLDER)).drop(PLACEHOLDER)
+
+
+def _in(column: str, values: list) -> Column:
+    found = F.col(column).isin([v for v in values if v is not None])
+    return found | F.col(column).isNull() if None in values else found
+
+
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key: str | Sequence[str],
                       part_col: str, order_cols: Sequence[str] | None = None,
-                      remove_keys: DataFrame | None = None,
-                      metrics: dict | None = None,
+                      remove_keys: DataFrame | None = None, metrics: dict | None = None,
                       partition_follows_key: bool = False) -> list:
-    """Keyed upsert into a partitioned parquet table that rewrites only the
-    partitions it touches (dynamic partition overwrite).
-
-    The rewritten partitions are those the new rows belong to plus those
-    holding an older version of one of their keys (found by a semi join over
-    the target's key and partition columns only). Their new content is
-    ``old rows whose key is not in source`` + ``source``; the scan of the old
-    rows is pruned to those partitions. Old files are replaced when the job
-    commits, after every task has read them, so reading and rewriting the same
-    partitions is safe. A partition the upsert leaves without rows (its keys
-    moved or were removed) is overwritten with an empty dataset afterwards.
-
-    ``remove_keys`` (key columns only) removes the target rows of those keys
-    even where ``source`` brings no replacement (deletions); ``source`` may
-    then hold several rows per key (e.g. replacing all lines of an order).
-    ``metrics`` maps names to aggregate columns observed over the rows
-    written (no extra job); the dict receives their values.
-    ``partition_follows_key`` states that the partition is a function of the
-    key (e.g. an id block): a key can then only live in the partition its
-    new version goes to, and the semi join looking for older versions
-    elsewhere (a scan of the target's key columns) is skipped.
-
-    Returns the partition values written (all of them on a first load)."""
-    from starloom.operators.cdc import newest_per_key
-    from starloom.sources.tables import path_has_data
-
+    """Keyed upsert into a partitioned dataset that rewrites only the partitions it
+    touches: those that the new rows belong to, and those that hold an older version
+    of one of their keys (a semi join over the key and partition columns). Their new
+    content is the old rows of other keys and the new rows.
+
+    ``remove_keys`` (key columns only) removes the rows of those keys even where
+    ``source`` brings no replacement; ``source`` may then hold several rows per key
+    (all lines of an order). ``metrics`` maps names to aggregates over the rows
+    written and receives their values. ``partition_follows_key`` states that the
+    partition is a function of the key, so no older version lives elsewhere and the
+    search for it is left out.
+
+    Returns the partitions written (one value for each: bounded by the table's)."""
     keys = [key] if isinstance(key, str) else list(key)
     src = newest_per_key(source, keys, order_cols) if order_cols else source
-    writer_opts = {"partitionOverwriteMode": "dynamic"}
-
-    def write(df: DataFrame) -> set:
-        """Write with a dynamic overwrite; return the partition values that
-        received rows, observed during the write (a set bounded by the
-        partition count), and fill ``metrics``."""
-        seen = Observation(f"upsert-{uuid.uuid4().hex[:8]}")
-        extra = [c.alias(n) for n, c in (metrics or {}).items()]
-        # Rebalanced: a partition gets files by its size, not one from every
-        # task, and a hot partition is split.
-        out = df.hint("rebalance", part_col).observe(seen, F.collect_set(part_col).alias("_parts"),
-                         F.max(F.col(part_col).isNull().cast("int")).alias("_null"), *extra)
-        out.write.mode("overwrite").options(**writer_opts).partitionBy(part_col).parquet(path)
-        got = seen.get
+
+    def write(df: DataFrame) -> None:
+        # Aggregates see the rows, not the placeholders (their columns are null).
+        got = overwrite_partitions(df, path, part_col, **(metrics or {}))
         if metrics:
             metrics.update({n: got[n] for n in metrics})
-        return set(got["_parts"] or []) | ({None} if got["_null"] else set())
 
+    fresh = src.withColumn(PLACEHOLDER, F.lit(False))
     if not path_has_data(spark, path):
-        return sorted(write(src), key=str)
-    # The rows' own types: inferring them would read '01' as a number.
-    target = spark.read.schema(src.schema).parquet(path)
+        write(fresh)
+        stored = spark.read.schema(_stored_schema(src.schema)).parquet(path)
+        return sorted((r[0] for r in stored.select(part_col).distinct().collect()), key=str)
+    target = read_upserted(spark, path, src.schema)
     src_keys = src.select(*keys)
     if remove_keys is not None:
         src_keys = src_keys.unionByName(remove_keys.select(*keys)).distinct()
     parts = src.select(part_col)
     if not partition_follows_key:
-        homes = target.select(*keys, part_col).join(src_keys, keys, "left_semi").select(part_col)
-        parts = parts.union(homes)
-    # One row per partition: bounded by the table's partition count.
+        parts = parts.union(target.select(*keys, part_col).join(src_keys, keys, "left_semi").select(part_col))
     affected = [r[0] for r in parts.distinct().collect()]
     if not affected:
         return []
-    in_scope = F.col(part_col).isin([v for v in affected if v is not None])
-    if any(v is None for v in affected):
-        in_scope = in_scope | F.col(part_col).isNull()
-    rewritten = target.filter(in_scope).join(src_keys, keys, "left_anti").unionByName(src)
-    written = write(rewritten)
-    emptied = [v for v in affected if v not in written]
-    if emptied:
-        # A dynamic overwrite leaves partitions that received no rows as they
-        # were. Each is found by one of its (old, still present) files, so the
-        # directory name is Spark's, and overwritten with no rows.
-        in_emptied = F.col(part_col).isin([v for v in emptied if v is not None])
-        if any(v is None for v in emptied):
-            in_emptied = in_emptied | F.col(part_col).isNull()
-        files = spark.read.schema(src.schema).parquet(path).filter(in_emptied) \
-                     .select(part_col, F.input_file_name().alias("f"))
-        file_schema = target.drop(part_col).schema
-        for r in files.groupBy(part_col).agg(F.min("f").alias("f")).collect():
-            directory = r["f"].rsplit("/", 1)[0]
-            spark.createDataFrame([], file_schema).write.mode("overwrite").parquet(directory)
+    rows = (target.filter(_in(part_col, affected)).join(src_keys, keys, "left_anti")
+            .withColumn(PLACEHOLDER, F.lit(False)).unionByName(fresh))
+    if not partition_follows_key:
+        kept = StructType([src.schema[part_col]])
+        placeholders = spark.createDataFrame([(v,) for v in affected], kept).withColumn(PLACEHOLDER, F.lit(True))
+        rows = rows.unionByName(placeholders, allowMissingColumns=True)
+    write(rows)
     return affected
-
-
-# -- SCD2 dimensions: open snapshot + append-only closed history ---------------
-
-CLOSED_RUN_COL = "run"
-
-
-def committed_runs(spark: SparkSession, root: str) -> list[str]:
-    """Run ids committed for the table at ``root`` (one small row per run)."""
-    commits = _commits(spark, root)
-    return [] if commits is None else [r["run_id"] for r in commits.select("run_id").distinct().collect()]
-
-
-def publish_dimension(merged: DataFrame, root: str, run_id: str, current_col: str,
-                      metrics: dict | None = None, sk_col: str = "sk_id") -> None:
-    """Publish an SCD2 dimension as two parts: a snapshot of its open rows
-    (``{root}/open``) and an append-only store of closed rows
-    (``{root}/closed/run=<run id>``).
-
-    Closed rows never change again, so a run writes only the rows it closed
-    (``merged`` carries the SCD2 ``action``: closures are the DELETE/UPDATE
-    rows no longer current); history closed in earlier runs is neither read
-    nor rewritten. The closed rows are written first and the open snapshot's
-    commit makes the run visible; readers take closed rows of committed runs
-    only, so a failed run leaves nothing behind. ``metrics`` receives the
-    open row count. The commit keeps the dimension's max surrogate key (new
-    keys only go to open rows, so the max of the previous commit and of the
-    open rows written, observed during the write) for the next merge."""
-    action = F.col("action")
-    flag = F.col(current_col)
-    if "action" in merged.columns:
-        closures = merged.filter(action.isin("DELETE", "UPDATE") & (flag == F.lit(False)))
-        (closures.drop("action").withColumn(CLOSED_RUN_COL, F.lit(run_id))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(CLOSED_RUN_COL).parquet(f"{root.rstrip('/')}/closed"))
-        open_rows = merged.filter(action.isNotNull() & (flag == F.lit(True))).drop("action")
-    else:
-        open_rows = merged.filter(flag == F.lit(True))
-    previous = last_meta(merged.sparkSession, f"{root.rstrip('/')}/open").get("max_sk")
-
-    def max_sk(observed: dict) -> dict:
-        seen = [v for v in (previous, observed.get("max_sk")) if v is not None]
-        return {"max_sk": max(seen)} if seen else {}
-    observed: dict = {} if metrics is None else metrics
-    publish_snapshot(open_rows, f"{root.rstrip('/')}/open", run_id, metrics=observed,
-                     observe={"max_sk": F.max(sk_col)}, meta=max_sk)
-
-
-def read_dimension(spark: SparkSession, root: str, open_only: bool = False) -> DataFrame | None:
-    """An SCD2 dimension published by :func:`publish_dimension`: the last
-    committed open snapshot plus the closed rows of committed runs (the run
-    filter prunes the closed store's partitions). None before the first run."""
-    opened = read_current(spark, f"{root.rstrip('/')}/open")
-    if opened is None or open_only:
-        return opened
-    runs = committed_runs(spark, f"{root.rstrip('/')}/open")
-    schema = StructType(opened.schema.fields + [StructType.fromDDL(
-        f"{CLOSED_RUN_COL} string").fields[0]])
-    try:
-        closed = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/closed")
-    except AnalysisException as error:
-        if is_missing(error):
-            return opened
-        raise
-    closed = closed.filter(F.col(CLOSED_RUN_COL).isin(runs)).drop(CLOSED_RUN_COL)
-    return opened.unionByName(closed)

@@ -47,9 +47,16 @@ def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
 
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def path_has_data(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     """True when ``path`` holds a readable dataset with at least one row.
     Errors other than a missing path, or one without any file, are raised."""
+    if not _path_exists(spark, path):
+        return False
     try:
         return not spark.read.format(fmt).load(path).isEmpty()
     except AnalysisException as error:

@@ -6,9 +6,11 @@ import io
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from conftest import SF_SMALL
-from starloom.plans import daily_run, facts
+from starloom.operators import scd2
+from starloom.plans import daily_run, dimensions, facts
 from starloom.sources import publish
 from starloom.sources.fixtures import FixtureSource
 
@@ -17,28 +19,21 @@ def ts(s: str) -> dt.datetime:
     return dt.datetime.fromisoformat(s)
 
 
-def test_snapshot_publish_reads_the_last_commit(spark, tmp_path):
-    root = str(tmp_path / "t")
-    assert publish.read_current(spark, root) is None and not publish.has_data(spark, root)
-    publish.publish_snapshot(spark.createDataFrame([(1,)], "x int"), root, "r1")
-    publish.publish_snapshot(spark.createDataFrame([(2,)], "x int"), root, "r2")
-    assert [r.x for r in publish.read_current(spark, root).collect()] == [2]
+def test_overwrite_observes_what_it_writes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert publish.overwrite(spark.range(7), path) == {"rows": 7}
+    assert publish.overwrite(spark.range(3), path, last=F.max("id")) == {"rows": 3, "last": 2}
+    assert spark.read.parquet(path).count() == 3
+    assert publish.overwrite(spark.range(0), path, last=F.max("id")) == {"rows": 0, "last": None}
 
 
-def test_self_overwrite_is_safe(spark, tmp_path):
-    """Q4: reading a table and publishing its next state from that plan."""
-    root = str(tmp_path / "t")
-    publish.publish_snapshot(spark.createDataFrame([(1,)], "x int"), root)
-    cur = publish.read_current(spark, root)
-    publish.publish_snapshot(cur.select((F.col("x") + 1).alias("x")), root)
-    assert [r.x for r in publish.read_current(spark, root).collect()] == [2]
-
-
-def test_uncommitted_snapshot_is_not_read(spark, tmp_path):
-    root = str(tmp_path / "t")
-    publish.publish_snapshot(spark.createDataFrame([(1,)], "x int"), root, "r1")
-    spark.createDataFrame([(9,)], "x int").write.parquet(publish.snapshot_path(root, "r9"))
-    assert [r.x for r in publish.read_current(spark, root).collect()] == [1]
+def test_partitions_are_replaced_by_a_plan_that_reads_them(spark, tmp_path):
+    """Q4: reading a table and writing its next state from that plan."""
+    path = str(tmp_path / "t")
+    publish.overwrite_partitions(spark.createDataFrame([(1, "a"), (2, "b")], "x int, p string"), path, "p")
+    now = spark.read.parquet(path)
+    assert publish.overwrite_partitions(now.filter("p = 'a'").select((F.col("x") + 10).alias("x"), "p"), path, "p") == {"rows": 1}
+    assert sorted((r.x, r.p) for r in spark.read.parquet(path).collect()) == [(2, "b"), (11, "a")]
 
 
 def test_existence_checks(spark, tmp_path):
@@ -51,12 +46,6 @@ def test_existence_checks(spark, tmp_path):
     assert tables.path_has_data(spark, path)
 
 
-def test_observed_rows_without_extra_job(spark, tmp_path):
-    metrics = {}
-    publish.publish_snapshot(spark.range(7), str(tmp_path / "t"), metrics=metrics)
-    assert metrics == {"rows": 7}
-
-
 def test_append_and_truncate_load(spark, tmp_path):
     path = str(tmp_path / "w")
     publish.append(spark.createDataFrame([(1,)], "x int"), path)
@@ -77,7 +66,7 @@ def test_upsert_partitions_rewrites_only_touched_partitions(spark, tmp_path):
     src = spark.createDataFrame([(1, "a2", "p1"), (3, "c2", "p1"), (5, "e", "p2")],
                                 "k int, v string, p string")
     assert sorted(publish.upsert_partitions(spark, path, src, "k", "p")) == ["p1", "p2"]
-    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect())
+    got = sorted(map(tuple, publish.read_upserted(spark, path, base.schema).collect()))
     assert got == [(1, "a2", "p1"), (2, "b", "p1"), (3, "c2", "p1"), (4, "d", "p3"), (5, "e", "p2")]
     assert {r[0] for r in spark.read.parquet(path).filter("p = 'p3'")
             .select(F.input_file_name()).collect()} == p3_files
@@ -85,27 +74,16 @@ def test_upsert_partitions_rewrites_only_touched_partitions(spark, tmp_path):
     publish.upsert_partitions(spark, path, spark.createDataFrame([(4, "d", "p1")],
                               "k int, v string, p string"), "k", "p",
                               remove_keys=spark.createDataFrame([(5,)], "k int"))
-    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect())
+    got = sorted(map(tuple, publish.read_upserted(spark, path, base.schema).collect()))
     assert got == [(1, "a2", "p1"), (2, "b", "p1"), (3, "c2", "p1"), (4, "d", "p1")]
 
 
-def test_the_last_commit_is_read_whatever_its_run_id(spark, tmp_path):
-    root = str(tmp_path / "t")
-    for run, x in (("daily-b", 1), ("daily-a", 2), ("r1", 3), ("2024", 4)):
-        publish.publish_snapshot(spark.createDataFrame([(x,)], "x int"), root, run)
-        assert [r.x for r in publish.read_current(spark, root).collect()] == [x]
-    with pytest.raises(Exception, match="already exists"):
-        publish.publish_snapshot(spark.createDataFrame([(5,)], "x int"), root, "r1")
-    assert sorted(publish.expire_snapshots(spark, root, 2)) == ["daily-a", "daily-b"]
-    assert [r.x for r in publish.read_current(spark, root).collect()] == [4]
-
-
 def test_number_like_partitions_keep_their_text(spark, tmp_path):
     path, schema = str(tmp_path / "f"), "k int, v string, p string"
     publish.upsert_partitions(spark, path, spark.createDataFrame(
         [(1, "a", "01"), (2, "b", "02"), (3, "c", "02")], schema), "k", "p")
     publish.upsert_partitions(spark, path, spark.createDataFrame([(3, "c", "01")], schema), "k", "p")
-    got = sorted(map(tuple, spark.read.schema(schema).parquet(path).collect()))
+    got = sorted(map(tuple, publish.read_upserted(spark, path, StructType.fromDDL(schema)).collect()))
     assert got == [(1, "a", "01"), (2, "b", "02"), (3, "c", "01")]
 
 
@@ -127,7 +105,7 @@ def test_truncate_load_keeps_a_tables_partitioning(spark):
 
 def test_only_a_missing_path_reads_as_no_table(spark, tmp_path):
     from starloom.sources import tables
-    assert publish.read_current(spark, str(tmp_path / "none")) is None
+    assert not tables.path_has_data(spark, str(tmp_path / "none"))
     with pytest.raises(Exception, match="no_such_format"):
         tables.path_has_data(spark, str(tmp_path), "no_such_format")
 
@@ -201,6 +179,7 @@ def test_two_day_run_then_revenue(spark, tmp_path):
     finally:
         spark.conf.unset("starloom.landing.orderBlockSize")
     landed = spark.read.parquet(f"{root}/landing_salesorderdetail")
+    assert landed.filter("_placeholder").count() == 0
     blocks = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet") \
         .select(F.floor(F.col("l_orderkey") / 1000)).distinct().count()
     assert landed.select("order_block").distinct().count() == blocks > 1
@@ -208,7 +187,7 @@ def test_two_day_run_then_revenue(spark, tmp_path):
     assert landed.filter("_deleted is distinct from false").count() > 0  # deletes kept as versions
     # the watermark is the max timestamp of the rows written
     assert r1.watermarks["salesorderdetail"] == landed.agg(F.max("modifieddate")).first()[0]
-    fact1 = spark.read.parquet(f"{root}/sales_fact")
+    fact1 = daily_run.read_fact(spark, root, with_month=True)
     assert fact1.count() == 5227          # distinct sales keys at sf0.001
     # what day 1 left behind (the path is rewritten in place by day 2)
     kept = fact1.filter("salesorderid % 7 != 1").count()
@@ -221,17 +200,18 @@ def test_two_day_run_then_revenue(spark, tmp_path):
                              run_id="20240102")
     assert set(r2.published) == set(r1.published)
     assert r2.watermarks["salesorderdetail"] == dt.datetime(2002, 1, 1)     # the late changes
-    dim = publish.read_dimension(spark, f"{root}/dim_customer")
+    staged = spark.read.parquet(f"{root}/stg_dim_customer").schema
+    dim = dimensions.read_dimension(spark, f"{root}/dim_customer", staged)
     assert dim.schema["current_flag"].dataType.simpleString() == "boolean"
-    # open rows in the snapshot, closures appended under day 2's run only
-    opened = publish.read_dimension(spark, f"{root}/dim_customer", open_only=True)
+    # open rows by bucket, closed ones by the day that they ended
+    opened = dimensions.read_dimension(spark, f"{root}/dim_customer", staged, open_only=True)
     assert opened.filter("not current_flag").count() == 0
-    closed = spark.read.parquet(f"{root}/dim_customer/closed")
-    assert [str(r.run) for r in closed.select("run").distinct().collect()] == ["20240102"]
+    closed = spark.read.parquet(f"{root}/dim_customer").filter("key_bucket = -1")
+    assert [str(r[0]) for r in closed.select("expiration_date").distinct().collect()] == ["2024-01-02"]
     assert dim.count() == opened.count() + closed.count()
     assert dim.filter("current_flag").groupBy("customerid").count().filter("count > 1").count() == 0
     assert dim.filter("not current_flag and expiration_date = date'2024-01-02'").count() > 0
-    fact2 = spark.read.parquet(f"{root}/sales_fact")
+    fact2 = daily_run.read_fact(spark, root, with_month=True)
     assert fact2.count() == fact2.select("sales_key").distinct().count()
     # late deletes left the fact, late corrections reached it, nothing else changed
     assert fact2.filter("salesorderid % 7 = 1").count() == 0
@@ -247,22 +227,25 @@ def test_two_day_run_then_revenue(spark, tmp_path):
     rewritten = set(r2.rewritten_partitions)
     assert all(files2[m] == files1[m] for m in files1 if m not in rewritten)
     assert all(files2.get(m) != files1[m] for m in rewritten if m in files1)
-    dims = {n: publish.read_dimension(spark, f"{root}/{n}") for n in ("dim_product", "dim_address")}
+    dims = {n: dimensions.read_dimension(spark, f"{root}/{n}", spark.read.parquet(f"{root}/stg_{n}").schema)
+            for n in ("dim_product", "dim_address")}
     rev = daily_run.revenue_by_dimension(fact2, dims["dim_product"], dims["dim_address"])
     total = fact2.agg(F.sum("revenue")).first()[0]
     assert rev.agg(F.sum("revenue")).first()[0] == total
     # a third run with the same input (and a lookback window re-reading the
     # last day of changes) changes nothing
-    n2 = fact2.count()
+    n2, files = fact2.count(), set(spark.read.parquet(f"{root}/dim_customer").inputFiles())
+    before = sorted(map(tuple, dim.collect()), key=str)
     spark.conf.set("starloom.landing.lookbackSeconds", str(24 * 3600))
     try:
         daily_run.run_daily(spark, ShiftedSource(spark, SF_SMALL), root, "2024-01-02",
                             run_id="20240103")
     finally:
         spark.conf.unset("starloom.landing.lookbackSeconds")
-    assert spark.read.parquet(f"{root}/sales_fact").count() == n2
-    dim3 = publish.read_dimension(spark, f"{root}/dim_customer")
-    assert sorted(map(tuple, dim3.collect()), key=str) == sorted(map(tuple, dim.collect()), key=str)
+    assert daily_run.read_fact(spark, root).count() == n2
+    dim3 = dimensions.read_dimension(spark, f"{root}/dim_customer", staged)
+    assert sorted(map(tuple, dim3.collect()), key=str) == before
+    assert set(spark.read.parquet(f"{root}/dim_customer").inputFiles()) == files     # not even written
 
 
 @pytest.mark.slow
@@ -280,7 +263,7 @@ def test_command_line_run_over_dataset_sources(spark, tmp_path, capsys):
                      "--load-date", "1995-01-01", "--run-id", "r1", "--fact-version", "as_of"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["run_id"] == "r1" and out["rows"]["dim_customer"] == 130
-    fact = spark.read.parquet(str(target / "sales_fact"))
+    fact = daily_run.read_fact(spark, str(target))
     assert fact.count() == 5227
     # as of the order date: every order is on/after the 1995-01-01 load, so
     # every line with a live customer finds the (only) version
@@ -311,26 +294,27 @@ def test_catalog_sources_and_a_mirror_sink(spark, tmp_path):
     result = daily_run.run_daily(spark, read, str(tmp_path / "wh"), "2024-01-01", run_id="m1",
                                  mirror=mirror)
     assert set(mirrored) == set(result.published)
-    assert spark.read.parquet(mirrored["sales_fact"]).count() == spark.read.parquet(
-        result.published["sales_fact"]).count()
+    assert spark.read.parquet(mirrored["sales_fact"]).count() == daily_run.read_fact(spark, str(tmp_path / "wh")).count()
     assert spark.read.parquet(mirrored["dim_customer"]).count() == result.rows["dim_customer"]
 
 
-def test_dimension_layout_ignores_uncommitted_closures(spark, tmp_path):
-    from starloom.operators import scd2
-    root = str(tmp_path / "dim")
-    cur = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    publish.publish_dimension(scd2.scd2_initial(cur, "k", "2024-01-01"), root, "r1", "current_flag")
-    hist = publish.read_dimension(spark, root)
-    cur2 = spark.createDataFrame([(1, "A")], "k int, v string")
-    merged = scd2.scd2_merge(hist, cur2, "k", ["v"], "2024-02-01", with_action=True)
-    publish.publish_dimension(merged, root, "r2", "current_flag")
-    got = sorted((r.k, r.v, r.sk_id, r.current_flag) for r in publish.read_dimension(spark, root).collect())
-    assert got == [(1, "A", 3, True), (1, "a", 1, False), (2, "b", 2, False)]
-    # the max surrogate key travels with the commit
-    assert publish.last_meta(spark, f"{root}/open") == {"max_sk": 3}
-    # closures written by a run that never committed are not part of the table
-    stray = publish.read_dimension(spark, root).filter("not current_flag") \
-        .withColumn("run", F.lit("r9"))
-    stray.write.mode("append").partitionBy("run").parquet(f"{root}/closed")
-    assert publish.read_dimension(spark, root).count() == 3
+def test_stored_dimension_over_several_runs(spark, tmp_path):
+    """Each run equals the plain merge; a day is run twice with other rows; a bucket
+    loses its last key; closed history is left where it is."""
+    path, spec = str(tmp_path / "dim"), scd2.DimensionSpec("d", "stg", "k", ("v",))
+    first = spark.createDataFrame([(i, "a") for i in range(12)] + [(None, "n")], "k int, v string")
+    history = scd2.scd2_initial(first, "k", "2024-01-01")
+    dimensions.store_dimension(history, path, "k", 8)
+    history = spark.createDataFrame(history.collect(), history.schema)
+    for day, rows in (("2024-02-01", [(1, "b"), (2, "a"), (None, "n")]), ("2024-02-01", [(2, "c"), (40, "x")]),
+                      ("2024-02-01", [(2, "c"), (40, "x")]), ("2024-03-01", []), ("2024-04-01", [(1, "z")])):
+        staged = spark.createDataFrame(rows, "k int, v string")
+        files = {f for f in spark.read.parquet(path).inputFiles() if "key_bucket=-1" in f and day not in f}
+        dimensions.merge_stored_dimension(spark, path, spec, staged, day, 8)
+        history = scd2.scd2_merge(history, staged, "k", ["v"], day)
+        history = spark.createDataFrame(history.collect(), history.schema)
+        got = dimensions.read_dimension(spark, path, staged.schema)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, history.select(*got.columns).collect()), key=str)
+        assert files <= set(spark.read.parquet(path).inputFiles())
+        opened = dimensions.read_dimension(spark, path, staged.schema, open_only=True)
+        assert opened.count() == len(rows)

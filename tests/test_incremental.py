@@ -408,6 +408,14 @@ def test_max_from_footers(spark, tmp_path):
     assert "PushedAggregation" not in plan_of(spark.read.parquet(path).agg(F.max("sk_id")))
 
 
+def test_greatest_value_of_files_without_one(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.createDataFrame([(None,)], "x long").write.parquet(path)
+    assert statistics.greatest(spark, path, "x") is None
+    spark.createDataFrame([(4,), (7,)], "x long").write.mode("append").parquet(path)
+    assert statistics.greatest(spark, path, "x") == 7
+
+
 # -- changed schemas -------------------------------------------------------------------------------------
 
 OLD = "k int, a string, n decimal(6,2), sk_id long, effective_date date, expiration_date date, current_flag boolean"
