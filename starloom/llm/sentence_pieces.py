@@ -5,7 +5,8 @@ A text is the sequence of its characters with blanks as U+2581, one put in front
 its encoding is the sequence of pieces with the greatest sum of scores.
 No piece of such a model has a blank after another character, so the words
 between blanks are encoded alone, each distinct word once while a worker
-remembers it. Words of equal length advance together: hashes of all substrings
+remembers it (in two generations, so that a full memory forgets only what was not
+used lately). Words of equal length advance together: hashes of all substrings
 that end at a position are looked up in the sorted keys of the pieces, and
 vectorised maxima over the candidates keep the best score and its piece. Of equal
 sums the one with the longest last piece wins. A character that no piece covers
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,11 @@ from .common import in_arrow, mix64
 BLANK = "▁"
 #: Longer words go piece by piece through a dictionary (the same maxima).
 LONGEST = 48
-CACHE_WORDS = 1 << 19
+#: Words that a worker remembers at most, in two generations.
+CACHE_WORDS = 1 << 20
+#: Leading bits of a piece's key that say where to look among the sorted keys.
+_LEAD = 20
+_BARE = "\0"
 STEP = 1 << 18
 # Fixed values of the file format: piece types, and how far below the least
 # score an unknown character lies.
@@ -86,6 +92,34 @@ def rank_scores(scores: np.ndarray) -> np.ndarray:
     return np.log(weight / weight.sum()).astype(np.float32)
 
 
+class Known:
+    """Ids of words: one generation of a worker's memory."""
+
+    def __init__(self) -> None:
+        self.words: dict[str, int] = {}
+        self.flat = np.zeros(1 << 16, np.int32)
+        self.end = np.zeros(1 << 14, np.int64)   # ends of the words' ids; place 0 is no word
+        self.filled = 0
+
+    def add(self, words: list[str], ids: np.ndarray, count: np.ndarray) -> None:
+        known = len(self.words) + 1
+        self.words.update(zip(words, range(known, known + len(words))))
+        while self.filled + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, self.flat])
+        while known + len(words) > len(self.end):
+            self.end = np.concatenate([self.end, self.end])
+        self.flat[self.filled:self.filled + len(ids)] = ids
+        self.end[known:known + len(words)] = self.filled + np.cumsum(count)
+        self.filled += len(ids)
+
+    def get(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words at these places, and how many each has."""
+        size = self.end[at] - self.end[at - 1]
+        until = np.cumsum(size)
+        total = int(until[-1]) if len(until) else 0
+        return self.flat[np.repeat(self.end[at] - until, size) + np.arange(total)], size
+
+
 class PieceModel:
     """Pieces of a model file, and the encoder over them."""
 
@@ -125,7 +159,15 @@ class PieceModel:
         self.place = {pieces[i]: k for k, i in enumerate(self.ids)}
         keys = np.array([self._key(p) for p in self.place], np.uint64)
         order = np.argsort(keys)
-        self.keys, self.at = keys[order], order
+        # Where the keys of the same leading bits begin; a run of keys that no piece
+        # has ends the sorted ones.
+        self.shift = np.uint64(64 - _LEAD)
+        lead = (keys[order] >> self.shift).astype(np.int64)
+        self.first = np.searchsorted(lead, np.arange(1 << _LEAD)).astype(np.int32)
+        self.run = int(np.bincount(lead).max()) if len(lead) else 1
+        beyond = np.full(self.run, keys[order[-1]] if len(order) else 0, np.uint64)
+        self.keys, self.at = np.r_[keys[order], beyond], np.r_[order, np.repeat(order[-1:], self.run)]
+        self.key_scores = self.scores[self.at]
         self.clear()
 
     @staticmethod
@@ -134,13 +176,22 @@ class PieceModel:
         return int(_prefix(codes)[0, -1])
 
     def clear(self) -> None:
-        self.words: dict[str, int] = {}
-        self.flat = np.zeros(0, np.int32)
-        self.start = self.size = np.zeros(0, np.int64)
-
-    def viterbi(self, words: list[str]) -> list[list[int]]:
-        """Best pieces of words of one length: places in `self.ids`, or
-        minus 1 minus the character's position for an unknown character."""
+        self.young, self.old = Known(), Known()
+
+    def _probe(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is a piece's, and its place among the sorted keys."""
+        at = self.first[(key >> self.shift).astype(np.int64)]
+        hit = self.keys[at] == key
+        for step in range(1, self.run):
+            more = self.keys[at + step] == key
+            at = np.where(more, at + step, at)
+            hit |= more
+        return hit, at
+
+    def viterbi(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Best pieces of words of one length, one after another, and how many each
+        word has: places in `self.ids`, or minus 1 minus the character's position
+        for an unknown character."""
         n, length = len(words), len(words[0])
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length)
         until = _prefix(codes.astype(np.uint64))
@@ -148,30 +199,28 @@ class PieceModel:
         back = np.zeros((n, length + 1), np.int64)
         piece = np.zeros((n, length + 1), np.int64)
         power = np.cumprod(np.full(self.longest + 1, _BASE, np.uint64))
+        row = np.arange(n)
         for j in range(1, length + 1):
             most = min(j, self.longest)
-            sizes = np.arange(most, 0, -1)  # longest first: the first of equal maxima stays
-            key = until[:, j, None] - until[:, j - sizes] * power[sizes - 1]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[at] == key
-            found = self.at[at]
-            score = np.where(hit, best[:, j - sizes] + self.scores[found], np.float32(-np.inf))
+            # Pieces that begin at j - most, ..., j - 1: the first of equal maxima is the longest.
+            hit, at = self._probe(until[:, j, None] - until[:, j - most:j] * power[most - 1::-1])
+            score = best[:, j - most:j] + np.where(hit, self.key_scores[at], np.float32(-np.inf))
             lone = ~hit[:, -1]
             score[lone, -1] = best[lone, j - 1] + self.unknown_score
             pick = score.argmax(1)
-            row = np.arange(n)
             best[:, j] = score[row, pick]
-            back[:, j] = j - sizes[pick]
-            piece[:, j] = np.where((pick == most - 1) & lone, -j, found[row, pick])
-        out: list[list[int]] = [[] for _ in words]
-        at = np.full(n, length)
-        row = np.arange(n)
+            back[:, j] = j - most + pick
+            piece[:, j] = np.where((pick == most - 1) & lone, -j, self.at[at[row, pick]])
+        rows, pieces, at = [], [], np.full(n, length)
         while len(row):
-            for i, p in zip(row.tolist(), piece[row, at[row]].tolist()):
-                out[i].append(p)
+            rows.append(row)
+            pieces.append(piece[row, at[row]])
             at[row] = back[row, at[row]]
             row = row[at[row] > 0]
-        return [o[::-1] for o in out]
+        # Found from the last piece to the first.
+        rows, pieces = np.concatenate(rows[::-1]), np.concatenate(pieces[::-1])
+        order = np.argsort(rows, kind="stable")
+        return pieces[order], np.bincount(rows, minlength=n)
 
     def one_by_one(self, word: str) -> list[int]:
         """The same for one long word."""
@@ -194,63 +243,89 @@ class PieceModel:
         return out[::-1]
 
     def _learn(self, words: list[str]) -> None:
+        """Encode words (as `split` gives them) and remember their ids."""
         by_size: dict[int, list[str]] = {}
         for w in words:
             by_size.setdefault(len(w), []).append(w)
-        ids, size = [], []
         for length, group in by_size.items():
-            if length > LONGEST:
-                got = [self.one_by_one(w) for w in group]
-            else:
-                step = max(1, (1 << 20) // (length * length))
-                got = [x for k in range(0, len(group), step) for x in self.viterbi(group[k:k + step])]
-            for word, places in zip(group, got):
-                before = len(ids)
-                for p in places:
-                    if p >= 0:
-                        ids.append(self.ids[p])
-                    elif self.byte_ids is None:
-                        ids.append(self.unknown)
-                    else:
-                        ids.extend(self.byte_ids[b] for b in word[-p - 1].encode("utf-8", "surrogatepass"))
-                self.words[word] = len(self.size) + len(size)
-                size.append(len(ids) - before)
-        size = np.array(size, np.int64)
-        self.start = np.r_[self.start, len(self.flat) + np.cumsum(size) - size]
-        self.flat, self.size = np.r_[self.flat, np.array(ids, np.int32)], np.r_[self.size, size]
+            step = max(1, (1 << 20) // (length * length))
+            for k in range(0, len(group), step):
+                part = group[k:k + step]
+                full = [self.whole(w) for w in part]
+                if length >= LONGEST:
+                    got = [self.one_by_one(w) for w in full]
+                    places, count = np.array([p for g in got for p in g], np.int64), np.array([len(g) for g in got])
+                else:
+                    # A word at the start of a text may lack the blank that others have.
+                    places, count = self.viterbi(full) if len({len(w) for w in full}) == 1 else self._mixed(full)
+                self._remember(part, full, places, count)
+
+    def _mixed(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [self.viterbi([w]) for w in words]
+        return np.concatenate([g[0] for g in got]), np.array([len(g[0]) for g in got])
+
+    def _remember(self, keys: list[str], words: list[str], places: np.ndarray, count: np.ndarray) -> None:
+        ids = self.ids[np.maximum(places, 0)].astype(np.int32)
+        lost = np.flatnonzero(places < 0)
+        if len(lost) and self.byte_ids is None:
+            ids[lost] = self.unknown
+        elif len(lost):  # a character that no piece covers becomes its bytes
+            owner = np.repeat(np.arange(len(words)), count)
+            spelt = [self.byte_ids[list(words[owner[i]][-places[i] - 1].encode("utf-8", "surrogatepass"))] for i in lost]
+            size = np.ones(len(places), np.int64)
+            size[lost] = [len(x) for x in spelt]
+            start = np.cumsum(size) - size
+            wide = np.repeat(ids, size)
+            for i, x in zip(lost, spelt):
+                wide[start[i]:start[i] + len(x)] = x
+            ids, count = wide, np.bincount(owner, size, len(words)).astype(np.int64)
+        self.young.add(keys, ids, count)
+
+    def whole(self, key: str) -> str:
+        """The word that a key of `split` stands for."""
+        return key[1:] if key[0] == _BARE else BLANK + key
 
     def split(self, text: str) -> list[str]:
-        """Words, each with the blanks in front of it."""
+        """Words, each with the blanks in front of it, as keys: the first blank is
+        left out, and a word without one has a mark in front."""
         if not text:
             return []
-        text = (" " if self.prefix else "") + text.replace(BLANK, " ")
-        parts, out, blanks = text.split(" "), [], ""
-        if parts[0]:
-            out.append(parts[0])
-        for part in parts[1:]:
+        text = text.replace(BLANK, " ")
+        parts, blanks = text.split(" "), ""
+        out = []
+        if not self.prefix:
+            if parts[0]:
+                out.append(_BARE + parts[0])
+            del parts[0]
+        if all(parts) and _BARE not in text:
+            return out + parts
+        for part in parts:
             blanks += BLANK
             if part:
-                out.append(blanks + part)
+                out.append((blanks + part)[1:] if blanks != BLANK or part[0] != _BARE else _BARE + BLANK + part)
                 blanks = ""
         if blanks:
-            out.append(blanks)
+            out.append(blanks[1:] or _BARE + BLANK)
         return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, and their counts."""
-        if len(self.size) > CACHE_WORDS:
-            self.clear()
+        """All ids of the texts, and their counts. What the last words had in common
+        with the older generation moves to the younger; when that is full it becomes
+        the older one, so common words are not learned again."""
+        if len(self.young.words) > CACHE_WORDS // 2:
+            self.young, self.old = Known(), self.young
         cut = [self.split(t) for t in texts]
-        new = set().union(*cut).difference(self.words)
+        new = set().union(*cut).difference(self.young.words)
         if new:
-            self._learn(list(new))
-        words = self.words
-        at = np.array([words[w] for c in cut for w in c], np.int64)
-        size = self.size[at]
-        end = np.cumsum(size)
-        total = int(end[-1]) if len(end) else 0
-        ids = self.flat[np.repeat(self.start[at] - end + size, size) + np.arange(total)]
-        count = np.r_[0, end][np.cumsum([len(c) for c in cut])]
+            again = [w for w in new if w in self.old.words]
+            if again:
+                self.young.add(again, *self.old.get(np.array([self.old.words[w] for w in again], np.int64)))
+            fresh = list(new.difference(again))
+            if fresh:
+                self._learn(fresh)
+        at = np.fromiter(map(self.young.words.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
+        ids, size = self.young.get(at)
+        count = np.r_[0, np.cumsum(size)][np.cumsum([len(c) for c in cut])]
         return ids, np.diff(np.r_[0, count])
 
     def decode(self, ids: list[int]) -> str:
