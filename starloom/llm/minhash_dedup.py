@@ -46,7 +46,6 @@ _SHIFT = np.uint64(64 - int(np.log2(REGISTERS)))
 #: An estimate this far below the threshold rules a pair out: over five
 #: standard deviations of a mean of 512 registers at 0.8, 0.0177 each.
 MARGIN = 0.1
-HUBS = 4
 #: A band with at most so many pairs for each member has all of them compared.
 PAIRS_A_MEMBER = 4
 TILE = 1024
@@ -54,6 +53,8 @@ TILE = 1024
 # Ranking of donor buckets for each empty bucket.
 _RANK = mix64(np.arange(REGISTERS * REGISTERS, dtype=np.uint64) + np.uint64(1 << 40)).reshape(
     REGISTERS, REGISTERS)
+DONORS = 24
+_DONOR = np.argsort(_RANK, axis=1)[:, :DONORS]
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -78,9 +79,17 @@ def registers(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     out.ravel()[cell[first]] = (zeros << np.uint64(4) | after).astype(np.uint8)
     filled = np.zeros((n, REGISTERS), bool)
     filled.ravel()[cell[first]] = True
-    for d in np.flatnonzero(~filled.all(1) & filled.any(1)):
-        have, none = np.flatnonzero(filled[d]), np.flatnonzero(~filled[d])
-        out[d, none] = out[d, have[_RANK[np.ix_(none, have)].argmin(1)]]
+    # Down the ranking of donors for all empty buckets at once; what is then left belongs
+    # to sets of few shingles, which look at all of their own.
+    d, none = np.nonzero(~filled & filled.any(1)[:, None])
+    for step in range(DONORS):
+        donor = _DONOR[none, step]
+        hit = filled[d, donor]
+        out[d[hit], none[hit]] = out[d[hit], donor[hit]]
+        d, none = d[~hit], none[~hit]
+    for row in np.unique(d):
+        have, lack = np.flatnonzero(filled[row]), none[d == row]
+        out[row, lack] = out[row, have[_RANK[np.ix_(lack, have)].argmin(1)]]
     return out
 
 
@@ -244,10 +253,10 @@ def _settle(shingle: int, threshold: int):
 
 
 def _first_pairs(buckets: DataFrame, threshold: int) -> DataFrame:
-    """All pairs of small bands, pairs with up to HUBS hubs of the others."""
+    """All pairs of small bands, pairs with the hub of the others."""
     counted = buckets.select("band", "id", "size", (F.col("n") - 1 <= 2 * PAIRS_A_MEMBER).alias("few"))
-    slot = F.pmod(F.xxhash64("id"), F.lit(HUBS))
-    hubs = (counted.filter("not few").groupBy("band", slot.alias("slot")).agg(F.min(F.struct("id", "size")).alias("h"))
+    # Combines map-side: a band's members never meet in one task for it.
+    hubs = (counted.filter("not few").groupBy("band").agg(F.min(F.struct(F.xxhash64("id"), "id", "size")).alias("h"))
             .select("band", F.col("h.id").alias("hub"), F.col("h.size").alias("hub_size")))
     few = counted.filter("few")
     pairs = (counted.filter("not few").join(hubs, "band").filter("id <> hub")
@@ -288,8 +297,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
     bands = in_arrow(own_rows, _bands, "band long, id long, size int, no int")
     shared = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = stored(bands.join(shared, "band"), "minhash-bands")
-    texts = stored(docs.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"),
-                   "minhash-texts")
+    # A row repeated any number of times is one text.
+    texts = stored(docs.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+                   .withColumn("part", F.sha2("text", 256)).groupBy("doc_id", "part").agg(F.first("text").alias("text"))
+                   .drop("part"), "minhash-texts")
 
     sides = [own.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
              for x in "ab"]
@@ -327,10 +338,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
 
 def keep_firsts(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> DataFrame:
     """The rows of `docs`, all their columns, less near copies of a document of
-    smaller doc_id. Of rows that repeat a doc_id one is kept."""
+    smaller doc_id. Of rows that repeat a doc_id one is kept, the same on every run."""
     dropped = near_duplicates(docs, shingle, threshold).filter("not kept").select(F.col("doc_id").alias("_dropped"))
     kept = docs.join(dropped, docs["doc_id"].cast("long") == F.col("_dropped"), "left_anti")
     if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
         return kept
-    named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    row = F.struct(*docs.columns)
+    named = (kept.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
+             .agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("_row")).select("_row.*"))
     return named.unionByName(kept.filter("doc_id is null"))

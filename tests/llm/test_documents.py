@@ -173,3 +173,46 @@ def test_queries_match_their_sql(spark, name):
     out = QUERIES[name](spark, SF_SMALL)
     got = sorted(map(tuple, out.collect()))
     assert got == sorted(con.sql(f"select {', '.join(out.columns)} from ({ORACLE_SQL[name]})").fetchall())
+
+
+def test_repeated_rows_are_one_text(spark, monkeypatch):
+    """Two near copies, a thousand rows each: two texts go on to be confirmed."""
+    seen = {}
+
+    def stored(df, name):
+        out = kept(df, name)
+        seen[name] = out.count()
+        return out
+    kept = minhash_dedup.stored
+    monkeypatch.setattr(minhash_dedup, "stored", stored)
+    base = " ".join(f"t{i}" for i in range(200))
+    rows = [(1, base)] * 1000 + [(2, base + " end")] * 1000 + [(3, "other words here")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {tuple(r) for r in minhash_dedup.near_duplicates(docs).collect()}
+    assert got == {(1, 196, 1, True), (2, 197, 1, False), (3, 1, 3, True)}
+    assert seen["minhash-texts"] == 2 and seen["minhash-likely"] <= 1
+
+
+def test_a_row_of_a_repeated_id_is_kept_the_same_on_every_run(spark):
+    rows = [(1, f"text number {i} of one id", "s", i) for i in range(20)] + [(None, "x", None, 1), (None, "x", None, 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    first, again = (minhash_dedup.keep_firsts(frame.repartition(n)).collect() for n in (1, 7))
+    assert len(first) == 3 and sorted(first, key=str) == sorted(again, key=str)
+
+
+def test_registers_by_ranking_of_donors():
+    """Empty buckets take the first occupied one of their ranking, whatever the size."""
+    rng = np.random.default_rng(4)
+    sizes = [1, 3, 20, 200, 2000, 0]
+    hashes = [np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)) for n in sizes]
+    regs = minhash_dedup.registers(np.concatenate(hashes), np.repeat(np.arange(len(sizes)), sizes), len(sizes))
+    for h, got in zip(hashes, regs):
+        if not len(h):
+            assert not got.any()
+            continue
+        bucket = (h >> minhash_dedup._SHIFT).astype(int)
+        alone = minhash_dedup.registers(h, np.zeros(len(h), np.int64), 1)[0]
+        assert (alone == got).all()
+        have = np.unique(bucket)
+        for e in np.setdiff1d(np.arange(minhash_dedup.REGISTERS), have)[:50]:
+            assert got[e] == got[have[minhash_dedup._RANK[e, have].argmin()]]
