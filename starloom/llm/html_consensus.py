@@ -22,9 +22,10 @@ Repeated rows count each; an empty table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -36,9 +37,9 @@ from .common import in_arrow, stored
 #: A page's vote is dealt out in so many parts.
 PARTS = 1000
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
-                  |<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>
-                  |<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>""", re.S | re.X)
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_REST = re.compile(r"""(?:[^>"']++|"[^"]*"|'[^']*')*+>""")
+_SPECIAL = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NUMBER = re.compile(r"\d+")
 _WORD = re.compile(r"[a-z]+")
@@ -69,14 +70,85 @@ _LIST_EDGE = {"ul", "ol", "dl", "table", "select"}
 _LEAF = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "pre", "tr", "td", "th", "hr", "br", "caption"}
 
 
+class Tags:
+    """The tags of a page, each found by going forward only: what was looked for in
+    vain (a `>` that ends a tag, outside of quotes) is not looked for again."""
+
+    def __init__(self, html: str):
+        self.html, self.last, self.at, self.ends = html, html.rfind(">"), None, None
+
+    def _end(self, p: int) -> int:
+        """The end of a tag whose attributes begin at p: the first `>` outside of
+        quotes, or the first one at all if there is none such."""
+        if self.at is None:
+            m = _REST.match(self.html, p)
+            if m:
+                return m.end()
+            self._table()
+        end = self.ends[bisect_left(self.at, p)]
+        return end if end else self.html.find(">", p) + 1
+
+    def _table(self) -> None:
+        """For each `>` and quote, from the last to the first: where a tag ends that
+        is outside of quotes there (0: nowhere)."""
+        self.at = [m.start() for m in _SPECIAL.finditer(self.html)]
+        plain, double, single = 0, 0, 0
+        self.ends = [0] * (len(self.at) + 1)
+        for k in range(len(self.at) - 1, -1, -1):
+            c = self.html[self.at[k]]
+            if c == ">":
+                plain = self.at[k] + 1
+            elif c == '"':
+                plain, double = double, plain
+            else:
+                plain, single = single, plain
+            self.ends[k] = plain
+
+    def find(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, "/" of an end tag, name, attributes) of the next tag; a comment
+        or declaration has no name."""
+        html = self.html
+        at = html.find("<", at)
+        while at >= 0:
+            c = html[at + 1:at + 2]
+            if c == "!" or c == "?":
+                for opens, closes in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<", ">")):
+                    if html.startswith(opens, at):
+                        end = html.find(closes, at + max(len(opens), 2))
+                        return at, end + len(closes) if end >= 0 else len(html), "", "", ""
+            if at < self.last and (m := _NAME.match(html, at)):
+                end = self._end(m.end())
+                return at, end, m[1], m[2], html[m.end():end - 1]
+            at = html.find("<", at + 1)
+        return None
+
+
 class _Open:
-    __slots__ = ("tag", "bad", "hard", "link", "path", "first", "mass", "weight", "named")
+    __slots__ = ("tag", "bad", "hard", "link", "path", "above", "edge", "first", "mass", "weight", "named")
 
-    def __init__(self, tag, bad, hard, link, path, first, mass, weight, named):
-        self.tag, self.bad, self.hard, self.link, self.path = tag, bad, hard, link, path
+    def __init__(self, tag, bad, hard, link, path, above, edge, first, mass, weight, named):
+        self.tag, self.bad, self.hard, self.link, self.path, self.above, self.edge = tag, bad, hard, link, path, above, edge
         self.first, self.mass, self.weight, self.named = first, mass, weight, named
 
 
+class Path:
+    """A container's generalised path: its key is a hash of all labels from the root,
+    so deep nesting costs no more than its labels."""
+
+    __slots__ = ("key", "label", "above", "depth")
+
+    def __init__(self, label: str, above: Path | None):
+        self.label, self.above, self.depth = label, above, above.depth + 1 if above else 0
+        self.key = blake2b(f"{above.key if above else ''}/{label}".encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+    def __str__(self) -> str:
+        labels, at = [], self
+        while at:
+            labels.append(at.label)
+            at = at.above
+        return "/".join(reversed(labels))
+
+
 def _named(value: str, block: bool, in_article: int) -> tuple[bool, bool]:
     """Whether the names of a class, id or role say boilerplate, and whether they say main text, which goes first."""
     bad = good = False
@@ -91,16 +163,19 @@ def _named(value: str, block: bool, in_article: int) -> tuple[bool, bool]:
     return bad and not good, good
 
 
-def read_page(html: str, spared: frozenset[int] = frozenset()) -> tuple[list[str], list[tuple[str, float, int, int]]]:
+def read_page(html: str, spared: frozenset[int] = frozenset()) -> tuple[list[str], list[tuple[Path, float, int, int]]]:
     """The pieces of a page's text outside of boilerplate, and its containers:
     (generalised path, score, first piece, piece after the last). An element
     that is boilerplate by its name alone is none if it holds the page's only
     main or article, or most of its text: the page is read again with these
     (by the place of their tags) `spared`."""
     pieces: list[str] = []
-    found: list[tuple[str, float, int, int]] = []
+    found: list[tuple[Path, float, int, int]] = []
     mass = lost = 0
-    stack = [_Open("", False, False, False, "", 0, 0, 0.5, None)]
+    root = Path("", None)
+    stack = [_Open("", False, False, False, root, root, 0, 0, 0, 0.5, None)]
+    places: dict[str, list[int]] = {}  # by tag the places of open elements on the stack
+    tags = Tags(html)
     in_article = articles = lost_articles = 0
     named: list[tuple[int, int, int]] = []
 
@@ -108,6 +183,7 @@ def read_page(html: str, spared: frozenset[int] = frozenset()) -> tuple[list[str
         nonlocal in_article
         while len(stack) > to:
             e = stack.pop()
+            places[e.tag].pop()
             if e.tag in ("article", "main"):
                 in_article -= 1
             if e.named:
@@ -118,8 +194,8 @@ def read_page(html: str, spared: frozenset[int] = frozenset()) -> tuple[list[str
 
     at, size = 0, len(html)
     while at < size:
-        m = _TAG.search(html, at)
-        stop = m.start() if m else size
+        m = tags.find(at)
+        stop = m[0] if m else size
         top = stack[-1]
         if stop > at and not top.bad:
             text = html[at:stop]
@@ -133,34 +209,25 @@ def read_page(html: str, spared: frozenset[int] = frozenset()) -> tuple[list[str
             lost += len(text) - text.count(" ")
         if not m:
             break
-        at_tag, at = m.start(), m.end()
-        name = m[2] or m[5]
+        at_tag, at, ends_one, name, attributes = m
         if not name:
             continue
         tag = name.lower()
         block = tag not in _INLINE
         if block and not top.bad:
             pieces.append(" ")
-        if m[1] or m[4]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
+        if ends_one:
+            if places.get(tag):
+                close(places[tag][-1])
             if block:
                 pieces.append(" ")
             continue
-        attributes = m[3] or m[6] or ""
         if tag in _VOID:
             continue
         if block:  # end tags that may be left out
-            ends = _CLOSES.get(tag)
-            for i in range(len(stack) - 1, 0, -1):
-                other = stack[i].tag
-                if other == "p" and ends is None or ends is not None and other in ends:
-                    close(i)
-                    break
-                if other in _LIST_EDGE or other not in _INLINE and other not in _LEAF:
-                    break
+            open_ones = [places[t][-1] for t in _CLOSES.get(tag, ("p",)) if places.get(t)]
+            if open_ones and max(open_ones) >= max(top.edge, 1):
+                close(max(open_ones))
             top = stack[-1]
         hard, by_name, weight, label = top.hard or tag in _BOILERPLATE, False, 1.0, tag
         if tag == "header" and not in_article:
@@ -197,9 +264,12 @@ def read_page(html: str, spared: frozenset[int] = frozenset()) -> tuple[list[str
         if attributes.endswith("/") and tag in ("svg", "path", "use"):
             continue
         container = block and tag not in _LEAF
-        parent = next(e.path for e in reversed(stack) if e.path is not None)
-        stack.append(_Open(tag, bad, hard, top.link or tag == "a", f"{parent}/{label}" if container else None,
+        path = Path(label, top.above) if container else None
+        places.setdefault(tag, []).append(len(stack))
+        edge = len(stack) if tag in _LIST_EDGE or container else top.edge
+        stack.append(_Open(tag, bad, hard, top.link or tag == "a", path, path or top.above, edge,
                            len(pieces), mass, weight, (at_tag, lost, lost_articles) if by_name else None))
+    places[""] = [0]
     close(0)
     if not spared:
         again = frozenset(tag for tag, text, held in named if held and not articles or 2 * text > mass + lost)
@@ -208,23 +278,23 @@ def read_page(html: str, spared: frozenset[int] = frozenset()) -> tuple[list[str
     return pieces, found
 
 
-def _shares(found: list[tuple[str, float, int, int]]) -> dict[str, float]:
+def _shares(found: list[tuple[Path, float, int, int]]) -> dict[str, float]:
     """Each path's score: the sum over its containers (of which none lies in
     another, as paths grow with depth)."""
     total: dict[str, float] = {}
     for path, score, _, _ in found:
-        total[path] = total.get(path, 0) + score
+        total[path.key] = total.get(path.key, 0) + score
     return total
 
 
-def text_of(pieces: list[str], found: list[tuple[str, float, int, int]], path: str) -> str:
-    """The pieces of all containers of `path`, in page order."""
-    spans = sorted((a, b) for p, _, a, b in found if p == path)
+def text_of(pieces: list[str], found: list[tuple[Path, float, int, int]], key: str) -> str:
+    """The pieces of all containers of the path of this key, in page order."""
+    spans = sorted((a, b) for p, _, a, b in found if p.key == key)
     return " ".join(" ".join("".join(pieces[a:b]) for a, b in spans).split())
 
 
-def _template(paths) -> bytes:
-    return hashlib.blake2b("\n".join(sorted(paths)).encode("utf-8", "replace"), digest_size=16).digest()
+def _template(keys) -> bytes:
+    return blake2b("\n".join(sorted(keys)).encode(), digest_size=16).digest()
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,9 +328,11 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pieces, found = read_page(page or "")
             own = _shares(found)
             here = dict(zip(names or (), counts or ()))
-            path = max(here, key=lambda p: (here[p], own[p], p)) if here else None
-            used.append(path)
-            texts.append(text_of(pieces, found, path) if path is not None else "")
+            paths = {p.key: p for p, _, _, _ in found}
+            # Of equal ones the innermost.
+            key = max(here, key=lambda p: (here[p], own[p], paths[p].depth, p)) if here else None
+            used.append(str(paths[key]) if key else None)
+            texts.append(text_of(pieces, found, key) if key else "")
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:-3], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
              pa.array(used, pa.string())], [*batch.schema.names[:-3], "text", "n_chars", "path"])

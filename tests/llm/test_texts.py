@@ -236,3 +236,51 @@ def test_pipeline_stages(spark, odd_docs, no_docs, tmp_path):
             docs = spark.read.parquet(path)
         ids = {r.doc_id for r in docs.collect()}
         assert ids == ({None, 1, 7, 8, 9, 10, 11} if start is odd_docs else set())
+
+
+# -- long and broken markup, small memories ---------------------------------------------
+
+@pytest.mark.parametrize("html", ["<a " * 350000, '<a "' * 250000, '<a ">"' * 170000, "<div>" * 100000, "<div>t" * 100000,
+                                  "<span>" * 50000 + "<p>" * 50000, "<p><option>" + "<h1>" * 100000,
+                                  "<div>" * 50000 + "</x>" * 50000, "<!--" * 250000, "<" * 1000000])
+def test_broken_markup_is_read_in_one_pass(html):
+    import time
+    from starloom.llm import html_consensus
+    begin = time.process_time()
+    pieces, found = html_consensus.read_page(html)
+    html_consensus._shares(found)
+    assert time.process_time() - begin < 5 and len(pieces) <= 2 * html.count("<") + 1
+
+
+def test_ends_of_tags():
+    from starloom.llm.html_consensus import Tags
+    for html, want in (('<a x="1>2">t', [(0, 11)]), ('<a x="1>t', [(0, 8)]), ("<a x='\">' y>t<b>", [(0, 12), (13, 16)]),
+                       ('<a "><b "><c>', [(0, 10), (10, 13)]), ("<a '><b>", [(0, 5), (5, 8)]), ("<a <b", []),
+                       ("<!-- > --><a>", [(10, 13)]), ("<!-- <a>", []), ("< a><3><b/>", [(7, 11)])):
+        tags, at, got = Tags(html), 0, []
+        while m := tags.find(at):
+            at = m[1]
+            if m[3]:
+                got.append(m[:2])
+        assert got == want, html
+
+
+@pytest.mark.slow
+def test_a_small_memory_of_words_gives_the_same_pieces(monkeypatch):
+    from corpus_fixtures import prose
+    from starloom.llm import sentence_pieces
+    from starloom.llm.queries import tokenizer_path
+    path = tokenizer_path("piece_bpe_32k.model")
+    texts = [prose(k % 7, 40) + " é漢 \0x \0" + " the same words again  " + "\u2581x" + "long" * 30 + prose(k, 30) for k in range(60)]
+    want = sentence_pieces.PieceModel(path).encode(texts)
+    monkeypatch.setattr(sentence_pieces, "CACHE_WORDS", 100)
+    small = sentence_pieces.PieceModel(path)
+    got = [small.encode(texts[k:k + 3]) for k in range(0, len(texts), 3)]
+    assert (np.concatenate([g[0] for g in got]) == want[0]).all() and (np.concatenate([g[1] for g in got]) == want[1]).all()
+    assert len(small.young.words) < 400 and len(small.old.words) < 400
+    at = np.r_[0, np.cumsum(want[1])]
+    assert [small.decode(want[0][a:b].tolist()) for a, b in zip(at, at[1:])] == [t.replace("\u2581", " ") for t in texts]
+    one = sentence_pieces.PieceModel(path)
+    for word in ("\u2581the", "\u2581words", "\u2581漢é", "\u2581" + "ab" * 20):
+        places, count = one.viterbi([word])
+        assert places.tolist() == one.one_by_one(word) and count.tolist() == [len(places)]
