@@ -40,7 +40,7 @@ BLANK = "▁"
 #: Longer words go piece by piece through a dictionary (the same maxima).
 LONGEST = 48
 #: Words that a worker remembers at most, in two generations.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 3 << 18
 #: Leading bits of a piece's key that say where to look among the sorted keys.
 _LEAD = 20
 _BARE = "\0"
