@@ -21,8 +21,9 @@ from starloom.llm.suffix_dedup import remove_repeats
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language is not known: texts without a letter, and
-    those that no learned language clearly fits. Learns from the documents' lang."""
+    """Drops documents whose language is not known: texts without a letter, and the
+    few (mostly short ones) of which no learned language is likelier than all others
+    together. Learns from the documents' lang."""
     return keep_known(docs)
 
 
@@ -56,8 +57,9 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("pieces", pieces),
 ]
 
-# The language model, suffix sorting and pieces are not SQL; tests compare run()
-# with a brute-force version.
+# The language model, suffix sorting and pieces are not SQL; a test compares the rows of
+# run() with plain versions of the stages behind the language model (which is held
+# against held-out rows), but for how often mixing uses a document.
 ORACLE_SQL = None
 
 

@@ -150,7 +150,10 @@ def identify(docs: DataFrame, train: DataFrame, keep: list[str]) -> DataFrame:
 
 def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of `docs`, all their columns, whose text is of a known language
-    with a score of `least` or more, learned from the rows' own text and lang.
+    with a score of `least` or more, learned from the rows' own text and lang. The
+    score is the posterior of the whole text, which is near 1 for one language on any
+    text of more than a few words, so this rejects little but texts without a letter;
+    it does not tell languages that were not learned.
     Without any lang to learn from, rows whose text has a letter are kept."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs.select("text", "lang")))
     if not model.value[0]:

@@ -238,6 +238,49 @@ def test_pipeline_stages(spark, odd_docs, no_docs, tmp_path):
         assert ids == ({None, 1, 7, 8, 9, 10, 11} if start is odd_docs else set())
 
 
+@pytest.mark.slow
+def test_pipeline_against_plain_versions_of_its_stages(spark):
+    """run() over whole documents: near copies by all pairs, repeats by a scan of all
+    100-byte strings, pieces by decoding; what the language stage keeps is taken as it
+    is, and each document may be used once or twice by mixing."""
+    from test_documents import components_by_hand, shingles
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    known = {r.doc_id: r for r in corpus_pipeline.STAGES[0][1](spark, docs, SF_SMALL).collect()}
+    assert all(not any(c.isalpha() for c in r.text or "") for r in docs.collect() if r.doc_id not in known)
+    sets = {i: shingles(r.text, 5) for i, r in known.items()}
+    by_item = {}
+    for i, s in sets.items():
+        for x in s:
+            by_item.setdefault(x, []).append(i)
+    both = {}
+    for ids in by_item.values():
+        for a in ids:
+            for b in ids:
+                if a < b:
+                    both[a, b] = both.get((a, b), 0) + 1
+    links = [(a, b) for (a, b), n in both.items() if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n)]
+    firsts = components_by_hand(links, list(known))
+    rows = sorted((i, (known[i].text or "").encode()) for i in known if firsts[i] == i)
+    seen, want = set(), {}
+    for i, data in rows:
+        gone = bytearray(len(data))
+        for k in range(len(data) - 99):
+            window = data[k:k + 100]
+            if window in seen:
+                gone[k:k + 100] = b"\1" * 100
+            seen.add(window)
+        left = bytes(c for c, g in zip(data, gone) if not g)
+        if left.strip() or not any(gone):
+            want[i] = left.decode("utf-8", "ignore")
+    model = sentence_pieces.PieceModel(tokenizer_path("piece_bpe_32k.model"))
+    got = {}
+    for r in corpus_pipeline.run(spark, SF_SMALL).collect():
+        assert r.n_pieces == len(r.ids) and r.source == known[r.doc_id].source
+        got.setdefault(r.doc_id, []).append(model.decode(r.ids))
+    assert set(got) == set(want) and all(len(v) <= 2 for v in got.values())
+    assert all(set(v) == {want[i].replace("\u2581", " ")} for i, v in got.items())
+
+
 # -- long and broken markup, small memories ---------------------------------------------
 
 @pytest.mark.parametrize("html", ["<a " * 350000, '<a "' * 250000, '<a ">"' * 170000, "<div>" * 100000, "<div>t" * 100000,
