@@ -3,7 +3,8 @@
 1. Each text is encoded with a tokenizer of the ``tokenizers`` library. Texts
    are cut where its pre-tokenizer always cuts (at a blank between two
    characters that are not white space); pieces seen before come from a bounded
-   cache in the worker, new ones go to the library.
+   cache in the worker, new ones are cut into words, seen before or encoded by
+   the library.
 2. Ids are counted over all documents; package-merge turns the counts into code
    lengths of at most MAX_BITS, and these alone define the canonical code.
 3. Documents are sorted over the cluster by doc_id; each task packs whole
@@ -21,10 +22,12 @@ empty files.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,86 +40,173 @@ from .common import in_arrow, shared_path, stored
 MAX_BITS = 18
 BLOCK_IDS = 1 << 20
 STRIDE = 256
-#: Pieces that a worker remembers before it starts anew.
-CACHE_PIECES = 1 << 20
+#: Pieces between blanks, and words in them, that a worker remembers.
+CACHE_PIECES, CACHE_WORDS = 1 << 20, 1 << 19
 STEP = 1 << 19
 END_ID = 0
 
-_UNCLEAR = re.compile(r" \s|\s |^ | $")
+#: White space that is neither blank nor newline.
+_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Letters, digits and punctuation that byte-level pre-tokenizers cut into runs, each with
+#: the blank before it. All else (other scripts, apostrophes, several newlines) is left to the library.
+_LETTER, _DIGIT = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9"
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_BETWEEN = "\x00"
+
+
+def _clean(text: str) -> bool:
+    """Whether each blank of the text stands between two characters that are not white space."""
+    return not ("  " in text or text[:1] == " " or text[-1:] == " " or " \n" in text or "\n " in text
+                or _SPACE.search(text))
+
+
+class _Numbers(dict):
+    """Numbers of strings; a new one gets the next and is noted in `new`."""
+
+    def __init__(self, known=()):
+        super().__init__(zip(known, range(len(known))))
+        self.new: list = []
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+
+class _Known:
+    """A bounded memory of strings and their ids. When it is full, only strings
+    used again are kept, the half of it that was used most at the most."""
+
+    def __init__(self, learn, most: int, fixed: dict):
+        self.learn, self.most, self.fixed = learn, most, len(fixed)
+        self.numbers = _Numbers(list(fixed))
+        size = [len(x) for x in fixed.values()]
+        self.flat = np.array([i for x in fixed.values() for i in x], np.uint32)
+        self.until = np.r_[0, np.cumsum(size)].astype(np.int64)
+        self.uses = np.zeros(len(fixed), np.int64)
+        self.filled = len(self.flat)
+
+    def _add(self, ids: np.ndarray, size: np.ndarray) -> None:
+        known, until = len(self.uses), self.until
+        if known + len(size) + 1 > len(until):
+            self.until = np.zeros(2 * (known + len(size) + 1), np.int64)
+            self.until[:known + 1] = until[:known + 1]
+        self.until[known + 1:known + 1 + len(size)] = self.filled + np.cumsum(size)
+        if self.filled + len(ids) > len(self.flat):
+            flat, self.flat = self.flat, np.zeros(2 * (self.filled + len(ids)), np.uint32)
+            self.flat[:self.filled] = flat[:self.filled]
+        self.flat[self.filled:self.filled + len(ids)] = ids
+        self.filled += len(ids)
+        self.uses = np.r_[self.uses, np.zeros(len(size), np.int64)]
+
+    def _forget(self) -> None:
+        keep = np.flatnonzero(self.uses[self.fixed:] > 1) + self.fixed
+        if len(keep) > self.most // 2:
+            keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[:self.most // 2]])
+        keep = np.r_[np.arange(self.fixed), keep]
+        strings = list(self.numbers)
+        size = self.until[keep + 1] - self.until[keep]
+        ids = self.flat[spans(self.until[keep], size)]
+        self.numbers = _Numbers([strings[k] for k in keep.tolist()])
+        self.uses, self.filled = np.zeros(0, np.int64), 0
+        self._add(ids, size)
+
+    def ids(self, strings, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of `n` strings, one after the other, and how many each has."""
+        if len(self.numbers) > self.most:
+            self._forget()
+        at = np.fromiter(map(self.numbers.__getitem__, strings), np.int64, n)
+        if self.numbers.new:
+            self._add(*self.learn(self.numbers.new))
+            self.numbers.new = []
+        self.uses += np.bincount(at, minlength=len(self.uses))
+        size = self.until[at + 1] - self.until[at]
+        return self.flat[spans(self.until[at], size)], size
+
+
+def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (size of them) of each, one after the other."""
+    end = np.cumsum(size)
+    return np.repeat(start + size - end, size) + np.arange(end[-1] if len(end) else 0)
 
 
 class PieceEncoder:
-    """Ids of texts, with a cache of pieces between blanks."""
+    """Ids of texts. Pieces between blanks are remembered; a new piece is cut into
+    the words that the pre-tokenizer makes of it, which are remembered too; new
+    words go to the library's model, pieces with other characters to the library."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pieces: int = CACHE_PIECES, words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         # Bytes that an id stands for (byte-level vocabularies write a byte as a character).
         size = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             size[i] = len(token)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         for i, token in self.tokenizer.get_added_tokens_decoder().items():
             size[i] = len(token.content.encode())
         self.id_bytes = size
-        self.clear()
-
-    def clear(self) -> None:
-        self.heads: dict[str, int] = {}    # pieces at the start of a text
-        self.others: dict[str, int] = {}   # pieces after a blank
-        self.flat = np.full(1 << 16, END_ID, np.uint32)
-        self.until = np.ones(1 << 14, np.int64)  # ends of the pieces' ids in `flat`
-        self.known, self.filled = 1, 1           # piece 0 is the end id
-
-    def _add(self, into: dict[str, int], pieces: list[str], ids: np.ndarray, size: np.ndarray) -> None:
-        into.update(zip(pieces, range(self.known, self.known + len(pieces))))
-        while self.filled + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, self.flat])
-        while self.known + len(pieces) > len(self.until):
-            self.until = np.concatenate([self.until, self.until])
-        self.flat[self.filled:self.filled + len(ids)] = ids
-        self.until[self.known:self.known + len(pieces)] = self.filled + np.cumsum(size)
-        self.known, self.filled = self.known + len(pieces), self.filled + len(ids)
-
-    def _learn_heads(self, pieces: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        self._add(self.heads, pieces, np.array([i for x in got for i in x], np.uint32),
-                  np.array([len(x) for x in got], np.int64))
-
-    def _learn_others(self, pieces: list[str]) -> None:
-        """Many pieces are one text to the library, a blank before each; as the
-        cuts are clean, each gets the ids that it has alone."""
-        joined = ["".join([" " + p for p in pieces[k:k + 1000]]) for k in range(0, len(pieces), 1000)]
-        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(
-            joined, add_special_tokens=False)])
-        until = np.searchsorted(np.cumsum(self.id_bytes[ids]), np.cumsum([len(p.encode()) + 1 for p in pieces]), "right")
-        self._add(self.others, pieces, ids, np.diff(np.r_[0, until]))
+        marks = re.escape("".join(c for c in _MARKS if not any(c in a for a in added)))
+        runs = [f"[{x}]+" for x in (_LETTER, _DIGIT, marks)]
+        run = f"[{_LETTER}{_DIGIT}{marks}]+"
+        self.plain = re.compile(f" ?{run}(?:\n{run})*")
+        self.cut = re.compile("|".join(f" ?{r}" for r in runs) + f"|\n|{_BETWEEN}")
+        setting = json.loads(self.tokenizer.to_str())
+        before = setting["pre_tokenizer"] or {}
+        #: Whether words are cut as above: byte level, nothing before it, no added token of plain characters.
+        self.by_words = (before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                         and not before.get("add_prefix_space") and setting["normalizer"] is None
+                         and setting["post_processor"] is None
+                         and not any(self.plain.fullmatch(a) for a in added))
+        if self.by_words:
+            self.word_tokenizer = Tokenizer.from_file(path)
+            self.word_tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # A text's first piece has a blank before it as its name, which no other has; None is the text's end.
+        self.pieces = _Known(self._learn_pieces, pieces, {None: [END_ID]})
+        self.words = _Known(self._learn_words, words, {_BETWEEN: []})
+
+    def _alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for x in got for i in x], np.uint32), np.array([len(x) for x in got], np.int64)
+
+    def _learn_pieces(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [p[1:] if p[0] == " " else " " + p for p in names]
+        plain = np.zeros(len(texts), bool)
+        if self.by_words:
+            plain = np.fromiter((self.plain.fullmatch(t) is not None for t in texts), bool, len(texts))
+        ids, size = self._alone([t for t, p in zip(texts, plain) if not p])
+        if not plain.any():
+            return ids, size
+        words = self.cut.findall(_BETWEEN.join([t for t, p in zip(texts, plain) if p]))
+        word_ids, word_size = self.words.ids(words, len(words))
+        first = np.flatnonzero(np.fromiter(map(_BETWEEN.__eq__, words), bool, len(words)))
+        all_size = np.zeros(len(texts), np.int64)
+        all_size[~plain] = size
+        all_size[plain] = np.add.reduceat(word_size, np.r_[0, first])
+        start = np.cumsum(all_size) - all_size
+        out = np.zeros(int(all_size.sum()), np.uint32)
+        out[spans(start[~plain], all_size[~plain])] = ids
+        out[spans(start[plain], all_size[plain])] = word_ids
+        return out, all_size
+
+    def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Many words are one input to the library, cut already."""
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.word_tokenizer.encode_batch_fast(
+            [words[k:k + 1000] for k in range(0, len(words), 1000)], is_pretokenized=True, add_special_tokens=False)])
+        until = np.searchsorted(np.cumsum(self.id_bytes[ids]), np.cumsum([len(w.encode()) for w in words]), "right")
+        return ids, np.diff(np.r_[0, until])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, END_ID after each, and their counts."""
-        if self.known > CACHE_PIECES:
-            self.clear()
-        cut = [(_CUT.split(t) if _UNCLEAR.search(t) else t.split(" ")) for t in texts]
-        heads = [c[0] for c in cut]
-        new = {h for h in heads if h not in self.heads}
-        if new:
-            self._learn_heads(list(new))
-        new = set().union(*(c[1:] for c in cut)).difference(self.others)
-        if new:
-            self._learn_others(list(new))
-        others = self.others
-        order: list[int] = []
+        cut = [t.split(" ") if _clean(t) else _CUT.split(t) for t in texts]
         for c in cut:
-            order.append(self.heads[c[0]])
-            order.extend(map(others.__getitem__, c[1:]) if len(c) > 1 else ())
-            order.append(0)
-        at = np.array(order, np.int64)
-        size = self.until[at] - np.where(at > 0, self.until[at - 1], 0)
-        end = np.cumsum(size)
-        ids = self.flat[np.repeat(self.until[at] - end, size) + np.arange(end[-1])]
-        last = np.cumsum([len(c) + 1 for c in cut]) - 1
-        return ids, np.diff(np.r_[0, end[last]])
+            c[0] = " " + c[0]
+            c.append(None)
+        n = np.array([len(c) for c in cut], np.int64)
+        ids, size = self.pieces.ids(chain.from_iterable(cut), int(n.sum()))
+        return ids, np.add.reduceat(size, np.cumsum(n) - n) if len(n) else n
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}

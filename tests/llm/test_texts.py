@@ -327,3 +327,22 @@ def test_a_small_memory_of_words_gives_the_same_pieces(monkeypatch):
     for word in ("\u2581the", "\u2581words", "\u2581漢é", "\u2581" + "ab" * 20):
         places, count = one.viterbi([word])
         assert places.tolist() == one.one_by_one(word) and count.tolist() == [len(places)]
+
+
+@pytest.mark.parametrize("pieces, words", [(1 << 20, 1 << 19), (200, 60)])
+def test_remembered_pieces_give_the_librarys_ids(pieces, words):
+    """Cuts into words, and a memory below the vocabulary, against the library on whole texts."""
+    from tokenizers import Tokenizer
+    path = tokenizer_path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), token_files.PieceEncoder(path, pieces, words)
+    assert encoder.by_words
+    draw = np.random.default_rng(5)
+    signs = list(" \n'ab.Zé1<|>\x00\t\r×日_, ")
+    texts = ["", " ", "it's don't 'll", "<|endoftext|> a<|endoftext|>b <| x", "a\nb\n\nc d\n", "12a3 4,5. x\x85 y"]
+    texts += ["".join(draw.choice(signs, draw.integers(1, 40))) for _ in range(3000)]
+    for lo in range(0, len(texts), 40):
+        ids, counts = encoder.encode(texts[lo:lo + 40])
+        want = [library.encode(t, add_special_tokens=False).ids + [0] for t in texts[lo:lo + 40]]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+    assert encoder.encode([])[0].tolist() == []
