@@ -26,11 +26,14 @@ import json
 import os
 import re
 import zlib
+from codecs import charmap_decode
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import compress, count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +45,7 @@ BLOCK_IDS = 1 << 20
 STRIDE = 256
 #: Pieces between blanks, and words in them, that a worker remembers.
 CACHE_PIECES, CACHE_WORDS = 1 << 20, 1 << 19
-STEP = 1 << 19
+STEP = 1 << 22
 END_ID = 0
 
 #: White space that is neither blank nor newline.
@@ -61,32 +64,24 @@ def _clean(text: str) -> bool:
                 or _SPACE.search(text))
 
 
-class _Numbers(dict):
-    """Numbers of strings; a new one gets the next and is noted in `new`."""
-
-    def __init__(self, known=()):
-        super().__init__(zip(known, range(len(known))))
-        self.new: list = []
-
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        self.new.append(key)
-        return n
-
-
 class _Known:
     """A bounded memory of strings and their ids. When it is full, only strings
     used again are kept, the half of it that was used most at the most."""
 
     def __init__(self, learn, most: int, fixed: dict):
         self.learn, self.most, self.fixed = learn, most, len(fixed)
-        self.numbers = _Numbers(list(fixed))
+        self.numbers = self._numbered(list(fixed))
         size = [len(x) for x in fixed.values()]
         self.flat = np.array([i for x in fixed.values() for i in x], np.uint32)
         self.until = np.r_[0, np.cumsum(size)].astype(np.int64)
         self.uses = np.zeros(len(fixed), np.int64)
         self.filled = len(self.flat)
 
+    @staticmethod
+    def _numbered(strings: list) -> defaultdict:
+        """Numbers of strings; any other gets the next number when it is looked up."""
+        return defaultdict(count(len(strings)).__next__, zip(strings, range(len(strings))))
+
     def _add(self, ids: np.ndarray, size: np.ndarray) -> None:
         known, until = len(self.uses), self.until
         if known + len(size) + 1 > len(until):
@@ -108,18 +103,19 @@ class _Known:
         strings = list(self.numbers)
         size = self.until[keep + 1] - self.until[keep]
         ids = self.flat[spans(self.until[keep], size)]
-        self.numbers = _Numbers([strings[k] for k in keep.tolist()])
+        self.numbers = self._numbered([strings[k] for k in keep.tolist()])
         self.uses, self.filled = np.zeros(0, np.int64), 0
         self._add(ids, size)
 
-    def ids(self, strings, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of `n` strings, one after the other, and how many each has."""
+    def ids(self, strings: list, pick=slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the strings (or of those at `pick`), one after the other, and how many each has."""
+        # A dict keeps the order of insertion: new strings are its last.
         if len(self.numbers) > self.most:
             self._forget()
-        at = np.fromiter(map(self.numbers.__getitem__, strings), np.int64, n)
-        if self.numbers.new:
-            self._add(*self.learn(self.numbers.new))
-            self.numbers.new = []
+        at = np.fromiter(map(self.numbers.__getitem__, strings), np.int64, len(strings))[pick]
+        new = list(islice(reversed(self.numbers), len(self.numbers) - len(self.uses)))[::-1]
+        if new:
+            self._add(*self.learn(new))
         self.uses += np.bincount(at, minlength=len(self.uses))
         size = self.until[at + 1] - self.until[at]
         return self.flat[spans(self.until[at], size)], size
@@ -150,8 +146,10 @@ class PieceEncoder:
         self.id_bytes = size
         marks = re.escape("".join(c for c in _MARKS if not any(c in a for a in added)))
         runs = [f"[{x}]+" for x in (_LETTER, _DIGIT, marks)]
-        run = f"[{_LETTER}{_DIGIT}{marks}]+"
-        self.plain = re.compile(f" ?{run}(?:\n{run})*")
+        run = f"{_LETTER}{_DIGIT}{marks}"
+        # What no piece cut into words has: other characters, an inner blank, a newline not between two of `run`, nothing.
+        self.odd = re.compile(f"[^{run} \\n{_BETWEEN}]|\\n(?![{run}])|(?<![{run}])\\n|(?<!{_BETWEEN}) | (?![{run}])"
+                              f"|{_BETWEEN}(?={_BETWEEN})")
         self.cut = re.compile("|".join(f" ?{r}" for r in runs) + f"|\n|{_BETWEEN}")
         setting = json.loads(self.tokenizer.to_str())
         before = setting["pre_tokenizer"] or {}
@@ -159,10 +157,15 @@ class PieceEncoder:
         self.by_words = (before.get("type") == "ByteLevel" and before.get("use_regex", True)
                          and not before.get("add_prefix_space") and setting["normalizer"] is None
                          and setting["post_processor"] is None
-                         and not any(self.plain.fullmatch(a) for a in added))
+                         and all(self.odd.search(f"{_BETWEEN}{a}{_BETWEEN}") for a in added))
         if self.by_words:
-            self.word_tokenizer = Tokenizer.from_file(path)
-            self.word_tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            # Byte-level vocabularies write visible bytes as themselves, the others as characters from 256 on.
+            shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+            hidden = count(256)
+            self.letters = "".join(chr(b if b in shown else next(hidden)) for b in range(256))
+            self.by_words = set(self.letters) <= self.tokenizer.get_vocab().keys()
+            self.word_tokenizer = Tokenizer(self.tokenizer.model)
+            self.word_tokenizer.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(self.letters[0])
         # A text's first piece has a blank before it as its name, which no other has; None is the text's end.
         self.pieces = _Known(self._learn_pieces, pieces, {None: [END_ID]})
         self.words = _Known(self._learn_words, words, {_BETWEEN: []})
@@ -171,18 +174,31 @@ class PieceEncoder:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.array([i for x in got for i in x], np.uint32), np.array([len(x) for x in got], np.int64)
 
+    @staticmethod
+    def _as_texts(names: list[str]) -> str:
+        """The texts of the names, a sign before and after each: a blank before all but the first pieces of texts."""
+        joined = f"{_BETWEEN}{_BETWEEN.join(names)}"
+        return joined.replace(_BETWEEN, _BETWEEN + " ").replace(_BETWEEN + "  ", _BETWEEN) + _BETWEEN
+
     def _learn_pieces(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [p[1:] if p[0] == " " else " " + p for p in names]
-        plain = np.zeros(len(texts), bool)
+        plain = np.full(len(names), self.by_words)
         if self.by_words:
-            plain = np.fromiter((self.plain.fullmatch(t) is not None for t in texts), bool, len(texts))
-        ids, size = self._alone([t for t, p in zip(texts, plain) if not p])
+            joined = self._as_texts(names)
+            if joined.count(_BETWEEN) == len(names) + 1:
+                n, last = -1, 0
+                for m in self.odd.finditer(joined):
+                    n, last = n + joined.count(_BETWEEN, last, m.start() + 1), m.start() + 1
+                    # Two signs with nothing between them are found at the first.
+                    plain[n] = False
+            else:  # the sign is in a text
+                plain[:] = [not self.odd.search(self._as_texts([p])) and _BETWEEN not in p for p in names]
+        ids, size = self._alone([p[1:] if p[:1] == " " else " " + p for p in compress(names, (~plain).tolist())])
         if not plain.any():
             return ids, size
-        words = self.cut.findall(_BETWEEN.join([t for t, p in zip(texts, plain) if p]))
-        word_ids, word_size = self.words.ids(words, len(words))
-        first = np.flatnonzero(np.fromiter(map(_BETWEEN.__eq__, words), bool, len(words)))
-        all_size = np.zeros(len(texts), np.int64)
+        words = self.cut.findall(self._as_texts(names if plain.all() else list(compress(names, plain.tolist()))), 1)[:-1]
+        word_ids, word_size = self.words.ids(words)
+        first = np.flatnonzero(word_size == 0)  # only the sign between texts has no ids
+        all_size = np.zeros(len(names), np.int64)
         all_size[~plain] = size
         all_size[plain] = np.add.reduceat(word_size, np.r_[0, first])
         start = np.cumsum(all_size) - all_size
@@ -193,20 +209,46 @@ class PieceEncoder:
 
     def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Many words are one input to the library, cut already."""
+        raw = [_BETWEEN.join(words[k:k + 1000]).encode() for k in range(0, len(words), 1000)]
         ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.word_tokenizer.encode_batch_fast(
-            [words[k:k + 1000] for k in range(0, len(words), 1000)], is_pretokenized=True, add_special_tokens=False)])
-        until = np.searchsorted(np.cumsum(self.id_bytes[ids]), np.cumsum([len(w.encode()) for w in words]), "right")
+            [charmap_decode(r, "strict", self.letters)[0] for r in raw], add_special_tokens=False)])
+        data = np.frombuffer(b"\0".join(raw) + b"\0", np.uint8)
+        ends = np.flatnonzero(data == 0)
+        until = np.searchsorted(np.cumsum(self.id_bytes[ids]), ends - np.arange(len(ends)), "right")
         return ids, np.diff(np.r_[0, until])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, END_ID after each, and their counts."""
-        cut = [t.split(" ") if _clean(t) else _CUT.split(t) for t in texts]
-        for c in cut:
-            c[0] = " " + c[0]
-            c.append(None)
-        n = np.array([len(c) for c in cut], np.int64)
-        ids, size = self.pieces.ids(chain.from_iterable(cut), int(n.sum()))
-        return ids, np.add.reduceat(size, np.cumsum(n) - n) if len(n) else n
+        clean = np.fromiter(map(_clean, texts), bool, len(texts))
+        if clean.all():
+            return self._of_pieces(pc.split_pattern(pa.array(texts, pa.large_string()), " "))
+        ids, counts = self.encode([t for t, c in zip(texts, clean.tolist()) if c])
+        other_ids, other_counts = self._of_pieces(pa.array(
+            [_CUT.split(t) for t, c in zip(texts, clean.tolist()) if not c], pa.large_list(pa.large_string())))
+        both = np.zeros(len(texts), np.int64)
+        both[clean], both[~clean] = counts, other_counts
+        start = np.cumsum(both) - both
+        out = np.zeros(int(both.sum()), np.uint32)
+        out[spans(start[clean], counts)] = ids
+        out[spans(start[~clean], other_counts)] = other_ids
+        return out, both
+
+    def _of_pieces(self, cut: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same of texts cut into pieces (one at least); each distinct piece is looked up once."""
+        n = len(cut)
+        if not n:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        at = cut.offsets.to_numpy().astype(np.int64) - cut.offsets[0].as_py()
+        values = cut.flatten()
+        coded = values.dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        heads = [" " + v for v in values.take(pa.array(at[:-1])).to_pylist()]
+        text = np.arange(n)
+        pick = np.full(len(values) + n, len(names) + n, np.int64)  # the end, where nothing else is put
+        pick[np.arange(len(values)) + np.repeat(text, np.diff(at))] = coded.indices.to_numpy()
+        pick[at[:-1] + text] = len(names) + text
+        ids, size = self.pieces.ids([*names, *heads, None], pick)
+        return ids, np.add.reduceat(size, at[:-1] + text)
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
