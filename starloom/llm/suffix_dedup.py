@@ -39,8 +39,8 @@ from .suffix_sort import common_prefix, suffix_order
 LENGTH, GRAM = 100, 32
 SHARD_BYTES = 1 << 20
 HOT = 2000
-#: Windows that one numpy step works on; places within it fit PLACE_BITS.
-STEP, PLACE_BITS = 1 << 20, 24
+#: Windows that one numpy step works on (its arrays fit a core's cache); places within it fit PLACE_BITS.
+STEP, PLACE_BITS = 1 << 17, 24
 _OTHER = seeded(256, 23)
 _NULL_PLACE = -(1 << 63)
 
@@ -64,7 +64,8 @@ def anchor_runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
         if reach < width:
             least = np.minimum(least[:len(least) - (width - reach)], least[width - reach:])
         start = np.arange(lo, lo + n)
-        doc = np.searchsorted(at, start, "right") - 1
+        a, b = np.searchsorted(at, [lo, lo + n - 1], "right") - 1
+        doc = np.repeat(np.arange(a, b + 1), np.diff(np.r_[lo, at[a + 1:b + 1], lo + n]))
         inside = np.flatnonzero(start + LENGTH <= at[doc + 1])
         if len(inside):
             own, anchor = doc[inside], (least[inside] & low).astype(np.int64)
