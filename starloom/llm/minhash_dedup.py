@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (LOWER, forget, in_arrow, mix64, seeded, shingle_hashes, sorted_sets, span_hashes, stored,
+from .common import (LOWER, bytes_of, forget, in_arrow, mix64, seeded, shingle_hashes, sorted_sets, span_hashes, stored,
                      text_slices, word_spans)
 from .components import components
 
@@ -49,6 +49,10 @@ MARGIN = 0.1
 #: A band with at most so many pairs for each member has all of them compared.
 PAIRS_A_MEMBER = 4
 TILE = 1024
+#: Pairs whose registers are compared in one step.
+PAIRS = 2000
+#: Bytes of text in one step of the sketches, and of texts whose sets are compared in one step.
+SKETCH_BYTES, CONFIRM_BYTES = 1 << 18, 1 << 22
 
 # Ranking of donor buckets for each empty bucket.
 _RANK = mix64(np.arange(REGISTERS * REGISTERS, dtype=np.uint64) + np.uint64(1 << 40)).reshape(
@@ -60,7 +64,7 @@ _DONOR = np.argsort(_RANK, axis=1)[:, :DONORS]
 def shingle_sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, hashes, owners) of the distinct shingles
     of the lower-cased texts, in the order of owner and hash."""
-    for lo, hi, data, at in text_slices(column):
+    for lo, hi, data, at in text_slices(column, SKETCH_BYTES):
         data = LOWER[data]
         start, end, doc = word_spans(data, at)
         hashes, owner = shingle_hashes(span_hashes(data, start, end), doc, shingle)
@@ -164,32 +168,41 @@ def _likely(threshold: int):
     """Keeps pairs (a, b, na, nb, ra, rb) whose estimate does not rule them out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                estimate = _estimate(bytes_rows(batch.column(4)), bytes_rows(batch.column(5)),
-                                     batch.column(2).to_numpy(), batch.column(3).to_numpy())
-                yield batch.select([0, 1]).take(pa.array(np.flatnonzero(estimate >= threshold / 100 - MARGIN)))
+            for lo in range(0, len(batch), PAIRS):
+                part = batch.slice(lo, PAIRS)
+                estimate = _estimate(bytes_rows(part.column(4)), bytes_rows(part.column(5)),
+                                     part.column(2).to_numpy(), part.column(3).to_numpy())
+                yield part.select([0, 1]).take(pa.array(np.flatnonzero(estimate >= threshold / 100 - MARGIN)))
     return run
 
 
-def _sets(texts: pa.Array, shingle: int) -> list[frozenset]:
+def _sets(texts: pa.Array, shingle: int) -> list[np.ndarray]:
+    """The distinct shingles of each text, in the order of their hashes."""
     out = []
     for lo, hi, hashes, owner in shingle_sets(texts, shingle):
-        cut = np.searchsorted(owner, np.arange(hi - lo + 1))
-        out += [frozenset(hashes[a:b].tolist()) for a, b in zip(cut[:-1], cut[1:])]
+        out += np.split(hashes, np.searchsorted(owner, np.arange(1, hi - lo)))
     return out
 
 
-def _linked(x: frozenset, y: frozenset, threshold: int) -> bool:
-    both = len(x & y)
+def _linked(x: np.ndarray, y: np.ndarray, threshold: int) -> bool:
+    if not len(x) or not len(y):
+        return False
+    at = np.searchsorted(x, y)
+    both = int((x.take(at, mode="clip") == y).sum())
     return both > 0 and 100 * both >= threshold * (len(x) + len(y) - both)
 
 
 def _confirm(shingle: int, threshold: int):
-    """Keeps pairs (a, b, text_a, text_b) by exact comparison of their sets."""
+    """Keeps pairs (a, b, text_a, text_b) by exact comparison of their sets, in steps
+    of CONFIRM_BYTES of text (or one longer pair)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, len(batch), 2000):
-                part = batch.slice(lo, 2000)
+            until = np.cumsum(sum(np.diff(bytes_of(batch.column(k))[1]) for k in (2, 3)))
+            lo = 0
+            while lo < len(batch):
+                before = until[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(until, before + CONFIRM_BYTES, "right")))
+                part = batch.slice(lo, hi - lo)
                 ids = np.r_[part.column(0).to_numpy(), part.column(1).to_numpy()]
                 _, first, which = np.unique(ids, return_index=True, return_inverse=True)
                 texts = pa.concat_arrays([part.column(2), part.column(3)]).take(pa.array(first))
@@ -197,6 +210,7 @@ def _confirm(shingle: int, threshold: int):
                 n = len(part)
                 keep = [i for i in range(n) if _linked(sets[which[i]], sets[which[n + i]], threshold)]
                 yield part.select([0, 1]).take(pa.array(keep, pa.int64()))
+                lo = hi
     return run
 
 
@@ -221,11 +235,11 @@ def _settle(shingle: int, threshold: int):
             i, j = np.nonzero(pair)
             i = r[i]
             if no and len(i):
-                fresh = np.concatenate([~(keys[i[k:k + 50000], :no] == keys[j[k:k + 50000], :no]).any(1)
-                                        for k in range(0, len(i), 50000)])
+                fresh = np.concatenate([~(keys[i[k:k + 10000], :no] == keys[j[k:k + 10000], :no]).any(1)
+                                        for k in range(0, len(i), 10000)])
                 i, j = i[fresh], j[fresh]
-            for k in range(0, len(i), 10000):
-                a, b = i[k:k + 10000], j[k:k + 10000]
+            for k in range(0, len(i), PAIRS):
+                a, b = i[k:k + PAIRS], j[k:k + PAIRS]
                 estimate = _estimate(regs[a], regs[b], size[a], size[b])
                 ok = estimate >= threshold / 100 - MARGIN
                 found.append((estimate[ok], a[ok], b[ok]))
