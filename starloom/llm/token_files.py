@@ -219,6 +219,10 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, END_ID after each, and their counts."""
+        joined = _BETWEEN.join(texts)
+        # Of most steps all texts are clean, which their joined text shows at once.
+        if _clean(joined) and f" {_BETWEEN}" not in joined and f"{_BETWEEN} " not in joined:
+            return self._of_pieces(pc.split_pattern(pa.array(texts, pa.large_string()), " "))
         clean = np.fromiter(map(_clean, texts), bool, len(texts))
         if clean.all():
             return self._of_pieces(pc.split_pattern(pa.array(texts, pa.large_string()), " "))
@@ -255,9 +259,7 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 
 
 def _tokens(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.setdefault(path, None) or PieceEncoder(path)
-        _ENCODERS[path] = encoder
+    def steps(encoder: PieceEncoder, batches: Iterator[pa.RecordBatch], total: _Totals) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             lo = 0
@@ -267,34 +269,57 @@ def _tokens(path: str):
                     size += len(texts[hi])
                     hi += 1
                 ids, counts = encoder.encode(texts[lo:hi])
+                total.add(ids)
                 end = np.cumsum(counts)
                 raw = ids.astype("<u4").tobytes() if len(ids) and ids.max() > 0xFFFF else None
                 wide = 4 if raw is not None else 2
                 raw = raw if raw is not None else ids.astype("<u2").tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(np.full(hi - lo, wide, np.int32)),
-                     pa.array([raw[wide * (e - c):wide * e] for c, e in zip(counts, end)], pa.binary())],
-                    ["doc_id", "width", "ids"])
+                     pa.array([raw[wide * (e - c):wide * e] for c, e in zip(counts, end)], pa.binary()),
+                     pa.nulls(hi - lo, pa.binary())],
+                    ["doc_id", "width", "ids", "counts"])
                 lo = hi
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _ENCODERS.setdefault(path, None) or PieceEncoder(path)
+        _ENCODERS[path] = encoder
+        total, last = _Totals(), None
+        for step in steps(encoder, batches, total):
+            if last is not None:
+                yield last
+            last = step
+        if last is not None:
+            # The task's last row carries how often it met each id.
+            have = np.flatnonzero(total.n)
+            seen = np.c_[have, total.n[have]].astype("<i8").tobytes()
+            counts = pa.array([None] * (len(last) - 1) + [seen], pa.binary())
+            yield pa.RecordBatch.from_arrays([*last.columns[:3], counts], last.schema.names)
     return run
 
 
+class _Totals:
+    """How often each id was met."""
+
+    def __init__(self):
+        self.n = np.zeros(1, np.int64)
+
+    def add(self, ids: np.ndarray) -> None:
+        got = np.bincount(ids)
+        if len(got) > len(self.n):
+            self.n, got = got, self.n
+        self.n[:len(got)] += got
+
+
 def _ids(raw: bytes, width: int) -> np.ndarray:
     return np.frombuffer(raw, "<u4" if width == 4 else "<u2")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1, np.int64)
     for batch in batches:
-        widths = batch.column(0).to_numpy()
-        for width in np.unique(widths):
-            raw = b"".join(batch.column(1).filter(pa.array(widths == width)).to_pylist())
-            got = np.bincount(_ids(raw, int(width)))
-            if len(got) > len(total):
-                total, got = got, total
-            total[:len(got)] += got
-    have = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(have), pa.array(total[have])], ["id", "n"])
+        for raw in batch.column(0).to_pylist():
+            id_, n = np.frombuffer(raw, "<i8").reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(id_), pa.array(n)], ["id", "n"])
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -422,18 +447,19 @@ BLOCK_SCHEMA = ("part int, block int, before long, n_ids long, doc_ids array<lon
 
 
 def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, width, ids) of every row: its ids, END_ID after them, as
-    little-endian integers of `width` bytes. `tokenizer` is a path that the
-    executors can read."""
+    """(doc_id, width, ids, counts) of every row: its ids, END_ID after them, as
+    little-endian integers of `width` bytes. One row of each task has the counts
+    of the ids of all its rows, pairs of 8-byte integers; in the others they are null.
+    `tokenizer` is a path that the executors can read."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return in_arrow(rows, _tokens(tokenizer), "doc_id long, width int, ids binary")
+    return in_arrow(rows, _tokens(tokenizer), "doc_id long, width int, ids binary, counts binary")
 
 
 def write_files(tokens: DataFrame, path: str) -> None:
-    """Write the ids of `tokens` (doc_id, width, ids) in ascending doc_id order
+    """Write the ids of `tokens` (as :func:`encode_documents` gives them) in ascending doc_id order
     under `path`: blocks in `path`/blocks, code lengths in `path`/lengths."""
     spark = tokens.sparkSession
-    got = (in_arrow(tokens.select("width", "ids"), _counts, "id long, n long")
+    got = (in_arrow(tokens.select("counts").filter("counts is not null"), _counts, "id long, n long")
            .groupBy("id").agg(F.sum("n").alias("n")).toArrow())  # at most a row for each id of the vocabulary
     ids, n = got["id"].to_numpy(), got["n"].to_numpy()
     counts = np.zeros(int(ids.max()) + 1 if len(ids) else 0, np.int64)
