@@ -3,6 +3,7 @@ texts as one byte array, word and shingle hashes."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -40,10 +41,27 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system. A Python worker is used again by later
+    tasks, of other operators too, and would keep what its largest step took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
+def _releasing(function: Callable) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        release_memory()
+    return run
+
+
 def in_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """mapInArrow with this package importable in the workers."""
+    """mapInArrow with this package importable in the workers, which keep no freed
+    memory behind a task."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(_releasing(function), schema)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -8,7 +8,7 @@ import pytest
 from corpus_fixtures import SF_SMALL, near_copies, no_docs, odd_docs  # noqa: F401
 from pyspark.sql import functions as F
 
-from starloom.llm import fingerprints, language_id, minhash_dedup, mixing, quality
+from starloom.llm import common, fingerprints, language_id, minhash_dedup, mixing, quality
 from starloom.llm.components import components
 
 pytestmark = pytest.mark.slow
@@ -216,3 +216,36 @@ def test_registers_by_ranking_of_donors():
         have = np.unique(bucket)
         for e in np.setdiff1d(np.arange(minhash_dedup.REGISTERS), have)[:50]:
             assert got[e] == got[have[minhash_dedup._RANK[e, have].argmin()]]
+
+
+def test_a_task_leaves_no_freed_memory(spark):
+    """Arrow's pool of a worker holds no more behind a task than the live bytes need."""
+
+    def hoard(batches):
+        for _ in batches:
+            for _ in range(4):
+                held = [pa.array(np.arange(1 << 16)) for _ in range(200)]
+                del held
+        yield pa.RecordBatch.from_arrays([pa.array([0])], ["n"])
+    seen = []
+    run = common._releasing(hoard)
+    real, common.release_memory = common.release_memory, lambda: seen.append(real())
+    try:
+        assert [b.num_rows for b in run(iter([None]))] == [1] and seen == [None]
+    finally:
+        common.release_memory = real
+    assert common.in_arrow(spark.range(3), lambda batches: batches, "id long").count() == 3
+
+
+def test_pairs_are_confirmed_in_steps_of_bounded_bytes(monkeypatch):
+    texts = ["", "one two", *(" ".join(f"w{(i + k) % 90}" for k in range(60)) for i in range(40)), None]
+    a, b = zip(*((i, j) for i in range(len(texts)) for j in range(i)))
+    pairs = pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array([texts[i] for i in a], pa.string()),
+                                        pa.array([texts[i] for i in b], pa.string())], ["a", "b", "ta", "tb"])
+    sets = [shingles(t, 5) for t in texts]
+    want = {(i, j) for i, j in zip(a, b)
+            if sets[i] & sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    monkeypatch.setattr(minhash_dedup, "CONFIRM_BYTES", 1000)
+    parts = list(minhash_dedup._confirm(5, 80)(iter([pairs])))
+    assert len(parts) > 100  # about a thousand bytes in each
+    assert {(r["a"], r["b"]) for p in parts for r in p.to_pylist()} == want != set()
