@@ -45,7 +45,7 @@ BLOCK_IDS = 1 << 20
 STRIDE = 256
 #: Pieces between blanks, and words in them, that a worker remembers.
 CACHE_PIECES, CACHE_WORDS = 1 << 20, 1 << 19
-STEP = 1 << 22
+STEP = 3 << 21
 END_ID = 0
 
 #: White space that is neither blank nor newline.

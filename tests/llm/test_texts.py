@@ -1,5 +1,6 @@
 """Repeated strings, tokens, pieces, pages, vectors, pipeline."""
 
+import collections
 import hashlib
 import zlib
 
@@ -346,3 +347,15 @@ def test_remembered_pieces_give_the_librarys_ids(pieces, words):
         assert counts.tolist() == [len(w) for w in want]
         assert ids.tolist() == [i for w in want for i in w]
     assert encoder.encode([])[0].tolist() == []
+
+
+def test_ids_are_counted_while_they_are_encoded(spark, odd_docs, monkeypatch):
+    """One row of each task has the counts of all its ids."""
+    rows = token_files.encode_documents(odd_docs, tokenizer_path("byte_bpe_50k.json")).collect()
+    want, got = collections.Counter(), collections.Counter()
+    for r in rows:
+        want.update(token_files._ids(r.ids, r.width).tolist())
+        if r.counts is not None:
+            for i, n in np.frombuffer(r.counts, "<i8").reshape(-1, 2).tolist():
+                got[i] += n
+    assert got == want and sum(r.counts is None for r in rows) < len(rows)
