@@ -57,11 +57,11 @@ def _releasing(function: Callable) -> Callable:
     return run
 
 
-def in_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def in_arrow(df: DataFrame, function: Callable, schema: str, release: bool = True) -> DataFrame:
     """mapInArrow with this package importable in the workers, which keep no freed
-    memory behind a task."""
+    memory behind a task (without `release` they keep it for the next one)."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(_releasing(function), schema)
+    return df.mapInArrow(_releasing(function) if release else function, schema)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -45,7 +45,7 @@ BLOCK_IDS = 1 << 20
 STRIDE = 256
 #: Pieces between blanks, and words in them, that a worker remembers.
 CACHE_PIECES, CACHE_WORDS = 1 << 20, 1 << 19
-STEP = 3 << 21
+STEP = 1 << 22
 END_ID = 0
 
 #: White space that is neither blank nor newline.
@@ -452,7 +452,8 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     of the ids of all its rows, pairs of 8-byte integers; in the others they are null.
     `tokenizer` is a path that the executors can read."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return in_arrow(rows, _tokens(tokenizer), "doc_id long, width int, ids binary, counts binary")
+    return in_arrow(rows, _tokens(tokenizer), "doc_id long, width int, ids binary, counts binary",
+                    release=False)
 
 
 def write_files(tokens: DataFrame, path: str) -> None:
