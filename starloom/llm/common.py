@@ -6,13 +6,14 @@ from __future__ import annotations
 import ctypes
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
@@ -64,6 +65,18 @@ def in_arrow(df: DataFrame, function: Callable, schema: str, release: bool = Tru
     return df.mapInArrow(_releasing(function) if release else function, schema)
 
 
+def in_groups(grouped: GroupedData, function: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """applyInArrow on the same terms as in_arrow."""
+    def run(table: pa.Table) -> pa.Table:
+        out = function(table)
+        del table
+        release_memory()
+        return out
+
+    ship_package(grouped._df.sparkSession)
+    return grouped.applyInArrow(run, schema)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the cluster names in spark.checkpoint.dir."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -87,6 +100,15 @@ def forget(*tables: DataFrame) -> None:
         remove_path(table.sparkSession, table.stored_path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished steps deleted now: Spark does so once the driver has
+    collected their garbage, which on a heap with room may be after many more steps. Twice, as the
+    last step's plan is held until the listeners have heard of its end."""
+    for pause in (0.3, 0):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a written intermediate table that nothing reads any more."""
     jvm = spark.sparkContext._jvm

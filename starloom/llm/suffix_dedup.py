@@ -11,8 +11,8 @@ on the input.
    further. Consecutive windows of one anchor and the bytes that they cover
    make a context.
 3. Equal contexts: all but the first are removed as a whole.
-4. First contexts of an anchor that has several go to shards by anchor; an
-   anchor with more than HOT contexts is dealt over shards of its own. A shard
+4. First contexts of an anchor that has several are cut from their texts and go
+   to shards by anchor; an anchor with more than HOT contexts is dealt over shards of its own. A shard
    sorts the suffixes of its contexts (suffix_sort: induced sorting, in memory),
    and runs of neighbours with a common prefix of LENGTH bytes are its equal
    windows: all but the first are repeats. For hot anchors each shard sends on only
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, in_arrow, seeded, ship_package, span_hashes, stored, text_slices
+from .common import forget, in_arrow, in_groups, release_shuffles, seeded, span_hashes, stored, text_slices
 from .suffix_sort import common_prefix, suffix_order
 
 LENGTH, GRAM = 100, 32
@@ -96,7 +96,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (place, part, anchors, text): the contexts of the given anchors."""
+    """From (place, part, anchors, text): the contexts of the given anchors, by place and size."""
     for batch in batches:
         wanted = batch.column(2)
         for lo, hi, data, at in text_slices(batch.column(3)):
@@ -108,14 +108,29 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keep[mine] = np.isin(anchor[mine].view(np.int64), wanted[lo + d].values.to_numpy())
             doc, first, last, anchor = doc[keep], first[keep], last[keep], anchor[keep]
             end = last + LENGTH
-            raw = data.tobytes()
             row = pa.array(lo + doc)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor.view(np.int64)), pa.array(span_hashes(data, first, end).view(np.int64)),
                  pa.array(span_hashes(data, first, end, _OTHER).view(np.int64)), batch.column(0).take(row),
-                 batch.column(1).take(row), pa.array(first - at[doc]), pa.array((end - first).astype(np.int64)),
+                 batch.column(1).take(row), pa.array(first - at[doc]), pa.array((end - first).astype(np.int64))],
+                ["anchor", "c1", "c2", "place", "part", "start", "size"])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (place, part, wanted, text): the bytes of the wanted contexts, with where they are dealt to."""
+    for batch in batches:
+        for lo, hi, data, at in text_slices(batch.column(3)):
+            wanted = batch.column(2).slice(lo, hi - lo)
+            doc = np.repeat(np.arange(hi - lo), wanted.value_lengths().to_numpy())
+            shard, salt, hot, start, size = wanted.flatten().flatten()
+            first = at[doc] + start.to_numpy()
+            end = first + size.to_numpy()
+            raw = data.tobytes()
+            row = pa.array(lo + doc)
+            yield pa.RecordBatch.from_arrays(
+                [shard, salt, hot, batch.column(0).take(row), batch.column(1).take(row), start,
                  pa.array([raw[a:b] for a, b in zip(first.tolist(), end.tolist())], pa.binary())],
-                ["anchor", "c1", "c2", "place", "part", "start", "size", "bytes"])
+                ["shard", "salt", "hot", "place", "part", "start", "bytes"])
 
 
 def _shard(table: pa.Table) -> pa.Table:
@@ -195,6 +210,7 @@ def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For `docs` (doc_id, text): a table (place, sha, n_bytes) of all distinct
     rows, and one of the rows that lose bytes: (place, sha, spans,
     kept_sha256), spans being the removed byte ranges."""
+    spark = docs.sparkSession
     rows = _placed(docs)
     # Places of several texts. Only their rows need more than the place to be told apart: part is the SHA-256 there
     # and empty elsewhere, so that places of one text, nearly all, carry no hash.
@@ -208,10 +224,13 @@ def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                                                    (F.col("place") > F.col("first")).alias("copy")), "suffix-documents")
 
     document = ["place", "part"]
-    anchors = in_arrow(rows.select(*document, "text"), _anchors, "anchor long, place long, part string, times int")
+    anchors = stored(in_arrow(rows.select(*document, "text"), _anchors,
+                              "anchor long, place long, part string, times int"), "suffix-grams")
     often = anchors.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor")
     copies = info.filter("copy").select(*document)
     found = stored(anchors.join(often, "anchor").join(copies, document, "left_anti"), "suffix-anchors")
+    forget(anchors)
+    release_shuffles(spark)
     # Without the copies many anchors occur only once.
     often = found.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor")
     wanted = found.join(often, "anchor").groupBy(*document).agg(F.collect_set("anchor").alias("anchors"))
@@ -219,30 +238,37 @@ def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = (rows.filter(F.octet_length("text") >= LENGTH).dropDuplicates(document).join(wanted, document))
     texts = stored(texts.select("place", "sha", "part", "anchors", "text"), "suffix-texts")
     forget(found, shared)
+    release_shuffles(spark)
+    # Contexts by place and size only: their bytes are most of them, and are wanted of few.
     contexts = stored(in_arrow(texts.select("place", "part", "anchors", "text"), _contexts,
-                               "anchor long, c1 long, c2 long, place long, part string, start long, size long, bytes binary"),
+                               "anchor long, c1 long, c2 long, place long, part string, start long, size long"),
                       "suffix-contexts")
 
     content, window = ["anchor", "c1", "c2"], [*document, "start"]
     elsewhere = "place <> lead.place or part <> lead.part or start <> lead.start"
     lead = stored(contexts.groupBy(content).agg(F.min(F.struct(*window)).alias("lead"), F.max("size").alias("size")),
                   "suffix-leads")
-    again = (contexts.select(*content, *window, "size").join(lead.select(*content, "lead"), content)
-             .filter(elsewhere)
-             .select(*window, (F.col("start") + F.col("size")).alias("stop")))
-    several = lead.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    open_ = lead.join(several, "anchor").select(*content, "lead.*", "n", "size")
-    total = open_.agg(F.sum("size")).first()[0] or 0
+    release_shuffles(spark)
+    again = stored(contexts.join(lead.select(*content, "lead"), content).filter(elsewhere)
+                   .select(*window, (F.col("start") + F.col("size")).alias("stop")), "suffix-again")
+    forget(contexts)
+    release_shuffles(spark)
+    several = stored(lead.groupBy("anchor").agg(F.count("*").alias("n"), F.sum("size").alias("total")).filter("n > 1"),
+                     "suffix-several")
+    total = several.agg(F.sum("total")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     hot = F.col("n") > HOT
-    dealt = (open_.join(contexts.select(*content, *window, "bytes"), [*content, *window])
-             .withColumn("hot", hot)
+    dealt = (lead.join(several, "anchor").select("anchor", "c1", "lead.*", "size", "n").withColumn("hot", hot)
              .withColumn("shard", F.when(hot, F.col("anchor")).otherwise(F.pmod(F.col("anchor"), F.lit(shards))))
-             .withColumn("salt", F.when(hot, F.pmod(F.col("c1"), F.ceil(F.col("n") / HOT))).otherwise(-1))
-             .select("shard", "salt", "hot", *window, "bytes"))
-    ship_package(docs.sparkSession)
-    sorted_ = stored(dealt.groupBy("shard", "salt").applyInArrow(
-        _shard, "place long, part string, start long, stop long, w1 long, w2 long, open boolean"), "suffix-windows")
+             .withColumn("salt", F.when(hot, F.pmod(F.col("c1"), F.ceil(F.col("n") / HOT))).otherwise(F.lit(-1).cast("long")))
+             .groupBy(*document).agg(F.collect_list(F.struct("shard", "salt", "hot", "start", "size")).alias("wanted")))
+    dealt = in_arrow(texts.join(dealt, document).select(*document, "wanted", "text"), _pieces,
+                     "shard long, salt long, hot boolean, place long, part string, start long, bytes binary")
+    sorted_ = stored(in_groups(dealt.groupBy("shard", "salt"), _shard,
+                               "place long, part string, start long, stop long, w1 long, w2 long, open boolean"),
+                     "suffix-windows")
+    forget(lead, several)
+    release_shuffles(spark)
     first = sorted_.filter("open").groupBy("w1", "w2").agg(F.min(F.struct(*window)).alias("lead"))
     across = (sorted_.filter("open").join(first, ["w1", "w2"]).filter(elsewhere)
               .select(*window, "stop"))
@@ -254,7 +280,8 @@ def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "place", "sha", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("stop"))).alias("spans"),
         F.lit(hashlib.sha256().hexdigest()).alias("kept_sha256"))
     marks = stored(marks.unionByName(whole), "suffix-marks")
-    forget(texts, contexts, lead, sorted_)
+    forget(texts, again, sorted_)
+    release_shuffles(spark)
     return info.select("place", "sha", "n_bytes"), marks
 
 

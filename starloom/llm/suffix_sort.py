@@ -55,7 +55,8 @@ def _doubled(text: np.ndarray) -> np.ndarray:
 def _append(queue: np.ndarray, at: np.ndarray, symbols: np.ndarray, items: np.ndarray, way: int) -> None:
     """Put items into the queues of their symbols, in order; `at` holds the next
     free place of each queue and moves by `way`."""
-    order = np.argsort(symbols, kind="stable")
+    # Numpy sorts 16-bit keys by radix.
+    order = np.argsort(symbols.astype(np.uint16) if len(at) <= 1 << 16 else symbols, kind="stable")
     symbols, items = symbols[order], items[order]
     first = np.flatnonzero(np.r_[True, symbols[1:] != symbols[:-1]])
     count = np.diff(np.r_[first, len(symbols)])

@@ -5,6 +5,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus_fixtures import SF_SMALL, no_docs, odd_docs, prose  # noqa: F401
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -96,6 +97,41 @@ def test_no_group_holds_the_texts_of_one_id(spark, monkeypatch):
     assert most == [max(most)] and most[0] <= len(shared) // 4
 
 
+def test_only_texts_are_kept_between_steps_and_shuffles_are_released(spark, odd_docs, monkeypatch):
+    stored, release = suffix_dedup.stored, suffix_dedup.release_shuffles
+    columns, steps = {}, []
+
+    def watched(df, name):
+        columns[name] = {f.name: f.dataType.typeName() for f in df.schema}
+        steps.append(name)
+        return stored(df, name)
+
+    def released(session):
+        steps.append("release")
+        release(session)
+
+    monkeypatch.setattr(suffix_dedup, "stored", watched)
+    monkeypatch.setattr(suffix_dedup, "release_shuffles", released)
+    assert suffix_dedup.repeat_digests(odd_docs).count() == 15
+    # Bytes of contexts are neither stored nor joined for all contexts.
+    assert [n for n, c in columns.items() if "binary" in c.values() or "text" in c] == ["suffix-texts"]
+    for large in ("suffix-anchors", "suffix-texts", "suffix-leads", "suffix-again", "suffix-windows", "suffix-marks"):
+        assert steps[steps.index(large) + 1] == "release"
+
+
+def test_contexts_are_cut_from_their_texts():
+    kind = pa.list_(pa.struct([("shard", pa.int64()), ("salt", pa.int64()), ("hot", pa.bool_()), ("start", pa.int64()),
+                               ("size", pa.int64())]))
+    piece = lambda start, size: {"shard": 5, "salt": -1, "hot": False, "start": start, "size": size}
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7, 8, 9]), pa.array(["", "", "s"]), pa.array([[piece(1, 2)], [], [piece(3, 4), piece(0, 2)]], kind),
+         pa.array(["éa b", "zzz", "0123é56789"])], ["place", "part", "wanted", "text"]).slice(0)
+    for part in ([batch], [batch.slice(0, 1), batch.slice(1)]):
+        rows = [r for out in suffix_dedup._pieces(iter(part)) for r in out.to_pylist()]
+        assert [(r["place"], r["part"], r["start"], r["bytes"]) for r in rows] == [
+            (7, "", 1, "é".encode()[1:] + b"a"), (9, "s", 3, "3é5".encode()), (9, "s", 0, b"01")]
+
+
 def test_code_lengths_are_limited_and_decodable():
     counts = np.array([1 << k for k in range(30)] + [0, 5])
     for limit in (5, 8, 18):
