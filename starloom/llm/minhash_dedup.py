@@ -18,10 +18,11 @@ are few they are all proposed; otherwise its members are compared with a few
 hubs first, and what is then in one component needs no further link. Bands that
 still join different components are settled in tiles of at most 2 * TILE members:
 a task compares the registers of members of different components (each pair
-in the first band that it agrees in), confirms the likely ones on their full
-sets, most alike first, while they are not yet connected, and returns only links
-that connect. So the rows that move stay in proportion to the members of
-bands, and no link that would join two components is left out by any limit.
+in the first band that it agrees in) in steps of PAIRS, confirms a step's likely
+ones on their full sets, most alike first, while they are not yet connected, and
+returns only links that connect: no list of all pairs of a tile is made. So the
+rows that move stay in proportion to the members of bands, and no link that would
+join two components is left out by any limit.
 
 Nulls, empty texts: empty set, linked with nothing. Rows of equal doc_id count
 as copies of one document. A null doc_id is linked with nothing.
@@ -36,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (LOWER, bytes_of, forget, in_arrow, mix64, seeded, shingle_hashes, sorted_sets, span_hashes, stored,
-                     text_slices, word_spans)
+from .common import (LOWER, bytes_of, forget, in_arrow, in_groups, mix64, seeded, shingle_hashes, sorted_sets,
+                     span_hashes, stored, text_slices, word_spans)
 from .components import components
 
 REGISTERS, ROWS = 512, 8
@@ -58,6 +59,8 @@ SKETCH_BYTES, CONFIRM_BYTES = 1 << 18, 1 << 22
 _RANK = mix64(np.arange(REGISTERS * REGISTERS, dtype=np.uint64) + np.uint64(1 << 40)).reshape(
     REGISTERS, REGISTERS)
 DONORS = 24
+#: Sets whose empty buckets are filled in one step.
+DONOR_ROWS = 128
 _DONOR = np.argsort(_RANK, axis=1)[:, :DONORS]
 
 
@@ -83,17 +86,20 @@ def registers(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     out.ravel()[cell[first]] = (zeros << np.uint64(4) | after).astype(np.uint8)
     filled = np.zeros((n, REGISTERS), bool)
     filled.ravel()[cell[first]] = True
-    # Down the ranking of donors for all empty buckets at once; what is then left belongs
-    # to sets of few shingles, which look at all of their own.
-    d, none = np.nonzero(~filled & filled.any(1)[:, None])
-    for step in range(DONORS):
-        donor = _DONOR[none, step]
-        hit = filled[d, donor]
-        out[d[hit], none[hit]] = out[d[hit], donor[hit]]
-        d, none = d[~hit], none[~hit]
-    for row in np.unique(d):
-        have, lack = np.flatnonzero(filled[row]), none[d == row]
-        out[row, lack] = out[row, have[_RANK[np.ix_(lack, have)].argmin(1)]]
+    # Down the ranking of donors for all empty buckets of some rows at once (short texts leave
+    # nearly all of them empty); what is then left belongs to sets of few shingles, which look at
+    # all of their own.
+    for lo in range(0, n, DONOR_ROWS):
+        part, full = out[lo:lo + DONOR_ROWS], filled[lo:lo + DONOR_ROWS]
+        d, none = np.nonzero(~full & full.any(1)[:, None])
+        for step in range(DONORS):
+            donor = _DONOR[none, step]
+            hit = full[d, donor]
+            part[d[hit], none[hit]] = part[d[hit], donor[hit]]
+            d, none = d[~hit], none[~hit]
+        for row in np.unique(d):
+            have, lack = np.flatnonzero(full[row]), none[d == row]
+            part[row, lack] = part[row, have[_RANK[np.ix_(lack, have)].argmin(1)]]
     return out
 
 
@@ -220,11 +226,15 @@ def _settle(shingle: int, threshold: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("id").combine_chunks()
         ids, size, label = (table[c].to_numpy() for c in ("id", "size", "label"))
+        label = label.copy()  # by the links found so far
         side, no = table["side"].to_numpy(), table["no"][0].as_py()
         two = side.min() != side.max()
         regs = bytes_rows(table["regs"].chunk(0))
         keys = band_keys(regs)
-        found = []
+        text = table["text"].chunk(0)
+        sets: dict[int, np.ndarray] = {}
+        held = 0  # bytes of `sets`
+        out_a, out_b = [], []
         rows = max(1, (1 << 24) // max(1, BANDS * len(ids)))
         for lo in range(0, len(ids), rows):
             r = np.arange(lo, min(len(ids), lo + rows))
@@ -234,34 +244,28 @@ def _settle(shingle: int, threshold: int):
                 pair &= side[r][:, None] != side
             i, j = np.nonzero(pair)
             i = r[i]
-            if no and len(i):
-                fresh = np.concatenate([~(keys[i[k:k + 10000], :no] == keys[j[k:k + 10000], :no]).any(1)
-                                        for k in range(0, len(i), 10000)])
-                i, j = i[fresh], j[fresh]
             for k in range(0, len(i), PAIRS):
                 a, b = i[k:k + PAIRS], j[k:k + PAIRS]
+                # What earlier links connect needs no further one.
+                keep = label[a] != label[b]
+                if no:
+                    keep &= ~(keys[a, :no] == keys[b, :no]).any(1)
+                a, b = a[keep], b[keep]
                 estimate = _estimate(regs[a], regs[b], size[a], size[b])
-                ok = estimate >= threshold / 100 - MARGIN
-                found.append((estimate[ok], a[ok], b[ok]))
-        out_a, out_b = [], []
-        if sum(len(f[0]) for f in found):
-            estimate, a, b = (np.concatenate(x) for x in zip(*found))
-            order = np.argsort(-estimate, kind="stable")
-            of = np.unique(np.r_[a, b])
-            sets = dict(zip(of.tolist(), _sets(table["text"].chunk(0).take(pa.array(of)), shingle)))
-            root: dict[int, int] = {}
-
-            def find(x):
-                while root.get(x, x) != x:
-                    x = root[x]
-                return x
-
-            for i, j in zip(a[order].tolist(), b[order].tolist()):
-                x, y = find(int(label[i])), find(int(label[j]))
-                if x != y and _linked(sets[i], sets[j], threshold):
-                    root[max(x, y)] = min(x, y)
-                    out_a.append(int(ids[i]))
-                    out_b.append(int(ids[j]))
+                ok = np.flatnonzero(estimate >= threshold / 100 - MARGIN)
+                ok = ok[np.argsort(-estimate[ok], kind="stable")]
+                a, b = a[ok], b[ok]
+                if held > CONFIRM_BYTES:
+                    sets, held = {}, 0
+                of = np.array([x for x in np.unique(np.r_[a, b]).tolist() if x not in sets], np.int64)
+                sets.update(zip(of.tolist(), _sets(text.take(pa.array(of)), shingle)))
+                held += sum(sets[x].nbytes for x in of.tolist())
+                for x, y in zip(a.tolist(), b.tolist()):
+                    low, high = sorted((label[x], label[y]))
+                    if low != high and _linked(sets[x], sets[y], threshold):
+                        label[label == high] = low
+                        out_a.append(int(ids[x]))
+                        out_b.append(int(ids[y]))
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
     return run
 
@@ -334,7 +338,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = 80) -> D
                       F.greatest("own", "other").alias("j"), F.col("own").alias("side"))
               .join(own_rows.select("id", "regs"), "id")
               .join(texts.select(F.col("doc_id").alias("id"), "text"), "id"))
-    more = stored(placed.groupBy("band", "i", "j").applyInArrow(_settle(shingle, threshold), "a long, b long"),
+    more = stored(in_groups(placed.groupBy("band", "i", "j"), _settle(shingle, threshold), "a long, b long"),
                   "minhash-links")
     if not more.isEmpty():
         stars = labels.select(F.col("id").alias("a"), F.col("component_id").alias("b"))

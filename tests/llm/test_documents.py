@@ -249,3 +249,35 @@ def test_pairs_are_confirmed_in_steps_of_bounded_bytes(monkeypatch):
     parts = list(minhash_dedup._confirm(5, 80)(iter([pairs])))
     assert len(parts) > 100  # about a thousand bytes in each
     assert {(r["a"], r["b"]) for p in parts for r in p.to_pylist()} == want != set()
+
+
+def test_a_tile_makes_no_list_of_all_its_pairs():
+    n = 300
+    texts = pa.array([t for _, t in near_copies(n)])
+    sketch = minhash_dedup._sketch(5)
+    rows = pa.Table.from_batches(list(sketch(iter([pa.RecordBatch.from_arrays([pa.array(range(n)), texts], ["id", "t"])]))))
+    tile = pa.table({"no": [0] * n, "id": rows["doc_id"], "size": rows["n_shingles"], "label": rows["doc_id"],
+                     "side": [0] * n, "regs": rows["regs"], "text": texts})
+    compared, estimate = [], minhash_dedup._estimate
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(minhash_dedup, "_estimate", lambda a, *rest: compared.append(len(a)) or estimate(a, *rest))
+        links = minhash_dedup._settle(5, 80)(tile)
+    hashes = minhash_dedup._sets(texts, 5)
+    label = list(range(n))
+
+    def join(a, b):
+        low, high = sorted((label[a], label[b]))
+        label[:] = [low if x == high else x for x in label]
+
+    for a, b in zip(links["a"].to_pylist(), links["b"].to_pylist()):
+        assert label[a] != label[b] and minhash_dedup._linked(hashes[a], hashes[b], 80)
+        join(a, b)
+    found = list(label)
+    label = list(range(n))
+    for a in range(n):
+        for b in range(a):
+            if label[a] != label[b] and minhash_dedup._linked(hashes[a], hashes[b], 80):
+                join(a, b)
+    assert found == label
+    # Members connected by an earlier step's links are not compared again.
+    assert max(compared) <= minhash_dedup.PAIRS and sum(compared) < n * (n - 1) // 2
