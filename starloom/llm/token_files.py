@@ -1,10 +1,11 @@
 """Token ids in binary files: canonical length-limited Huffman codes.
 
 1. Each text is encoded with a tokenizer of the ``tokenizers`` library. Texts
-   are cut where its pre-tokenizer always cuts (at a blank between two
-   characters that are not white space); pieces seen before come from a bounded
-   cache in the worker, new ones are cut into words, seen before or encoded by
-   the library.
+   are cut where its pre-tokenizer always cuts: at a blank between two
+   characters that are not white space, and, in pieces of Latin letters, digits
+   and punctuation alone, where one of these ends. Arrow finds the distinct
+   strings of a step; those seen before come from a bounded memory in the
+   worker, the library encodes the new ones.
 2. Ids are counted over all documents; package-merge turns the counts into code
    lengths of at most MAX_BITS, and these alone define the canonical code.
 3. Documents are sorted over the cluster by doc_id; each task packs whole
@@ -24,58 +25,48 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from codecs import charmap_decode
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import compress, count, islice
+from itertools import compress, count
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_arrow, shared_path, stored
+from .common import bytes_of, in_arrow, shared_path, stored, text_slices
 
 MAX_BITS = 18
 BLOCK_IDS = 1 << 20
 STRIDE = 256
-#: Pieces between blanks, and words in them, that a worker remembers.
-CACHE_PIECES, CACHE_WORDS = 1 << 20, 1 << 19
+#: Words, and pieces left whole, that a worker remembers.
+CACHE_PIECES, CACHE_WORDS = 1 << 19, 1 << 20
 STEP = 1 << 22
 END_ID = 0
 
-#: White space that is neither blank nor newline.
-_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Letters, digits and punctuation that byte-level pre-tokenizers cut into runs, each with
-#: the blank before it. All else (other scripts, apostrophes, several newlines) is left to the library.
-_LETTER, _DIGIT = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9"
-_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Kinds of bytes: three that byte-level pre-tokenizers cut into runs, each with the blank before
+#: it; others (other scripts, apostrophes); and white space, from the newline on.
+_LETTER, _DIGIT, _MARK, _OTHER, _NEWLINE, _SPACE, _BLANK = range(7)
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: White space of three bytes in UTF-8.
+_WIDE_SPACE = [int.from_bytes(chr(c).encode()) for c in
+               (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 _BETWEEN = "\x00"
 
 
-def _clean(text: str) -> bool:
-    """Whether each blank of the text stands between two characters that are not white space."""
-    return not ("  " in text or text[:1] == " " or text[-1:] == " " or " \n" in text or "\n " in text
-                or _SPACE.search(text))
-
-
 class _Known:
     """A bounded memory of strings and their ids. When it is full, only strings
     used again are kept, the half of it that was used most at the most."""
 
-    def __init__(self, learn, most: int, fixed: dict):
-        self.learn, self.most, self.fixed = learn, most, len(fixed)
-        self.numbers = self._numbered(list(fixed))
-        size = [len(x) for x in fixed.values()]
-        self.flat = np.array([i for x in fixed.values() for i in x], np.uint32)
-        self.until = np.r_[0, np.cumsum(size)].astype(np.int64)
-        self.uses = np.zeros(len(fixed), np.int64)
-        self.filled = len(self.flat)
+    def __init__(self, learn, most: int):
+        self.learn, self.most = learn, most
+        self.numbers = self._numbered([])
+        self.flat, self.until = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.uses = np.zeros(0, np.int64)
+        self.filled = 0
 
     @staticmethod
     def _numbered(strings: list) -> defaultdict:
@@ -96,10 +87,9 @@ class _Known:
         self.uses = np.r_[self.uses, np.zeros(len(size), np.int64)]
 
     def _forget(self) -> None:
-        keep = np.flatnonzero(self.uses[self.fixed:] > 1) + self.fixed
+        keep = np.flatnonzero(self.uses > 1)
         if len(keep) > self.most // 2:
             keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[:self.most // 2]])
-        keep = np.r_[np.arange(self.fixed), keep]
         strings = list(self.numbers)
         size = self.until[keep + 1] - self.until[keep]
         ids = self.flat[spans(self.until[keep], size)]
@@ -107,16 +97,15 @@ class _Known:
         self.uses, self.filled = np.zeros(0, np.int64), 0
         self._add(ids, size)
 
-    def ids(self, strings: list, pick=slice(None)) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the strings (or of those at `pick`), one after the other, and how many each has."""
-        # A dict keeps the order of insertion: new strings are its last.
+    def ids(self, strings: list[str], uses: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct strings, one after the other, and how many each has; `uses` counts for each."""
         if len(self.numbers) > self.most:
             self._forget()
-        at = np.fromiter(map(self.numbers.__getitem__, strings), np.int64, len(strings))[pick]
-        new = list(islice(reversed(self.numbers), len(self.numbers) - len(self.uses)))[::-1]
-        if new:
-            self._add(*self.learn(new))
-        self.uses += np.bincount(at, minlength=len(self.uses))
+        at = np.fromiter(map(self.numbers.__getitem__, strings), np.int64, len(strings))
+        new = at >= len(self.uses)
+        if new.any():
+            self._add(*self.learn(list(compress(strings, new.tolist()))))
+        self.uses[at] += uses
         size = self.until[at + 1] - self.until[at]
         return self.flat[spans(self.until[at], size)], size
 
@@ -128,85 +117,60 @@ def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Ids of texts. Pieces between blanks are remembered; a new piece is cut into
-    the words that the pre-tokenizer makes of it, which are remembered too; new
-    words go to the library's model, pieces with other characters to the library."""
+    """Ids of texts. Pieces between blanks are cut into the words that the
+    pre-tokenizer makes of them, pieces with other characters are left whole.
+    Both are remembered; new words go to the library's model, new pieces to the library."""
 
     def __init__(self, path: str, pieces: int = CACHE_PIECES, words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary, added = self.tokenizer.get_vocab(), self.tokenizer.get_added_tokens_decoder()
         # Bytes that an id stands for (byte-level vocabularies write a byte as a character).
-        size = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
-        for token, i in self.tokenizer.get_vocab().items():
-            size[i] = len(token)
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        for i, token in self.tokenizer.get_added_tokens_decoder().items():
-            size[i] = len(token.content.encode())
-        self.id_bytes = size
-        marks = re.escape("".join(c for c in _MARKS if not any(c in a for a in added)))
-        runs = [f"[{x}]+" for x in (_LETTER, _DIGIT, marks)]
-        run = f"{_LETTER}{_DIGIT}{marks}"
-        # What no piece cut into words has: other characters, an inner blank, a newline not between two of `run`, nothing.
-        self.odd = re.compile(f"[^{run} \\n{_BETWEEN}]|\\n(?![{run}])|(?<![{run}])\\n|(?<!{_BETWEEN}) | (?![{run}])"
-                              f"|{_BETWEEN}(?={_BETWEEN})")
-        self.cut = re.compile("|".join(f" ?{r}" for r in runs) + f"|\n|{_BETWEEN}")
+        self.id_bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        self.id_bytes[list(vocabulary.values())] = list(map(len, vocabulary))
+        contents = [t.content.encode() for t in added.values()]
+        for i, content in zip(added, contents):
+            self.id_bytes[i] = len(content)
         setting = json.loads(self.tokenizer.to_str())
         before = setting["pre_tokenizer"] or {}
-        #: Whether words are cut as above: byte level, nothing before it, no added token of plain characters.
+        # Byte-level vocabularies write visible bytes as themselves, the others as characters from 256 on.
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = count(256)
+        self.letters = "".join(chr(b if b in shown else next(hidden)) for b in range(256))
+        kinds = bytearray([_OTHER]) * 256
+        for kind, members in ((_LETTER, b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"), (_DIGIT, b"0123456789"),
+                              (_MARK, bytes(set(_MARKS) - {c for x in contents for c in x})), (_NEWLINE, b"\n"),
+                              (_SPACE, b"\t\x0b\x0c\r\x1c\x1d\x1e\x1f"), (_BLANK, b" ")):
+            for c in members:
+                kinds[c] = kind
+        self.kinds, self.by_words = bytes(kinds), True
+        # Words are cut of a byte level with nothing before it and no added token of plain characters.
         self.by_words = (before.get("type") == "ByteLevel" and before.get("use_regex", True)
                          and not before.get("add_prefix_space") and setting["normalizer"] is None
-                         and setting["post_processor"] is None
-                         and all(self.odd.search(f"{_BETWEEN}{a}{_BETWEEN}") for a in added))
+                         and setting["post_processor"] is None and set(self.letters) <= vocabulary.keys()
+                         and all((self._kinds(np.frombuffer(x, np.uint8)) == _OTHER).any() for x in contents))
         if self.by_words:
-            # Byte-level vocabularies write visible bytes as themselves, the others as characters from 256 on.
-            shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-            hidden = count(256)
-            self.letters = "".join(chr(b if b in shown else next(hidden)) for b in range(256))
-            self.by_words = set(self.letters) <= self.tokenizer.get_vocab().keys()
-            self.word_tokenizer = Tokenizer(self.tokenizer.model)
+            self.word_tokenizer = Tokenizer(self._uncached(setting["model"]))
             self.word_tokenizer.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(self.letters[0])
-        # A text's first piece has a blank before it as its name, which no other has; None is the text's end.
-        self.pieces = _Known(self._learn_pieces, pieces, {None: [END_ID]})
-        self.words = _Known(self._learn_words, words, {_BETWEEN: []})
-
-    def _alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        else:  # no byte is of a run: every piece is left whole
+            self.kinds = bytes(_OTHER if k <= _MARK else k for k in kinds)
+        self.pieces = _Known(self._learn_pieces, pieces)
+        self.words = _Known(self._learn_words, words)
+
+    def _uncached(self, setting: dict):
+        """The model without a memory of its own, which is of no use to words that come once."""
+        from tokenizers import models
+        if setting.pop("type") != "BPE":
+            return self.tokenizer.model
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in setting.pop("merges")]
+        given = {name: value for name, value in setting.items() if value is not None}
+        return models.BPE(merges=merges, cache_capacity=0, **given)
+
+    def _learn_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         return np.array([i for x in got for i in x], np.uint32), np.array([len(x) for x in got], np.int64)
 
-    @staticmethod
-    def _as_texts(names: list[str]) -> str:
-        """The texts of the names, a sign before and after each: a blank before all but the first pieces of texts."""
-        joined = f"{_BETWEEN}{_BETWEEN.join(names)}"
-        return joined.replace(_BETWEEN, _BETWEEN + " ").replace(_BETWEEN + "  ", _BETWEEN) + _BETWEEN
-
-    def _learn_pieces(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.full(len(names), self.by_words)
-        if self.by_words:
-            joined = self._as_texts(names)
-            if joined.count(_BETWEEN) == len(names) + 1:
-                n, last = -1, 0
-                for m in self.odd.finditer(joined):
-                    n, last = n + joined.count(_BETWEEN, last, m.start() + 1), m.start() + 1
-                    # Two signs with nothing between them are found at the first.
-                    plain[n] = False
-            else:  # the sign is in a text
-                plain[:] = [not self.odd.search(self._as_texts([p])) and _BETWEEN not in p for p in names]
-        ids, size = self._alone([p[1:] if p[:1] == " " else " " + p for p in compress(names, (~plain).tolist())])
-        if not plain.any():
-            return ids, size
-        words = self.cut.findall(self._as_texts(names if plain.all() else list(compress(names, plain.tolist()))), 1)[:-1]
-        word_ids, word_size = self.words.ids(words)
-        first = np.flatnonzero(word_size == 0)  # only the sign between texts has no ids
-        all_size = np.zeros(len(names), np.int64)
-        all_size[~plain] = size
-        all_size[plain] = np.add.reduceat(word_size, np.r_[0, first])
-        start = np.cumsum(all_size) - all_size
-        out = np.zeros(int(all_size.sum()), np.uint32)
-        out[spans(start[~plain], all_size[~plain])] = ids
-        out[spans(start[plain], all_size[plain])] = word_ids
-        return out, all_size
-
     def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Many words are one input to the library, cut already."""
         raw = [_BETWEEN.join(words[k:k + 1000]).encode() for k in range(0, len(words), 1000)]
@@ -217,42 +181,86 @@ class PieceEncoder:
         until = np.searchsorted(np.cumsum(self.id_bytes[ids]), ends - np.arange(len(ends)), "right")
         return ids, np.diff(np.r_[0, until])
 
+    def _kinds(self, data: np.ndarray) -> np.ndarray:
+        """The kind of each byte of UTF-8; all bytes of a character have its kind."""
+        kind = np.frombuffer(data.tobytes().translate(self.kinds), np.uint8)
+        lead = np.flatnonzero(data >= 0xC2)
+        if not len(lead):
+            return kind
+        kind = kind.copy()
+        a, b = data[lead], data[np.minimum(lead + 1, len(data) - 1)]
+        if self.by_words:  # U+00C0 to U+024F without the signs of multiplication and division
+            latin = lead[(b >= 0x80) & (b < 0xC0) & (a >= 0xC3) & ((a < 0xC9) | (a == 0xC9) & (b < 0x90))
+                         & ~((a == 0xC3) & ((b == 0x97) | (b == 0xB7)))]
+            kind[latin] = kind[latin + 1] = _LETTER
+        space = lead[(a == 0xC2) & ((b == 0x85) | (b == 0xA0))]
+        kind[space] = kind[space + 1] = _SPACE
+        wide = lead[(a >= 0xE1) & (a <= 0xE3) & ((b == 0x80) | (b == 0x81) | (b == 0x9A))]
+        wide = wide[wide + 2 < len(data)]
+        code = data[wide].astype(np.int64) << 16 | data[wide + 1].astype(np.int64) << 8 | data[wide + 2]
+        space = wide[np.isin(code, _WIDE_SPACE)]
+        kind[space] = kind[space + 1] = kind[space + 2] = _SPACE
+        return kind
+
+    def _cuts(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where words and whole pieces of the texts begin, and which are whole pieces.
+        Both can be encoded alone: the pre-tokenizer always cuts there."""
+        n = len(data)
+        kind = self._kinds(data)
+        edge = np.zeros(n + 1, bool)  # a text begins, or the last one has ended
+        edge[at] = True
+        white, run = kind >= _NEWLINE, kind <= _MARK
+        blank = kind == _BLANK
+        clean = blank & ~edge[:-1] & ~edge[1:]  # between two characters that are not white space
+        clean[1:] &= ~white[:-1]
+        clean[:-1] &= ~white[1:]
+        odd = ~run & ~clean
+        line = np.flatnonzero(kind == _NEWLINE)
+        line = line[run[line - 1] & run[np.minimum(line + 1, n - 1)] & ~edge[line] & ~edge[line + 1]]
+        odd[line] = False  # a newline between two runs is a word
+        cut = edge[:-1].copy()
+        cut[1:] |= (kind[1:] != kind[:-1]) & ~blank[:-1]
+        cuts = np.flatnonzero(cut)
+        odd = np.flatnonzero(odd)
+        if not len(odd):
+            return cuts, np.zeros(len(cuts), bool)
+        first = (clean | edge[:-1])[cuts]  # a piece begins
+        pieces = cuts[first]
+        whole = np.zeros(len(pieces), bool)
+        whole[np.searchsorted(pieces, odd, "right") - 1] = True
+        whole = whole[np.cumsum(first) - 1]
+        keep = first | ~whole
+        return cuts[keep], whole[keep]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, END_ID after each, and their counts."""
-        joined = _BETWEEN.join(texts)
-        # Of most steps all texts are clean, which their joined text shows at once.
-        if _clean(joined) and f" {_BETWEEN}" not in joined and f"{_BETWEEN} " not in joined:
-            return self._of_pieces(pc.split_pattern(pa.array(texts, pa.large_string()), " "))
-        clean = np.fromiter(map(_clean, texts), bool, len(texts))
-        if clean.all():
-            return self._of_pieces(pc.split_pattern(pa.array(texts, pa.large_string()), " "))
-        ids, counts = self.encode([t for t, c in zip(texts, clean.tolist()) if c])
-        other_ids, other_counts = self._of_pieces(pa.array(
-            [_CUT.split(t) for t, c in zip(texts, clean.tolist()) if not c], pa.large_list(pa.large_string())))
-        both = np.zeros(len(texts), np.int64)
-        both[clean], both[~clean] = counts, other_counts
-        start = np.cumsum(both) - both
-        out = np.zeros(int(both.sum()), np.uint32)
-        out[spans(start[clean], counts)] = ids
-        out[spans(start[~clean], other_counts)] = other_ids
-        return out, both
-
-    def _of_pieces(self, cut: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The same of texts cut into pieces (one at least); each distinct piece is looked up once."""
-        n = len(cut)
-        if not n:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        at = cut.offsets.to_numpy().astype(np.int64) - cut.offsets[0].as_py()
-        values = cut.flatten()
-        coded = values.dictionary_encode()
+        return self.encode_bytes(*bytes_of(pa.array(texts, pa.large_string())))
+
+    def encode_bytes(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of texts in UTF-8, text k from at[k] to at[k + 1]; each distinct word is looked up once."""
+        if not len(data):
+            return np.full(len(at) - 1, END_ID, np.uint32), np.ones(len(at) - 1, np.int64)
+        cuts, whole = self._cuts(data, at)
+        strings = pa.Array.from_buffers(pa.large_string(), len(cuts), [
+            None, pa.py_buffer(np.append(cuts, len(data))), pa.py_buffer(data)])
+        coded = strings.dictionary_encode()
         names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        heads = [" " + v for v in values.take(pa.array(at[:-1])).to_pylist()]
-        text = np.arange(n)
-        pick = np.full(len(values) + n, len(names) + n, np.int64)  # the end, where nothing else is put
-        pick[np.arange(len(values)) + np.repeat(text, np.diff(at))] = coded.indices.to_numpy()
-        pick[at[:-1] + text] = len(names) + text
-        ids, size = self.pieces.ids([*names, *heads, None], pick)
-        return ids, np.add.reduceat(size, at[:-1] + text)
+        index = coded.indices.to_numpy()
+        uses = np.bincount(index, minlength=len(names))
+        is_piece = np.zeros(len(names), bool)
+        is_piece[index[whole]] = True
+        # The ids of this step's words, of its pieces and of a text's end, one after the other.
+        ids, size = self.words.ids(list(compress(names, (~is_piece).tolist())), uses[~is_piece])
+        piece_ids, piece_size = self.pieces.ids(list(compress(names, is_piece.tolist())), uses[is_piece])
+        ids, size = np.r_[ids, piece_ids, np.uint32(END_ID)], np.r_[size, piece_size, 1]
+        place = np.empty(len(names), np.int64)
+        place[~is_piece] = np.arange(len(names) - len(piece_size))
+        place[is_piece] = np.arange(len(names) - len(piece_size), len(names))
+        until = np.searchsorted(cuts, at[1:])
+        pick = np.insert(place[index], until, len(names))
+        start, size = (np.cumsum(size) - size)[pick], size[pick]
+        counts = np.cumsum(size)[until + np.arange(len(until))]
+        return ids[spans(start, size)], np.diff(counts, prepend=0)
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -261,25 +269,19 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 def _tokens(path: str):
     def steps(encoder: PieceEncoder, batches: Iterator[pa.RecordBatch], total: _Totals) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            lo = 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and size < STEP:
-                    size += len(texts[hi])
-                    hi += 1
-                ids, counts = encoder.encode(texts[lo:hi])
+            for lo, hi, data, at in text_slices(batch.column(1), STEP):
+                ids, counts = encoder.encode_bytes(data, at)
                 total.add(ids)
-                end = np.cumsum(counts)
-                raw = ids.astype("<u4").tobytes() if len(ids) and ids.max() > 0xFFFF else None
-                wide = 4 if raw is not None else 2
-                raw = raw if raw is not None else ids.astype("<u2").tobytes()
+                wide = 4 if ids.max() > 0xFFFF else 2
+                until = np.append(0, np.cumsum(wide * counts))
+                if until[-1] > 0x7FFFFFFF:
+                    raise OverflowError(f"a text of {len(ids)} ids does not fit a row")
+                raw = pa.py_buffer(ids.astype(f"<u{wide}"))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(np.full(hi - lo, wide, np.int32)),
-                     pa.array([raw[wide * (e - c):wide * e] for c, e in zip(counts, end)], pa.binary()),
+                     pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(until.astype(np.int32)), raw]),
                      pa.nulls(hi - lo, pa.binary())],
                     ["doc_id", "width", "ids", "counts"])
-                lo = hi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.setdefault(path, None) or PieceEncoder(path)

@@ -385,6 +385,39 @@ def test_remembered_pieces_give_the_librarys_ids(pieces, words):
     assert encoder.encode([])[0].tolist() == []
 
 
+def test_marks_and_newlines_make_no_new_words():
+    """A word is remembered once, whatever stands around it; only pieces with other characters are whole."""
+    from tokenizers import Tokenizer
+    path = tokenizer_path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), token_files.PieceEncoder(path)
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}\u00e9" for k in range(200)]
+    texts = [" ".join(f"{a}{mark}{b}" for a, b in zip(words, words[k + 1:])) for k, mark in enumerate(",.;\n")]
+    ids, counts = encoder.encode(texts)
+    want = [library.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    # Each word with a blank before it and without, and the four signs.
+    assert len(encoder.words.numbers) <= 2 * len(words) + 4 and not len(encoder.pieces.numbers)
+    encoder.encode(["it's \u65e5\u672c wa\u00e9", "wa\u00e9 it's"])
+    assert set(encoder.pieces.numbers) == {"it's", " \u65e5\u672c", " it's"}
+
+
+@pytest.mark.parametrize("pieces, words", [(1 << 20, 1 << 19), (150, 60)])
+def test_white_space_and_other_scripts_are_cut_as_the_library_cuts(pieces, words):
+    from tokenizers import Tokenizer
+    path = tokenizer_path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), token_files.PieceEncoder(path, pieces, words)
+    draw = np.random.default_rng(11)
+    signs = [" ", " ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u205f", "\u3000", "a", "Ab",
+             "\u00e9", "\u00d7", "\u00f7", "\u024f", "\u0250", "\u65e5", "'s", "don't", "\u2019", "12", "\u00b2", "?!",
+             "<|endoftext|>", "|", "\x00", "\U0001f600"]
+    for _ in range(40):
+        texts = ["".join(draw.choice(signs, draw.integers(0, 14))) for _ in range(50)]
+        texts += [" ".join(draw.choice(signs, draw.integers(0, 14))) for _ in range(50)]
+        ids, counts = encoder.encode(texts)
+        want = [library.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_ids_are_counted_while_they_are_encoded(spark, odd_docs, monkeypatch):
     """One row of each task has the counts of all its ids."""
     rows = token_files.encode_documents(odd_docs, tokenizer_path("byte_bpe_50k.json")).collect()
