@@ -38,3 +38,23 @@ def test_incremental_fact_with_strict_filter_skips_the_boundary_day(spark):
     inclusive = facts.sales_fact(detail, header, dims, since=since)
     assert strict.filter(F.col("orderdate") <= F.lit(since)).count() == 0
     assert inclusive.filter(F.col("orderdate") == F.lit(since)).count() > 0
+
+
+def test_dimensions_are_broadcast_while_the_drivers_heap_has_room_for_all(spark):
+    """Each of them is under the bound for one side; their hash tables are in the driver together."""
+    src = FixtureSource(spark, SF_SMALL)
+    dims = scenarios.first_load_dims(src)
+    detail, header = scenarios.landed_detail(src), scenarios.landed_header(src)
+    want = facts.sales_fact(detail, header, dims)
+    share = "starloom.join.broadcastHeapShare"
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    spark.conf.set(share, str((24 << 20) / heap))
+    try:
+        # rows of every dimension, and which hash tables 24 MB have room for
+        for rows, fit in ((10, 5), (100_000, 2), (1_000_000, 0), (6_000_000, 0)):
+            fact = facts.sales_fact(detail, header, dims, dim_rows=dict.fromkeys(dims, rows))
+            assert fact._jdf.queryExecution().analyzed().toString().count("strategy=broadcast") == fit
+            if fit != 5:
+                assert fact.exceptAll(want).count() == 0 and want.exceptAll(fact).count() == 0
+    finally:
+        spark.conf.unset(share)
